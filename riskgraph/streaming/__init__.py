@@ -1,0 +1 @@
+"""Day-by-day increments driven by Structured Streaming."""
