@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from riskgraph.functions import exprs as X
 from riskgraph.operators import cohorts, edges, neighbours, repayment, segments
+from riskgraph.plans import exports
 from riskgraph.sources import bindings as B
 from riskgraph.sources.tables import history, snapshot
 
@@ -235,5 +236,11 @@ def q_c26(spark, sf_dir):
     return repayment.score_vs_overdue(c25_facts(b), b.rank_score)
 
 
+@query("c27_graph_lists")
+def q_c27_lists(spark, sf_dir):
+    b = _b(spark, sf_dir)
+    return exports.graph_lists(b.user_profile, b.user_contact, B.DAY)
+
+
 def catalog() -> dict[str, Query]:
     return dict(QUERIES)

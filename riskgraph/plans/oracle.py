@@ -222,6 +222,15 @@ SELECT mobile, string_agg(nb, chr(9) ORDER BY nb) AS neighbours FROM (
   SELECT DISTINCT mobile, nb FROM (SELECT src AS mobile, dst AS nb FROM rank_pairs
                                    UNION ALL SELECT dst, src FROM rank_pairs))
 GROUP BY mobile"""),
+    "c27_graph_lists": _q(f"""
+SELECT 'applyNotPass' AS list, mobile FROM (
+  SELECT DISTINCT c.mobile AS mobile FROM user_profile p JOIN user_contact c ON p.user_id = c.user_id AND p.ds = c.ds
+  WHERE p.dt = {DAY} AND c.dt = {DAY} AND p.first_apply_credit_time IS NOT NULL
+    AND p.first_apply_credit_succ_time IS NULL AND c.mobile IS NOT NULL)
+UNION ALL SELECT 'applycreditNoBorrow', mobile FROM passed WHERE first_apply_loan_succ_time IS NULL
+UNION ALL SELECT 'borrowNotwb', mobile FROM passed WHERE {LOAN} AND {OD} > 7 AND {OD} <= 14
+UNION ALL SELECT 'whitelist', mobile FROM passed WHERE {LOAN} AND {OD} <= 7 AND coalesce(curr_inloan_cnt, 0) = 0
+UNION ALL SELECT 'blacklist', mobile FROM passed WHERE {LOAN} AND {OD} > 14"""),
     "c25_overdue_info": _q("SELECT loan_id, ds, mobile, early_day, overdue_day FROM overdue"),
     "c26_score_vs_overdue": _q("""
 SELECT s.score AS score, f.overdue_day AS overdue_day
