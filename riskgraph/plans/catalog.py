@@ -243,4 +243,5 @@ def q_c27_lists(spark, sf_dir):
 
 
 def catalog() -> dict[str, Query]:
+    from riskgraph.plans import operator_queries  # noqa: F401  (registers the operator entries)
     return dict(QUERIES)

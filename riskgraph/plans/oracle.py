@@ -114,6 +114,21 @@ overdue AS (
      GROUP BY loan_id, user_id, ds) a
   JOIN (SELECT user_id, ds, reverse(mobile_encode) AS mobile FROM user_profile WHERE dt = {DAY}) b
     ON a.user_id = b.user_id AND a.ds = b.ds),
+oriented_valid AS (
+  SELECT CASE WHEN call_channel = '012001001' THEN mobile WHEN call_channel = '012001002' THEN other_mobile END AS src,
+         CASE WHEN call_channel = '012001001' THEN other_mobile WHEN call_channel = '012001002' THEN mobile END AS dst,
+         CASE WHEN regexp_full_match(call_time, '[0-9]+') THEN CAST(call_time AS DOUBLE) ELSE 0.0 END AS duration
+  FROM history
+  WHERE regexp_full_match(mobile, '1[0-9]{{10}}') AND regexp_full_match(other_mobile, '1[0-9]{{10}}')),
+dirty AS (
+  SELECT CASE substring(other_mobile, 11, 1)
+           WHEN '1' THEN 'p0086' || other_mobile || ';cpc'
+           WHEN '2' THEN 'p86' || other_mobile
+           WHEN '3' THEN 'p' || other_mobile || ';cpc'
+           WHEN '4' THEN 'p(86)' || other_mobile
+           WHEN '5' THEN 'p86' || other_mobile || ';cpc'
+           ELSE 'p' || other_mobile END AS raw
+  FROM history),
 rank_pairs AS (
   SELECT DISTINCT src, dst FROM
     (SELECT CASE WHEN call_channel = '012001001' THEN mobile WHEN call_channel = '012001002' THEN other_mobile END AS src,
@@ -239,5 +254,126 @@ JOIN rank_score s ON f.mobile = s.mobile"""),
 }
 
 
+ORIENT = """CASE WHEN call_channel = '012001001' THEN mobile WHEN call_channel = '012001002' THEN other_mobile END AS src,
+       CASE WHEN call_channel = '012001001' THEN other_mobile WHEN call_channel = '012001002' THEN mobile END AS dst"""
+A3 = _edges("history", "TRUE", STRICT, min_n=1)
+WHITE = f"{LOAN} AND {OD} <= 7 AND coalesce(curr_inloan_cnt, 0) = 0"
+GREY = f"{LOAN} AND {OD} > 7 AND {OD} <= 14"
+BLACK = f"{LOAN} AND {OD} > 14"
+SCORES = """SELECT s.score AS score, f.overdue_day AS overdue_day
+FROM (SELECT DISTINCT loan_id, ds, mobile, early_day, overdue_day FROM overdue) f
+JOIN rank_score s ON f.mobile = s.mobile"""
+MEMBERS_BOTH = "mobile IN (SELECT mobile FROM {m}) AND other_mobile IN (SELECT mobile FROM {m})"
+
+ORACLE.update({
+    "s1_snapshot": _q(f"SELECT user_id, ds, mobile FROM user_contact WHERE dt = {DAY}"),
+    "s2_history": _q("SELECT mobile, other_mobile, call_channel, call_time, dt FROM history"),
+    "s3_day_increment": _q("SELECT mobile, other_mobile, call_channel, call_time FROM call_detail_year "
+                           "WHERE dt = '2001-01-01'"),
+    "s6_registered_view": _q("SELECT mobile FROM applied"),
+    "p1_projection": _q(f"SELECT user_id AS uid, ds AS channel, max_overdue_day_cnt AS overdue "
+                        f"FROM user_profile WHERE dt = {DAY}"),
+    "p2_orient_calls": _q(f"SELECT {ORIENT}, call_time FROM history"),
+    "p3_reverse_edges": _q("SELECT dst AS src, src AS dst FROM rank_pairs"),
+    "p4_split_pair": _q("SELECT src, dst FROM rank_pairs"),
+    "p5_edge_nodes": _q("SELECT src AS mobile FROM rank_pairs UNION ALL SELECT dst FROM rank_pairs"),
+    "f1_lifecycle_nulls": _q(f"SELECT user_id, ds FROM user_profile WHERE dt = {DAY} "
+                             "AND first_apply_credit_time IS NOT NULL AND first_apply_credit_succ_time IS NULL"),
+    "f2_null_as_zero_threshold": _q(f"SELECT mobile, max_overdue_day_cnt FROM passed WHERE {OD} <= 7"),
+    "f3_due_or_settled": _q(f"""
+SELECT loan_id, user_id, ds, early_day, overdue_day FROM repay_plan
+WHERE dt = {DAY} AND CAST(create_time AS DATE) >= DATE '1998-10-01'
+  AND (repay_status = '002005002' OR CAST(due_day AS DATE) <= DATE '2001-08-31')"""),
+    "f4_fraud_loans": _q(f"SELECT loan_id FROM collection_record WHERE dt = {DAY} AND loan_name = 'FRAUD' "
+                         "AND ds IN ('BUILDING', 'AUTOMOBILE')"),
+    "f5_later_than_day": _q(f"SELECT user_id, ds FROM credit_apply WHERE dt = {DAY} "
+                            "AND CAST(apply_time AS VARCHAR) > '2001-06-01'"),
+    "f6_valid_pairs": _q(f"SELECT mobile, other_mobile FROM history WHERE regexp_full_match(mobile, '{STRICT}') "
+                         f"AND regexp_full_match(other_mobile, '{STRICT}')"),
+    "f7_valid_pairs_loose": _q(f"""
+SELECT 'p' || mobile AS mobile, 'p' || other_mobile AS other_mobile FROM history
+WHERE regexp_full_match('p' || mobile, '{LOOSE}') AND regexp_full_match('p' || other_mobile, '{LOOSE}')"""),
+    "f8_valid_pairs_any11": _q(f"SELECT mobile, other_mobile FROM history WHERE regexp_full_match(mobile, '{ANY11}') "
+                               f"AND regexp_full_match(other_mobile, '{ANY11}')"),
+    "f9_min_calls": _q("SELECT src, dst, count(*) AS calls FROM oriented_valid GROUP BY src, dst HAVING count(*) >= 2"),
+    "j1_with_contact": _q(f"""
+SELECT p.user_id AS user_id, p.ds AS ds, c.mobile AS mobile
+FROM user_profile p JOIN user_contact c ON p.user_id = c.user_id AND p.ds = c.ds
+WHERE p.dt = {DAY} AND c.dt = {DAY}"""),
+    "j2_left_join_day_in_on": _q(f"""
+SELECT r.loan_id AS loan_id, r.user_id AS user_id, c.mobile AS mobile
+FROM repay_plan r LEFT JOIN user_contact c ON r.user_id = c.user_id AND r.ds = c.ds AND c.dt = {DAY}
+WHERE r.dt = {DAY}"""),
+    "j3_in_subquery": _q(f"""
+SELECT loan_id, user_id, ds FROM repay_plan WHERE dt = {DAY} AND loan_id IN
+  (SELECT loan_id FROM collection_record WHERE dt = {DAY} AND loan_name = 'FRAUD' AND ds IN ('BUILDING', 'AUTOMOBILE'))"""),
+    "j4_between_members": _q("SELECT mobile, other_mobile, call_channel, call_time FROM history WHERE "
+                             + MEMBERS_BOTH.format(m="applied")),
+    "j5_between_members_broadcast": _q("SELECT mobile, other_mobile, call_channel, call_time FROM history WHERE "
+                                       + MEMBERS_BOTH.format(m="applied")),
+    "j6_between_passed": _q("SELECT mobile, other_mobile, call_channel, call_time FROM history WHERE "
+                            + MEMBERS_BOTH.format(m="passed")),
+    "j7_owned_by_members": _q("SELECT mobile, other_mobile, call_channel, call_time FROM history "
+                              "WHERE mobile IN (SELECT mobile FROM passed)"),
+    "j8_scores_by_mobile": _q("""
+SELECT f.mobile AS mobile, f.loan_id AS loan_id, s.score AS score
+FROM (SELECT DISTINCT loan_id, ds, mobile, early_day, overdue_day FROM overdue) f
+JOIN rank_score s ON f.mobile = s.mobile"""),
+    "a1_max_per_mobile": _q("SELECT mobile, max_overdue_day_cnt, curr_inloan_cnt FROM passed"),
+    "a2_loan_extremes": _q(f"""
+SELECT loan_id, user_id, ds, max(early_day) AS early_day, max(overdue_day) AS overdue_day
+FROM repay_plan WHERE dt = {DAY} GROUP BY loan_id, user_id, ds"""),
+    "a3_edge_stats": _q(A3),
+    "a4_edge_pairs": _q("SELECT DISTINCT src, dst FROM oriented_valid"),
+    "a5_distinct": _q(f"SELECT DISTINCT mobile FROM user_contact WHERE dt = {DAY}"),
+    "a6_out_neighbours": _q("SELECT src AS mobile, dst AS neighbour FROM rank_pairs"),
+    "a7_in_neighbours": _q("SELECT dst AS mobile, src AS neighbour FROM rank_pairs"),
+    "a8_all_neighbours": _q("""
+SELECT DISTINCT mobile, neighbour FROM (SELECT src AS mobile, dst AS neighbour FROM rank_pairs
+                                      UNION ALL SELECT dst, src FROM rank_pairs)"""),
+    "u1_merge_lists": _q(f"SELECT DISTINCT mobile FROM passed WHERE ({WHITE}) OR ({GREY}) OR ({BLACK})"),
+    "u2_union_adjacency": _q("""
+SELECT src AS mobile, dst AS neighbour FROM rank_pairs UNION ALL SELECT dst, src FROM rank_pairs"""),
+    "x1_digits_or_zero": _q("""
+SELECT call_time, CASE WHEN regexp_full_match(call_time, '[0-9]+') THEN CAST(call_time AS DOUBLE) ELSE 0.0 END
+       AS duration FROM history"""),
+    "x2_two_decimals": _q(f"SELECT src, dst, mean_text FROM ({A3})"),
+    "x3_concat": _q(f"SELECT src || ',' || dst || ',CALL_OUT,' || CAST(calls AS VARCHAR) || ',' || mean_text AS line "
+                    f"FROM ({C15})"),
+    "x4_prefixed": _q(f"SELECT user_id, 'p' || mobile AS mobile FROM user_contact WHERE dt = {DAY}"),
+    "x5_clean_phone_a": _q("""
+SELECT raw, CASE WHEN contains(raw, 'p0086') THEN replace(replace(raw, 'p0086', 'p'), ';cpc', '')
+                 WHEN contains(raw, 'p86') THEN replace(replace(raw, 'p86', 'p'), ';cpc', '')
+                 WHEN contains(raw, ';cpc') THEN replace(raw, ';cpc', '')
+                 ELSE raw END AS clean
+FROM dirty"""),
+    "x6_clean_phone_b": _q("""
+SELECT raw, CASE WHEN contains(raw, 'p0086') THEN replace(raw, 'p0086', 'p')
+                 WHEN contains(raw, 'p86') THEN replace(raw, 'p86', 'p')
+                 WHEN contains(raw, ';cpc') THEN replace(raw, ';cpc', '')
+                 WHEN contains(raw, 'p(') THEN regexp_replace(raw, 'p\\([0-9]*\\)', 'p', 'g')
+                 ELSE raw END AS clean
+FROM dirty"""),
+    "x7_day_of": _q(f"""
+SELECT loan_id, CAST(CAST(create_time AS DATE) AS VARCHAR) AS create_day,
+       CAST(CAST(due_day AS DATE) AS VARCHAR) AS due_day
+FROM repay_plan WHERE dt = {DAY}"""),
+    "x8_split_cast": _q("SELECT loan_id, ds, mobile, early_day, overdue_day FROM overdue"),
+    "o1_order_by_score": _q(SCORES),
+    "o2_order_by_text_key": _q(f"SELECT CAST(user_id AS VARCHAR) AS k, mobile FROM user_contact WHERE dt = {DAY}"),
+    "k4_edge_lines": _q(f"SELECT src || ',' || dst || ',CALL_OUT,' || CAST(calls AS VARCHAR) || ',' || mean_text "
+                        f"AS line FROM ({C15})"),
+    "k5_pair_lines": _q("SELECT src || ',' || dst AS line FROM rank_pairs"),
+    "k6_adjacency_lines": _q("SELECT src || chr(9) || string_agg(dst, chr(9) ORDER BY dst) AS line "
+                             "FROM rank_pairs GROUP BY src"),
+    "k7_overdue_lines": _q("""
+SELECT coalesce(CAST(loan_id AS VARCHAR), '0') || ',' || coalesce(ds, 'null') || ',' || coalesce(mobile, 'null')
+       || ',' || coalesce(CAST(early_day AS VARCHAR), '0') || ',' || coalesce(CAST(overdue_day AS VARCHAR), '0')
+       AS line FROM overdue"""),
+    "k8_score_lines": _q(f"""
+SELECT CAST(score AS VARCHAR) || ',' || coalesce(CAST(overdue_day AS VARCHAR), '0') AS line FROM ({SCORES})"""),
+})
+
+
 def oracle() -> dict[str, str]:
     return dict(ORACLE)
