@@ -15,9 +15,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Bytes a broadcast hash relation spends per row of one short string key
-# (UnsafeRow, string body, hash slot); used to turn a row count into a size.
-BYTES_PER_KEY_ROW = 64
+# Bytes a broadcast hash relation spends per row besides the key text itself
+# (UnsafeRow header and offsets, hash-map slot).
+ROW_OVERHEAD_BYTES = 48
 
 
 def broadcast_limit_bytes(spark) -> int:
@@ -34,11 +34,12 @@ def broadcast_limit_bytes(spark) -> int:
 def sized(members: DataFrame, mode="auto") -> DataFrame:
     """Return ``members`` ready for a semi-join.
 
-    ``mode``: ``'auto'`` persists the cohort (it is read once per end), counts
-    it and adds a broadcast hint only if ``rows * 64 B`` is under the
-    session's ``spark.sql.autoBroadcastJoinThreshold``; ``True`` always hints
-    (the caller vouches for the bound); ``False``/``None`` leaves the choice
-    to the optimizer and AQE.
+    ``mode``: ``'auto'`` persists the cohort (it is read once per end),
+    measures it in one small aggregation (rows and total key bytes) and adds a
+    broadcast hint only if ``rows * 48 + key bytes`` is within the session's
+    ``spark.sql.autoBroadcastJoinThreshold``; above it the shuffle semi-join
+    is used.  ``True`` always hints (the caller vouches for the bound);
+    ``False``/``None`` leaves the choice to the optimizer and AQE.
     """
     if mode is True:
         return F.broadcast(members)
@@ -48,9 +49,9 @@ def sized(members: DataFrame, mode="auto") -> DataFrame:
     if limit <= 0:
         return members
     kept = members.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = kept.count()
-    width = max(1, len(kept.columns))
-    if rows * BYTES_PER_KEY_ROW * width <= limit:
+    width = sum(F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in kept.columns)
+    rows, key_bytes = kept.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    if rows * ROW_OVERHEAD_BYTES + key_bytes <= limit:
         return F.broadcast(kept)
     return kept
 

@@ -4,11 +4,11 @@ The primary result is the long form ``(mobile, neighbour)``: distinct pairs,
 hash-partitioned on both columns, so a hub number with millions of contacts
 is spread over many tasks.  The adjacency form (one row per mobile with its
 sorted neighbours) exists only for the text sink.  It is built so that no
-group grows without bound: a mobile whose degree exceeds
-``max_per_line`` is split into ``ceil(degree / max_per_line)`` buckets by a
-hash of the neighbour, each bucket one row (one output line that repeats the
-key).  Below the limit, which is every mobile in ordinary data, a mobile is
-exactly one row.
+group grows without bound: a mobile whose degree exceeds ``max_per_line`` is
+split into ``ceil(degree / max_per_line)`` buckets by a hash of the
+neighbour, each bucket one row (one output line that repeats the key), and
+nothing is dropped.  Below the limit, which is every mobile in ordinary data,
+a mobile is exactly one row.
 """
 
 from __future__ import annotations
@@ -38,28 +38,39 @@ def all_neighbours(edges: DataFrame) -> DataFrame:
 
 
 def adjacency(pairs: DataFrame, max_per_line: int = MAX_PER_LINE) -> DataFrame:
-    """Rows (mobile, neighbours: sorted array<string>) from long-form pairs.
-
-    Degrees are counted with a partial aggregate; each pair then gets a bucket
-    ``hash(neighbour) mod ceil(degree / max_per_line)`` (0 for ordinary
-    mobiles) and the arrays are collected per (mobile, bucket), so each group
-    holds about ``max_per_line`` names at most.
+    """Rows (mobile, neighbours: sorted array<string>) from distinct long-form pairs.
+
+    Degrees are counted with a partial aggregate and only the *hot* mobiles
+    (degree above ``max_per_line``) are kept: there are at most
+    ``rows / max_per_line`` of them, a proven bound, so they are broadcast.
+    A hot mobile's pairs get a bucket ``hash(neighbour) mod ceil(degree /
+    max_per_line)``, every other pair bucket 0, and the arrays are collected
+    per (mobile, bucket) after a shuffle on both, so no group holds much more
+    than ``max_per_line`` names and a hub is spread over several tasks.
     """
     if max_per_line < 1:
         raise ValueError("max_per_line must be positive")
-    degree = pairs.groupBy("mobile").agg(F.count(F.lit(1)).alias("degree"))
-    buckets = F.ceil(F.col("degree") / F.lit(max_per_line))
-    bucket = F.when(F.col("degree") <= max_per_line, F.lit(0)).otherwise(
-        F.pmod(F.xxhash64("neighbour"), buckets))
-    return (pairs.join(degree, "mobile")
+    hot = (pairs.groupBy("mobile").agg(F.count(F.lit(1)).alias("degree"))
+           .filter(F.col("degree") > max_per_line)
+           .select("mobile", F.ceil(F.col("degree") / F.lit(max_per_line)).alias("buckets")))
+    bucket = F.when(F.col("buckets").isNull(), F.lit(0)).otherwise(
+        F.pmod(F.xxhash64("neighbour"), F.col("buckets")))
+    return (pairs.join(F.broadcast(hot), "mobile", "left")
             .select("mobile", "neighbour", bucket.alias("bucket"))
             .groupBy("mobile", "bucket")
             .agg(F.array_sort(F.collect_list("neighbour")).alias("neighbours"))
             .select("mobile", "neighbours"))
 
 
-def one_degree(rank_edges: DataFrame, directed: bool = True, max_per_line: int = MAX_PER_LINE) -> DataFrame:
+def one_degree(rank_edges: DataFrame, directed: bool = True, max_per_line: int = MAX_PER_LINE,
+               distinct_pairs: bool = False) -> DataFrame:
     """C23 (``directed=True``: callees per caller) and C24 (in and out merged):
-    rows (mobile, neighbours) ready for the tab-separated adjacency sink."""
-    pairs = out_neighbours(rank_edges) if directed else all_neighbours(rank_edges)
+    rows (mobile, neighbours) ready for the tab-separated adjacency sink.
+    ``distinct_pairs=True`` says the edges are already distinct (as ranking
+    pairs are), which saves the distinct of the directed form."""
+    if directed:
+        pairs = (rank_edges.select(F.col("src").alias("mobile"), F.col("dst").alias("neighbour"))
+                 if distinct_pairs else out_neighbours(rank_edges))
+    else:
+        pairs = all_neighbours(rank_edges)
     return adjacency(pairs, max_per_line)

@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 
 from riskgraph.functions.exprs import nz, prefixed
 from riskgraph.operators.cohorts import passed_rows, with_contact
+from riskgraph.operators.membership import sized
 from riskgraph.sources.tables import snapshot
 
 
-
 def _loan():
     return F.col("first_apply_loan_succ_time")
 
@@ -81,7 +81,7 @@ def fraud_loans(collection: DataFrame, day, label: str, channels) -> DataFrame:
 
 
 def fraud_history_mobiles(repay: DataFrame, collection: DataFrame, contact: DataFrame, day,
-                          label: str, channels) -> DataFrame:
+                          label: str, channels, broadcast="auto") -> DataFrame:
     """One row per repayment row of a fraud loan, with the user's mobile.
 
     J3: the loan match is on loan_id only (the channel of the loan is not
@@ -89,8 +89,8 @@ def fraud_history_mobiles(repay: DataFrame, collection: DataFrame, contact: Data
     the join condition, so a user without a contact row yields a null mobile.
     Rows and nulls are kept as a bag; sinks drop nulls and duplicates.
     """
-    loans = (snapshot(repay, day).select("user_id", "ds", "loan_id")
-             .join(fraud_loans(collection, day, label, channels), "loan_id", "left_semi"))
+    fraud = sized(fraud_loans(collection, day, label, channels), broadcast)
+    loans = snapshot(repay, day).select("user_id", "ds", "loan_id").join(fraud, "loan_id", "left_semi")
     c = snapshot(contact, day).select("user_id", "ds", "mobile")
     return loans.join(c, ["user_id", "ds"], "left").select("mobile")
 

@@ -30,7 +30,7 @@ def query(name: str):
 
 
 def _b(spark: SparkSession, sf_dir: str) -> B.Bindings:
-    return B.Bindings(spark, sf_dir)
+    return B.bindings(spark, sf_dir)
 
 
 def _ts_text(df: DataFrame, *cols: str) -> DataFrame:
@@ -217,7 +217,7 @@ def q_c22(spark, sf_dir):
 
 @query("c23_one_degree")
 def q_c23(spark, sf_dir):
-    return _adjacency_text(neighbours.one_degree(c22_edges(_b(spark, sf_dir))))
+    return _adjacency_text(neighbours.one_degree(c22_edges(_b(spark, sf_dir)), distinct_pairs=True))
 
 
 @query("c24_one_degree_undirected")

@@ -64,7 +64,7 @@ def export_ranking(profile: DataFrame, contact: DataFrame, calls: DataFrame, bla
     members = cohorts.applied(profile, contact, yesterday)
     pairs = cut_lineage(edges.rank_edges(history(calls, history_before or today), members))
     write_lines(format_pair_line(pairs), dated_path(base, yesterday, "relationship"))
-    write_lines(format_adjacency_line(neighbours.one_degree(pairs)), dated_path(base, yesterday, "onedegree"))
+    write_lines(format_adjacency_line(neighbours.one_degree(pairs, distinct_pairs=True)), dated_path(base, yesterday, "onedegree"))
 
 
 def export_ranking_snapshot(profile: DataFrame, contact: DataFrame, calls: DataFrame, base: str, day,
