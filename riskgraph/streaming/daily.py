@@ -1,0 +1,97 @@
+"""Daily increments of the call graph as a Structured Streaming query.
+
+The batch form (``plans.exports.daily_call_graph`` + ``export_call_graph``)
+processes one day's call partition between that day's new applicants.  Here
+the same work runs as a stream over the call table's folder:
+
+* new day folders (``dt=YYYY-MM-DD``) are picked up as they land;
+* the day is the event time, with a watermark, so a day's graph is emitted
+  once, complete, when a later day has arrived (append mode);
+* membership is a stream-static ``left_semi`` join on (dt, mobile) with the
+  new applicants of every day, a static DataFrame;
+* the per-pair count and duration sum are the streaming state (two numbers
+  per pair), kept in the state store under the checkpoint location and
+  dropped once the day is emitted;
+* each emitted day is written with ``overwrite`` to ``<base>/<day>/...``
+  inside ``foreachBatch``, so a replayed micro-batch rewrites the same files.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from riskgraph.functions.exprs import MOBILE, digits_or_zero, later_than_day, oriented
+from riskgraph.operators.edges import persons, valid_pairs
+from riskgraph.sinks.lines import dated_path, format_edge_line, format_mobile_line
+from riskgraph.sources.tables import CALL_DETAIL
+
+CALL_COLS = ["mobile", "other_mobile", "call_channel", "call_time", "dt"]
+
+
+def new_applicants_by_day(apply: DataFrame, contact: DataFrame, after=None) -> DataFrame:
+    """C19 for every day at once: (dt, mobile) of users of day ``dt``'s
+    snapshots whose apply time is later than ``dt`` (or than ``after``),
+    compared as text."""
+    if after is None:
+        cond = F.col("apply_time").cast("string") > F.col("dt")
+    else:
+        cond = later_than_day("apply_time", after)
+    users = apply.filter(cond).select("user_id", "ds", "dt")
+    c = contact.select("user_id", "ds", "dt", "mobile")
+    return (users.join(c, ["user_id", "ds", "dt"]).select("dt", "mobile")
+            .filter(F.col("mobile").isNotNull()).distinct())
+
+
+def daily_edges(calls: DataFrame, cohort_by_day: DataFrame, min_n: int = 2, pattern: str = MOBILE,
+                lateness: str = "1 day", on_unknown: str = "error") -> DataFrame:
+    """Per day, the call graph between that day's cohort members.
+
+    Works on a streaming or a batch ``calls`` DataFrame.  Output: dt, src,
+    dst, calls, mean_duration."""
+    c = calls.select(*CALL_COLS).withColumn("day_ts", F.to_timestamp("dt"))
+    if calls.isStreaming:
+        c = c.withWatermark("day_ts", lateness)
+    c = valid_pairs(c, pattern, "mobile", "other_mobile")
+    m = cohort_by_day.select("dt", "mobile")
+    c = c.join(m, ["dt", "mobile"], "left_semi")
+    c = c.join(m.withColumnRenamed("mobile", "other_mobile"), ["dt", "other_mobile"], "left_semi")
+    src, dst = oriented("mobile", "other_mobile", "call_channel", on_unknown)
+    e = (c.select("day_ts", "dt", src.alias("src"), dst.alias("dst"), digits_or_zero("call_time").alias("duration"))
+         .groupBy("day_ts", "dt", "src", "dst")
+         .agg(F.count(F.lit(1)).alias("calls"), F.sum("duration").alias("total_duration")))
+    if min_n and min_n > 1:
+        e = e.filter(F.col("calls") >= min_n)
+    return e.select("dt", "src", "dst", "calls", (F.col("total_duration") / F.col("calls")).alias("mean_duration"))
+
+
+def write_days(batch: DataFrame, base: str) -> None:
+    """Write each day of a finished batch: edge lines and person list,
+    ``overwrite`` so a replayed micro-batch is idempotent."""
+    kept = batch.persist()
+    try:
+        days = [r[0] for r in kept.select("dt").distinct().collect()]  # the days closed in this batch
+        for day in days:
+            one = kept.filter(F.col("dt") == day)
+            format_edge_line(one).select(F.col("line").alias("value")).write.mode("overwrite") \
+                .text(dated_path(base, day, "relationship"))
+            format_mobile_line(persons(one)).select(F.col("line").alias("value")).write.mode("overwrite") \
+                .text(dated_path(base, day, "person"))
+    finally:
+        kept.unpersist()
+
+
+def start_daily_call_graph(spark: SparkSession, calls_path: str, apply: DataFrame, contact: DataFrame,
+                           base: str, checkpoint: str, after=None, min_n: int = 2,
+                           available_now: bool = True, lateness: str = "1 day"):
+    """Start the stream over ``calls_path`` (a folder of day partitions) and
+    return the ``StreamingQuery``.  ``checkpoint`` must be a shared folder.
+    ``available_now=True`` processes what has landed and stops (a scheduled
+    daily run); otherwise it polls every minute."""
+    stream = spark.readStream.schema(CALL_DETAIL).parquet(calls_path)
+    edges = daily_edges(stream, new_applicants_by_day(apply, contact, after), min_n, lateness=lateness)
+    writer = (edges.writeStream.outputMode("append")
+              .foreachBatch(lambda batch, _epoch: write_days(batch, base))
+              .option("checkpointLocation", checkpoint))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
