@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 # (UnsafeRow header and offsets, hash-map slot).
 ROW_OVERHEAD_BYTES = 48
 
+# Cohorts persisted by ``sized``; ``release`` unpersists them after a job.
+_PERSISTED: list[DataFrame] = []
+
 
 def broadcast_limit_bytes(spark) -> int:
     raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
@@ -49,6 +52,7 @@ def sized(members: DataFrame, mode="auto") -> DataFrame:
     if limit <= 0:
         return members
     kept = members.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(kept)
     width = sum(F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in kept.columns)
     rows, key_bytes = kept.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
     if rows * ROW_OVERHEAD_BYTES + key_bytes <= limit:
@@ -56,6 +60,13 @@ def sized(members: DataFrame, mode="auto") -> DataFrame:
     return kept
 
 
+def release() -> None:
+    """Unpersist every cohort persisted by ``sized`` (call after the action
+    that used them, e.g. at the end of an export)."""
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+
+
 def member_filter(df: DataFrame, members: DataFrame, on: str, key: str = "mobile") -> DataFrame:
     """Keep rows of ``df`` whose ``on`` column is in ``members.key``
     (``left_semi``: no columns or duplicates leak from the cohort)."""

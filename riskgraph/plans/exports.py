@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskgraph.functions.exprs import days
-from riskgraph.operators import cohorts, edges, neighbours, segments
+from riskgraph.operators import cohorts, edges, membership, neighbours, segments
 from riskgraph.session import cut_lineage
 from riskgraph.sinks.lines import (
     dated_path, format_adjacency_line, format_edge_line, format_mobile_line, format_pair_line, write_lines,
@@ -49,6 +49,7 @@ def export_graph(profile: DataFrame, contact: DataFrame, calls: DataFrame, base:
     members = cohorts.applied(profile, contact, yesterday)
     graph = edges.call_edges(history(calls, history_before or today), members)
     write_lines(format_edge_line(graph), dated_path(base, yesterday, "relationship"))
+    membership.release()
 
 
 def export_ranking(profile: DataFrame, contact: DataFrame, calls: DataFrame, blacklisted: DataFrame,
@@ -64,7 +65,9 @@ def export_ranking(profile: DataFrame, contact: DataFrame, calls: DataFrame, bla
     members = cohorts.applied(profile, contact, yesterday)
     pairs = cut_lineage(edges.rank_edges(history(calls, history_before or today), members))
     write_lines(format_pair_line(pairs), dated_path(base, yesterday, "relationship"))
-    write_lines(format_adjacency_line(neighbours.one_degree(pairs, distinct_pairs=True)), dated_path(base, yesterday, "onedegree"))
+    write_lines(format_adjacency_line(neighbours.one_degree(pairs, distinct_pairs=True)),
+                dated_path(base, yesterday, "onedegree"))
+    membership.release()
 
 
 def export_ranking_snapshot(profile: DataFrame, contact: DataFrame, calls: DataFrame, base: str, day,
@@ -77,6 +80,7 @@ def export_ranking_snapshot(profile: DataFrame, contact: DataFrame, calls: DataF
     members = cohorts.applied(profile, contact, day)
     pairs = edges.rank_edges(history(calls, history_before), members)
     write_lines(format_pair_line(pairs), f"{base}/relationship")
+    membership.release()
 
 
 def export_call_graph(graph: DataFrame, base: str, day) -> None:
@@ -84,6 +88,7 @@ def export_call_graph(graph: DataFrame, base: str, day) -> None:
     kept = cut_lineage(graph)
     write_lines(format_edge_line(kept), dated_path(base, day, "relationship"))
     write_lines(format_mobile_line(edges.persons(kept)), dated_path(base, day, "person"))
+    membership.release()
 
 
 def daily_call_graph(apply: DataFrame, contact: DataFrame, calls: DataFrame, day,

@@ -24,6 +24,27 @@ BASE_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
+               target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings sized for a cluster run over ``input_bytes`` of input.
+
+    Shuffle partitions start at ``input / target`` (at least two waves of the
+    cluster's cores) and AQE coalesces them down to the advisory size at
+    runtime, so a 100 TB history gets about 400k map outputs merged into
+    256 MB reducer partitions, and small days do not pay for them.
+    """
+    cores = max(1, executors * cores_per_executor)
+    partitions = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        **BASE_CONF,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(min(target_partition_bytes, 512 << 20)),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
                   app_name: str = "riskgraph", extra: dict | None = None) -> SparkSession:
     """Session for local runs and tests (``local[cores]``)."""
