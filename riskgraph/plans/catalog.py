@@ -198,6 +198,15 @@ def q_c20_all(spark, sf_dir):
     return edges.with_mean_text(edges.call_edges(calls, c19_cohort(b), min_n=1))
 
 
+@query("c20_incremental_edges_mixed")
+def q_c20_mixed(spark, sf_dir):
+    """The other reading of the increment job: the record owner is a new
+    applicant of the day, the other end any applicant."""
+    b = _b(spark, sf_dir)
+    calls = snapshot(b.call_detail_year, B.YEAR_DAY)
+    return edges.with_mean_text(edges.call_edges(calls, c19_cohort(b), dst_members=applied_cohort(b), min_n=1))
+
+
 @query("c20_incremental_edges_loose")
 def q_c20_loose(spark, sf_dir):
     b = _b(spark, sf_dir)

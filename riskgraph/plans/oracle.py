@@ -226,6 +226,9 @@ WHERE mobile IS NOT NULL"""),
     "c20_incremental_edges_all": _q(_edges(
         "call_detail_year", "dt = '2001-01-01' AND mobile IN (SELECT mobile FROM new_applicants) "
         "AND other_mobile IN (SELECT mobile FROM new_applicants)", STRICT, min_n=1)),
+    "c20_incremental_edges_mixed": _q(_edges(
+        "call_detail_year", "dt = '2001-01-01' AND mobile IN (SELECT mobile FROM new_applicants) "
+        "AND other_mobile IN (SELECT mobile FROM applied)", STRICT, min_n=1)),
     "c20_incremental_edges_loose": _q(_edges("call_detail_year", "dt = '2001-01-01'", LOOSE, min_n=1, prefix="p")),
     "c21_persons": _q(f"""
 SELECT DISTINCT mobile FROM (SELECT src AS mobile FROM ({C15}) UNION ALL SELECT dst FROM ({C15}))"""),

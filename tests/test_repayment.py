@@ -90,3 +90,10 @@ def test_line_formats(spark):
     sc = spark.createDataFrame([(1.0e10, 3), (2.5, None)], "score double, overdue_day int")
     assert sorted(r[0] for r in lines.format_score_line(sc).collect()) == ["1.0E10,3", "2.5,0"]
     assert lines.dated_path("/x/", "2001-08-31", "whitelist") == "/x/2001-08-31/whitelist"
+
+
+def test_literal_table_and_registered_view(spark):
+    from riskgraph.sources.tables import literal_table, register
+    df = literal_table(spark, [("13800000001", 1.5)], RANK_SCORE)
+    register(df, "rg_scores_literal")
+    assert spark.sql("SELECT mobile, score FROM rg_scores_literal").collect()[0]["score"] == 1.5
