@@ -29,6 +29,42 @@ def _profile_contact(profile: DataFrame, contact: DataFrame, day, cond, cols) ->
     return with_contact(users, c)
 
 
+LIFECYCLE = ["first_apply_credit_time", "first_apply_credit_succ_time", "first_apply_loan_succ_time",
+             "max_overdue_day_cnt", "curr_inloan_cnt", "max_prepayment_day_cnt"]
+
+
+def day_users(profile: DataFrame, contact: DataFrame, day) -> DataFrame:
+    """J1 once for a day: every user row of the day's profile with its
+    contact mobile and life-cycle columns.  Jobs that need several cohorts
+    of the same day join once, cut the lineage and derive them all with the
+    ``*_from`` functions below."""
+    users = snapshot(profile, day).select(*USER_KEY, *LIFECYCLE)
+    c = snapshot(contact, day).select(*USER_KEY, "mobile")
+    return with_contact(users, c)
+
+
+def applied_from(rows: DataFrame) -> DataFrame:
+    """C1 from ``day_users`` rows."""
+    return (rows.filter(F.col("first_apply_credit_time").isNotNull()).select("mobile")
+            .filter(F.col("mobile").isNotNull()).distinct())
+
+
+def applied_not_passed_from(rows: DataFrame) -> DataFrame:
+    """C2 from ``day_users`` rows."""
+    cond = F.col("first_apply_credit_time").isNotNull() & F.col("first_apply_credit_succ_time").isNull()
+    return rows.filter(cond).select("mobile").filter(F.col("mobile").isNotNull()).distinct()
+
+
+def passed_summary_from(rows: DataFrame) -> DataFrame:
+    """C3 from ``day_users`` rows."""
+    return (rows.filter(F.col("first_apply_credit_succ_time").isNotNull() & F.col("mobile").isNotNull())
+            .groupBy("mobile")
+            .agg(F.max("first_apply_loan_succ_time").alias("first_apply_loan_succ_time"),
+                 F.max("max_overdue_day_cnt").alias("max_overdue_day_cnt"),
+                 F.max("curr_inloan_cnt").alias("curr_inloan_cnt"),
+                 F.max("max_prepayment_day_cnt").alias("max_prepayment_day_cnt")))
+
+
 def applied(profile: DataFrame, contact: DataFrame, day) -> DataFrame:
     """Distinct mobiles of users with an apply time on ``day``'s snapshot."""
     rows = _profile_contact(profile, contact, day,

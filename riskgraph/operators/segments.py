@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskgraph.functions.exprs import nz, prefixed
-from riskgraph.operators.cohorts import passed_rows, with_contact
+from riskgraph.operators.cohorts import passed_rows
 from riskgraph.operators.membership import sized
 from riskgraph.sources.tables import snapshot
 
@@ -143,5 +143,5 @@ def segments_per_user(profile: DataFrame, contact: DataFrame, day, prefix: str |
 __all__ = [
     "passed_no_borrow", "whitelist", "greylist", "blacklist", "third_party", "fraud_loans",
     "fraud_history_mobiles", "merge_lists", "merged_blacklist", "list_labels",
-    "segments_per_user", "with_contact",
+    "segments_per_user",
 ]

@@ -26,10 +26,13 @@ GRAPH_LISTS = (APPLY_NOT_PASS, segments.NO_BORROW, segments.GREY, segments.WHITE
 def graph_lists(profile: DataFrame, contact: DataFrame, day) -> DataFrame:
     """The five lists of the graph export as (list, mobile) rows, one pass
     over the passed summary plus the applied-not-passed cohort."""
-    passed = cohorts.passed_summary(profile, contact, day)
-    not_passed = cohorts.applied_not_passed(profile, contact, day).select(
-        F.lit(APPLY_NOT_PASS).alias("list"), "mobile")
-    return segments.list_labels(passed).unionByName(not_passed)
+    return graph_lists_from(cohorts.day_users(profile, contact, day))
+
+
+def graph_lists_from(rows: DataFrame) -> DataFrame:
+    """``graph_lists`` from the day's joined user rows (``cohorts.day_users``)."""
+    not_passed = cohorts.applied_not_passed_from(rows).select(F.lit(APPLY_NOT_PASS).alias("list"), "mobile")
+    return segments.list_labels(cohorts.passed_summary_from(rows)).unionByName(not_passed)
 
 
 def _write_lists(lists: DataFrame, base: str, day, names, single_file: bool) -> None:
@@ -39,14 +42,21 @@ def _write_lists(lists: DataFrame, base: str, day, names, single_file: bool) ->
 
 
 def export_graph(profile: DataFrame, contact: DataFrame, calls: DataFrame, base: str, as_of,
-                 history_before=None, single_file: bool = True) -> None:
-    """Applied-not-passed, no-loan, grey, white and black lists (one file
-    each) and the call graph between applicants, under ``<base>/<yesterday>``.
-    The call history is read with ``dt < history_before`` (default today)."""
+                 history_before=None, single_file: bool = False) -> None:
+    """Applied-not-passed, no-loan, grey, white and black lists and the
+    call graph between applicants, under ``<base>/<yesterday>``.  The call
+    history is read with ``dt < history_before`` (default today).
+
+    The day's profile and contact are joined once; the joined rows are cut
+    into the checkpoint folder and feed every list and the cohort.
+    ``single_file=True`` writes each list as one file (the lists are
+    computed in parallel, only the finished lines meet in one task); keep it
+    for lists known to be small."""
     today, yesterday = days(as_of)
-    lists = cut_lineage(graph_lists(profile, contact, yesterday))
+    rows = cut_lineage(cohorts.day_users(profile, contact, yesterday))
+    lists = cut_lineage(graph_lists_from(rows))
     _write_lists(lists, base, yesterday, GRAPH_LISTS, single_file)
-    members = cohorts.applied(profile, contact, yesterday)
+    members = cohorts.applied_from(rows)
     graph = edges.call_edges(history(calls, history_before or today), members)
     write_lines(format_edge_line(graph), dated_path(base, yesterday, "relationship"))
     membership.release()
@@ -58,11 +68,12 @@ def export_ranking(profile: DataFrame, contact: DataFrame, calls: DataFrame, bla
     """White list, merged black list, ranking pairs and the one-degree
     contact list under ``<base>/<yesterday>``."""
     today, yesterday = days(as_of)
-    passed = cut_lineage(cohorts.passed_summary(profile, contact, yesterday))
+    rows = cut_lineage(cohorts.day_users(profile, contact, yesterday))
+    passed = cut_lineage(cohorts.passed_summary_from(rows))
     write_lines(format_mobile_line(segments.whitelist(passed)), dated_path(base, yesterday, "whitelist"))
     black = segments.merged_blacklist(passed, blacklisted, repay, collection, contact, yesterday, label, channels)
     write_lines(format_mobile_line(black), dated_path(base, yesterday, "blacklist"))
-    members = cohorts.applied(profile, contact, yesterday)
+    members = cohorts.applied_from(rows)
     pairs = cut_lineage(edges.rank_edges(history(calls, history_before or today), members))
     write_lines(format_pair_line(pairs), dated_path(base, yesterday, "relationship"))
     write_lines(format_adjacency_line(neighbours.one_degree(pairs, distinct_pairs=True)),
@@ -74,10 +85,11 @@ def export_ranking_snapshot(profile: DataFrame, contact: DataFrame, calls: DataF
                             history_before) -> None:
     """Strict white list, wide black list and ranking pairs for a fixed
     past ``day``, under ``<base>/<name>``."""
-    passed = cut_lineage(cohorts.passed_summary(profile, contact, day))
+    rows = cut_lineage(cohorts.day_users(profile, contact, day))
+    passed = cut_lineage(cohorts.passed_summary_from(rows))
     write_lines(format_mobile_line(segments.whitelist(passed, max_prepay=3)), f"{base}/whitelist")
     write_lines(format_mobile_line(segments.blacklist(passed, min_overdue=7)), f"{base}/blacklist")
-    members = cohorts.applied(profile, contact, day)
+    members = cohorts.applied_from(rows)
     pairs = edges.rank_edges(history(calls, history_before), members)
     write_lines(format_pair_line(pairs), f"{base}/relationship")
     membership.release()

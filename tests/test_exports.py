@@ -22,7 +22,7 @@ def _files(path):
 def test_export_graph(spark, outdir):
     b = B.Bindings(spark, SF0001)
     exports.export_graph(b.user_profile, b.user_contact, b.call_detail, outdir, B.AS_OF,
-                         history_before=B.HISTORY_BEFORE)
+                         history_before=B.HISTORY_BEFORE, single_file=True)
     day = f"{outdir}/{B.DAY}"
     assert sorted(os.listdir(day)) == sorted(list(exports.GRAPH_LISTS) + ["relationship"])
     assert len(_lines(spark, f"{day}/whitelist")) == 8

@@ -74,3 +74,12 @@ def test_list_properties_on_bound_tables(spark):
     assert not (black & white)
     assert black <= wide
     assert strict <= white <= early
+
+
+def test_day_users_derivations_equal_direct_cohorts(spark):
+    b = B.Bindings(spark, SF0001)
+    rows_ = cohorts.day_users(b.user_profile, b.user_contact, D)
+    assert rows(cohorts.applied_from(rows_)) == rows(cohorts.applied(b.user_profile, b.user_contact, D))
+    assert rows(cohorts.applied_not_passed_from(rows_)) == \
+        rows(cohorts.applied_not_passed(b.user_profile, b.user_contact, D))
+    assert rows(cohorts.passed_summary_from(rows_)) == rows(cohorts.passed_summary(b.user_profile, b.user_contact, D))
