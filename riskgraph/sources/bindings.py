@@ -102,12 +102,12 @@ def _calls(orders: DataFrame, lineitem: DataFrame, dt: Column) -> DataFrame:
 
 
 def call_detail(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    return _calls(orders, lineitem, F.date_format("l_shipdate", "yyyy-MM-dd"))
+    return _calls(orders, lineitem, F.to_date("l_shipdate").cast("string"))
 
 
 def call_detail_year(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Same calls with ``dt`` = first day of the ship year (one big day)."""
-    return _calls(orders, lineitem, F.date_format(F.trunc("l_shipdate", "year"), "yyyy-MM-dd"))
+    return _calls(orders, lineitem, F.trunc("l_shipdate", "year").cast("string"))
 
 
 def repay_plan(orders: DataFrame, lineitem: DataFrame, customer: DataFrame) -> DataFrame:
