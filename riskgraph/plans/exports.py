@@ -12,12 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskgraph.functions.exprs import days
-from riskgraph.operators import cohorts, edges, membership, neighbours, segments
+from riskgraph.operators import cohorts, edges, membership, neighbours, repayment, segments
 from riskgraph.session import cut_lineage
 from riskgraph.sinks.lines import (
-    dated_path, format_adjacency_line, format_edge_line, format_mobile_line, format_pair_line, write_lines,
+    dated_path, format_adjacency_line, format_edge_line, format_mobile_line, format_overdue_line, format_pair_line,
+    format_score_line, write_lines,
 )
-from riskgraph.sources.tables import history, snapshot
+from riskgraph.sources.tables import OVERDUE_LINE, RANK_SCORE, history, read_delimited, snapshot
 
 APPLY_NOT_PASS = "applyNotPass"
 GRAPH_LISTS = (APPLY_NOT_PASS, segments.NO_BORROW, segments.GREY, segments.WHITE, segments.BLACK)
@@ -109,3 +110,21 @@ def daily_call_graph(apply: DataFrame, contact: DataFrame, calls: DataFrame, day
     applicants (both ends new)."""
     new = cohorts.incremental_applicants(apply, contact, day, after)
     return edges.call_edges(snapshot(calls, day), new, min_n=min_n)
+
+
+def export_overdue_info(repay: DataFrame, profile: DataFrame, out: str, as_of, since, decode=None) -> None:
+    """C25 + K7: loan overdue lines ``loan_id,ds,mobile,early_day,overdue_day``
+    for the snapshot of the day before ``as_of``."""
+    _, yesterday = days(as_of)
+    facts = repayment.overdue_info(repay, profile, yesterday, since, decode=decode)
+    write_lines(format_overdue_line(facts), out)
+
+
+def export_score_vs_overdue(spark, overdue_path: str, scores_path: str, out: str) -> None:
+    """C26 + S4 + O1 + K8: read loan lines and ``mobile,score`` lines, join on
+    mobile and write ``score,overdue`` lines, best score first (the part
+    files are range-partitioned in that order)."""
+    facts = read_delimited(spark, overdue_path, OVERDUE_LINE)
+    scores = read_delimited(spark, scores_path, RANK_SCORE)
+    ranked = repayment.order_by_score(repayment.score_vs_overdue(facts, scores))
+    write_lines(format_score_line(ranked), out)

@@ -78,3 +78,29 @@ def test_export_ranking_snapshot_and_call_graph(spark, outdir):
 
 def test_default_fraud_values():
     assert FRAUD_LABEL and len(exports.GRAPH_LISTS) == 5
+
+
+def test_jobs_entry_point_with_catalog_tables(spark, outdir):
+    from riskgraph.plans import jobs
+    b = B.Bindings(spark, SF0001)
+    roles = {"user_profile": b.user_profile, "user_contact": b.user_contact, "call_detail": b.call_detail,
+             "repay_plan": b.repay_plan, "credit_apply": b.credit_apply}
+    tables = {}
+    for role, df in roles.items():
+        df.createOrReplaceTempView(f"rg_job_{role}")
+        tables[role] = f"rg_job_{role}"
+    jobs.run(spark, "call-graph", outdir, B.AS_OF, tables)
+    assert len(_lines(spark, f"{outdir}/{B.AS_OF}/relationship")) == 670
+    assert len(_lines(spark, f"{outdir}/{B.AS_OF}/person")) == 107
+    jobs.run(spark, "overdue", outdir, B.AS_OF, tables, since=B.LOANS_SINCE, decode="reverse")
+    loans = _lines(spark, f"{outdir}/overdue")
+    assert len(loans) == 538
+    with open(f"{outdir}/scores.txt", "w") as f:
+        f.write("\n".join(f"{r['mobile']},{r['score']}" for r in b.rank_score.collect()) + "\n")
+    jobs.run(spark, "scores", outdir, B.AS_OF, {}, overdue_path=f"{outdir}/overdue",
+             scores_path=f"{outdir}/scores.txt", out=f"{outdir}/ranked")
+    parts = sorted(f for f in os.listdir(f"{outdir}/ranked") if f.startswith("part-"))
+    ranked = [ln for p in parts for ln in open(f"{outdir}/ranked/{p}").read().splitlines()]
+    assert len(ranked) == 601
+    scores = [float(x.split(",")[0]) for x in ranked]
+    assert scores == sorted(scores, reverse=True)
