@@ -38,6 +38,7 @@ def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
     partitions = max(2 * cores, -(-input_bytes // target_partition_bytes))
     return {
         **BASE_CONF,
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(min(target_partition_bytes, 512 << 20)),
@@ -52,6 +53,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app_name)
     conf = dict(BASE_CONF)
     conf["spark.driver.memory"] = os.environ.get("RISKGRAPH_DRIVER_MEMORY", "16g")
+    conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"
     conf["spark.sql.shuffle.partitions"] = str(
         shuffle_partitions or (os.cpu_count() if cores == "*" else int(cores)))
     if extra:

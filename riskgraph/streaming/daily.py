@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from riskgraph.functions.exprs import MOBILE, digits_or_zero, later_than_day, oriented
 from riskgraph.operators.edges import persons, valid_pairs
+from riskgraph.session import ensure_checkpoint_dir
 from riskgraph.sinks.lines import dated_path, format_edge_line, format_mobile_line
 from riskgraph.sources.tables import CALL_DETAIL
 
@@ -82,12 +83,15 @@ def write_days(batch: DataFrame, base: str) -> None:
 
 
 def start_daily_call_graph(spark: SparkSession, calls_path: str, apply: DataFrame, contact: DataFrame,
-                           base: str, checkpoint: str, after=None, min_n: int = 2,
+                           base: str, checkpoint: str | None = None, after=None, min_n: int = 2,
                            available_now: bool = True, lateness: str = "1 day"):
     """Start the stream over ``calls_path`` (a folder of day partitions) and
-    return the ``StreamingQuery``.  ``checkpoint`` must be a shared folder.
+    return the ``StreamingQuery``.  ``checkpoint`` must be a shared folder;
+    by default a sub-folder of the session's ``spark.checkpoint.dir``.
     ``available_now=True`` processes what has landed and stops (a scheduled
     daily run); otherwise it polls every minute."""
+    if checkpoint is None:
+        checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/daily_call_graph"
     stream = spark.readStream.schema(CALL_DETAIL).parquet(calls_path)
     edges = daily_edges(stream, new_applicants_by_day(apply, contact, after), min_n, lateness=lateness)
     writer = (edges.writeStream.outputMode("append")
