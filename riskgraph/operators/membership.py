@@ -11,17 +11,16 @@ still splits skewed partitions.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskgraph.session import keep
+from riskgraph.session import release as release_kept
+
 # Bytes a broadcast hash relation spends per row besides the key text itself
 # (UnsafeRow header and offsets, hash-map slot).
 ROW_OVERHEAD_BYTES = 48
 
-# Cohorts persisted by ``sized``; ``release`` unpersists them after a job.
-_PERSISTED: list[DataFrame] = []
-
 
 def broadcast_limit_bytes(spark) -> int:
     raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
@@ -51,8 +50,7 @@ def sized(members: DataFrame, mode="auto") -> DataFrame:
     limit = broadcast_limit_bytes(members.sparkSession)
     if limit <= 0:
         return members
-    kept = members.persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(kept)
+    kept = keep(members)
     width = sum(F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in kept.columns)
     rows, key_bytes = kept.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
     if rows * ROW_OVERHEAD_BYTES + key_bytes <= limit:
@@ -61,10 +59,9 @@ def sized(members: DataFrame, mode="auto") -> DataFrame:
 
 
 def release() -> None:
-    """Unpersist every cohort persisted by ``sized`` (call after the action
-    that used them, e.g. at the end of an export)."""
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
+    """Unpersist the cohorts persisted by ``sized`` (and anything else kept
+    with ``session.keep``) after the actions that used them."""
+    release_kept()
 
 
 def member_filter(df: DataFrame, members: DataFrame, on: str, key: str = "mobile") -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskgraph.operators.edges import reverse_edges
+from riskgraph.session import keep
 
 MAX_PER_LINE = 1_000_000
 
@@ -32,9 +33,15 @@ def in_neighbours(edges: DataFrame) -> DataFrame:
 
 
 def all_neighbours(edges: DataFrame) -> DataFrame:
-    """A8/U2 (long form): in- and out-neighbours merged into one set per mobile."""
-    e = edges.select("src", "dst")
-    return out_neighbours(e.unionByName(reverse_edges(e)))
+    """A8/U2 (long form): in- and out-neighbours merged into one set per mobile.
+
+    Both directions come out of one pass over the edges (``explode`` of the
+    pair and its reverse), so the upstream scan runs once; this is the bag
+    union of the out- and in-adjacency, then distinct."""
+    both = F.explode(F.array(
+        F.struct(F.col("src").alias("mobile"), F.col("dst").alias("neighbour")),
+        F.struct(F.col("dst").alias("mobile"), F.col("src").alias("neighbour"))))
+    return edges.select(both.alias("p")).select("p.mobile", "p.neighbour").distinct()
 
 
 def adjacency(pairs: DataFrame, max_per_line: int = MAX_PER_LINE) -> DataFrame:
@@ -50,6 +57,9 @@ def adjacency(pairs: DataFrame, max_per_line: int = MAX_PER_LINE) -> DataFrame:
     """
     if max_per_line < 1:
         raise ValueError("max_per_line must be positive")
+    # Read twice (degrees, then the collection): materialise once so the
+    # upstream scan and shuffles are not run a second time.
+    pairs = keep(pairs)
     hot = (pairs.groupBy("mobile").agg(F.count(F.lit(1)).alias("degree"))
            .filter(F.col("degree") > max_per_line)
            .select("mobile", F.ceil(F.col("degree") / F.lit(max_per_line)).alias("buckets")))

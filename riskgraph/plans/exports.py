@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from riskgraph.functions.exprs import days
 from riskgraph.operators import cohorts, edges, membership, neighbours, repayment, segments
-from riskgraph.session import cut_lineage
+from riskgraph.session import cut_lineage, keep
 from riskgraph.sinks.lines import (
     dated_path, format_adjacency_line, format_edge_line, format_mobile_line, format_overdue_line, format_pair_line,
     format_score_line, write_lines,
@@ -27,7 +27,7 @@ GRAPH_LISTS = (APPLY_NOT_PASS, segments.NO_BORROW, segments.GREY, segments.WHITE
 def graph_lists(profile: DataFrame, contact: DataFrame, day) -> DataFrame:
     """The five lists of the graph export as (list, mobile) rows, one pass
     over the passed summary plus the applied-not-passed cohort."""
-    return graph_lists_from(cohorts.day_users(profile, contact, day))
+    return graph_lists_from(keep(cohorts.day_users(profile, contact, day)))
 
 
 def graph_lists_from(rows: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from riskgraph.operators import cohorts, edges, neighbours, repayment, segments
 from riskgraph.plans.catalog import (
     _b, applied_cohort, c15_edges, c22_edges, c25_facts, history_calls, passed, query,
 )
+from riskgraph.session import keep
 from riskgraph.sinks import lines
 from riskgraph.sources import bindings as B
 from riskgraph.sources.tables import register, snapshot
@@ -239,7 +240,7 @@ def q_u1(spark, sf_dir):
 
 @query("u2_union_adjacency")
 def q_u2(spark, sf_dir):
-    e = c22_edges(_b(spark, sf_dir))
+    e = keep(c22_edges(_b(spark, sf_dir)))  # both sides of the union read it
     return neighbours.out_neighbours(e).unionByName(neighbours.in_neighbours(e))
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on.  AQE re-plans at runtime: it turns a
@@ -87,6 +88,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+_KEPT: list[DataFrame] = []
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Persist ``df`` (memory, spilling to disk) because the plan reads it
+    more than once; lost blocks are recomputed from lineage.  Tracked so a
+    job can ``release()`` everything it kept."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _KEPT.append(kept)
+    return kept
+
+
+def release() -> None:
+    """Unpersist every DataFrame kept with ``keep`` (call after the actions
+    that used them)."""
+    while _KEPT:
+        _KEPT.pop().unpersist()
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the reliable checkpoint folder and cut its lineage.
 

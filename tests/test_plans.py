@@ -59,3 +59,13 @@ def test_large_cohort_is_not_broadcast(spark, stored):
         assert df.count() == 670
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.mark.parametrize("name", ["c23_one_degree", "c24_one_degree_undirected", "c15_call_edges"])
+def test_history_scanned_once(spark, stored, name):
+    df = Q.QUERIES[name](spark, SF0001)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    scans = {re.search(r"FileScan parquet \[([^\]]*)\]", ln).group(1)
+             for ln in plan.splitlines() if "FileScan" in ln and "/call_detail" in ln}
+    assert len(scans) == 1, scans
