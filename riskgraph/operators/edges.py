@@ -23,6 +23,7 @@ from riskgraph.functions.exprs import (
     MOBILE, digits_or_zero, full_match, known_channel, oriented, prefixed, two_decimals,
 )
 from riskgraph.operators.membership import member_filter, sized
+from riskgraph import session
 
 CALL_COLS = ["mobile", "other_mobile", "call_channel", "call_time"]
 
@@ -72,11 +73,19 @@ def between_members(calls: DataFrame, src_members: DataFrame, dst_members: DataF
     """Keep calls whose end ``a`` is in ``src_members`` and end ``b``
     in ``dst_members`` (default the same cohort).  With one cohort the test
     is direction-free, so it may run before or after orientation."""
+    if dst_members is None:
+        src_members = _once(src_members, broadcast)
     first = sized(src_members, broadcast)
     second = first if dst_members is None else sized(dst_members, broadcast)
     return member_filter(member_filter(calls, first, a), second, b)
 
 
+def _once(members: DataFrame, broadcast) -> DataFrame:
+    """A cohort read by both membership joins is computed once: ``'auto'``
+    persists it while measuring, the other modes persist it here."""
+    return members if broadcast == "auto" or broadcast is True else session.keep(members)
+
+
 def owned_by_members(calls: DataFrame, members: DataFrame, owner: str = "mobile",
                      broadcast="auto") -> DataFrame:
     """Keep calls whose record owner (``mobile``, before orientation) is a member."""
@@ -149,6 +158,6 @@ def rank_edges(calls: DataFrame, members: DataFrame, pattern: str = MOBILE,
     Orientation comes first, so with ``on_unknown='error'`` any call with a
     bad channel in the scanned history fails the job, as in the source job."""
     oriented_calls = orient_calls(calls.select(*CALL_COLS), on_unknown, keep=())
-    m = sized(members, broadcast)
+    m = sized(_once(members, broadcast), broadcast)
     kept = member_filter(member_filter(oriented_calls, m, "src"), m, "dst")
     return edge_pairs(valid_pairs(kept, pattern))

@@ -234,7 +234,7 @@ def q_a8(spark, sf_dir):
 
 @query("u1_merge_lists")
 def q_u1(spark, sf_dir):
-    p = passed(_b(spark, sf_dir))
+    p = keep(passed(_b(spark, sf_dir)))  # three lists read it
     return segments.merge_lists(segments.whitelist(p), segments.greylist(p), segments.blacklist(p))
 
 
