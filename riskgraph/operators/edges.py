@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from riskgraph.functions.exprs import (
     MOBILE, digits_or_zero, full_match, known_channel, oriented, prefixed, two_decimals,
 )
-from riskgraph.operators.membership import member_filter, sized
+from riskgraph.operators.membership import measure, member_filter, sized
 from riskgraph import session
 
 CALL_COLS = ["mobile", "other_mobile", "call_channel", "call_time"]
@@ -124,9 +124,24 @@ def call_edges(calls: DataFrame, members: DataFrame | None = None, *,
     * Durations that are not digit strings count as a call of 0.0 seconds.
     * Self-calls are kept.
 
+    Plan choice with ``broadcast='auto'``: cohorts measured small are
+    broadcast and filter the calls inside the scan stage.  Larger cohorts
+    would cost two shuffles of the raw history, so the calls are first
+    aggregated per (owner, other, channel) with a map-side combine and the
+    shuffle semi-joins run on those aggregates; membership depends only on
+    the two numbers, so the result is the same.
+
     Output: src, dst, calls (bigint), mean_duration (double).
     """
     c = calls.select(*CALL_COLS)
+    if members is not None and broadcast == "auto":
+        if ends not in ("both", "owner"):
+            raise ValueError("ends must be 'both' or 'owner'")
+        m, fits = measure(members)
+        dm, dfits = (m, fits) if dst_members is None else measure(dst_members)
+        if not (fits and (ends == "owner" or dfits)):
+            return _aggregate_then_filter(c, m, dm, ends, pattern, prefix, min_n, on_unknown)
+        members, dst_members, broadcast = F.broadcast(m), F.broadcast(dm), None
     if members is not None:
         if ends == "both":
             c = between_members(c, members, dst_members, broadcast=broadcast)
@@ -134,10 +149,7 @@ def call_edges(calls: DataFrame, members: DataFrame | None = None, *,
             c = owned_by_members(c, members, broadcast=broadcast)
         else:
             raise ValueError("ends must be 'both' or 'owner'")
-    if prefix:
-        c = c.select(prefixed("mobile", prefix).alias("mobile"),
-                     prefixed("other_mobile", prefix).alias("other_mobile"),
-                     "call_channel", "call_time")
+    c = _prefixed_calls(c, prefix)
     # Direction-free, so tested on the raw ends: the filter then never touches
     # the orientation expression and is pushed down to the scan side.
     c = valid_pairs(c, pattern, "mobile", "other_mobile")
@@ -146,6 +158,43 @@ def call_edges(calls: DataFrame, members: DataFrame | None = None, *,
     return min_calls(edge_stats(oriented_calls), min_n)
 
 
+def _prefixed_calls(c: DataFrame, prefix: str | None) -> DataFrame:
+    if not prefix:
+        return c
+    return c.select(prefixed("mobile", prefix).alias("mobile"),
+                    prefixed("other_mobile", prefix).alias("other_mobile"),
+                    *[x for x in c.columns if x not in ("mobile", "other_mobile")])
+
+
+def _aggregate_then_filter(c: DataFrame, members: DataFrame, dst_members: DataFrame, ends: str,
+                           pattern: str, prefix: str | None, min_n: int, on_unknown: str) -> DataFrame:
+    """Large-cohort plan of ``call_edges``: pattern filter, partial aggregate
+    per raw (mobile, other_mobile, call_channel), semi-joins on the
+    aggregates, then orientation and the pair aggregate.  Orientation runs
+    after membership, so an unknown channel fails the job exactly when such a
+    call survives the cohort test, as in the broadcast plan."""
+    ends_ok = full_match(_pref("mobile", prefix), pattern) & full_match(_pref("other_mobile", prefix), pattern)
+    per_record = (c.filter(ends_ok)
+                  .groupBy("mobile", "other_mobile", "call_channel")
+                  .agg(F.count(F.lit(1)).alias("n"), F.sum(digits_or_zero("call_time")).alias("total")))
+    kept = member_filter(per_record, members, "mobile")
+    if ends == "both":
+        kept = member_filter(kept, dst_members, "other_mobile")
+    kept = _prefixed_calls(kept, prefix)
+    src, dst = oriented("mobile", "other_mobile", "call_channel", on_unknown)
+    if on_unknown == "drop":
+        kept = kept.filter(known_channel("call_channel"))
+    e = (kept.select(src.alias("src"), dst.alias("dst"), "n", "total")
+         .groupBy("src", "dst")
+         .agg(F.sum("n").alias("calls"), F.sum("total").alias("total_duration"))
+         .select("src", "dst", "calls", (F.col("total_duration") / F.col("calls")).alias("mean_duration")))
+    return min_calls(e, min_n)
+
+
+def _pref(c: str, prefix: str | None):
+    return prefixed(c, prefix) if prefix else F.col(c)
+
+
 def with_mean_text(edges: DataFrame) -> DataFrame:
     """Adds ``mean_text``: the mean duration as two-decimal text."""
     return edges.withColumn("mean_text", two_decimals("mean_duration"))
@@ -158,6 +207,15 @@ def rank_edges(calls: DataFrame, members: DataFrame, pattern: str = MOBILE,
     Orientation comes first, so with ``on_unknown='error'`` any call with a
     bad channel in the scanned history fails the job, as in the source job."""
     oriented_calls = orient_calls(calls.select(*CALL_COLS), on_unknown, keep=())
-    m = sized(_once(members, broadcast), broadcast)
+    if broadcast == "auto":
+        m, fits = measure(members)
+        if not fits:
+            # large cohort: distinct pairs first (map-side combined), then the
+            # shuffle semi-joins on the pairs instead of on every call
+            pairs = edge_pairs(valid_pairs(oriented_calls, pattern))
+            return member_filter(member_filter(pairs, m, "src"), m, "dst").select("src", "dst")
+        m = F.broadcast(m)
+    else:
+        m = sized(_once(members, broadcast), broadcast)
     kept = member_filter(member_filter(oriented_calls, m, "src"), m, "dst")
     return edge_pairs(valid_pairs(kept, pattern))

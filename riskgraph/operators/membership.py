@@ -4,8 +4,10 @@ A cohort (a one-column table of mobiles) filters the call history, which is
 the largest input by far.  Broadcasting the cohort lets every scan task drop
 non-members before any shuffle; shuffling instead would move the whole history
 twice (once per end).  The cohort grows with the user base, so it is only
-broadcast after its row count has been measured against the session's
-broadcast threshold; above it the plain shuffle semi-join is used, where AQE
+broadcast after its rows and key bytes have been measured against the
+session's broadcast threshold.  Above it, callers switch plans: the call
+graph aggregates calls per (owner, other, channel) first and runs the
+shuffle semi-joins on those aggregates (see ``edges.call_edges``), where AQE
 still splits skewed partitions.
 """
 
@@ -33,6 +35,20 @@ def broadcast_limit_bytes(spark) -> int:
     return int(raw)
 
 
+def measure(members: DataFrame) -> tuple[DataFrame, bool]:
+    """Persist a cohort and tell whether it fits the broadcast threshold:
+    one small aggregation counts its rows and key bytes, and
+    ``rows * 48 + key bytes`` is compared with the session's
+    ``spark.sql.autoBroadcastJoinThreshold``."""
+    limit = broadcast_limit_bytes(members.sparkSession)
+    kept = keep(members)
+    if limit <= 0:
+        return kept, False
+    width = sum(F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in kept.columns)
+    rows, key_bytes = kept.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return kept, rows * ROW_OVERHEAD_BYTES + key_bytes <= limit
+
+
 def sized(members: DataFrame, mode="auto") -> DataFrame:
     """Return ``members`` ready for a semi-join.
 
@@ -47,15 +63,8 @@ def sized(members: DataFrame, mode="auto") -> DataFrame:
         return F.broadcast(members)
     if mode != "auto":
         return members
-    limit = broadcast_limit_bytes(members.sparkSession)
-    if limit <= 0:
-        return members
-    kept = keep(members)
-    width = sum(F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in kept.columns)
-    rows, key_bytes = kept.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
-    if rows * ROW_OVERHEAD_BYTES + key_bytes <= limit:
-        return F.broadcast(kept)
-    return kept
+    kept, fits = measure(members)
+    return F.broadcast(kept) if fits else kept
 
 
 def release() -> None:
@@ -66,6 +75,7 @@ def release() -> None:
 
 def member_filter(df: DataFrame, members: DataFrame, on: str, key: str = "mobile") -> DataFrame:
     """Keep rows of ``df`` whose ``on`` column is in ``members.key``
-    (``left_semi``: no columns or duplicates leak from the cohort)."""
+    (``left_semi``: no columns or duplicates leak from the cohort).  The
+    column order of ``df`` is kept."""
     m = members.select(F.col(key).alias(on))
-    return df.join(m, on, "left_semi")
+    return df.join(m, on, "left_semi").select(*df.columns)

@@ -49,16 +49,34 @@ def test_snapshot_prunes_day_partitions(spark, stored):
     assert re.search(r"PartitionFilters: \[isnotnull\(dt#\d+\), \(dt#\d+ = 2001-08-31\)\]", plan)
 
 
-def test_large_cohort_is_not_broadcast(spark, stored):
+def _rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_large_cohort_plan_aggregates_first_and_agrees(spark, stored):
+    calls, cohort, passed = Q.history_calls(stored), Q.applied_cohort(stored), Q.passed(stored).select("mobile")
+    cases = {
+        "both": lambda: edges.call_edges(calls, cohort),
+        "owner": lambda: edges.call_edges(calls, passed, ends="owner"),
+        "any11": lambda: edges.call_edges(calls, passed, pattern=r"[0-9]{11}", min_n=1),
+        "loose": lambda: edges.call_edges(calls, cohort, pattern=r"p1[0-9]{5,10}", prefix="p"),
+        "rank": lambda: edges.rank_edges(calls, cohort),
+    }
+    small = {k: _rows(f()) for k, f in cases.items()}
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
     try:
-        df = edges.call_edges(Q.history_calls(stored), Q.applied_cohort(stored))
+        df = cases["both"]()
         plan = _plan(df)
         assert "SortMergeJoin" in plan and "LeftSemi" in plan
-        assert df.count() == 670
+        # the semi-joins run on per-record aggregates, after a partial aggregate
+        semi = plan.index("SortMergeJoin")
+        assert "partial_count" in plan[semi:]
+        large = {k: _rows(f()) for k, f in cases.items()}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert len(small["both"]) == 670 and len(small["rank"]) == 1101
+    assert large == small
 
 
 @pytest.mark.parametrize("name", ["c23_one_degree", "c24_one_degree_undirected", "c15_call_edges"])
