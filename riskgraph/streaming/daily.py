@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskgraph.functions.exprs import MOBILE, digits_or_zero, later_than_day, oriented
+from riskgraph.functions.exprs import MOBILE, day_text, digits_or_zero, later_than_day, oriented
 from riskgraph.operators.edges import persons, valid_pairs
 from riskgraph.session import ensure_checkpoint_dir
 from riskgraph.sinks.lines import dated_path, format_edge_line, format_mobile_line
@@ -84,14 +84,21 @@ def write_days(batch: DataFrame, base: str) -> None:
 
 def start_daily_call_graph(spark: SparkSession, calls_path: str, apply: DataFrame, contact: DataFrame,
                            base: str, checkpoint: str | None = None, after=None, min_n: int = 2,
-                           available_now: bool = True, lateness: str = "1 day"):
+                           available_now: bool = True, lateness: str = "1 day", since=None):
     """Start the stream over ``calls_path`` (a folder of day partitions) and
     return the ``StreamingQuery``.  ``checkpoint`` must be a shared folder;
     by default a sub-folder of the session's ``spark.checkpoint.dir``.
     ``available_now=True`` processes what has landed and stops (a scheduled
-    daily run); otherwise it polls every minute."""
+    daily run); otherwise it polls every minute.
+
+    The static side (new applicants per day) is re-read by every
+    micro-batch; ``since`` (a day) limits it to the days still open, so its
+    day-partitioned inputs are pruned to those folders."""
     if checkpoint is None:
         checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/daily_call_graph"
+    if since is not None:
+        apply = apply.filter(F.col("dt") >= F.lit(day_text(since)))
+        contact = contact.filter(F.col("dt") >= F.lit(day_text(since)))
     stream = spark.readStream.schema(CALL_DETAIL).parquet(calls_path)
     edges = daily_edges(stream, new_applicants_by_day(apply, contact, after), min_n, lateness=lateness)
     writer = (edges.writeStream.outputMode("append")

@@ -53,7 +53,7 @@ def test_stream_emits_closed_days(spark):
     landing, out, ckpt = f"{root}/calls", f"{root}/out", f"{root}/ckpt"
     for day in (D1, D2, D3):
         calls.filter(F.col("dt") == day).write.mode("append").partitionBy("dt").parquet(landing)
-        q = start_daily_call_graph(spark, landing, apply, contact, out, ckpt)
+        q = start_daily_call_graph(spark, landing, apply, contact, out, ckpt, since=D1)
         q.awaitTermination(120)
         assert q.exception() is None
     assert _lines(spark, f"{out}/{D1}/relationship") == [f"{A},{B},CALL_OUT,2,60.00"]
