@@ -1,7 +1,7 @@
 """Benchmark the headline queries and print one JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS
-(default 8), BENCH_RUNS (default 3), BENCH_INLINE (default 1: also time the
+(default 8), BENCH_RUNS (default 5), BENCH_INLINE (default 1: also time the
 inline mode).
 
 Two modes are timed, each query once to warm up and then BENCH_RUNS times
@@ -15,6 +15,9 @@ Two modes are timed, each query once to warm up and then BENCH_RUNS times
 * ``queries_inline``: every query derives the logical tables from the raw
   TPC-H parquet itself (lineitem x orders joins inside each query), which is
   how the correctness check runs them.
+* ``queries_shuffle_membership``: C15 and C22 on the stored tables with the
+  broadcast threshold forced tiny, i.e. the plan used for a cohort too large
+  to broadcast.
 """
 
 from __future__ import annotations
@@ -43,10 +46,10 @@ def run_once(spark, fn, sf_dir) -> float:
     return time.perf_counter() - t0
 
 
-def time_all(spark, sf_dir, runs) -> dict:
+def time_all(spark, sf_dir, runs, names=HEADLINE) -> dict:
     cat = catalog()
     out = {}
-    for name in HEADLINE:
+    for name in names:
         fn = cat[name]
         run_once(spark, fn, sf_dir)
         out[name] = round(statistics.median(run_once(spark, fn, sf_dir) for _ in range(runs)), 3)
@@ -57,7 +60,7 @@ def time_all(spark, sf_dir, runs) -> dict:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     inline = os.environ.get("BENCH_INLINE", "1") != "0"
     spark = local_session(cpus, shuffle_partitions=max(8, cpus * 2), app_name="riskgraph-bench")
 
@@ -68,6 +71,12 @@ def main() -> None:
     B.store(spark, sf_dir, root)
     setup = round(time.perf_counter() - t0, 3)
     results = time_all(spark, sf_dir, runs)
+    # The plan used when the cohort is too large to broadcast (aggregate per
+    # call record, then shuffle semi-joins), forced by a tiny threshold.
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1024")
+    shuffled = time_all(spark, sf_dir, runs, ["c15_call_edges", "c22_rank_edges"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     B.forget_stored(sf_dir)
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
@@ -80,6 +89,7 @@ def main() -> None:
         "cpus": cpus,
         "runs": runs,
         "setup_store_sec": setup,
+        "queries_shuffle_membership": shuffled,
     }
     if inline_results:
         line["queries_inline"] = inline_results
