@@ -44,3 +44,26 @@ def test_call_edges_match_model(spark, rows, members, min_n):
     if cohort is not None:
         pairs = {(r["src"], r["dst"]) for r in edges.rank_edges(df, cohort).collect()}
         assert pairs == set(model(rows, members, 1))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(call, min_size=0, max_size=40),
+       members=st.sets(st.sampled_from([n for n in NUMBERS if n]), max_size=5),
+       min_n=st.sampled_from([1, 2]), owner=st.booleans())
+def test_shuffle_membership_plan_matches_model(spark, rows, members, min_n, owner):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # cohort never broadcast
+    try:
+        df = spark.createDataFrame([(m, o, c, t, "d") for m, o, c, t in rows], SCHEMA)
+        cohort = spark.createDataFrame([(x,) for x in sorted(members)], "mobile string")
+        got = {(r["src"], r["dst"]): (r["calls"], r["mean_duration"])
+               for r in edges.call_edges(df, cohort, min_n=min_n, ends="owner" if owner else "both").collect()}
+        if owner:
+            want = model([r for r in rows if r[0] in members], None, min_n)
+        else:
+            want = model(rows, members, min_n)
+        assert got == want
+        pairs = {(r["src"], r["dst"]) for r in edges.rank_edges(df, cohort).collect()}
+        assert pairs == set(model(rows, members, 1))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
