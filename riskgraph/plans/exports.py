@@ -42,6 +42,15 @@ def _write_lists(lists: DataFrame, base: str, day, names, single_file: bool) ->
                     dated_path(base, day, name), single_file=single_file)
 
 
+def export_lists(labelled: DataFrame, base: str, day, names, single_file: bool = False) -> None:
+    """Write a (list, mobile) table as one folder per list name under
+    ``<base>/<day>/<name>``, e.g. the per-user lists of C14
+    (``segments.segments_per_user``).  The table is cut once and each folder
+    is a filter of that copy."""
+    kept = cut_lineage(labelled.select("list", "mobile"))
+    _write_lists(kept, base, day, names, single_file)
+
+
 def export_graph(profile: DataFrame, contact: DataFrame, calls: DataFrame, base: str, as_of,
                  history_before=None, single_file: bool = False) -> None:
     """Applied-not-passed, no-loan, grey, white and black lists and the

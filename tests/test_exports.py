@@ -104,3 +104,13 @@ def test_jobs_entry_point_with_catalog_tables(spark, outdir):
     assert len(ranked) == 601
     scores = [float(x.split(",")[0]) for x in ranked]
     assert scores == sorted(scores, reverse=True)
+
+
+def test_export_per_user_lists(spark, outdir):
+    from riskgraph.operators import segments
+    b = B.Bindings(spark, SF0001)
+    names = (segments.NO_BORROW, segments.GREY, segments.WHITE, segments.BLACK)
+    exports.export_lists(segments.segments_per_user(b.user_profile, b.user_contact, B.DAY), outdir, B.DAY, names)
+    got = [len(_lines(spark, f"{outdir}/{B.DAY}/{n}")) for n in names]
+    assert got == [43, 15, 21, 20]
+    assert all(x.startswith("p1") for x in _lines(spark, f"{outdir}/{B.DAY}/{segments.WHITE}"))
