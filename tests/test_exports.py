@@ -114,3 +114,31 @@ def test_export_per_user_lists(spark, outdir):
     got = [len(_lines(spark, f"{outdir}/{B.DAY}/{n}")) for n in names]
     assert got == [43, 15, 21, 20]
     assert all(x.startswith("p1") for x in _lines(spark, f"{outdir}/{B.DAY}/{segments.WHITE}"))
+
+
+def test_jobs_entry_point_all_exports(spark, outdir):
+    from riskgraph.plans import jobs
+    b = B.Bindings(spark, SF0001)
+    roles = {"user_profile": b.user_profile, "user_contact": b.user_contact, "call_detail": b.call_detail,
+             "repay_plan": b.repay_plan, "credit_apply": b.credit_apply,
+             "third_party_blacklist": b.third_party_blacklist, "collection_record": b.collection_record}
+    tables = {}
+    for role, df in roles.items():
+        df.createOrReplaceTempView(f"rg_all_{role}")
+        tables[role] = f"rg_all_{role}"
+    jobs.run(spark, "graph", f"{outdir}/g", B.AS_OF, tables, before=B.HISTORY_BEFORE)
+    assert len(_lines(spark, f"{outdir}/g/{B.DAY}/relationship")) == 670
+    assert len(_lines(spark, f"{outdir}/g/{B.DAY}/whitelist")) == 8
+    jobs.run(spark, "ranking", f"{outdir}/r", B.AS_OF, tables, before=B.HISTORY_BEFORE,
+             label=B.FRAUD, channels=B.FRAUD_SEGMENTS)
+    assert len(_lines(spark, f"{outdir}/r/{B.DAY}/blacklist")) == 33
+    assert len(_lines(spark, f"{outdir}/r/{B.DAY}/onedegree")) == 107
+    jobs.run(spark, "ranking-snapshot", f"{outdir}/s", B.AS_OF, tables, before=B.HISTORY_BEFORE)
+    assert len(_lines(spark, f"{outdir}/s/relationship")) == 1101
+    jobs.run(spark, "increment", f"{outdir}/i", "2001-09-01", tables, after=B.INCREMENT_AFTER)
+    # the bound call table has no calls dated on the increment day
+    assert not _lines(spark, f"{outdir}/i/{B.DAY}/relationship")
+    jobs.main(["call-graph", "--base", f"{outdir}/m", "--as-of", B.AS_OF,
+               "--table", "user_profile=rg_all_user_profile", "--table", "user_contact=rg_all_user_contact",
+               "--table", "call_detail=rg_all_call_detail"])
+    assert len(_lines(spark, f"{outdir}/m/{B.AS_OF}/relationship")) == 670
