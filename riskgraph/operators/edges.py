@@ -191,6 +191,48 @@ def _aggregate_then_filter(c: DataFrame, members: DataFrame, dst_members: DataFr
     return min_calls(e, min_n)
 
 
+RECORD_KEY = ["mobile", "other_mobile", "call_channel"]
+
+
+def edges_from_records(records: DataFrame, members: DataFrame | None = None, *,
+                       dst_members: DataFrame | None = None, ends: str = "both",
+                       pattern: str = MOBILE, prefix: str | None = None, min_n: int = 2,
+                       on_unknown: str = "error", broadcast="auto") -> DataFrame:
+    """``call_edges`` from per-record totals: rows (mobile, other_mobile,
+    call_channel, n, total) where ``n`` counts calls and ``total`` sums their
+    durations (``digits_or_zero``), possibly several rows per record (one per
+    day).  Same output and the same rules as ``call_edges`` on the raw calls.
+    """
+    if ends not in ("both", "owner"):
+        raise ValueError("ends must be 'both' or 'owner'")
+    ends_ok = full_match(_pref("mobile", prefix), pattern) & full_match(_pref("other_mobile", prefix), pattern)
+    r = records.select(*RECORD_KEY, "n", "total").filter(ends_ok)
+    if members is not None:
+        if broadcast == "auto":
+            m, fits = measure(members)
+            dm, dfits = (m, fits) if dst_members is None else measure(dst_members)
+            if fits and (ends == "owner" or dfits):
+                m, dm = F.broadcast(m), F.broadcast(dm)
+            else:
+                # collapse the per-day rows before the shuffle semi-joins
+                r = r.groupBy(*RECORD_KEY).agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+        else:
+            m = sized(_once(members, broadcast) if dst_members is None else members, broadcast)
+            dm = m if dst_members is None else sized(dst_members, broadcast)
+        r = member_filter(r, m, "mobile")
+        if ends == "both":
+            r = member_filter(r, dm, "other_mobile")
+    r = _prefixed_calls(r, prefix)
+    if on_unknown == "drop":
+        r = r.filter(known_channel("call_channel"))
+    src, dst = oriented("mobile", "other_mobile", "call_channel", on_unknown)
+    e = (r.select(src.alias("src"), dst.alias("dst"), "n", "total")
+         .groupBy("src", "dst")
+         .agg(F.sum("n").alias("calls"), F.sum("total").alias("total_duration"))
+         .select("src", "dst", "calls", (F.col("total_duration") / F.col("calls")).alias("mean_duration")))
+    return min_calls(e, min_n)
+
+
 def _pref(c: str, prefix: str | None):
     return prefixed(c, prefix) if prefix else F.col(c)
 

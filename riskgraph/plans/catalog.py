@@ -245,6 +245,37 @@ def q_c26(spark, sf_dir):
     return repayment.score_vs_overdue(c25_facts(b), b.rank_score)
 
 
+ROLL_SPLIT = "2000-01-01"   # the history is rolled into totals in two steps at this day
+
+
+def history_totals(b: B.Bindings):
+    """Running totals of the call history before the snapshot day, rolled in
+    two steps (before ``ROLL_SPLIT``, then up to the day) as a daily job
+    would roll them one day at a time.  Stored tables are used when present."""
+    from riskgraph.operators import history_totals as H
+    if b.stored:
+        return H.read_totals(b.spark, f"{b.stored}/call_totals", B.HISTORY_BEFORE)
+    calls = history_calls(b)
+    first = H.roll_totals(None, calls.filter(F.col("dt") < ROLL_SPLIT))
+    return H.roll_totals(first, calls.filter(F.col("dt") >= ROLL_SPLIT))
+
+
+@query("c15_call_edges_from_totals")
+def q_c15_totals(spark, sf_dir):
+    """C15 from the running call totals instead of the raw history."""
+    from riskgraph.operators import history_totals as H
+    b = _b(spark, sf_dir)
+    return edges.with_mean_text(H.call_edges_from_totals(history_totals(b), applied_cohort(b)))
+
+
+@query("c22_rank_edges_from_totals")
+def q_c22_totals(spark, sf_dir):
+    """C22 from the running call totals."""
+    from riskgraph.operators import history_totals as H
+    b = _b(spark, sf_dir)
+    return H.rank_edges_from_totals(history_totals(b), applied_cohort(b))
+
+
 @query("c27_graph_lists")
 def q_c27_lists(spark, sf_dir):
     b = _b(spark, sf_dir)

@@ -240,6 +240,8 @@ SELECT mobile, string_agg(nb, chr(9) ORDER BY nb) AS neighbours FROM (
   SELECT DISTINCT mobile, nb FROM (SELECT src AS mobile, dst AS nb FROM rank_pairs
                                    UNION ALL SELECT dst, src FROM rank_pairs))
 GROUP BY mobile"""),
+    "c15_call_edges_from_totals": _q(C15),
+    "c22_rank_edges_from_totals": _q("SELECT src, dst FROM rank_pairs"),
     "c27_graph_lists": _q(f"""
 SELECT 'applyNotPass' AS list, mobile FROM (
   SELECT DISTINCT c.mobile AS mobile FROM user_profile p JOIN user_contact c ON p.user_id = c.user_id AND p.ds = c.ds

@@ -257,6 +257,10 @@ def store(spark: SparkSession, sf_dir: str, root: str) -> Bindings:
             df.repartitionByRange("dt").sortWithinPartitions("dt").write.mode("errorifexists").parquet(path)
         else:
             df.write.mode("errorifexists").parquet(path)
+    # the running call totals a daily job keeps (see operators.history_totals)
+    from riskgraph.operators import history_totals as H
+    H.write_totals(H.roll_totals(None, derived.call_detail.filter(F.col("dt") < HISTORY_BEFORE)),
+                   f"{root}/call_totals", HISTORY_BEFORE)
     _STORED[sf_dir] = root
     return Bindings(spark, sf_dir, stored=root)
 

@@ -67,3 +67,46 @@ def test_shuffle_membership_plan_matches_model(spark, rows, members, min_n, owne
         assert pairs == set(model(rows, members, 1))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(call, st.sampled_from(["d1", "d2", "d3"])), min_size=0, max_size=40),
+       members=st.one_of(st.none(), st.sets(st.sampled_from([n for n in NUMBERS if n]), max_size=5)),
+       min_n=st.sampled_from([1, 2]), owner=st.booleans(), shuffle_plan=st.booleans())
+def test_rolled_totals_match_model(spark, rows, members, min_n, owner, shuffle_plan):
+    from riskgraph.operators import history_totals as H
+    flat = [c for c, _ in rows]
+    df = spark.createDataFrame([(m, o, c, t, d) for (m, o, c, t), d in rows], SCHEMA)
+    totals = None
+    for day in ("d1", "d2", "d3"):                       # one day at a time
+        totals = H.roll_totals(totals, df.filter(f"dt = '{day}'"))
+    cohort = None if members is None else spark.createDataFrame([(x,) for x in sorted(members)], "mobile string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if shuffle_plan:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ends = "owner" if owner and cohort is not None else "both"
+        got = {(r["src"], r["dst"]): (r["calls"], r["mean_duration"])
+               for r in H.call_edges_from_totals(totals, cohort, min_n=min_n, ends=ends).collect()}
+        if ends == "owner":
+            want = model([r for r in flat if r[0] in members], None, min_n)
+        else:
+            want = model(flat, members, min_n)
+        assert got == want
+        if cohort is not None:
+            pairs = {(r["src"], r["dst"]) for r in H.rank_edges_from_totals(totals, cohort).collect()}
+            assert pairs == set(model(flat, members, 1))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_totals_store_and_read(spark, tmp_path):
+    from riskgraph.operators import history_totals as H
+    df = spark.createDataFrame([("13800000001", "13800000002", CHANNEL_OUT, "60", "d1"),
+                                ("13800000001", "13800000002", CHANNEL_OUT, "x", "d2")], SCHEMA)
+    root = str(tmp_path / "totals")
+    H.write_totals(H.roll_totals(None, df.filter("dt = 'd1'")), root, "2001-01-02")
+    rolled = H.roll_totals(H.read_totals(spark, root, "2001-01-02"), df.filter("dt = 'd2'"))
+    H.write_totals(rolled, root, "2001-01-03")
+    row = H.read_totals(spark, root, "2001-01-03").collect()[0]
+    assert (row["n"], row["total"]) == (2, 60.0)
