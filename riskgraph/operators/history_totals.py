@@ -67,6 +67,27 @@ def read_totals(spark: SparkSession, root: str, before) -> DataFrame:
     return spark.read.schema(TOTALS).parquet(totals_path(root, before))
 
 
+def next_day(day) -> str:
+    import datetime as _dt
+    return (_dt.date.fromisoformat(day_text(day)) + _dt.timedelta(days=1)).isoformat()
+
+
+def roll_stored_totals(spark: SparkSession, calls: DataFrame, root: str, day) -> str:
+    """Extend the stored totals by ``day``: totals(before = day + 1) =
+    totals(before = day) + the calls of ``day``.  Without stored totals
+    before ``day`` they are built once from the whole history up to ``day``
+    (the bootstrap run).  Returns the new folder."""
+    from pyspark.errors import AnalysisException
+    day = day_text(day)
+    try:
+        previous = read_totals(spark, root, day)
+        previous.limit(1).count()          # fails here when the folder is missing
+        rolled = roll_totals(previous, calls.filter(F.col("dt") == day))
+    except AnalysisException:
+        rolled = roll_totals(None, calls.filter(F.col("dt") <= day))
+    return write_totals(rolled, root, next_day(day))
+
+
 def call_edges_from_totals(totals: DataFrame, members: DataFrame | None = None, **kw) -> DataFrame:
     """C15-C18 from running totals (keywords as ``edges.call_edges``)."""
     return edges_from_records(totals, members, **kw)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from riskgraph.functions.exprs import days
 from riskgraph.operators import cohorts, edges, membership, neighbours, repayment, segments
+from riskgraph.operators import history_totals as H
 from riskgraph.session import cut_lineage, keep
 from riskgraph.sinks.lines import (
     dated_path, format_adjacency_line, format_edge_line, format_mobile_line, format_overdue_line, format_pair_line,
@@ -51,11 +52,26 @@ def export_lists(labelled: DataFrame, base: str, day, names, single_file: bool =
     _write_lists(kept, base, day, names, single_file)
 
 
+def _graph(calls, members, before, totals_root):
+    if totals_root:
+        totals = H.read_totals(members.sparkSession, totals_root, before)
+        return H.call_edges_from_totals(totals, members)
+    return edges.call_edges(history(calls, before), members)
+
+
+def _pairs(calls, members, before, totals_root):
+    if totals_root:
+        return H.rank_edges_from_totals(H.read_totals(members.sparkSession, totals_root, before), members)
+    return edges.rank_edges(history(calls, before), members)
+
+
 def export_graph(profile: DataFrame, contact: DataFrame, calls: DataFrame, base: str, as_of,
-                 history_before=None, single_file: bool = False) -> None:
+                 history_before=None, single_file: bool = False, totals_root: str | None = None) -> None:
     """Applied-not-passed, no-loan, grey, white and black lists and the
     call graph between applicants, under ``<base>/<yesterday>``.  The call
-    history is read with ``dt < history_before`` (default today).
+    history is read with ``dt < history_before`` (default today), or, with
+    ``totals_root``, the running call totals before that day are read
+    instead (``operators.history_totals``).
 
     The day's profile and contact are joined once; the joined rows are cut
     into the checkpoint folder and feed every list and the cohort.
@@ -67,16 +83,17 @@ def export_graph(profile: DataFrame, contact: DataFrame, calls: DataFrame, base:
     lists = cut_lineage(graph_lists_from(rows))
     _write_lists(lists, base, yesterday, GRAPH_LISTS, single_file)
     members = cohorts.applied_from(rows)
-    graph = edges.call_edges(history(calls, history_before or today), members)
+    graph = _graph(calls, members, history_before or today, totals_root)
     write_lines(format_edge_line(graph), dated_path(base, yesterday, "relationship"))
     membership.release()
 
 
 def export_ranking(profile: DataFrame, contact: DataFrame, calls: DataFrame, blacklisted: DataFrame,
                    repay: DataFrame, collection: DataFrame, base: str, as_of, label: str,
-                   channels, history_before=None) -> None:
+                   channels, history_before=None, totals_root: str | None = None) -> None:
     """White list, merged black list, ranking pairs and the one-degree
-    contact list under ``<base>/<yesterday>``."""
+    contact list under ``<base>/<yesterday>``; ``totals_root`` as in
+    ``export_graph``."""
     today, yesterday = days(as_of)
     rows = cut_lineage(cohorts.day_users(profile, contact, yesterday))
     passed = cut_lineage(cohorts.passed_summary_from(rows))
@@ -84,7 +101,7 @@ def export_ranking(profile: DataFrame, contact: DataFrame, calls: DataFrame, bla
     black = segments.merged_blacklist(passed, blacklisted, repay, collection, contact, yesterday, label, channels)
     write_lines(format_mobile_line(black), dated_path(base, yesterday, "blacklist"))
     members = cohorts.applied_from(rows)
-    pairs = cut_lineage(edges.rank_edges(history(calls, history_before or today), members))
+    pairs = cut_lineage(_pairs(calls, members, history_before or today, totals_root))
     write_lines(format_pair_line(pairs), dated_path(base, yesterday, "relationship"))
     write_lines(format_adjacency_line(neighbours.one_degree(pairs, distinct_pairs=True)),
                 dated_path(base, yesterday, "onedegree"))

@@ -36,15 +36,20 @@ def _decoder(name: str | None):
 def run(spark: SparkSession, job: str, base: str, as_of: str, tables: dict, *, before: str | None = None,
         label: str = FRAUD_LABEL, channels=FRAUD_CHANNELS, since: str | None = None,
         decode: str | None = None, after: str | None = None, out: str | None = None,
-        overdue_path: str | None = None, scores_path: str | None = None) -> None:
+        overdue_path: str | None = None, scores_path: str | None = None,
+        totals: str | None = None) -> None:
     t = {k: spark.table(v) for k, v in tables.items()}
     today, yesterday = days(as_of)
     if job == "graph":
-        exports.export_graph(t["user_profile"], t["user_contact"], t["call_detail"], base, as_of, before)
+        exports.export_graph(t["user_profile"], t["user_contact"], t["call_detail"], base, as_of, before,
+                             totals_root=totals)
     elif job == "ranking":
         exports.export_ranking(t["user_profile"], t["user_contact"], t["call_detail"],
                                t["third_party_blacklist"], t["repay_plan"], t["collection_record"],
-                               base, as_of, label, channels, before)
+                               base, as_of, label, channels, before, totals_root=totals)
+    elif job == "roll-totals":
+        from riskgraph.operators.history_totals import roll_stored_totals
+        roll_stored_totals(spark, t["call_detail"], totals or f"{base}/call_totals", yesterday)
     elif job == "ranking-snapshot":
         exports.export_ranking_snapshot(t["user_profile"], t["user_contact"], t["call_detail"], base,
                                         yesterday, before or today)
@@ -65,7 +70,7 @@ def run(spark: SparkSession, job: str, base: str, as_of: str, tables: dict, *, b
         raise ValueError(f"unknown job {job}")
 
 
-JOBS = ("graph", "ranking", "ranking-snapshot", "call-graph", "increment", "overdue", "scores")
+JOBS = ("graph", "ranking", "ranking-snapshot", "call-graph", "increment", "overdue", "scores", "roll-totals")
 
 
 def main(argv=None) -> None:
@@ -83,6 +88,7 @@ def main(argv=None) -> None:
     ap.add_argument("--out")
     ap.add_argument("--overdue-path")
     ap.add_argument("--scores-path")
+    ap.add_argument("--totals", help="root of the running call totals (read by graph/ranking, extended by roll-totals)")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"riskgraph-{a.job}").getOrCreate()
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"):
@@ -91,7 +97,7 @@ def main(argv=None) -> None:
     channels = tuple(a.channels.split(",")) if a.channels else FRAUD_CHANNELS
     run(spark, a.job, a.base, a.as_of, tables, before=a.before, label=a.label, channels=channels,
         since=a.since, decode=a.decode, after=a.after, out=a.out, overdue_path=a.overdue_path,
-        scores_path=a.scores_path)
+        scores_path=a.scores_path, totals=a.totals)
 
 
 if __name__ == "__main__":

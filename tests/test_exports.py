@@ -142,3 +142,26 @@ def test_jobs_entry_point_all_exports(spark, outdir):
                "--table", "user_profile=rg_all_user_profile", "--table", "user_contact=rg_all_user_contact",
                "--table", "call_detail=rg_all_call_detail"])
     assert len(_lines(spark, f"{outdir}/m/{B.AS_OF}/relationship")) == 670
+
+
+def test_roll_totals_job_feeds_graph_export(spark, outdir):
+    from riskgraph.plans import jobs
+    b = B.Bindings(spark, SF0001)
+    roles = {"user_profile": b.user_profile, "user_contact": b.user_contact, "call_detail": b.call_detail,
+             "repay_plan": b.repay_plan, "third_party_blacklist": b.third_party_blacklist,
+             "collection_record": b.collection_record}
+    tables = {}
+    for role, df in roles.items():
+        df.createOrReplaceTempView(f"rg_roll_{role}")
+        tables[role] = f"rg_roll_{role}"
+    root = f"{outdir}/totals"
+    jobs.run(spark, "roll-totals", outdir, "2001-08-30", tables, totals=root)   # bootstrap: dt <= 08-29
+    jobs.run(spark, "roll-totals", outdir, "2001-08-31", tables, totals=root)   # + 08-30 -> before 08-31
+    assert os.path.exists(f"{root}/before=2001-08-30") and os.path.exists(f"{root}/before=2001-08-31")
+    jobs.run(spark, "graph", f"{outdir}/g", B.AS_OF, tables, before=B.HISTORY_BEFORE, totals=root)
+    from_totals = _lines(spark, f"{outdir}/g/{B.DAY}/relationship")
+    jobs.run(spark, "graph", f"{outdir}/raw", B.AS_OF, tables, before=B.HISTORY_BEFORE)
+    assert from_totals == _lines(spark, f"{outdir}/raw/{B.DAY}/relationship") and len(from_totals) == 670
+    jobs.run(spark, "ranking", f"{outdir}/r", B.AS_OF, tables, before=B.HISTORY_BEFORE, totals=root,
+             label=B.FRAUD, channels=B.FRAUD_SEGMENTS)
+    assert len(_lines(spark, f"{outdir}/r/{B.DAY}/relationship")) == 1101
