@@ -110,3 +110,37 @@ def test_totals_store_and_read(spark, tmp_path):
     H.write_totals(rolled, root, "2001-01-03")
     row = H.read_totals(spark, root, "2001-01-03").collect()[0]
     assert (row["n"], row["total"]) == (2, 60.0)
+
+
+def _nz(v):
+    return 0 if v is None else v
+
+
+small_int = st.one_of(st.none(), st.integers(min_value=0, max_value=20))
+passed_row = st.tuples(st.sampled_from(["m1", "m2", "m3", "m4", "m5", "m6"]), st.booleans(),
+                       small_int, st.one_of(st.none(), st.integers(0, 2)), small_int)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(passed_row, min_size=0, max_size=12, unique_by=lambda r: r[0]))
+def test_lists_match_model(spark, rows):
+    import datetime as dt
+    from riskgraph.operators import segments
+    t0 = dt.datetime(2001, 1, 1)
+    df = spark.createDataFrame(
+        [(m, t0 if loan else None, od, il, pp) for m, loan, od, il, pp in rows],
+        "mobile string, first_apply_loan_succ_time timestamp_ntz, max_overdue_day_cnt int, "
+        "curr_inloan_cnt int, max_prepayment_day_cnt int")
+    got = lambda d: {r[0] for r in d.collect()}
+    loaned = [r for r in rows if r[1]]
+    assert got(segments.passed_no_borrow(df)) == {r[0] for r in rows if not r[1]}
+    assert got(segments.whitelist(df)) == {m for m, _, od, il, _ in loaned if _nz(od) <= 7 and _nz(il) == 0}
+    assert got(segments.whitelist(df, max_prepay=3)) == \
+        {m for m, _, od, il, pp in loaned if _nz(od) <= 7 and _nz(il) == 0 and _nz(pp) <= 3}
+    assert got(segments.whitelist(df, require_no_inloan=False)) == {m for m, _, od, _, _ in loaned if _nz(od) <= 7}
+    assert got(segments.greylist(df)) == {m for m, _, od, _, _ in loaned if 7 < _nz(od) <= 14}
+    assert got(segments.blacklist(df)) == {m for m, _, od, _, _ in loaned if _nz(od) > 14}
+    assert got(segments.blacklist(df, min_overdue=7)) == {m for m, _, od, _, _ in loaned if _nz(od) >= 7}
+    labels = {(r["list"], r["mobile"]) for r in segments.list_labels(df).collect()}
+    assert {m for lst, m in labels if lst == segments.WHITE} == got(segments.whitelist(df))
+    assert {m for lst, m in labels if lst == segments.BLACK} == got(segments.blacklist(df))
