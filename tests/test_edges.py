@@ -115,3 +115,17 @@ def test_neighbours_directed_undirected_and_split(spark):
     names = sorted(n for r in split for n in r["neighbours"])
     assert names == sorted(f"139{i:08d}" for i in range(50))
     assert all(list(r["neighbours"]) == sorted(r["neighbours"]) for r in split)
+
+
+@pytest.mark.parametrize("mode", ["auto", True, None, False])
+def test_records_path_broadcast_modes_agree(spark, mode):
+    from riskgraph.operators import history_totals as H
+    data = [(A, B_, OUT, "10", "d1")] * 2 + [(B_, A, IN, "4", "d2")] + [(B_, C, OUT, "1", "d2")] * 3 + \
+        [(C, D, OUT, "1", "d1")] * 2
+    totals = H.roll_totals(H.roll_totals(None, calls(spark, data[:4])), calls(spark, data[4:]))
+    m = members(spark, A, B_, C)
+    e = H.call_edges_from_totals(totals, m, broadcast=mode)
+    assert rows(e, "src", "dst", "calls") == [(A, B_, 3), (B_, C, 3)]
+    assert rows(H.rank_edges_from_totals(totals, m, broadcast=mode)) == [(A, B_), (B_, C)]
+    owner = H.call_edges_from_totals(totals, members(spark, C), ends="owner", broadcast=mode, min_n=1)
+    assert rows(owner, "src", "dst", "calls") == [(C, D, 2)]
