@@ -44,7 +44,7 @@ def all_neighbours(edges: DataFrame) -> DataFrame:
     return edges.select(both.alias("p")).select("p.mobile", "p.neighbour").distinct()
 
 
-def adjacency(pairs: DataFrame, max_per_line: int = MAX_PER_LINE) -> DataFrame:
+def adjacency(pairs: DataFrame, max_per_line: int = MAX_PER_LINE, materialized: bool = False) -> DataFrame:
     """Rows (mobile, neighbours: sorted array<string>) from distinct long-form pairs.
 
     Degrees are counted with a partial aggregate and only the *hot* mobiles
@@ -58,8 +58,10 @@ def adjacency(pairs: DataFrame, max_per_line: int = MAX_PER_LINE) -> DataFrame:
     if max_per_line < 1:
         raise ValueError("max_per_line must be positive")
     # Read twice (degrees, then the collection): materialise once so the
-    # upstream scan and shuffles are not run a second time.
-    pairs = keep(pairs)
+    # upstream scan and shuffles are not run a second time (unless the
+    # caller already holds a checkpointed copy).
+    if not materialized:
+        pairs = keep(pairs)
     hot = (pairs.groupBy("mobile").agg(F.count(F.lit(1)).alias("degree"))
            .filter(F.col("degree") > max_per_line)
            .select("mobile", F.ceil(F.col("degree") / F.lit(max_per_line)).alias("buckets")))
@@ -73,14 +75,14 @@ def adjacency(pairs: DataFrame, max_per_line: int = MAX_PER_LINE) -> DataFrame:
 
 
 def one_degree(rank_edges: DataFrame, directed: bool = True, max_per_line: int = MAX_PER_LINE,
-               distinct_pairs: bool = False) -> DataFrame:
+               distinct_pairs: bool = False, materialized: bool = False) -> DataFrame:
     """C23 (``directed=True``: callees per caller) and C24 (in and out merged):
     rows (mobile, neighbours) ready for the tab-separated adjacency sink.
     ``distinct_pairs=True`` says the edges are already distinct (as ranking
-    pairs are), which saves the distinct of the directed form."""
+    pairs are), which saves the distinct of the directed form;
+    ``materialized=True`` says they are already checkpointed or cached."""
     if directed:
         pairs = (rank_edges.select(F.col("src").alias("mobile"), F.col("dst").alias("neighbour"))
                  if distinct_pairs else out_neighbours(rank_edges))
-    else:
-        pairs = all_neighbours(rank_edges)
-    return adjacency(pairs, max_per_line)
+        return adjacency(pairs, max_per_line, materialized=materialized and distinct_pairs)
+    return adjacency(all_neighbours(rank_edges), max_per_line)

@@ -103,7 +103,7 @@ def export_ranking(profile: DataFrame, contact: DataFrame, calls: DataFrame, bla
     members = cohorts.applied_from(rows)
     pairs = cut_lineage(_pairs(calls, members, history_before or today, totals_root))
     write_lines(format_pair_line(pairs), dated_path(base, yesterday, "relationship"))
-    write_lines(format_adjacency_line(neighbours.one_degree(pairs, distinct_pairs=True)),
+    write_lines(format_adjacency_line(neighbours.one_degree(pairs, distinct_pairs=True, materialized=True)),
                 dated_path(base, yesterday, "onedegree"))
     membership.release()
 
