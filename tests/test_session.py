@@ -1,0 +1,34 @@
+"""Sizing helpers: cluster settings and the broadcast threshold parser."""
+from riskgraph.operators.membership import broadcast_limit_bytes
+from riskgraph.session import BASE_CONF, scale_conf
+
+
+def test_scale_conf_for_100tb():
+    conf = scale_conf(100 << 40, executors=1000, cores_per_executor=8)
+    assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)   # 409,600
+    assert conf["spark.sql.adaptive.enabled"] == "true"
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    small = scale_conf(1 << 30, executors=10, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 80        # at least two waves of cores
+    assert all(k in conf for k in BASE_CONF)
+
+
+class _Conf:
+    def __init__(self, v):
+        self.v = v
+
+    def get(self, k, default=None):
+        return self.v
+
+
+class _Spark:
+    def __init__(self, v):
+        self.conf = _Conf(v)
+
+
+def test_broadcast_limit_parsing():
+    assert broadcast_limit_bytes(_Spark("10485760b")) == 10 << 20
+    assert broadcast_limit_bytes(_Spark("64m")) == 64 << 20
+    assert broadcast_limit_bytes(_Spark("1g")) == 1 << 30
+    assert broadcast_limit_bytes(_Spark("-1")) == -1
+    assert broadcast_limit_bytes(_Spark("2048")) == 2048
