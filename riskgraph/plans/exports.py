@@ -109,15 +109,16 @@ def export_ranking(profile: DataFrame, contact: DataFrame, calls: DataFrame, bla
 
 
 def export_ranking_snapshot(profile: DataFrame, contact: DataFrame, calls: DataFrame, base: str, day,
-                            history_before) -> None:
+                            history_before, totals_root: str | None = None) -> None:
     """Strict white list, wide black list and ranking pairs for a fixed
-    past ``day``, under ``<base>/<name>``."""
+    past ``day``, under ``<base>/<name>``; ``totals_root`` as in
+    ``export_graph``."""
     rows = cut_lineage(cohorts.day_users(profile, contact, day))
     passed = cut_lineage(cohorts.passed_summary_from(rows))
     write_lines(format_mobile_line(segments.whitelist(passed, max_prepay=3)), f"{base}/whitelist")
     write_lines(format_mobile_line(segments.blacklist(passed, min_overdue=7)), f"{base}/blacklist")
     members = cohorts.applied_from(rows)
-    pairs = edges.rank_edges(history(calls, history_before), members)
+    pairs = _pairs(calls, members, history_before, totals_root)
     write_lines(format_pair_line(pairs), f"{base}/relationship")
     membership.release()
 

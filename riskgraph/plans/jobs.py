@@ -52,7 +52,7 @@ def run(spark: SparkSession, job: str, base: str, as_of: str, tables: dict, *, b
         roll_stored_totals(spark, t["call_detail"], totals or f"{base}/call_totals", yesterday)
     elif job == "ranking-snapshot":
         exports.export_ranking_snapshot(t["user_profile"], t["user_contact"], t["call_detail"], base,
-                                        yesterday, before or today)
+                                        yesterday, before or today, totals_root=totals)
     elif job == "call-graph":
         from riskgraph.operators import cohorts, edges
         members = cohorts.applied(t["user_profile"], t["user_contact"], yesterday)
