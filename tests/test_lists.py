@@ -83,3 +83,15 @@ def test_day_users_derivations_equal_direct_cohorts(spark):
     assert rows(cohorts.applied_not_passed_from(rows_)) == \
         rows(cohorts.applied_not_passed(b.user_profile, b.user_contact, D))
     assert rows(cohorts.passed_summary_from(rows_)) == rows(cohorts.passed_summary(b.user_profile, b.user_contact, D))
+
+
+def test_graph_properties_on_bound_tables(spark):
+    from riskgraph.operators import edges, neighbours
+    b = B.Bindings(spark, SF0001)
+    c15 = Q.c15_edges(b)
+    ends = {r["src"] for r in c15.collect()} | {r["dst"] for r in c15.collect()}
+    assert {r[0] for r in edges.persons(c15).collect()} == ends            # C21 = ends of C15
+    und = {(r["mobile"], r["neighbour"]) for r in neighbours.all_neighbours(Q.c22_edges(b)).collect()}
+    assert und and all((n, m) in und for m, n in und)                       # C24 is symmetric
+    c22 = {(r["src"], r["dst"]) for r in Q.c22_edges(b).collect()}
+    assert {(s, d) for s, d, *_ in c15.collect()} <= c22                    # C15 pairs are ranking pairs
