@@ -12,6 +12,16 @@ Plan shape of ``call_edges`` on the call history::
 
 A hub number spreads over partitions because the shuffle key is the pair,
 and one hot pair costs one partial row per map task.
+
+When the cohort is measured too large to broadcast, the plan becomes::
+
+    scan -> pattern filter -> partial aggregate per (mobile, other_mobile, channel)
+      -> exchange on the record key -> final aggregate       (one row per record)
+      -> shuffle semi-join on mobile, then on other_mobile   (on records, not calls)
+      -> orientation -> partial/final aggregate on (src, dst)
+
+and ``edges_from_records`` runs the same rules on running totals
+(``operators.history_totals``) instead of raw calls.
 """
 
 from __future__ import annotations
