@@ -155,3 +155,32 @@ def export_score_vs_overdue(spark, overdue_path: str, scores_path: str, out: str
     scores = read_delimited(spark, scores_path, RANK_SCORE)
     ranked = repayment.order_by_score(repayment.score_vs_overdue(facts, scores))
     write_lines(format_score_line(ranked), out)
+
+
+def export_day(profile: DataFrame, contact: DataFrame, calls: DataFrame, blacklisted: DataFrame,
+               repay: DataFrame, collection: DataFrame, graph_base: str, ranking_base: str, as_of,
+               label: str, channels, totals_root: str, single_file: bool = False) -> None:
+    """One daily run of the graph (C27) and ranking (C28) exports sharing
+    their inputs: the day's users are joined once, the running call totals
+    are rolled by yesterday's calls (the only raw calls read), and both the
+    call graph and the ranking pairs come from those totals.  Writes the
+    same files as ``export_graph`` and ``export_ranking`` with the history
+    read before today."""
+    today, yesterday = days(as_of)
+    spark = profile.sparkSession
+    H.roll_stored_totals(spark, calls, totals_root, yesterday)
+    totals = H.read_totals(spark, totals_root, today)
+    rows = cut_lineage(cohorts.day_users(profile, contact, yesterday))
+    members = keep(cohorts.applied_from(rows))
+    _write_lists(cut_lineage(graph_lists_from(rows)), graph_base, yesterday, GRAPH_LISTS, single_file)
+    write_lines(format_edge_line(H.call_edges_from_totals(totals, members)),
+                dated_path(graph_base, yesterday, "relationship"))
+    passed = cut_lineage(cohorts.passed_summary_from(rows))
+    write_lines(format_mobile_line(segments.whitelist(passed)), dated_path(ranking_base, yesterday, "whitelist"))
+    black = segments.merged_blacklist(passed, blacklisted, repay, collection, contact, yesterday, label, channels)
+    write_lines(format_mobile_line(black), dated_path(ranking_base, yesterday, "blacklist"))
+    pairs = cut_lineage(H.rank_edges_from_totals(totals, members))
+    write_lines(format_pair_line(pairs), dated_path(ranking_base, yesterday, "relationship"))
+    write_lines(format_adjacency_line(neighbours.one_degree(pairs, distinct_pairs=True, materialized=True)),
+                dated_path(ranking_base, yesterday, "onedegree"))
+    membership.release()

@@ -47,6 +47,10 @@ def run(spark: SparkSession, job: str, base: str, as_of: str, tables: dict, *, b
         exports.export_ranking(t["user_profile"], t["user_contact"], t["call_detail"],
                                t["third_party_blacklist"], t["repay_plan"], t["collection_record"],
                                base, as_of, label, channels, before, totals_root=totals)
+    elif job == "day":
+        exports.export_day(t["user_profile"], t["user_contact"], t["call_detail"], t["third_party_blacklist"],
+                           t["repay_plan"], t["collection_record"], f"{base}/graph", f"{base}/ranking",
+                           as_of, label, channels, totals or f"{base}/call_totals")
     elif job == "roll-totals":
         from riskgraph.operators.history_totals import roll_stored_totals
         roll_stored_totals(spark, t["call_detail"], totals or f"{base}/call_totals", yesterday)
@@ -70,7 +74,8 @@ def run(spark: SparkSession, job: str, base: str, as_of: str, tables: dict, *, b
         raise ValueError(f"unknown job {job}")
 
 
-JOBS = ("graph", "ranking", "ranking-snapshot", "call-graph", "increment", "overdue", "scores", "roll-totals")
+JOBS = ("graph", "ranking", "ranking-snapshot", "call-graph", "increment", "overdue", "scores", "roll-totals",
+        "day")
 
 
 def main(argv=None) -> None:

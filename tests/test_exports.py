@@ -165,3 +165,34 @@ def test_roll_totals_job_feeds_graph_export(spark, outdir):
     jobs.run(spark, "ranking", f"{outdir}/r", B.AS_OF, tables, before=B.HISTORY_BEFORE, totals=root,
              label=B.FRAUD, channels=B.FRAUD_SEGMENTS)
     assert len(_lines(spark, f"{outdir}/r/{B.DAY}/relationship")) == 1101
+
+
+def test_export_day_equals_separate_exports(spark, outdir):
+    b = B.Bindings(spark, SF0001)
+    args = (b.user_profile, b.user_contact, b.call_detail)
+    exports.export_day(*args, b.third_party_blacklist, b.repay_plan, b.collection_record,
+                       f"{outdir}/dg", f"{outdir}/dr", B.AS_OF, B.FRAUD, B.FRAUD_SEGMENTS,
+                       totals_root=f"{outdir}/totals")
+    exports.export_graph(*args, f"{outdir}/g", B.AS_OF)
+    exports.export_ranking(*args, b.third_party_blacklist, b.repay_plan, b.collection_record,
+                           f"{outdir}/r", B.AS_OF, B.FRAUD, B.FRAUD_SEGMENTS)
+    for name in list(exports.GRAPH_LISTS) + ["relationship"]:
+        assert _lines(spark, f"{outdir}/dg/{B.DAY}/{name}") == _lines(spark, f"{outdir}/g/{B.DAY}/{name}"), name
+    for name in ("whitelist", "blacklist", "relationship", "onedegree"):
+        assert _lines(spark, f"{outdir}/dr/{B.DAY}/{name}") == _lines(spark, f"{outdir}/r/{B.DAY}/{name}"), name
+    assert os.path.exists(f"{outdir}/totals/before={B.AS_OF}")
+
+
+def test_day_job(spark, outdir):
+    from riskgraph.plans import jobs
+    b = B.Bindings(spark, SF0001)
+    roles = {"user_profile": b.user_profile, "user_contact": b.user_contact, "call_detail": b.call_detail,
+             "repay_plan": b.repay_plan, "third_party_blacklist": b.third_party_blacklist,
+             "collection_record": b.collection_record}
+    tables = {}
+    for role, df in roles.items():
+        df.createOrReplaceTempView(f"rg_day_{role}")
+        tables[role] = f"rg_day_{role}"
+    jobs.run(spark, "day", outdir, B.AS_OF, tables, label=B.FRAUD, channels=B.FRAUD_SEGMENTS)
+    assert len(_lines(spark, f"{outdir}/ranking/{B.DAY}/blacklist")) == 33
+    assert len(_lines(spark, f"{outdir}/graph/{B.DAY}/whitelist")) == 8
