@@ -43,6 +43,17 @@ HEADLINE = ["c15_call_edges", "c22_rank_edges", "c23_one_degree", "c27_graph_lis
             "c25_overdue_info", "c26_score_vs_overdue"]
 
 
+def cpu_calibration() -> float:
+    """Seconds for a fixed pure-Python loop: a yardstick of the host's speed
+    at bench time, so numbers from a slow or contended machine can be told
+    apart from a slower plan."""
+    t0 = time.perf_counter()
+    acc = 0
+    for i in range(5_000_000):
+        acc += i
+    return round(time.perf_counter() - t0, 3)
+
+
 def run_once(spark, fn, sf_dir) -> float:
     t0 = time.perf_counter()
     fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
@@ -65,6 +76,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "5"))
     inline = os.environ.get("BENCH_INLINE", "1") != "0"
+    calibration_before = cpu_calibration()
     spark = local_session(cpus, shuffle_partitions=max(8, cpus * 2), app_name="riskgraph-bench")
 
     side_runs = min(runs, 3)   # secondary modes: fewer runs keep the bench short
@@ -94,6 +106,7 @@ def main() -> None:
         "cpus": cpus,
         "runs": runs,
         "setup_store_sec": setup,
+        "cpu_calibration_sec": [calibration_before, cpu_calibration()],
         "queries_shuffle_membership": shuffled,
         "queries_from_totals": from_totals,
     }
