@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from riskgraph.llm import jaccard
+from riskgraph.llm import decontaminate, jaccard, language, packing, secrets
 
 QUERIES = {
+    "op1_secrets": secrets.op1_secrets,
+    "op5_packing": packing.op5_packing,
+    "op7_language": language.op7_language,
     "op8_jaccard_join": jaccard.op8_jaccard_join,
+    "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 
 ORACLES = {
+    "op1_secrets": secrets.ORACLE,
     "op8_jaccard_join": jaccard.ORACLE,
+    "op10_decontaminate": decontaminate.ORACLE,
 }
