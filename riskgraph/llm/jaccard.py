@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskgraph.llm.common import drop_ids, prepare, ship, small_side, stored, table
+from riskgraph.llm.common import discard, drop_ids, prepare, ship, small_side, stored, table
 from riskgraph.llm.components import components
 from riskgraph.llm.textbytes import batch_bytes, doc_words, mix64, shingles
 
@@ -38,7 +38,7 @@ ship(__name__)
 
 WIDTH = 5            # words in a shingle
 THRESHOLD = 75       # per cent
-BLOCK_ENTRIES = 4_000_000   # entries of the matrix in one column block
+BLOCK_ENTRIES = 1_000_000   # entries of the matrix in one column block
 FLUSH_ENTRIES = 1_000_000   # entries a task holds before it emits its blocks
 
 
@@ -191,7 +191,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, threshold: int = THR
     if not total:
         return ids.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     bits = max(0, int(np.ceil(np.log2(max(1, total * 3 / 8 / BLOCK_ENTRIES)))))
-    bits = max(bits, 5)
+    bits = max(bits, 4)
     reps = ids.filter("n_shingles > 0").groupBy("set_id").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"))
 
@@ -218,11 +218,13 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, threshold: int = THR
               .withColumn("pos", F.col("n") - F.col("c")
                           + F.row_number().over(by_row.orderBy("df", "h")) - 1))
     shared = stored(shared, "shared")
+    discard(entries)
     rows = stored(shared.groupBy("set_id", "n").agg(F.collect_list("h").alias("hs")), "whole")
 
     # 3. Postings of the columns in which a linked pair must meet first.
     postings = stored(shared.filter(F.col("pos") < F.col("n") - need + 1)
                       .select("h", "set_id", "n", "pos", "c"), "postings")
+    discard(shared, first)
 
     # 4. Star in each column, then pairs of different components.
     centres = postings.groupBy("h").agg(
@@ -232,19 +234,22 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, threshold: int = THR
             .filter((F.col("x.set_id") != F.col("y.set_id")) & _can_link("x", "y", threshold))
             .select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")).distinct())
     links = stored(_linked(star, rows, threshold), "links")
-    labels = stored(components(links), "labels")
+    labels = components(links)
 
     parted = postings.join(labels, postings["set_id"] == labels["id"], "left").select(
         "h", "set_id", "n", "pos", F.coalesce("label", "set_id").alias("label"))
     mixed = parted.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("h")
     parted = stored(parted.join(mixed, "h", "left_semi"), "parted")
+    discard(postings, labels)
     rest = (parted.alias("x").join(parted.alias("y"), F.col("x.h") == F.col("y.h"))
             .filter((F.col("x.set_id") < F.col("y.set_id")) & (F.col("x.label") != F.col("y.label"))
                     & _can_link("x", "y", threshold))
             .select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b")).distinct())
     more = _linked(rest, rows, threshold)
     joined = stored(links.unionByName(more), "links")
-    labels = stored(components(joined), "labels")
+    discard(rows, links, parted)
+    labels = components(joined)
+    discard(joined)
 
     # A component is named by its smallest doc_id.
     member = (reps.join(labels, reps["set_id"] == labels["id"], "left")
