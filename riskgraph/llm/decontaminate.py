@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskgraph.llm.common import prepare, small_side, stored, table
+from riskgraph.llm.common import discard, prepare, small_side, stored, table
 
 WIDTH = 10      # words in a test phrase
 RAREST = 2      # words of a phrase that are looked up
@@ -79,13 +79,17 @@ def _anchors(texts: DataFrame, phrases: DataFrame, rarest: int) -> DataFrame:
 
 
 def _beginnings(texts: DataFrame, anchors: DataFrame) -> DataFrame:
-    """Where a word looked up puts the beginning of a phrase."""
+    """Where the words looked up put the beginning of a phrase (stored)."""
     lookups = small_side(stored(anchors.select("h").distinct(), "lookups"), 16)
     postings = stored(
         texts.select("k1", "k2", F.posexplode(_search_words(F.col("text"))).alias("pos", "t"))
         .select("k1", "k2", "pos", F.xxhash64("t").alias("h")).join(lookups, "h"), "postings")
-    return (postings.join(small_side(anchors, 80), "h")
-            .select("k1", "k2", "wid", "n", "full", "bit", (F.col("pos") - F.col("off")).alias("start")))
+    begins = (postings.join(small_side(anchors, 80), "h")
+              .select("k1", "k2", "wid", "n", "full", "bit", (F.col("pos") - F.col("off")).alias("start"))
+              .groupBy("k1", "k2", "wid", "n", "full", "start").agg(F.bit_or("bit").alias("bits")))
+    begins = stored(begins, "begins")
+    discard(postings)
+    return begins
 
 
 def phrase_matches(docs: DataFrame, items: DataFrame, width: int = WIDTH, rarest: int = RAREST,
@@ -102,8 +106,7 @@ def phrase_matches(docs: DataFrame, items: DataFrame, width: int = WIDTH, rarest
     texts = _keyed(docs)
     phrases, owners = _phrases(items, width)
     anchors = _anchors(texts, phrases, rarest)
-    begins = stored(_beginnings(texts, anchors).groupBy("k1", "k2", "wid", "n", "full", "start")
-                    .agg(F.bit_or("bit").alias("bits")), "begins")
+    begins = _beginnings(texts, anchors)
     exact = begins.filter("bits = full and start >= 0").select("k1", "k2", "wid", "n", "start")
 
     # Beginnings within the slop fall into one of two overlapping buckets.
@@ -127,6 +130,7 @@ def phrase_matches(docs: DataFrame, items: DataFrame, width: int = WIDTH, rarest
     held = (whole.join(asked, ["k1", "k2"]).select("k1", "k2", F.explode(F.expr(verdict)).alias("q"))
             .select("k1", "k2", "q.wid", "q.n", "q.start", "q.exact"))
     held = stored(held, "matches")
+    discard(begins, wanted)
     phrase = held.filter("exact").drop("exact")
     close = (held.filter("not exact").drop("exact")
              .join(phrase.select("k1", "k2", "wid").distinct(), ["k1", "k2", "wid"], "left_anti"))
