@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskgraph.llm.common import stored
+from riskgraph.llm.common import discard, stored
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -39,16 +39,20 @@ def _mark(edges: DataFrame) -> tuple:
 
 def components(links: DataFrame) -> DataFrame:
     """Component labels of the graph with edges (a, b): rows (id, label), one
-    per node that has an edge; label is the smallest id of its component.
+    per node that has an edge; label is the smallest id of its component.  The
+    result is a stored table.
     An edge from a node to itself adds nothing; repeated edges count once."""
     edges = links.select(F.col("a").alias("u"), F.col("b").alias("v")).filter("u != v")
     edges = stored(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     mark = _mark(edges)
     while mark[0]:
-        edges = stored(_small_star(_large_star(edges)), "edges")
+        older, edges = edges, stored(_small_star(_large_star(edges)), "edges")
+        discard(older)
         after = _mark(edges)
         if after == mark:
             break
         mark = after
     roots = edges.select(F.col("v").alias("id"), F.col("v").alias("label")).distinct()
-    return edges.select(F.col("u").alias("id"), F.col("v").alias("label")).unionByName(roots)
+    labels = stored(edges.select(F.col("u").alias("id"), F.col("v").alias("label")).unionByName(roots), "labels")
+    discard(edges)
+    return labels
