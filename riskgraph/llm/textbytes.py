@@ -95,8 +95,9 @@ def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix64((prefix[ends] - prefix[starts]) * inverse[starts])
 
 
-def word_hashes(data: np.ndarray) -> np.ndarray:
-    """Hashes of one text's words, in order, lower-cased, in bounded chunks."""
+def word_hashes(data: np.ndarray, fold: bool = True) -> np.ndarray:
+    """Hashes of one text's words, in order, in bounded chunks; ``fold``
+    lower-cases A-Z."""
     out, at = [], 0
     while at < len(data):
         end = min(len(data), at + CHUNK)
@@ -108,24 +109,24 @@ def word_hashes(data: np.ndarray) -> np.ndarray:
             else:
                 rest = np.flatnonzero(spaces(data[end:]))
                 end = end + int(rest[0]) if len(rest) else len(data)
-        piece = lowered(data[at:end])
+        piece = lowered(data[at:end]) if fold else data[at:end]
         s, e = word_bounds(spaces(piece))
         out.append(run_hashes(piece, s, e))
         at = end
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
-def doc_words(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+def doc_words(data: np.ndarray, offsets: np.ndarray, fold: bool = True) -> Iterator[tuple[int, np.ndarray]]:
     """(row, word hashes) for every row; short rows are hashed together."""
     n, at = len(offsets) - 1, 0
     while at < n:
         to = int(np.searchsorted(offsets, offsets[at] + CHUNK, "right")) - 1
         if to <= at:  # one text longer than a chunk
-            yield at, word_hashes(data[offsets[at]:offsets[at + 1]])
+            yield at, word_hashes(data[offsets[at]:offsets[at + 1]], fold)
             at += 1
             continue
         lo, hi = offsets[at], offsets[to]
-        piece = lowered(data[lo:hi])
+        piece = lowered(data[lo:hi]) if fold else data[lo:hi]
         cut = offsets[at:to + 1] - lo
         sep = spaces(piece)
         inside = np.concatenate([[False], ~sep, [False]])
