@@ -14,7 +14,7 @@ from riskgraph.llm.decontaminate import decontamination_stage
 from riskgraph.llm.jaccard import near_duplicate_stage
 from riskgraph.llm.language import language_stage
 from riskgraph.llm.packing import packing_stage
-from riskgraph.llm.secrets import secrets_stage
+from riskgraph.llm.secretscan import secrets_stage
 
 STAGES = [
     ("language_id", language_stage),

@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
-from riskgraph.llm import decontaminate, jaccard, language, packing, secrets
+from riskgraph.llm import decontaminate, jaccard, language, licences, packing, quality, secretscan, substrings, tokens, urls
 
 QUERIES = {
-    "op1_secrets": secrets.op1_secrets,
+    "op1_secrets": secretscan.op1_secrets,
+    "op2_tokens": tokens.op2_tokens,
+    "op3_substrings": substrings.op3_substrings,
+    "op4_quality": quality.op4_quality,
     "op5_packing": packing.op5_packing,
+    "op6_urls": urls.op6_urls,
     "op7_language": language.op7_language,
     "op8_jaccard_join": jaccard.op8_jaccard_join,
+    "op9_licences": licences.op9_licences,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 
 ORACLES = {
-    "op1_secrets": secrets.ORACLE,
+    "op1_secrets": secretscan.ORACLE,
+    "op4_quality": quality.ORACLE,
     "op8_jaccard_join": jaccard.ORACLE,
+    "op9_licences": licences.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
 }
