@@ -27,8 +27,6 @@ PREFIX = "p"                       # node prefix used by the loader variants
 FRAUD_LABEL = "欺诈"               # collection label meaning fraud
 FRAUD_CHANNELS = ("weibo", "hao123", "bbpay", "beike", "dshb", "bbqb",
                   "juanpi", "mmqb", "wowo", "xiaocheng", "yueguang")
-LIST_NAMES = ("applyNotPass", "applycreditNoBorrow", "borrowNotwb", "whitelist",
-              "blacklist", "relationship", "person", "onedegree")
 # Phone clean-up tokens: country code forms and a trailing carrier tag.
 CC_LONG = "p0086"
 CC_SHORT = "p86"
@@ -122,23 +120,14 @@ def later_than_day(c, day) -> Column:
     return _col(c).cast("string") > F.lit(day_text(day))
 
 
-def oriented(mobile, other, channel, on_unknown: str = "error") -> tuple[Column, Column]:
+def oriented(mobile, other, channel) -> tuple[Column, Column]:
     """(src, dst) of a call record.  Outgoing keeps (mobile, other),
-    incoming swaps them.  Any other channel, null included, raises with
-    ``on_unknown='error'`` and yields null ends with ``'drop'``."""
+    incoming swaps them; any other channel yields null ends (see
+    ``edges.checked_channels``)."""
     mobile, other, channel = _col(mobile), _col(other), _col(channel)
     out = channel == F.lit(CHANNEL_OUT)
     inc = channel == F.lit(CHANNEL_IN)
-    src = F.when(out, mobile).when(inc, other)
-    dst = F.when(out, other).when(inc, mobile)
-    if on_unknown == "error":
-        err = F.raise_error(F.concat(F.lit("unknown call_channel: "),
-                                     F.coalesce(channel, F.lit("null"))))
-        src = src.otherwise(err)
-        dst = dst.otherwise(err)
-    elif on_unknown != "drop":
-        raise ValueError("on_unknown must be 'error' or 'drop'")
-    return src, dst
+    return F.when(out, mobile).when(inc, other), F.when(out, other).when(inc, mobile)
 
 
 def known_channel(channel) -> Column:

@@ -23,12 +23,6 @@ def with_contact(users: DataFrame, contact: DataFrame) -> DataFrame:
     return users.join(contact, USER_KEY, "inner")
 
 
-def _profile_contact(profile: DataFrame, contact: DataFrame, day, cond, cols) -> DataFrame:
-    users = snapshot(profile, day).filter(cond).select(*USER_KEY, *cols)
-    c = snapshot(contact, day).select(*USER_KEY, "mobile")
-    return with_contact(users, c)
-
-
 LIFECYCLE = ["first_apply_credit_time", "first_apply_credit_succ_time", "first_apply_loan_succ_time",
              "max_overdue_day_cnt", "curr_inloan_cnt", "max_prepayment_day_cnt"]
 
@@ -43,62 +37,58 @@ def day_users(profile: DataFrame, contact: DataFrame, day) -> DataFrame:
     return with_contact(users, c)
 
 
+def has_applied():
+    return F.col("first_apply_credit_time").isNotNull()
+
+
+def has_passed():
+    return F.col("first_apply_credit_succ_time").isNotNull()
+
+
+def applied_unpassed(rows: DataFrame) -> DataFrame:
+    """user rows with an apply time and no pass time."""
+    return rows.filter(has_applied() & ~has_passed())
+
+
+def _mobiles(rows: DataFrame) -> DataFrame:
+    return rows.select("mobile").filter(F.col("mobile").isNotNull()).distinct()
+
+
 def applied_from(rows: DataFrame) -> DataFrame:
     """C1 from ``day_users`` rows."""
-    return (rows.filter(F.col("first_apply_credit_time").isNotNull()).select("mobile")
-            .filter(F.col("mobile").isNotNull()).distinct())
+    return _mobiles(rows.filter(has_applied()))
 
 
 def applied_not_passed_from(rows: DataFrame) -> DataFrame:
-    """C2 from ``day_users`` rows."""
-    cond = F.col("first_apply_credit_time").isNotNull() & F.col("first_apply_credit_succ_time").isNull()
-    return rows.filter(cond).select("mobile").filter(F.col("mobile").isNotNull()).distinct()
+    """C2 from ``day_users`` rows.  Decided per user row, so a mobile with one
+    passed and one failed user is here and in ``passed_summary`` too."""
+    return _mobiles(applied_unpassed(rows))
+
+
+def passed_rows(rows: DataFrame) -> DataFrame:
+    """Passed user rows of ``day_users`` with a mobile."""
+    return rows.filter(has_passed() & F.col("mobile").isNotNull())
 
 
 def passed_summary_from(rows: DataFrame) -> DataFrame:
     """C3 from ``day_users`` rows."""
-    return (rows.filter(F.col("first_apply_credit_succ_time").isNotNull() & F.col("mobile").isNotNull())
-            .groupBy("mobile")
-            .agg(F.max("first_apply_loan_succ_time").alias("first_apply_loan_succ_time"),
-                 F.max("max_overdue_day_cnt").alias("max_overdue_day_cnt"),
-                 F.max("curr_inloan_cnt").alias("curr_inloan_cnt"),
-                 F.max("max_prepayment_day_cnt").alias("max_prepayment_day_cnt")))
+    return passed_rows(rows).groupBy("mobile").agg(*[F.max(c).alias(c) for c in LIFECYCLE[2:]])
 
 
 def applied(profile: DataFrame, contact: DataFrame, day) -> DataFrame:
     """Distinct mobiles of users with an apply time on ``day``'s snapshot."""
-    rows = _profile_contact(profile, contact, day,
-                            F.col("first_apply_credit_time").isNotNull(), [])
-    return rows.select("mobile").filter(F.col("mobile").isNotNull()).distinct()
+    return applied_from(day_users(profile, contact, day))
 
 
 def applied_not_passed(profile: DataFrame, contact: DataFrame, day) -> DataFrame:
-    """Distinct mobiles of user rows that applied and never passed.
-
-    Decided per user row, so a mobile with one passed and one failed user is
-    here and in ``passed_summary`` too."""
-    cond = F.col("first_apply_credit_time").isNotNull() & F.col("first_apply_credit_succ_time").isNull()
-    rows = _profile_contact(profile, contact, day, cond, [])
-    return rows.select("mobile").filter(F.col("mobile").isNotNull()).distinct()
-
-
-def passed_rows(profile: DataFrame, contact: DataFrame, day) -> DataFrame:
-    """Passed user rows with their mobile (one row per user and contact)."""
-    return _profile_contact(
-        profile, contact, day, F.col("first_apply_credit_succ_time").isNotNull(),
-        ["first_apply_loan_succ_time", "max_overdue_day_cnt", "curr_inloan_cnt", "max_prepayment_day_cnt"])
+    """Distinct mobiles of user rows that applied and never passed."""
+    return applied_not_passed_from(day_users(profile, contact, day))
 
 
 def passed_summary(profile: DataFrame, contact: DataFrame, day) -> DataFrame:
     """Per mobile of passed users, the max loan-success time, overdue
     days, in-loan count and prepayment days.  Null mobiles are dropped."""
-    return (passed_rows(profile, contact, day)
-            .filter(F.col("mobile").isNotNull())
-            .groupBy("mobile")
-            .agg(F.max("first_apply_loan_succ_time").alias("first_apply_loan_succ_time"),
-                 F.max("max_overdue_day_cnt").alias("max_overdue_day_cnt"),
-                 F.max("curr_inloan_cnt").alias("curr_inloan_cnt"),
-                 F.max("max_prepayment_day_cnt").alias("max_prepayment_day_cnt")))
+    return passed_summary_from(day_users(profile, contact, day))
 
 
 def incremental_applicants(apply: DataFrame, contact: DataFrame, day, after=None) -> DataFrame:
@@ -108,5 +98,4 @@ def incremental_applicants(apply: DataFrame, contact: DataFrame, day, after=None
     users = (snapshot(apply, day).filter(later_than_day("apply_time", after))
              .select(*USER_KEY))
     c = snapshot(contact, day).select(*USER_KEY, "mobile")
-    return (with_contact(users, c).select("mobile")
-            .filter(F.col("mobile").isNotNull()).distinct())
+    return _mobiles(with_contact(users, c))

@@ -1,11 +1,10 @@
-"""Call graph: orient call records, keep valid numbers and members, aggregate.
+"""Call graph: check channels, keep valid numbers and members, orient, aggregate.
 
 Plan shape of ``call_edges`` on the call history::
 
     scan(mobile, other_mobile, call_channel, call_time; dt < before)   pruned, pushed
-      -> filter: both ends match the number pattern                    no shuffle
       -> semi-join owner / other end with the cohort                    broadcast when measured small
-      -> project src, dst (orientation), duration                       codegen
+      -> channel check, number pattern, orientation                     codegen
       -> partial aggregate (src, dst): count, sum                       map-side combine
       -> exchange hashpartitioning(src, dst)                            the only big shuffle
       -> final aggregate, filter calls >= n
@@ -15,40 +14,53 @@ and one hot pair costs one partial row per map task.
 
 When the cohort is measured too large to broadcast, the plan becomes::
 
-    scan -> pattern filter -> partial aggregate per (mobile, other_mobile, channel)
-      -> exchange on the record key -> final aggregate       (one row per record)
-      -> shuffle semi-join on mobile, then on other_mobile   (on records, not calls)
-      -> orientation -> partial/final aggregate on (src, dst)
+    scan -> bit table of fixed size drops almost all non-members       broadcast, no shuffle
+      -> partial aggregate per (mobile, other_mobile, channel)
+      -> exchange on the record key -> final aggregate                 (one row per record)
+      -> shuffle semi-join on mobile, then on other_mobile             (on records, not calls)
+      -> channel check, pattern, orientation -> aggregate on (src, dst)
 
-and ``edges_from_records`` runs the same rules on running totals
+``edges_from_records`` runs the same rules on daily totals
 (``operators.history_totals``) instead of raw calls.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskgraph.functions.exprs import (
     MOBILE, digits_or_zero, full_match, known_channel, oriented, prefixed, two_decimals,
 )
-from riskgraph.operators.membership import measure, member_filter, sized
-from riskgraph import session
-
-CALL_COLS = ["mobile", "other_mobile", "call_channel", "call_time"]
+from riskgraph.operators.membership import fits_broadcast, maybe_members, member_bits, member_filter, sized
 
+RECORD_KEY = ["mobile", "other_mobile", "call_channel"]
 
-def orient_calls(calls: DataFrame, on_unknown: str = "error", keep=("call_time",)) -> DataFrame:
-    """(src, dst) from (mobile, other_mobile, call_channel).
 
-    ``on_unknown='error'`` fails the job on a channel that is neither code
-    (null included) among the rows that reach this step; ``'drop'`` drops
-    them."""
+def checked_channels(calls: DataFrame, on_unknown: str = "error") -> DataFrame:
+    """``calls`` with known channels only.  ``'error'`` fails the job on any
+    other channel (null included) among the rows that reach this step,
+    whichever columns are read later: the check is a filter, and the observed
+    count below it keeps the optimizer from moving it before the step in front.
+    ``'drop'`` drops such rows."""
+    known = F.coalesce(known_channel("call_channel"), F.lit(False))
     if on_unknown == "drop":
-        calls = calls.filter(known_channel("call_channel"))
-    src, dst = oriented("mobile", "other_mobile", "call_channel", on_unknown)
+        return calls.filter(known)
+    if on_unknown != "error":
+        raise ValueError("on_unknown must be 'error' or 'drop'")
+    fail = F.raise_error(F.concat(F.lit("unknown call_channel: "), F.coalesce(F.col("call_channel"), F.lit("null"))))
+    seen = calls.observe(f"unknown_channels_{uuid.uuid4().hex}", F.count_if(~known).alias("n"))
+    return seen.filter(F.when(known, F.lit(True)).otherwise(fail.cast("boolean")))
+
+
+def orient_calls(calls: DataFrame, on_unknown: str = "error", keep=("call_time",)) -> DataFrame:
+    """(src, dst) from (mobile, other_mobile, call_channel), after
+    ``checked_channels``."""
+    src, dst = oriented("mobile", "other_mobile", "call_channel")
     extra = [c for c in keep if c in calls.columns]
-    return calls.select(src.alias("src"), dst.alias("dst"), *extra)
+    return checked_channels(calls, on_unknown).select(src.alias("src"), dst.alias("dst"), *extra)
 
 
 def reverse_edges(edges: DataFrame) -> DataFrame:
@@ -83,19 +95,11 @@ def between_members(calls: DataFrame, src_members: DataFrame, dst_members: DataF
     """Keep calls whose end ``a`` is in ``src_members`` and end ``b``
     in ``dst_members`` (default the same cohort).  With one cohort the test
     is direction-free, so it may run before or after orientation."""
-    if dst_members is None:
-        src_members = _once(src_members, broadcast)
     first = sized(src_members, broadcast)
     second = first if dst_members is None else sized(dst_members, broadcast)
     return member_filter(member_filter(calls, first, a), second, b)
 
 
-def _once(members: DataFrame, broadcast) -> DataFrame:
-    """A cohort read by both membership joins is computed once: ``'auto'``
-    persists it while measuring, the other modes persist it here."""
-    return members if broadcast == "auto" or broadcast is True else session.keep(members)
-
-
 def owned_by_members(calls: DataFrame, members: DataFrame, owner: str = "mobile",
                      broadcast="auto") -> DataFrame:
     """Keep calls whose record owner (``mobile``, before orientation) is a member."""
@@ -120,131 +124,87 @@ def min_calls(edges: DataFrame, n: int = 2) -> DataFrame:
     return edges.filter(F.col("calls") >= n) if n and n > 1 else edges
 
 
-def call_edges(calls: DataFrame, members: DataFrame | None = None, *,
-               dst_members: DataFrame | None = None, ends: str = "both",
-               pattern: str = MOBILE, prefix: str | None = None, min_n: int = 2,
-               on_unknown: str = "error", broadcast="auto") -> DataFrame:
+def call_edges(calls: DataFrame, members: DataFrame | None = None, **rules) -> DataFrame:
     """Directed call graph with call count and mean duration.
 
-    * ``members``: cohort of mobiles; ``ends='both'`` keeps calls with both
-      ends in it (``dst_members`` for the other end if given), ``'owner'``
-      only tests the record owner; ``None`` keeps every call.
-    * ``pattern``: full-match pattern for both ends (after ``prefix``).
-    * ``min_n``: minimum number of calls per pair (2 means "more than one").
-    * Durations that are not digit strings count as a call of 0.0 seconds.
-    * Self-calls are kept.
-
-    Plan choice with ``broadcast='auto'``: cohorts measured small are
-    broadcast and filter the calls inside the scan stage.  Larger cohorts
-    would cost two shuffles of the raw history, so the calls are first
-    aggregated per (owner, other, channel) with a map-side combine and the
-    shuffle semi-joins run on those aggregates; membership depends only on
-    the two numbers, so the result is the same.
+    Durations that are not digit strings count as a call of 0.0 seconds;
+    self-calls are kept.  ``rules`` as in ``edges_from_records``, of which
+    this is the case of one record per call.
 
     Output: src, dst, calls (bigint), mean_duration (double).
     """
-    c = calls.select(*CALL_COLS)
-    if members is not None and broadcast == "auto":
-        if ends not in ("both", "owner"):
-            raise ValueError("ends must be 'both' or 'owner'")
-        m, fits = measure(members)
-        dm, dfits = (m, fits) if dst_members is None else measure(dst_members)
-        if not (fits and (ends == "owner" or dfits)):
-            return _aggregate_then_filter(c, m, dm, ends, pattern, prefix, min_n, on_unknown)
-        members, dst_members, broadcast = F.broadcast(m), F.broadcast(dm), None
-    if members is not None:
-        if ends == "both":
-            c = between_members(c, members, dst_members, broadcast=broadcast)
-        elif ends == "owner":
-            c = owned_by_members(c, members, broadcast=broadcast)
-        else:
-            raise ValueError("ends must be 'both' or 'owner'")
-    c = _prefixed_calls(c, prefix)
-    # Direction-free, so tested on the raw ends: the filter then never touches
-    # the orientation expression and is pushed down to the scan side.
-    c = valid_pairs(c, pattern, "mobile", "other_mobile")
-    oriented_calls = orient_calls(c, on_unknown).select(
-        "src", "dst", digits_or_zero("call_time").alias("duration"))
-    return min_calls(edge_stats(oriented_calls), min_n)
-
-
-def _prefixed_calls(c: DataFrame, prefix: str | None) -> DataFrame:
-    if not prefix:
-        return c
-    return c.select(prefixed("mobile", prefix).alias("mobile"),
-                    prefixed("other_mobile", prefix).alias("other_mobile"),
-                    *[x for x in c.columns if x not in ("mobile", "other_mobile")])
-
-
-def _aggregate_then_filter(c: DataFrame, members: DataFrame, dst_members: DataFrame, ends: str,
-                           pattern: str, prefix: str | None, min_n: int, on_unknown: str) -> DataFrame:
-    """Large-cohort plan of ``call_edges``: pattern filter, partial aggregate
-    per raw (mobile, other_mobile, call_channel), semi-joins on the
-    aggregates, then orientation and the pair aggregate.  Orientation runs
-    after membership, so an unknown channel fails the job exactly when such a
-    call survives the cohort test, as in the broadcast plan."""
-    ends_ok = full_match(_pref("mobile", prefix), pattern) & full_match(_pref("other_mobile", prefix), pattern)
-    per_record = (c.filter(ends_ok)
-                  .groupBy("mobile", "other_mobile", "call_channel")
-                  .agg(F.count(F.lit(1)).alias("n"), F.sum(digits_or_zero("call_time")).alias("total")))
-    kept = member_filter(per_record, members, "mobile")
-    if ends == "both":
-        kept = member_filter(kept, dst_members, "other_mobile")
-    kept = _prefixed_calls(kept, prefix)
-    src, dst = oriented("mobile", "other_mobile", "call_channel", on_unknown)
-    if on_unknown == "drop":
-        kept = kept.filter(known_channel("call_channel"))
-    e = (kept.select(src.alias("src"), dst.alias("dst"), "n", "total")
-         .groupBy("src", "dst")
+    return edges_from_records(as_records(calls), members, **rules)
+
+
+def as_records(calls: DataFrame) -> DataFrame:
+    """Every call as a record of one call: (mobile, other_mobile, call_channel, n, total)."""
+    return calls.select(*RECORD_KEY, F.lit(1).cast("long").alias("n"), digits_or_zero("call_time").alias("total"))
+
+
+def edges_from_records(records: DataFrame, members: DataFrame | None = None, *, min_n: int = 2, **rules) -> DataFrame:
+    """Call graph from records (mobile, other_mobile, call_channel, n, total)
+    where ``n`` counts calls and ``total`` sums their durations, in any number
+    of rows per record.  ``min_n``: minimum number of calls per pair (2 means
+    "more than one").  Other ``rules`` as in ``kept_records``."""
+    e = (kept_records(records, members, **rules).groupBy("src", "dst")
          .agg(F.sum("n").alias("calls"), F.sum("total").alias("total_duration"))
          .select("src", "dst", "calls", (F.col("total_duration") / F.col("calls")).alias("mean_duration")))
     return min_calls(e, min_n)
 
 
-RECORD_KEY = ["mobile", "other_mobile", "call_channel"]
-
+def kept_records(records: DataFrame, members: DataFrame | None = None, *, dst_members: DataFrame | None = None,
+                 ends: str = "both", pattern: str = MOBILE, prefix: str | None = None, on_unknown: str = "error",
+                 check: str = "members", broadcast="auto") -> DataFrame:
+    """Oriented rows (src, dst, n, total) of the records between members with
+    valid numbers.
 
-def edges_from_records(records: DataFrame, members: DataFrame | None = None, *,
-                       dst_members: DataFrame | None = None, ends: str = "both",
-                       pattern: str = MOBILE, prefix: str | None = None, min_n: int = 2,
-                       on_unknown: str = "error", broadcast="auto") -> DataFrame:
-    """``call_edges`` from per-record totals: rows (mobile, other_mobile,
-    call_channel, n, total) where ``n`` counts calls and ``total`` sums their
-    durations (``digits_or_zero``), possibly several rows per record (one per
-    day).  Same output and the same rules as ``call_edges`` on the raw calls.
+    * ``members``: cohort of mobiles; ``ends='both'`` keeps records with both
+      ends in it (``dst_members`` for the other end if given), ``'owner'``
+      only tests the record owner; ``None`` keeps every record.
+    * ``pattern``: full-match pattern for both ends (after ``prefix``), tested
+      after the channel.
+    * ``on_unknown``: ``'error'`` fails the job on an unknown channel,
+      ``'drop'`` drops such records.  ``check='members'`` looks at the records
+      of members (the source jobs that join the cohort first), ``'history'``
+      at every record read (those that match the channel first).
+    * ``broadcast='auto'``: cohorts measured within the budget are broadcast
+      and filter the records inside the scan stage.  Else, and with ``False``,
+      a bit table of fixed size drops almost all non-members there, records
+      are summed per key with a map-side combine, and the exact shuffle
+      semi-joins run on those sums.  Membership depends only on the two
+      numbers, so both plans give the same rows.
     """
     if ends not in ("both", "owner"):
         raise ValueError("ends must be 'both' or 'owner'")
-    ends_ok = full_match(_pref("mobile", prefix), pattern) & full_match(_pref("other_mobile", prefix), pattern)
-    r = records.select(*RECORD_KEY, "n", "total").filter(ends_ok)
+    if check not in ("members", "history"):
+        raise ValueError("check must be 'members' or 'history'")
+    r = records.select(*RECORD_KEY, "n", "total")
+    if check == "history":
+        r = checked_channels(r, on_unknown)
     if members is not None:
-        if broadcast == "auto":
-            m, fits = measure(members)
-            dm, dfits = (m, fits) if dst_members is None else measure(dst_members)
-            if fits and (ends == "owner" or dfits):
-                m, dm = F.broadcast(m), F.broadcast(dm)
-            else:
-                # collapse the per-day rows before the shuffle semi-joins
-                r = r.groupBy(*RECORD_KEY).agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
-        else:
-            m = sized(_once(members, broadcast) if dst_members is None else members, broadcast)
-            dm = m if dst_members is None else sized(dst_members, broadcast)
-        r = member_filter(r, m, "mobile")
-        if ends == "both":
-            r = member_filter(r, dm, "other_mobile")
-    r = _prefixed_calls(r, prefix)
-    if on_unknown == "drop":
-        r = r.filter(known_channel("call_channel"))
-    src, dst = oriented("mobile", "other_mobile", "call_channel", on_unknown)
-    e = (r.select(src.alias("src"), dst.alias("dst"), "n", "total")
-         .groupBy("src", "dst")
-         .agg(F.sum("n").alias("calls"), F.sum("total").alias("total_duration"))
-         .select("src", "dst", "calls", (F.col("total_duration") / F.col("calls")).alias("mean_duration")))
-    return min_calls(e, min_n)
-
-
-def _pref(c: str, prefix: str | None):
-    return prefixed(c, prefix) if prefix else F.col(c)
+        r = _between(r, members, members if dst_members is None else dst_members, ends, broadcast)
+    if check == "members":
+        r = checked_channels(r, on_unknown)
+    if prefix:
+        r = r.select(prefixed("mobile", prefix).alias("mobile"), prefixed("other_mobile", prefix).alias("other_mobile"),
+                     "call_channel", "n", "total")
+    # Direction-free, so tested on the raw ends.
+    r = valid_pairs(r, pattern, "mobile", "other_mobile")
+    src, dst = oriented("mobile", "other_mobile", "call_channel")
+    return r.select(src.alias("src"), dst.alias("dst"), "n", "total")
+
+
+def _between(r: DataFrame, members: DataFrame, others: DataFrame, ends: str, broadcast) -> DataFrame:
+    both = ends == "both"
+    if broadcast == "auto" and fits_broadcast(members) and (not both or others is members or fits_broadcast(others)):
+        r = member_filter(r, F.broadcast(members), "mobile")
+        return member_filter(r, F.broadcast(others), "other_mobile") if both else r
+    r = maybe_members(r, member_bits(members), "mobile")
+    if both:
+        r = maybe_members(r, member_bits(others), "other_mobile")
+    r = r.groupBy(*RECORD_KEY).agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    r = member_filter(r, members, "mobile")
+    return member_filter(r, others, "other_mobile") if both else r
 
 
 def with_mean_text(edges: DataFrame) -> DataFrame:
@@ -256,18 +216,8 @@ def rank_edges(calls: DataFrame, members: DataFrame, pattern: str = MOBILE,
                on_unknown: str = "error", broadcast="auto") -> DataFrame:
     """Distinct directed pairs between cohort members (ranking input).
 
-    Orientation comes first, so with ``on_unknown='error'`` any call with a
-    bad channel in the scanned history fails the job, as in the source job."""
-    oriented_calls = orient_calls(calls.select(*CALL_COLS), on_unknown, keep=())
-    if broadcast == "auto":
-        m, fits = measure(members)
-        if not fits:
-            # large cohort: distinct pairs first (map-side combined), then the
-            # shuffle semi-joins on the pairs instead of on every call
-            pairs = edge_pairs(valid_pairs(oriented_calls, pattern))
-            return member_filter(member_filter(pairs, m, "src"), m, "dst").select("src", "dst")
-        m = F.broadcast(m)
-    else:
-        m = sized(_once(members, broadcast), broadcast)
-    kept = member_filter(member_filter(oriented_calls, m, "src"), m, "dst")
-    return edge_pairs(valid_pairs(kept, pattern))
+    With ``on_unknown='error'`` any call with a bad channel in the scanned
+    history fails the job, as in the source job."""
+    rows = calls.select(*RECORD_KEY, F.lit(1).cast("long").alias("n"), F.lit(0.0).alias("total"))
+    return edge_pairs(kept_records(rows, members, pattern=pattern, on_unknown=on_unknown, check="history",
+                                   broadcast=broadcast))

@@ -1,29 +1,29 @@
-"""Running totals of the call history, rolled forward one day at a time.
-
-The call graph jobs read every call before a day (``dt < day``).  Read raw,
-that is the whole history on every run.  Everything they need from a call
-record is additive: the number of calls and the duration sum per
-(mobile, other_mobile, call_channel).  So the history is kept as running
-totals per record key:
-
-    totals(before = D + 1) = totals(before = D)  +  day_totals(calls of D)
-
-Each daily run then reads the totals (one row per record key ever seen) and
-the new day, never the raw history.  The graph is computed from the totals by
-``edges.edges_from_records`` with the same cohort, pattern, orientation and
-minimum-calls rules as on raw calls, so the rows are identical: membership
-and orientation depend only on the record key, and the sums are exact
-because durations are whole numbers.
+"""Daily totals of the call history.
+
+The call graph jobs read every call before a day (``dt < day``).  Everything
+they need from a call record is additive: the number of calls and the duration
+sum per (mobile, other_mobile, call_channel).  So each day's calls are stored
+once as totals, one folder per day, and the graph is computed from the folders
+of all days by ``edges.edges_from_records`` with the same rules as on raw
+calls: the sums are exact because durations are whole numbers.
+
+A day's folder is good only while its number of calls equals that of the raw
+day.  ``stale_days`` compares the two per day (a count by the partition column
+of the raw calls), so a missing, empty or half-written folder and a call that
+landed late all show; ``refresh_totals`` rebuilds just those days, and
+``read_totals`` refuses to read while any is left.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskgraph.functions.exprs import MOBILE, day_text, digits_or_zero
+from riskgraph.functions.exprs import digits_or_zero
 from riskgraph.operators.edges import RECORD_KEY, edges_from_records, rank_edges
+from riskgraph.sources.tables import history
 
 TOTALS = T.StructType([
     T.StructField("mobile", T.StringType()),
@@ -31,70 +31,60 @@ TOTALS = T.StructType([
     T.StructField("call_channel", T.StringType()),
     T.StructField("n", T.LongType()),
     T.StructField("total", T.DoubleType()),
+    T.StructField("dt", T.StringType()),
 ])
 
 
 def day_totals(calls: DataFrame) -> DataFrame:
-    """Calls and duration sum per record key (over whatever days ``calls`` holds)."""
-    return (calls.groupBy(*RECORD_KEY)
-            .agg(F.count(F.lit(1)).alias("n"), F.sum(digits_or_zero("call_time")).alias("total")))
+    """Calls and duration sum per day and record key."""
+    return (calls.groupBy("dt", *RECORD_KEY)
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(digits_or_zero("call_time")).alias("total"))
+            .select(*[f.name for f in TOTALS.fields]))
 
 
-def roll_totals(previous: DataFrame | None, calls: DataFrame) -> DataFrame:
-    """Totals of ``previous`` plus the calls in ``calls`` (the next day or
-    days), summed per record key.  ``previous=None`` starts from nothing."""
-    add = day_totals(calls)
-    if previous is None:
-        return add
-    both = previous.select(*RECORD_KEY, "n", "total").unionByName(add)
-    return both.groupBy(*RECORD_KEY).agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
-
-
-def totals_path(root: str, before) -> str:
-    """Folder of the totals of every call with ``dt < before``."""
-    return f"{root.rstrip('/')}/before={day_text(before)}"
-
-
-def write_totals(totals: DataFrame, root: str, before) -> str:
-    """Store the totals of every call before ``before``; a rerun of the same
-    day replaces its folder."""
-    path = totals_path(root, before)
-    totals.select(*RECORD_KEY, "n", "total").write.mode("overwrite").parquet(path)
-    return path
-
-
-def read_totals(spark: SparkSession, root: str, before) -> DataFrame:
-    return spark.read.schema(TOTALS).parquet(totals_path(root, before))
-
-
-def next_day(day) -> str:
-    import datetime as _dt
-    return (_dt.date.fromisoformat(day_text(day)) + _dt.timedelta(days=1)).isoformat()
-
-
-def roll_stored_totals(spark: SparkSession, calls: DataFrame, root: str, day) -> str:
-    """Extend the stored totals by ``day``: totals(before = day + 1) =
-    totals(before = day) + the calls of ``day``.  Without stored totals
-    before ``day`` they are built once from the whole history up to ``day``
-    (the bootstrap run).  Returns the new folder."""
-    from pyspark.errors import AnalysisException
-    day = day_text(day)
+def _stored(spark: SparkSession, root: str) -> DataFrame:
     try:
-        previous = read_totals(spark, root, day)
-        previous.limit(1).count()          # fails here when the folder is missing
-        rolled = roll_totals(previous, calls.filter(F.col("dt") == day))
-    except AnalysisException:
-        rolled = roll_totals(None, calls.filter(F.col("dt") <= day))
-    return write_totals(rolled, root, next_day(day))
-
-
-def call_edges_from_totals(totals: DataFrame, members: DataFrame | None = None, **kw) -> DataFrame:
-    """C15-C18 from running totals (keywords as ``edges.call_edges``)."""
-    return edges_from_records(totals, members, **kw)
-
-
-def rank_edges_from_totals(totals: DataFrame, members: DataFrame, pattern: str = MOBILE,
-                           on_unknown: str = "error", broadcast="auto") -> DataFrame:
-    """C22 from running totals: every record key stands for at least one call."""
-    records = totals.select(*RECORD_KEY, F.lit(None).cast("string").alias("call_time"))
-    return rank_edges(records, members, pattern, on_unknown, broadcast)
+        return spark.read.schema(TOTALS).parquet(root)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], TOTALS)
+
+
+def stale_days(spark: SparkSession, calls: DataFrame, root: str, before) -> list[str]:
+    """Days before ``before`` whose stored totals do not hold the raw day's
+    number of calls, days without calls that have totals included.  The list
+    is bounded by the days of the history."""
+    want = history(calls, before).groupBy("dt").agg(F.count(F.lit(1)).alias("want"))
+    have = history(_stored(spark, root), before).groupBy("dt").agg(F.sum("n").alias("have"))
+    bad = want.join(have, "dt", "full").filter(~F.col("want").eqNullSafe(F.col("have")))
+    return sorted(r["dt"] for r in bad.select("dt").collect())
+
+
+def refresh_totals(spark: SparkSession, calls: DataFrame, root: str, before) -> list[str]:
+    """Write the totals of every stale day before ``before`` (each day's folder
+    is replaced whole) and return those days."""
+    days = stale_days(spark, calls, root, before)
+    if days:
+        (day_totals(calls.filter(F.col("dt").isin(days))).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(root))
+    return days
+
+
+def read_totals(spark: SparkSession, calls: DataFrame, root: str, before) -> DataFrame:
+    """The stored totals of every day before ``before``; fails, naming the
+    days, if they do not match the raw calls."""
+    days = stale_days(spark, calls, root, before)
+    if days:
+        raise ValueError(f"totals under {root} do not match the calls of {len(days)} day(s): {', '.join(days[:10])}")
+    return history(_stored(spark, root), before)
+
+
+def call_edges_from_totals(totals: DataFrame, members: DataFrame | None = None, **rules) -> DataFrame:
+    """C15-C18 from daily totals (keywords as ``edges.edges_from_records``)."""
+    return edges_from_records(totals, members, **rules)
+
+
+def rank_edges_from_totals(totals: DataFrame, members: DataFrame, **rules) -> DataFrame:
+    """C22 from daily totals: every row stands for at least one call."""
+    return rank_edges(totals, members, **rules)

@@ -2,75 +2,50 @@
 
 A cohort (a one-column table of mobiles) filters the call history, which is
 the largest input by far.  Broadcasting the cohort lets every scan task drop
-non-members before any shuffle; shuffling instead would move the whole history
-twice (once per end).  The cohort grows with the user base, so it is only
-broadcast after its rows and key bytes have been measured against the
-session's broadcast threshold.  Above it, callers switch plans: the call
-graph aggregates calls per (owner, other, channel) first and runs the
-shuffle semi-joins on those aggregates (see ``edges.call_edges``), where AQE
-still splits skewed partitions.
+non-members before any shuffle.  The cohort grows with the user base, so its
+rows and key bytes are counted first and compared with a budget of its own
+(``riskgraph.broadcastBytes``; Spark's general threshold is meant for unmeasured
+sides and is far smaller).  Above the budget the cohort is reduced to a bit
+table of fixed size that drops almost all non-members in the scan stage, and
+exact shuffle semi-joins run on what is left after aggregation.
+
+Nothing is kept between calls: a cohort is a plan, read anew by every query.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskgraph.session import keep
-from riskgraph.session import release as release_kept
-
+BUDGET_CONF = "riskgraph.broadcastBytes"
+BUDGET_BYTES = 256 << 20
 # Bytes a broadcast hash relation spends per row besides the key text itself
 # (UnsafeRow header and offsets, hash-map slot).
 ROW_OVERHEAD_BYTES = 48
+# Bits of the fixed-size membership table: at most 2 ** BITS / 64 rows of two
+# longs, whatever the cohort (one million rows).
+BITS = 26
 
 
-def broadcast_limit_bytes(spark) -> int:
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    raw = str(raw).strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-             "g": 1 << 30, "gb": 1 << 30}
-    for suffix in sorted(units, key=len, reverse=True):
-        if raw.endswith(suffix) and raw[: -len(suffix)].strip().lstrip("-").isdigit():
-            return int(raw[: -len(suffix)]) * units[suffix]
-    return int(raw)
-
-
-def measure(members: DataFrame) -> tuple[DataFrame, bool]:
-    """Persist a cohort and tell whether it fits the broadcast threshold:
-    one small aggregation counts its rows and key bytes, and
-    ``rows * 48 + key bytes`` is compared with the session's
-    ``spark.sql.autoBroadcastJoinThreshold``."""
-    limit = broadcast_limit_bytes(members.sparkSession)
-    kept = keep(members)
-    if limit <= 0:
-        return kept, False
-    width = sum(F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in kept.columns)
-    rows, key_bytes = kept.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
-    return kept, rows * ROW_OVERHEAD_BYTES + key_bytes <= limit
-
+def broadcast_budget(spark: SparkSession) -> int:
+    return int(spark.conf.get(BUDGET_CONF, str(BUDGET_BYTES)))
 
-def sized(members: DataFrame, mode="auto") -> DataFrame:
-    """Return ``members`` ready for a semi-join.
 
-    ``mode``: ``'auto'`` persists the cohort (it is read once per end),
-    measures it in one small aggregation (rows and total key bytes) and adds a
-    broadcast hint only if ``rows * 48 + key bytes`` is within the session's
-    ``spark.sql.autoBroadcastJoinThreshold``; above it the shuffle semi-join
-    is used.  ``True`` always hints (the caller vouches for the bound);
-    ``False``/``None`` leaves the choice to the optimizer and AQE.
-    """
-    if mode is True:
-        return F.broadcast(members)
-    if mode != "auto":
-        return members
-    kept, fits = measure(members)
-    return F.broadcast(kept) if fits else kept
+def fits_broadcast(members: DataFrame) -> bool:
+    """Count a cohort's rows and key bytes (one small job) and tell whether
+    ``rows * 48 + key bytes`` is within the budget."""
+    limit = broadcast_budget(members.sparkSession)
+    if limit <= 0:
+        return False
+    width = sum(F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in members.columns)
+    rows, key_bytes = members.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return rows * ROW_OVERHEAD_BYTES + key_bytes <= limit
 
 
-def release() -> None:
-    """Unpersist the cohorts persisted by ``sized`` (and anything else kept
-    with ``session.keep``) after the actions that used them."""
-    release_kept()
+def sized(members: DataFrame, broadcast="auto") -> DataFrame:
+    """``members`` with a broadcast hint if ``'auto'`` and measured to fit;
+    any other mode leaves the choice to the optimizer and AQE."""
+    return F.broadcast(members) if broadcast == "auto" and fits_broadcast(members) else members
 
 
 def member_filter(df: DataFrame, members: DataFrame, on: str, key: str = "mobile") -> DataFrame:
@@ -79,3 +54,23 @@ def member_filter(df: DataFrame, members: DataFrame, on: str, key: str = "mobile
     column order of ``df`` is kept."""
     m = members.select(F.col(key).alias(on))
     return df.join(m, on, "left_semi").select(*df.columns)
+
+
+def member_bits(members: DataFrame, key: str = "mobile") -> DataFrame:
+    """Rows (word, bits): bit ``h % 64`` of word ``h / 64`` is set for the hash
+    ``h`` of every member.  At most ``2 ** BITS / 64`` rows."""
+    h = F.pmod(F.xxhash64(key), F.lit(1 << BITS)).alias("__h")
+    return (members.filter(F.col(key).isNotNull()).select(h)
+            .groupBy(F.shiftright("__h", 6).alias("__word"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, cast(__h & 63 as int))")).alias("__bits")))
+
+
+def maybe_members(df: DataFrame, bits: DataFrame, on: str) -> DataFrame:
+    """Rows of ``df`` whose ``on`` may be a member: no member is lost, and
+    non-members pass at the share of bits set.  The table has a fixed size,
+    so it is always broadcast and the rows are not shuffled."""
+    h = F.pmod(F.xxhash64(on), F.lit(1 << BITS))
+    return (df.withColumn("__h", h).withColumn("__word", F.shiftright("__h", 6))
+            .join(F.broadcast(bits), "__word")
+            .filter(F.expr("__bits & shiftleft(1L, cast(__h & 63 as int)) != 0"))
+            .select(*df.columns))

@@ -3,12 +3,8 @@
 The primary result is the long form ``(mobile, neighbour)``: distinct pairs,
 hash-partitioned on both columns, so a hub number with millions of contacts
 is spread over many tasks.  The adjacency form (one row per mobile with its
-sorted neighbours) exists only for the text sink.  It is built so that no
-group grows without bound: a mobile whose degree exceeds ``max_per_line`` is
-split into ``ceil(degree / max_per_line)`` buckets by a hash of the
-neighbour, each bucket one row (one output line that repeats the key), and
-nothing is dropped.  Below the limit, which is every mobile in ordinary data,
-a mobile is exactly one row.
+sorted neighbours) exists only for the text sink, whose format is one line per
+mobile.
 """
 
 from __future__ import annotations
@@ -17,9 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskgraph.operators.edges import reverse_edges
-from riskgraph.session import keep
 
-MAX_PER_LINE = 1_000_000
+# Partial lists of a mobile that are collected apart before they meet in its line.
+PARTS = 32
 
 
 def out_neighbours(edges: DataFrame) -> DataFrame:
@@ -32,57 +28,37 @@ def in_neighbours(edges: DataFrame) -> DataFrame:
     return out_neighbours(reverse_edges(edges.select("src", "dst")))
 
 
-def all_neighbours(edges: DataFrame) -> DataFrame:
-    """A8/U2 (long form): in- and out-neighbours merged into one set per mobile.
-
-    Both directions come out of one pass over the edges (``explode`` of the
-    pair and its reverse), so the upstream scan runs once; this is the bag
-    union of the out- and in-adjacency, then distinct."""
+def both_directions(edges: DataFrame) -> DataFrame:
+    """Bag union of the out- and in-adjacency.  Both directions come out
+    of one pass over the edges (``explode`` of the pair and its reverse)."""
     both = F.explode(F.array(
         F.struct(F.col("src").alias("mobile"), F.col("dst").alias("neighbour")),
         F.struct(F.col("dst").alias("mobile"), F.col("src").alias("neighbour"))))
-    return edges.select(both.alias("p")).select("p.mobile", "p.neighbour").distinct()
-
-
-def adjacency(pairs: DataFrame, max_per_line: int = MAX_PER_LINE, materialized: bool = False) -> DataFrame:
-    """Rows (mobile, neighbours: sorted array<string>) from distinct long-form pairs.
-
-    Degrees are counted with a partial aggregate and only the *hot* mobiles
-    (degree above ``max_per_line``) are kept: there are at most
-    ``rows / max_per_line`` of them, a proven bound, so they are broadcast.
-    A hot mobile's pairs get a bucket ``hash(neighbour) mod ceil(degree /
-    max_per_line)``, every other pair bucket 0, and the arrays are collected
-    per (mobile, bucket) after a shuffle on both, so no group holds much more
-    than ``max_per_line`` names and a hub is spread over several tasks.
-    """
-    if max_per_line < 1:
-        raise ValueError("max_per_line must be positive")
-    # Read twice (degrees, then the collection): materialise once so the
-    # upstream scan and shuffles are not run a second time (unless the
-    # caller already holds a checkpointed copy).
-    if not materialized:
-        pairs = keep(pairs)
-    hot = (pairs.groupBy("mobile").agg(F.count(F.lit(1)).alias("degree"))
-           .filter(F.col("degree") > max_per_line)
-           .select("mobile", F.ceil(F.col("degree") / F.lit(max_per_line)).alias("buckets")))
-    bucket = F.when(F.col("buckets").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64("neighbour"), F.col("buckets")))
-    return (pairs.join(F.broadcast(hot), "mobile", "left")
-            .select("mobile", "neighbour", bucket.alias("bucket"))
-            .groupBy("mobile", "bucket")
-            .agg(F.array_sort(F.collect_list("neighbour")).alias("neighbours"))
-            .select("mobile", "neighbours"))
-
-
-def one_degree(rank_edges: DataFrame, directed: bool = True, max_per_line: int = MAX_PER_LINE,
-               distinct_pairs: bool = False, materialized: bool = False) -> DataFrame:
+    return edges.select(both.alias("p")).select("p.mobile", "p.neighbour")
+
+
+def all_neighbours(edges: DataFrame) -> DataFrame:
+    """A8 (long form): in- and out-neighbours merged into one set per mobile."""
+    return both_directions(edges).distinct()
+
+
+def adjacency(pairs: DataFrame) -> DataFrame:
+    """Rows (mobile, neighbours: sorted array<string>) from distinct long-form
+    pairs, exactly one per mobile.  A mobile's names are collected in
+    ``PARTS`` hashed parts, in different tasks; only the finished parts of one
+    line meet, as its format asks."""
+    return (pairs.groupBy("mobile", F.pmod(F.xxhash64("neighbour"), F.lit(PARTS)).alias("part"))
+            .agg(F.collect_list("neighbour").alias("names"))
+            .groupBy("mobile").agg(F.array_sort(F.flatten(F.collect_list("names"))).alias("neighbours")))
+
+
+def one_degree(rank_edges: DataFrame, directed: bool = True, distinct_pairs: bool = False) -> DataFrame:
     """C23 (``directed=True``: callees per caller) and C24 (in and out merged):
     rows (mobile, neighbours) ready for the tab-separated adjacency sink.
     ``distinct_pairs=True`` says the edges are already distinct (as ranking
-    pairs are), which saves the distinct of the directed form;
-    ``materialized=True`` says they are already checkpointed or cached."""
-    if directed:
-        pairs = (rank_edges.select(F.col("src").alias("mobile"), F.col("dst").alias("neighbour"))
-                 if distinct_pairs else out_neighbours(rank_edges))
-        return adjacency(pairs, max_per_line, materialized=materialized and distinct_pairs)
-    return adjacency(all_neighbours(rank_edges), max_per_line)
+    pairs are), which saves the distinct of the directed form."""
+    if not directed:
+        return adjacency(all_neighbours(rank_edges))
+    if distinct_pairs:
+        return adjacency(rank_edges.select(F.col("src").alias("mobile"), F.col("dst").alias("neighbour")))
+    return adjacency(out_neighbours(rank_edges))

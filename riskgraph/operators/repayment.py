@@ -46,18 +46,26 @@ def overdue_info(repay: DataFrame, profile: DataFrame, day, since,
     return loans.join(users, USER_KEY).select(*OVERDUE_COLS)
 
 
+def scored_facts(overdue: DataFrame, scores: DataFrame) -> DataFrame:
+    """Distinct loan facts joined with scores on mobile (many to many),
+    one row per matching (fact, score) pair."""
+    facts = overdue.select(*OVERDUE_COLS).dropDuplicates()
+    return facts.join(scores.select("mobile", "score"), "mobile")
+
+
 def score_vs_overdue(overdue: DataFrame, scores: DataFrame) -> DataFrame:
-    """Distinct loan facts joined with scores on mobile (many to many).
+    """(score, overdue_day) of ``scored_facts``."""
+    return scored_facts(overdue, scores).select("score", "overdue_day")
 
-    Output (score, overdue_day), one row per matching (fact, score) pair."""
-    facts = overdue.select(*OVERDUE_COLS).dropDuplicates()
-    return (facts.join(scores.select("mobile", "score"), "mobile")
-            .select("score", "overdue_day"))
+
+TIES = ["overdue_day", "loan_id", "mobile"]
 
 
-def order_by_score(df: DataFrame, col: str = "score") -> DataFrame:
-    """O1: total order by a double, highest first (range-partitioned sort)."""
-    return df.orderBy(F.col(col).desc())
+def order_by_score(df: DataFrame, col: str = "score", ties=TIES) -> DataFrame:
+    """O1: total order by a double, highest first (range-partitioned sort).
+    Equal scores may come in any order; the ``ties`` columns that ``df`` has
+    order them, so the rows of one common score spread over range partitions."""
+    return df.orderBy(F.col(col).desc(), *[F.col(c) for c in ties if c in df.columns])
 
 
 def order_by_text_key(df: DataFrame, key: str) -> DataFrame:

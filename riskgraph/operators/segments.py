@@ -14,25 +14,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskgraph.functions.exprs import nz, prefixed
-from riskgraph.operators.cohorts import passed_rows
+from riskgraph.operators import cohorts
 from riskgraph.operators.membership import sized
 from riskgraph.sources.tables import snapshot
 
 
-def _loan():
-    return F.col("first_apply_loan_succ_time")
+# The rules of the lists, on the columns of a passed summary (or of one user row).
 
+def no_borrow_rule():
+    """C4: no loan."""
+    return F.col("first_apply_loan_succ_time").isNull()
 
-def _overdue():
-    return nz("max_overdue_day_cnt")
 
+def white_rule(max_overdue: int = 7, require_no_inloan: bool = True, max_prepay: int | None = None):
+    """C5 (default), C6 (``max_prepay=3``), C7 (``require_no_inloan=False``):
+    borrowed, overdue days <= ``max_overdue``."""
+    cond = ~no_borrow_rule() & (nz("max_overdue_day_cnt") <= max_overdue)
+    if require_no_inloan:
+        cond = cond & (nz("curr_inloan_cnt") == 0)
+    if max_prepay is not None:
+        cond = cond & (nz("max_prepayment_day_cnt") <= max_prepay)
+    return cond
 
-def _inloan():
-    return nz("curr_inloan_cnt")
 
+def grey_rule(above: int = 7, upto: int = 14):
+    """Borrowed, ``above`` < overdue days <= ``upto``."""
+    return ~no_borrow_rule() & (nz("max_overdue_day_cnt") > above) & (nz("max_overdue_day_cnt") <= upto)
 
-def _prepay():
-    return nz("max_prepayment_day_cnt")
+
+def black_rule(min_overdue: int = 15):
+    """C9 (default, overdue > 14) and C10 (``min_overdue=7``): borrowed,
+    overdue days >= ``min_overdue``."""
+    return ~no_borrow_rule() & (nz("max_overdue_day_cnt") >= min_overdue)
 
 
 def _mobiles(df: DataFrame, cond) -> DataFrame:
@@ -41,30 +54,22 @@ def _mobiles(df: DataFrame, cond) -> DataFrame:
 
 def passed_no_borrow(passed: DataFrame) -> DataFrame:
     """C4: passed mobiles with no loan."""
-    return _mobiles(passed, _loan().isNull())
+    return _mobiles(passed, no_borrow_rule())
 
 
-def whitelist(passed: DataFrame, max_overdue: int = 7, require_no_inloan: bool = True,
-              max_prepay: int | None = None) -> DataFrame:
-    """C5 (default), C6 (``max_prepay=3``), C7 (``require_no_inloan=False``):
-    borrowed mobiles with overdue days <= ``max_overdue``."""
-    cond = _loan().isNotNull() & (_overdue() <= max_overdue)
-    if require_no_inloan:
-        cond = cond & (_inloan() == 0)
-    if max_prepay is not None:
-        cond = cond & (_prepay() <= max_prepay)
-    return _mobiles(passed, cond)
+def whitelist(passed: DataFrame, **rule) -> DataFrame:
+    """Mobiles under ``white_rule``."""
+    return _mobiles(passed, white_rule(**rule))
 
 
-def greylist(passed: DataFrame, above: int = 7, upto: int = 14) -> DataFrame:
-    """Borrowed mobiles with ``above`` < overdue days <= ``upto``."""
-    return _mobiles(passed, _loan().isNotNull() & (_overdue() > above) & (_overdue() <= upto))
+def greylist(passed: DataFrame, **rule) -> DataFrame:
+    """Mobiles under ``grey_rule``."""
+    return _mobiles(passed, grey_rule(**rule))
 
 
-def blacklist(passed: DataFrame, min_overdue: int = 15) -> DataFrame:
-    """C9 (default, overdue > 14) and C10 (``min_overdue=7``): borrowed
-    mobiles with overdue days >= ``min_overdue``."""
-    return _mobiles(passed, _loan().isNotNull() & (_overdue() >= min_overdue))
+def blacklist(passed: DataFrame, **rule) -> DataFrame:
+    """Mobiles under ``black_rule``."""
+    return _mobiles(passed, black_rule(**rule))
 
 
 def third_party(blacklisted: DataFrame, day) -> DataFrame:
@@ -80,19 +85,26 @@ def fraud_loans(collection: DataFrame, day, label: str, channels) -> DataFrame:
             .select("loan_id"))
 
 
+def loans_in(repay: DataFrame, loans: DataFrame, day, broadcast="auto") -> DataFrame:
+    """``day``'s repayment rows whose loan id is among ``loans``.  The
+    match is on loan_id only; the channel of the loan is not compared."""
+    rows = snapshot(repay, day).select("user_id", "ds", "loan_id")
+    return rows.join(sized(loans, broadcast), "loan_id", "left_semi")
+
+
+def with_day_contact(rows: DataFrame, contact: DataFrame, day) -> DataFrame:
+    """Left join with the contacts of ``day``.  The day belongs to the
+    join, so a user without a contact row that day yields a null mobile."""
+    return rows.join(snapshot(contact, day).select("user_id", "ds", "mobile"), ["user_id", "ds"], "left")
+
+
 def fraud_history_mobiles(repay: DataFrame, collection: DataFrame, contact: DataFrame, day,
                           label: str, channels, broadcast="auto") -> DataFrame:
-    """One row per repayment row of a fraud loan, with the user's mobile.
-
-    J3: the loan match is on loan_id only (the channel of the loan is not
-    compared).  J2: the contact side is a left join whose day filter sits in
-    the join condition, so a user without a contact row yields a null mobile.
-    Rows and nulls are kept as a bag; sinks drop nulls and duplicates.
-    """
-    fraud = sized(fraud_loans(collection, day, label, channels), broadcast)
-    loans = snapshot(repay, day).select("user_id", "ds", "loan_id").join(fraud, "loan_id", "left_semi")
-    c = snapshot(contact, day).select("user_id", "ds", "mobile")
-    return loans.join(c, ["user_id", "ds"], "left").select("mobile")
+    """One row per repayment row of a fraud loan, with the user's mobile
+    (J3, then J2).  Rows and nulls are kept as a bag; sinks drop nulls and
+    duplicates."""
+    loans = loans_in(repay, fraud_loans(collection, day, label, channels), day, broadcast)
+    return with_day_contact(loans, contact, day).select("mobile")
 
 
 def merge_lists(*lists: DataFrame) -> DataFrame:
@@ -113,15 +125,33 @@ def merged_blacklist(passed: DataFrame, blacklisted: DataFrame, repay: DataFrame
 NO_BORROW, GREY, WHITE, BLACK = "applycreditNoBorrow", "borrowNotwb", "whitelist", "blacklist"
 
 
+APPLY_NOT_PASS = "applyNotPass"
+
+
+def _labels(white, extra=None):
+    rules = [(NO_BORROW, no_borrow_rule()), (GREY, grey_rule()), (WHITE, white), (BLACK, black_rule())]
+    if extra is not None:
+        name, first, rest = extra
+        return F.array_compact(F.array(F.when(first, F.lit(name)), *[F.when(rest & c, F.lit(n)) for n, c in rules]))
+    return F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in rules]))
+
+
 def list_labels(passed: DataFrame) -> DataFrame:
     """All four per-mobile lists of C27 in one pass: (list, mobile) rows."""
-    labels = F.array_compact(F.array(
-        F.when(_loan().isNull(), F.lit(NO_BORROW)),
-        F.when(_loan().isNotNull() & (_overdue() > 7) & (_overdue() <= 14), F.lit(GREY)),
-        F.when(_loan().isNotNull() & (_overdue() <= 7) & (_inloan() == 0), F.lit(WHITE)),
-        F.when(_loan().isNotNull() & (_overdue() > 14), F.lit(BLACK))))
     return (passed.filter(F.col("mobile").isNotNull())
-            .select(F.explode(labels).alias("list"), "mobile").distinct())
+            .select(F.explode(_labels(white_rule())).alias("list"), "mobile").distinct())
+
+
+def graph_lists_from(rows: DataFrame) -> DataFrame:
+    """The five lists of the graph export (list, mobile) from ``day_users``
+    rows in one aggregate per mobile: the maxima of its passed rows, whether
+    it has one, and whether some user of it applied and did not pass."""
+    passed = cohorts.has_passed()
+    per = (rows.filter(F.col("mobile").isNotNull()).groupBy("mobile").agg(
+        *[F.max(F.when(passed, F.col(c))).alias(c) for c in cohorts.LIFECYCLE[2:]],
+        F.max(passed).alias("passed"), F.max(cohorts.has_applied() & ~passed).alias("not_passed")))
+    labels = _labels(white_rule(), (APPLY_NOT_PASS, F.col("not_passed"), F.col("passed")))
+    return per.select(F.explode(labels).alias("list"), "mobile")
 
 
 def segments_per_user(profile: DataFrame, contact: DataFrame, day, prefix: str | None = "p") -> DataFrame:
@@ -129,19 +159,6 @@ def segments_per_user(profile: DataFrame, contact: DataFrame, day, prefix: str |
     row* (not per mobile), so one mobile can land in several lists.  The white
     rule here ignores the in-loan count.  Output (list, mobile), mobile
     prefixed with ``prefix``, distinct per list."""
-    rows = passed_rows(profile, contact, day)
-    labels = F.array_compact(F.array(
-        F.when(_loan().isNull(), F.lit(NO_BORROW)),
-        F.when(_loan().isNotNull() & (_overdue() > 7) & (_overdue() <= 14), F.lit(GREY)),
-        F.when(_loan().isNotNull() & (_overdue() <= 7), F.lit(WHITE)),
-        F.when(_loan().isNotNull() & (_overdue() > 14), F.lit(BLACK))))
+    rows = cohorts.passed_rows(cohorts.day_users(profile, contact, day))
     m = prefixed("mobile", prefix) if prefix else F.col("mobile")
-    return (rows.filter(F.col("mobile").isNotNull())
-            .select(F.explode(labels).alias("list"), m.alias("mobile")).distinct())
-
-
-__all__ = [
-    "passed_no_borrow", "whitelist", "greylist", "blacklist", "third_party", "fraud_loans",
-    "fraud_history_mobiles", "merge_lists", "merged_blacklist", "list_labels",
-    "segments_per_user",
-]
+    return rows.select(F.explode(_labels(white_rule(require_no_inloan=False))).alias("list"), m.alias("mobile")).distinct()

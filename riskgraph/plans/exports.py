@@ -1,147 +1,166 @@
 """File exports for the graph loader and the ranking step.
 
-Each export computes its shared intermediate once, cuts its lineage into the
-reliable checkpoint folder (``spark.checkpoint.dir``) and derives every output
-from that copy, so a lost executor never forces the history scan to be redone
-for the second output.  Days are parameters; nothing reads the clock.
+An export is a set of parts, folder name to lines (``*_parts``).  The writers
+below put each part in its folder; ``as_rows`` returns the same lines as
+(folder, line) rows.  Writers cut the lineage of what several parts share into
+the reliable checkpoint folder (``spark.checkpoint.dir``), so a lost executor
+never forces the history scan to be redone for the second output.  Days are
+parameters; nothing reads the clock, and nothing is kept after a run.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskgraph.functions.exprs import days
-from riskgraph.operators import cohorts, edges, membership, neighbours, repayment, segments
+from riskgraph.operators import cohorts, edges, neighbours, repayment, segments
 from riskgraph.operators import history_totals as H
-from riskgraph.session import cut_lineage, keep
+from riskgraph.session import cut_lineage
 from riskgraph.sinks.lines import (
     dated_path, format_adjacency_line, format_edge_line, format_mobile_line, format_overdue_line, format_pair_line,
     format_score_line, write_lines,
 )
 from riskgraph.sources.tables import OVERDUE_LINE, RANK_SCORE, history, read_delimited, snapshot
 
-APPLY_NOT_PASS = "applyNotPass"
-GRAPH_LISTS = (APPLY_NOT_PASS, segments.NO_BORROW, segments.GREY, segments.WHITE, segments.BLACK)
+APPLY_NOT_PASS = segments.APPLY_NOT_PASS
+USER_LISTS = (segments.NO_BORROW, segments.GREY, segments.WHITE, segments.BLACK)
+GRAPH_LISTS = (APPLY_NOT_PASS, *USER_LISTS)
 
+Parts = dict[str, DataFrame]
 
-def graph_lists(profile: DataFrame, contact: DataFrame, day) -> DataFrame:
-    """The five lists of the graph export as (list, mobile) rows, one pass
-    over the passed summary plus the applied-not-passed cohort."""
-    return graph_lists_from(keep(cohorts.day_users(profile, contact, day)))
 
+def _same(df: DataFrame) -> DataFrame:
+    return df
 
-def graph_lists_from(rows: DataFrame) -> DataFrame:
-    """``graph_lists`` from the day's joined user rows (``cohorts.day_users``)."""
-    not_passed = cohorts.applied_not_passed_from(rows).select(F.lit(APPLY_NOT_PASS).alias("list"), "mobile")
-    return segments.list_labels(cohorts.passed_summary_from(rows)).unionByName(not_passed)
 
+def as_rows(parts: Parts) -> DataFrame:
+    """The lines of all parts as rows (folder, line), as a writer would write them."""
+    return reduce(DataFrame.unionByName, [
+        df.select(F.lit(name).alias("folder"), "line").filter(F.col("line").isNotNull()) for name, df in parts.items()])
 
-def _write_lists(lists: DataFrame, base: str, day, names, single_file: bool) -> None:
-    for name in names:
-        write_lines(format_mobile_line(lists.filter(F.col("list") == name)),
-                    dated_path(base, day, name), single_file=single_file)
 
+def write_parts(parts: Parts, folder, single_file: bool = False, lists=()) -> None:
+    """Write each part to ``folder(name)``; with ``single_file`` the parts
+    named in ``lists`` become one file each."""
+    for name, df in parts.items():
+        write_lines(df, folder(name), single_file=single_file and name in lists)
 
-def export_lists(labelled: DataFrame, base: str, day, names, single_file: bool = False) -> None:
-    """Write a (list, mobile) table as one folder per list name under
-    ``<base>/<day>/<name>``, e.g. the per-user lists of C14
-    (``segments.segments_per_user``).  The table is cut once and each folder
-    is a filter of that copy."""
-    kept = cut_lineage(labelled.select("list", "mobile"))
-    _write_lists(kept, base, day, names, single_file)
+
+def list_parts(labelled: DataFrame, names) -> Parts:
+    """A (list, mobile) table as one part per list name."""
+    return {name: format_mobile_line(labelled.filter(F.col("list") == name)) for name in names}
 
 
 def _graph(calls, members, before, totals_root):
     if totals_root:
-        totals = H.read_totals(members.sparkSession, totals_root, before)
-        return H.call_edges_from_totals(totals, members)
+        return H.call_edges_from_totals(H.read_totals(members.sparkSession, calls, totals_root, before), members)
     return edges.call_edges(history(calls, before), members)
 
 
 def _pairs(calls, members, before, totals_root):
     if totals_root:
-        return H.rank_edges_from_totals(H.read_totals(members.sparkSession, totals_root, before), members)
+        return H.rank_edges_from_totals(H.read_totals(members.sparkSession, calls, totals_root, before), members)
     return edges.rank_edges(history(calls, before), members)
 
 
-def export_graph(profile: DataFrame, contact: DataFrame, calls: DataFrame, base: str, as_of,
-                 history_before=None, single_file: bool = False, totals_root: str | None = None) -> None:
+def graph_parts(profile: DataFrame, contact: DataFrame, calls: DataFrame, as_of, history_before=None,
+                totals_root: str | None = None, cut=_same) -> Parts:
     """Applied-not-passed, no-loan, grey, white and black lists and the
-    call graph between applicants, under ``<base>/<yesterday>``.  The call
-    history is read with ``dt < history_before`` (default today), or, with
-    ``totals_root``, the running call totals before that day are read
-    instead (``operators.history_totals``).
-
-    The day's profile and contact are joined once; the joined rows are cut
-    into the checkpoint folder and feed every list and the cohort.
-    ``single_file=True`` writes each list as one file (the lists are
-    computed in parallel, only the finished lines meet in one task); keep it
-    for lists known to be small."""
+    call graph between applicants.  The call history is read with
+    ``dt < history_before`` (default today), or, with ``totals_root``, the
+    daily call totals before that day are read instead
+    (``operators.history_totals``)."""
     today, yesterday = days(as_of)
-    rows = cut_lineage(cohorts.day_users(profile, contact, yesterday))
-    lists = cut_lineage(graph_lists_from(rows))
-    _write_lists(lists, base, yesterday, GRAPH_LISTS, single_file)
-    members = cohorts.applied_from(rows)
-    graph = _graph(calls, members, history_before or today, totals_root)
-    write_lines(format_edge_line(graph), dated_path(base, yesterday, "relationship"))
-    membership.release()
+    rows = cut(cohorts.day_users(profile, contact, yesterday))
+    graph = _graph(calls, cohorts.applied_from(rows), history_before or today, totals_root)
+    return {**list_parts(cut(segments.graph_lists_from(rows)), GRAPH_LISTS), "relationship": format_edge_line(graph)}
 
 
-def export_ranking(profile: DataFrame, contact: DataFrame, calls: DataFrame, blacklisted: DataFrame,
-                   repay: DataFrame, collection: DataFrame, base: str, as_of, label: str,
-                   channels, history_before=None, totals_root: str | None = None) -> None:
+def ranking_parts(profile: DataFrame, contact: DataFrame, calls: DataFrame, blacklisted: DataFrame, repay: DataFrame,
+                  collection: DataFrame, as_of, label: str, channels, history_before=None,
+                  totals_root: str | None = None, cut=_same) -> Parts:
     """White list, merged black list, ranking pairs and the one-degree
-    contact list under ``<base>/<yesterday>``; ``totals_root`` as in
-    ``export_graph``."""
+    contact list; ``totals_root`` as in ``graph_parts``."""
     today, yesterday = days(as_of)
-    rows = cut_lineage(cohorts.day_users(profile, contact, yesterday))
-    passed = cut_lineage(cohorts.passed_summary_from(rows))
-    write_lines(format_mobile_line(segments.whitelist(passed)), dated_path(base, yesterday, "whitelist"))
+    rows = cut(cohorts.day_users(profile, contact, yesterday))
+    passed = cut(cohorts.passed_summary_from(rows))
     black = segments.merged_blacklist(passed, blacklisted, repay, collection, contact, yesterday, label, channels)
-    write_lines(format_mobile_line(black), dated_path(base, yesterday, "blacklist"))
-    members = cohorts.applied_from(rows)
-    pairs = cut_lineage(_pairs(calls, members, history_before or today, totals_root))
-    write_lines(format_pair_line(pairs), dated_path(base, yesterday, "relationship"))
-    write_lines(format_adjacency_line(neighbours.one_degree(pairs, distinct_pairs=True, materialized=True)),
-                dated_path(base, yesterday, "onedegree"))
-    membership.release()
+    pairs = cut(_pairs(calls, cohorts.applied_from(rows), history_before or today, totals_root))
+    return {"whitelist": format_mobile_line(segments.whitelist(passed)), "blacklist": format_mobile_line(black),
+            "relationship": format_pair_line(pairs),
+            "onedegree": format_adjacency_line(neighbours.one_degree(pairs, distinct_pairs=True))}
+
+
+def snapshot_parts(profile: DataFrame, contact: DataFrame, calls: DataFrame, day, history_before,
+                   totals_root: str | None = None, cut=_same) -> Parts:
+    """Strict white list, wide black list and ranking pairs for a fixed past ``day``."""
+    rows = cut(cohorts.day_users(profile, contact, day))
+    passed = cut(cohorts.passed_summary_from(rows))
+    pairs = _pairs(calls, cohorts.applied_from(rows), history_before, totals_root)
+    return {"whitelist": format_mobile_line(segments.whitelist(passed, max_prepay=3)),
+            "blacklist": format_mobile_line(segments.blacklist(passed, min_overdue=7)),
+            "relationship": format_pair_line(pairs)}
+
+
+def call_graph_parts(graph: DataFrame, cut=_same) -> Parts:
+    """Edge lines and the node list of a call graph."""
+    graph = cut(graph)
+    return {"relationship": format_edge_line(graph), "person": format_mobile_line(edges.persons(graph))}
+
+
+def export_lists(labelled: DataFrame, base: str, day, names, single_file: bool = False) -> None:
+    """Write a (list, mobile) table as one folder per list name under
+    ``<base>/<day>/<name>``, e.g. the per-user lists of C14."""
+    kept = cut_lineage(labelled.select("list", "mobile"))
+    write_parts(list_parts(kept, names), lambda n: dated_path(base, day, n), single_file, names)
+
+
+def export_graph(profile: DataFrame, contact: DataFrame, calls: DataFrame, base: str, as_of, history_before=None,
+                 single_file: bool = False, totals_root: str | None = None) -> None:
+    """C27 under ``<base>/<yesterday>``.  ``single_file=True`` writes each list
+    as one file (the lists are computed in parallel, only the finished lines
+    meet in one task); keep it for lists known to be small."""
+    _, yesterday = days(as_of)
+    write_parts(graph_parts(profile, contact, calls, as_of, history_before, totals_root, cut_lineage),
+                lambda n: dated_path(base, yesterday, n), single_file, GRAPH_LISTS)
+
+
+def export_ranking(profile: DataFrame, contact: DataFrame, calls: DataFrame, blacklisted: DataFrame,
+                   repay: DataFrame, collection: DataFrame, base: str, as_of, label: str,
+                   channels, history_before=None, totals_root: str | None = None) -> None:
+    """C28 under ``<base>/<yesterday>``."""
+    _, yesterday = days(as_of)
+    write_parts(ranking_parts(profile, contact, calls, blacklisted, repay, collection, as_of, label, channels,
+                              history_before, totals_root, cut_lineage), lambda n: dated_path(base, yesterday, n))
 
 
 def export_ranking_snapshot(profile: DataFrame, contact: DataFrame, calls: DataFrame, base: str, day,
                             history_before, totals_root: str | None = None) -> None:
-    """Strict white list, wide black list and ranking pairs for a fixed
-    past ``day``, under ``<base>/<name>``; ``totals_root`` as in
-    ``export_graph``."""
-    rows = cut_lineage(cohorts.day_users(profile, contact, day))
-    passed = cut_lineage(cohorts.passed_summary_from(rows))
-    write_lines(format_mobile_line(segments.whitelist(passed, max_prepay=3)), f"{base}/whitelist")
-    write_lines(format_mobile_line(segments.blacklist(passed, min_overdue=7)), f"{base}/blacklist")
-    members = cohorts.applied_from(rows)
-    pairs = _pairs(calls, members, history_before, totals_root)
-    write_lines(format_pair_line(pairs), f"{base}/relationship")
-    membership.release()
+    """C29 under ``<base>/<name>``."""
+    write_parts(snapshot_parts(profile, contact, calls, day, history_before, totals_root, cut_lineage),
+                lambda n: f"{base}/{n}")
 
 
 def export_call_graph(graph: DataFrame, base: str, day) -> None:
-    """Edge lines and the node list of a call graph under ``<base>/<day>``."""
-    kept = cut_lineage(graph)
-    write_lines(format_edge_line(kept), dated_path(base, day, "relationship"))
-    write_lines(format_mobile_line(edges.persons(kept)), dated_path(base, day, "person"))
-    membership.release()
+    """C30 under ``<base>/<day>``."""
+    write_parts(call_graph_parts(graph, cut_lineage), lambda n: dated_path(base, day, n))
 
 
 def daily_call_graph(apply: DataFrame, contact: DataFrame, calls: DataFrame, day,
-                     after=None, min_n: int = 2) -> DataFrame:
+                     after=None, min_n: int = 2, others: DataFrame | None = None) -> DataFrame:
     """C19 + C20: the call graph of one day's calls between that day's new
-    applicants (both ends new)."""
+    applicants.  With ``others`` the record owner is a new applicant and the
+    other end one of ``others`` (the second reading of the increment job)."""
     new = cohorts.incremental_applicants(apply, contact, day, after)
-    return edges.call_edges(snapshot(calls, day), new, min_n=min_n)
+    return edges.call_edges(snapshot(calls, day), new, dst_members=others, min_n=min_n)
 
 
 def export_overdue_info(repay: DataFrame, profile: DataFrame, out: str, as_of, since, decode=None) -> None:
     """C25 + K7: loan overdue lines ``loan_id,ds,mobile,early_day,overdue_day``
-    for the snapshot of the day before ``as_of``."""
+    of loans created since ``since``, for the snapshot of the day before ``as_of``."""
     _, yesterday = days(as_of)
     facts = repayment.overdue_info(repay, profile, yesterday, since, decode=decode)
     write_lines(format_overdue_line(facts), out)
@@ -153,34 +172,18 @@ def export_score_vs_overdue(spark, overdue_path: str, scores_path: str, out: str
     files are range-partitioned in that order)."""
     facts = read_delimited(spark, overdue_path, OVERDUE_LINE)
     scores = read_delimited(spark, scores_path, RANK_SCORE)
-    ranked = repayment.order_by_score(repayment.score_vs_overdue(facts, scores))
-    write_lines(format_score_line(ranked), out)
+    write_lines(format_score_line(repayment.order_by_score(repayment.scored_facts(facts, scores))), out)
 
 
 def export_day(profile: DataFrame, contact: DataFrame, calls: DataFrame, blacklisted: DataFrame,
                repay: DataFrame, collection: DataFrame, graph_base: str, ranking_base: str, as_of,
                label: str, channels, totals_root: str, single_file: bool = False) -> None:
-    """One daily run of the graph (C27) and ranking (C28) exports sharing
-    their inputs: the day's users are joined once, the running call totals
-    are rolled by yesterday's calls (the only raw calls read), and both the
-    call graph and the ranking pairs come from those totals.  Writes the
-    same files as ``export_graph`` and ``export_ranking`` with the history
-    read before today."""
-    today, yesterday = days(as_of)
-    spark = profile.sparkSession
-    H.roll_stored_totals(spark, calls, totals_root, yesterday)
-    totals = H.read_totals(spark, totals_root, today)
-    rows = cut_lineage(cohorts.day_users(profile, contact, yesterday))
-    members = keep(cohorts.applied_from(rows))
-    _write_lists(cut_lineage(graph_lists_from(rows)), graph_base, yesterday, GRAPH_LISTS, single_file)
-    write_lines(format_edge_line(H.call_edges_from_totals(totals, members)),
-                dated_path(graph_base, yesterday, "relationship"))
-    passed = cut_lineage(cohorts.passed_summary_from(rows))
-    write_lines(format_mobile_line(segments.whitelist(passed)), dated_path(ranking_base, yesterday, "whitelist"))
-    black = segments.merged_blacklist(passed, blacklisted, repay, collection, contact, yesterday, label, channels)
-    write_lines(format_mobile_line(black), dated_path(ranking_base, yesterday, "blacklist"))
-    pairs = cut_lineage(H.rank_edges_from_totals(totals, members))
-    write_lines(format_pair_line(pairs), dated_path(ranking_base, yesterday, "relationship"))
-    write_lines(format_adjacency_line(neighbours.one_degree(pairs, distinct_pairs=True, materialized=True)),
-                dated_path(ranking_base, yesterday, "onedegree"))
-    membership.release()
+    """One daily run of the graph (C27) and ranking (C28) exports.  The daily
+    call totals are brought up to today first (yesterday's calls and any day
+    that changed), and both graphs are computed from them.  Writes the same
+    files as the two exports with the history read before today."""
+    today, _ = days(as_of)
+    H.refresh_totals(profile.sparkSession, calls, totals_root, today)
+    export_graph(profile, contact, calls, graph_base, as_of, single_file=single_file, totals_root=totals_root)
+    export_ranking(profile, contact, calls, blacklisted, repay, collection, ranking_base, as_of, label, channels,
+                   totals_root=totals_root)

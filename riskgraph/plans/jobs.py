@@ -20,10 +20,12 @@ if __package__ in (None, ""):
 from pyspark.sql import SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from riskgraph.functions.exprs import FRAUD_CHANNELS, FRAUD_LABEL, days  # noqa: E402
+from riskgraph.functions.exprs import ANY11, FRAUD_CHANNELS, FRAUD_LABEL, LOOSE, PREFIX, days  # noqa: E402
+from riskgraph.operators import cohorts, edges, segments  # noqa: E402
 from riskgraph.plans import exports  # noqa: E402
-from riskgraph.session import BASE_CONF  # noqa: E402
-from riskgraph.sources.tables import history  # noqa: E402
+from riskgraph.session import prepare  # noqa: E402
+from riskgraph.sinks.lines import dated_path, format_edge_line  # noqa: E402
+from riskgraph.sources.tables import history, snapshot  # noqa: E402
 
 
 def _decoder(name: str | None):
@@ -51,31 +53,50 @@ def run(spark: SparkSession, job: str, base: str, as_of: str, tables: dict, *, b
         exports.export_day(t["user_profile"], t["user_contact"], t["call_detail"], t["third_party_blacklist"],
                            t["repay_plan"], t["collection_record"], f"{base}/graph", f"{base}/ranking",
                            as_of, label, channels, totals or f"{base}/call_totals")
-    elif job == "roll-totals":
-        from riskgraph.operators.history_totals import roll_stored_totals
-        roll_stored_totals(spark, t["call_detail"], totals or f"{base}/call_totals", yesterday)
+    elif job == "totals":
+        from riskgraph.operators.history_totals import refresh_totals
+        refresh_totals(spark, t["call_detail"], totals or f"{base}/call_totals", today)
     elif job == "ranking-snapshot":
         exports.export_ranking_snapshot(t["user_profile"], t["user_contact"], t["call_detail"], base,
                                         yesterday, before or today, totals_root=totals)
+    elif job == "lists":
+        labelled = segments.segments_per_user(t["user_profile"], t["user_contact"], yesterday)
+        exports.export_lists(labelled, base, yesterday, exports.USER_LISTS)
     elif job == "call-graph":
-        from riskgraph.operators import cohorts, edges
         members = cohorts.applied(t["user_profile"], t["user_contact"], yesterday)
         graph = edges.call_edges(history(t["call_detail"], before or yesterday), members)
         exports.export_call_graph(graph, base, today)
-    elif job == "increment":
-        graph = exports.daily_call_graph(t["credit_apply"], t["user_contact"], t["call_detail"], yesterday, after)
+    elif job == "call-graph-loose":
+        graph = edges.call_edges(history(t["call_detail"], before or today), pattern=LOOSE, prefix=PREFIX)
+        exports.export_call_graph(graph, base, today)
+    elif job in ("call-graph-owner", "call-graph-passed"):
+        members = cohorts.passed_summary(t["user_profile"], t["user_contact"], yesterday).select("mobile")
+        calls = history(t["call_detail"], before or today)
+        graph = (edges.call_edges(calls, members, ends="owner") if job == "call-graph-owner"
+                 else edges.call_edges(calls, members, pattern=ANY11, check="history"))
+        exports.write_parts({"relationship": format_edge_line(graph)}, lambda n: dated_path(base, yesterday, n))
+    elif job in ("increment", "increment-mixed"):
+        others = (cohorts.applied(t["user_profile"], t["user_contact"], yesterday)
+                  if job == "increment-mixed" else None)
+        graph = exports.daily_call_graph(t["credit_apply"], t["user_contact"], t["call_detail"], yesterday, after,
+                                         others=others)
+        exports.export_call_graph(graph, base, yesterday)
+    elif job == "increment-loose":
+        graph = edges.call_edges(snapshot(t["call_detail"], yesterday), pattern=LOOSE, prefix=PREFIX, min_n=1)
         exports.export_call_graph(graph, base, yesterday)
     elif job == "overdue":
+        if not since:
+            raise ValueError("the overdue job needs --since, the day from which loans count")
         exports.export_overdue_info(t["repay_plan"], t["user_profile"], out or f"{base}/overdue", as_of,
-                                    since or yesterday, _decoder(decode))
+                                    since, _decoder(decode))
     elif job == "scores":
         exports.export_score_vs_overdue(spark, overdue_path, scores_path, out or f"{base}/scores")
     else:
         raise ValueError(f"unknown job {job}")
 
 
-JOBS = ("graph", "ranking", "ranking-snapshot", "call-graph", "increment", "overdue", "scores", "roll-totals",
-        "day")
+JOBS = ("graph", "ranking", "ranking-snapshot", "lists", "call-graph", "call-graph-loose", "call-graph-owner",
+        "call-graph-passed", "increment", "increment-mixed", "increment-loose", "overdue", "scores", "totals", "day")
 
 
 def main(argv=None) -> None:
@@ -87,17 +108,16 @@ def main(argv=None) -> None:
     ap.add_argument("--before", help="read call history with dt < this day")
     ap.add_argument("--label", default=FRAUD_LABEL)
     ap.add_argument("--channels", help="comma-separated fraud channels")
-    ap.add_argument("--since", help="loans created on or after this day")
+    ap.add_argument("--since", help="overdue: loans created on or after this day (required there)")
     ap.add_argument("--decode", help="catalog function that decodes mobile_encode")
     ap.add_argument("--after", help="new applicants apply after this day")
     ap.add_argument("--out")
     ap.add_argument("--overdue-path")
     ap.add_argument("--scores-path")
-    ap.add_argument("--totals", help="root of the running call totals (read by graph/ranking, extended by roll-totals)")
+    ap.add_argument("--totals", help="root of the daily call totals (read by graph/ranking, brought up to date by totals and day)")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"riskgraph-{a.job}").getOrCreate()
-    for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"):
-        spark.conf.set(k, BASE_CONF[k])
+    prepare(spark)
     tables = dict(t.split("=", 1) for t in a.table)
     channels = tuple(a.channels.split(",")) if a.channels else FRAUD_CHANNELS
     run(spark, a.job, a.base, a.as_of, tables, before=a.before, label=a.label, channels=channels,

@@ -52,10 +52,16 @@ call_rows AS (
          CASE WHEN l_returnflag = 'R' THEN '012001002' ELSE '012001001' END AS call_channel,
          CASE WHEN l_linenumber = 5 THEN NULL WHEN l_linenumber = 6 THEN 'n/a'
               ELSE CAST(CAST(trunc(l_quantity) AS INTEGER) * 60 AS VARCHAR) END AS call_time,
-         l_shipdate
+         l_shipdate, l_linenumber, l_suppkey, l_returnflag, l_linestatus
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 call_detail AS (
   SELECT mobile, other_mobile, call_channel, call_time, strftime(l_shipdate, '%Y-%m-%d') AS dt FROM call_rows),
+call_detail_dirty AS (
+  SELECT mobile,
+         CASE WHEN l_linenumber = 6 THEN '1' || lpad(CAST(l_suppkey AS VARCHAR), 7, '0') ELSE other_mobile END AS other_mobile,
+         CASE WHEN l_linenumber = 4 AND l_linestatus = 'F' AND l_returnflag <> 'R' THEN '012001009'
+              ELSE call_channel END AS call_channel,
+         call_time, strftime(l_shipdate, '%Y-%m-%d') AS dt FROM call_rows),
 call_detail_year AS (
   SELECT mobile, other_mobile, call_channel, call_time,
          strftime(date_trunc('year', l_shipdate), '%Y-%m-%d') AS dt FROM call_rows),
@@ -68,12 +74,13 @@ repay_plan AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey),
 collection_record AS (
   SELECT o_orderkey AS loan_id, c_mktsegment AS ds,
-         CASE WHEN o_orderpriority = '5-LOW' THEN 'FRAUD' ELSE 'OTHER' END AS loan_name, '2001-08-31' AS dt
-  FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 450000),
+         CASE WHEN o_orderpriority = '5-LOW' AND o_totalprice > 450000 THEN 'FRAUD' ELSE 'OTHER' END AS loan_name,
+         '2001-08-31' AS dt
+  FROM orders JOIN customer ON o_custkey = c_custkey),
 third_party_blacklist AS (
   SELECT {_m('c_custkey')} AS mobile,
-         CASE WHEN c_custkey % 5 = 4 THEN '2001-08-30' ELSE '2001-08-31' END AS dt
-  FROM customer WHERE c_nationkey = 3),
+         CASE WHEN c_nationkey <> 3 OR c_custkey % 5 = 4 THEN '2001-08-30' ELSE '2001-08-31' END AS dt
+  FROM customer),
 credit_apply AS (
   SELECT o_custkey AS user_id, c_mktsegment AS ds, o_orderdate AS apply_time, '2001-08-31' AS dt
   FROM orders JOIN customer ON o_custkey = c_custkey),
@@ -95,25 +102,30 @@ passed AS (
          max(max_prepayment_day_cnt) AS max_prepayment_day_cnt
   FROM passed_rows WHERE mobile IS NOT NULL GROUP BY mobile),
 history AS (SELECT * FROM call_detail WHERE dt < {DAY}),
+history_to_today AS (SELECT * FROM call_detail WHERE dt < {TODAY}),
+dirty_history AS (SELECT * FROM call_detail_dirty WHERE dt < {DAY}),
+known_dirty AS (SELECT * FROM call_detail_dirty WHERE dt < {TODAY} AND call_channel IN ('012001001', '012001002')),
 new_applicants AS (
   SELECT DISTINCT c.mobile FROM credit_apply a JOIN user_contact c ON a.user_id = c.user_id AND a.ds = c.ds
   WHERE a.dt = '2001-08-31' AND c.dt = '2001-08-31' AND CAST(a.apply_time AS VARCHAR) > '2001-06-01'
     AND c.mobile IS NOT NULL),
+fraud_ids AS (
+  SELECT DISTINCT loan_id FROM collection_record
+  WHERE dt = {DAY} AND ds IN ('BUILDING', 'AUTOMOBILE') AND loan_name = 'FRAUD'),
+day_contact AS (SELECT user_id, ds, mobile FROM user_contact WHERE dt = {DAY}),
 fraud AS (
-  SELECT b.mobile AS mobile FROM
-    (SELECT user_id, ds, loan_id FROM repay_plan
-     WHERE dt = {DAY} AND loan_id IN (SELECT loan_id FROM collection_record
-                                      WHERE loan_name = 'FRAUD' AND dt = {DAY} AND ds IN ('BUILDING', 'AUTOMOBILE'))) a
-  LEFT JOIN user_contact b ON b.user_id = a.user_id AND a.ds = b.ds AND b.dt = {DAY}),
+  SELECT k.mobile FROM repay_plan r SEMI JOIN fraud_ids USING (loan_id) LEFT JOIN day_contact k USING (user_id, ds)
+  WHERE r.dt = {DAY}),
+counted_plans AS (
+  SELECT * FROM repay_plan
+  WHERE dt = {DAY} AND create_time >= TIMESTAMP '1998-10-01 00:00:00'
+    AND (due_day < TIMESTAMP '2001-09-01 00:00:00' OR repay_status = '002005002')),
+loan_maxima AS (
+  SELECT ds, user_id, loan_id, max(overdue_day) AS overdue_day, max(early_day) AS early_day
+  FROM counted_plans GROUP BY ALL),
 overdue AS (
-  SELECT a.loan_id, a.ds, b.mobile, a.early_day, a.overdue_day FROM
-    (SELECT loan_id, user_id, ds, max(early_day) AS early_day, max(overdue_day) AS overdue_day
-     FROM repay_plan
-     WHERE dt = {DAY} AND CAST(create_time AS DATE) >= DATE '1998-10-01'
-       AND (repay_status = '002005002' OR CAST(due_day AS DATE) <= DATE '2001-08-31')
-     GROUP BY loan_id, user_id, ds) a
-  JOIN (SELECT user_id, ds, reverse(mobile_encode) AS mobile FROM user_profile WHERE dt = {DAY}) b
-    ON a.user_id = b.user_id AND a.ds = b.ds),
+  SELECT m.loan_id, m.ds, reverse(p.mobile_encode) AS mobile, m.early_day, m.overdue_day
+  FROM user_profile p JOIN loan_maxima m USING (user_id, ds) WHERE p.dt = {DAY}),
 oriented_valid AS (
   SELECT CASE WHEN call_channel = '012001001' THEN mobile WHEN call_channel = '012001002' THEN other_mobile END AS src,
          CASE WHEN call_channel = '012001001' THEN other_mobile WHEN call_channel = '012001002' THEN mobile END AS dst,
@@ -133,7 +145,7 @@ rank_pairs AS (
   SELECT DISTINCT src, dst FROM
     (SELECT CASE WHEN call_channel = '012001001' THEN mobile WHEN call_channel = '012001002' THEN other_mobile END AS src,
             CASE WHEN call_channel = '012001001' THEN other_mobile WHEN call_channel = '012001002' THEN mobile END AS dst
-     FROM history)
+     FROM history_to_today)
   WHERE src IN (SELECT mobile FROM applied) AND dst IN (SELECT mobile FROM applied)
     AND regexp_full_match(src, '1[0-9]{{10}}') AND regexp_full_match(dst, '1[0-9]{{10}}'))
 """
@@ -174,6 +186,9 @@ ANY11 = "[0-9]{11}"
 C15 = _edges("history", "mobile IN (SELECT mobile FROM applied) AND other_mobile IN (SELECT mobile FROM applied)",
              STRICT)
 
+C15_TODAY = _edges("history_to_today",
+                   "mobile IN (SELECT mobile FROM applied) AND other_mobile IN (SELECT mobile FROM applied)", STRICT)
+
 
 def _list(cond: str) -> str:
     return f"SELECT DISTINCT mobile FROM passed WHERE {cond}"
@@ -215,10 +230,14 @@ SELECT DISTINCT list, 'p' || mobile AS mobile FROM (
   UNION ALL SELECT 'blacklist', mobile FROM passed_rows WHERE {LOAN} AND {OD} > 14)
 WHERE mobile IS NOT NULL"""),
     "c15_call_edges": _q(C15),
-    "c16_call_edges_loose": _q(_edges("history", "TRUE", LOOSE, prefix="p")),
-    "c17_call_edges_owner": _q(_edges("history", "mobile IN (SELECT mobile FROM passed)", STRICT)),
+    "c16_call_edges_loose": _q(_edges("history_to_today", "TRUE", LOOSE, prefix="p")),
+    "c15_call_edges_to_today": _q(C15_TODAY),
+    "c15_call_edges_shuffled": _q(C15),
+    "c22_rank_edges_shuffled": _q("SELECT src, dst FROM rank_pairs"),
+    "c16_call_edges_loose_drop": _q(_edges("known_dirty", "TRUE", LOOSE, prefix="p")),
+    "c17_call_edges_owner": _q(_edges("history_to_today", "mobile IN (SELECT mobile FROM passed)", STRICT)),
     "c18_call_edges_passed": _q(_edges(
-        "history", "mobile IN (SELECT mobile FROM passed) AND other_mobile IN (SELECT mobile FROM passed)", ANY11)),
+        "history_to_today", "mobile IN (SELECT mobile FROM passed) AND other_mobile IN (SELECT mobile FROM passed)", ANY11)),
     "c19_incremental_applicants": _q("SELECT mobile FROM new_applicants"),
     "c20_incremental_edges": _q(_edges(
         "call_detail_year", "dt = '2001-01-01' AND mobile IN (SELECT mobile FROM new_applicants) "
@@ -293,12 +312,12 @@ WHERE dt = {DAY} AND CAST(create_time AS DATE) >= DATE '1998-10-01'
                          "AND ds IN ('BUILDING', 'AUTOMOBILE')"),
     "f5_later_than_day": _q(f"SELECT user_id, ds FROM credit_apply WHERE dt = {DAY} "
                             "AND CAST(apply_time AS VARCHAR) > '2001-06-01'"),
-    "f6_valid_pairs": _q(f"SELECT mobile, other_mobile FROM history WHERE regexp_full_match(mobile, '{STRICT}') "
+    "f6_valid_pairs": _q(f"SELECT mobile, other_mobile FROM dirty_history WHERE regexp_full_match(mobile, '{STRICT}') "
                          f"AND regexp_full_match(other_mobile, '{STRICT}')"),
     "f7_valid_pairs_loose": _q(f"""
-SELECT 'p' || mobile AS mobile, 'p' || other_mobile AS other_mobile FROM history
+SELECT 'p' || mobile AS mobile, 'p' || other_mobile AS other_mobile FROM dirty_history
 WHERE regexp_full_match('p' || mobile, '{LOOSE}') AND regexp_full_match('p' || other_mobile, '{LOOSE}')"""),
-    "f8_valid_pairs_any11": _q(f"SELECT mobile, other_mobile FROM history WHERE regexp_full_match(mobile, '{ANY11}') "
+    "f8_valid_pairs_any11": _q(f"SELECT mobile, other_mobile FROM dirty_history WHERE regexp_full_match(mobile, '{ANY11}') "
                                f"AND regexp_full_match(other_mobile, '{ANY11}')"),
     "f9_min_calls": _q("SELECT src, dst, count(*) AS calls FROM oriented_valid GROUP BY src, dst HAVING count(*) >= 2"),
     "j1_with_contact": _q(f"""
@@ -336,15 +355,20 @@ FROM repay_plan WHERE dt = {DAY} GROUP BY loan_id, user_id, ds"""),
     "a8_all_neighbours": _q("""
 SELECT DISTINCT mobile, neighbour FROM (SELECT src AS mobile, dst AS neighbour FROM rank_pairs
                                       UNION ALL SELECT dst, src FROM rank_pairs)"""),
-    "u1_merge_lists": _q(f"SELECT DISTINCT mobile FROM passed WHERE ({WHITE}) OR ({GREY}) OR ({BLACK})"),
+    "u1_merge_lists": _q(f"SELECT DISTINCT mobile FROM passed WHERE {LOAN}"),
     "u2_union_adjacency": _q("""
 SELECT src AS mobile, dst AS neighbour FROM rank_pairs UNION ALL SELECT dst, src FROM rank_pairs"""),
     "x1_digits_or_zero": _q("""
 SELECT call_time, CASE WHEN regexp_full_match(call_time, '[0-9]+') THEN CAST(call_time AS DOUBLE) ELSE 0.0 END
        AS duration FROM history"""),
     "x2_two_decimals": _q(f"SELECT src, dst, mean_text FROM ({A3})"),
-    "x3_concat": _q(f"SELECT src || ',' || dst || ',CALL_OUT,' || CAST(calls AS VARCHAR) || ',' || mean_text AS line "
-                    f"FROM ({C15})"),
+    "x3_concat": _q(f"SELECT CAST(user_id AS VARCHAR) || ',' || ds || ',' || mobile AS line "
+                    f"FROM user_contact WHERE dt = {DAY}"),
+    "s4_read_delimited": _q("SELECT loan_id, ds, mobile, early_day, overdue_day FROM overdue"),
+    "k1_write_lines": _q(f"SELECT mobile AS value FROM passed WHERE {WHITE}"),
+    "k2_one_file": _q(f"SELECT CAST(1 AS BIGINT) AS files, count(*) AS lines FROM passed WHERE {WHITE}"),
+    "p2_orient_calls_drop": _q(f"SELECT {ORIENT}, call_time FROM dirty_history "
+                               "WHERE call_channel IN ('012001001', '012001002')"),
     "x4_prefixed": _q(f"SELECT user_id, 'p' || mobile AS mobile FROM user_contact WHERE dt = {DAY}"),
     "x5_clean_phone_a": _q("""
 SELECT raw, CASE WHEN contains(raw, 'p0086') THEN replace(replace(raw, 'p0086', 'p'), ';cpc', '')
@@ -380,5 +404,39 @@ SELECT CAST(score AS VARCHAR) || ',' || coalesce(CAST(overdue_day AS VARCHAR), '
 })
 
 
+def _lines(edges: str) -> str:
+    return f"SELECT src || ',' || dst || ',CALL_OUT,' || CAST(calls AS VARCHAR) || ',' || mean_text FROM ({edges})"
+
+
+def _parts(parts: dict[str, str]) -> str:
+    return _q(" UNION ALL ".join(f"SELECT '{name}' AS folder, line FROM ({sql}) t(line)" for name, sql in parts.items()))
+
+
+PAIR_LINES = "SELECT src || ',' || dst FROM rank_pairs"
+ORACLE.update({
+    "c27_graph_lines": _parts({
+        "applyNotPass": f"""SELECT DISTINCT c.mobile FROM user_profile p JOIN day_contact c USING (user_id, ds)
+WHERE p.dt = {DAY} AND p.first_apply_credit_time IS NOT NULL AND p.first_apply_credit_succ_time IS NULL""",
+        "applycreditNoBorrow": f"SELECT mobile FROM passed WHERE NOT ({LOAN})",
+        "borrowNotwb": f"SELECT mobile FROM passed WHERE {GREY}",
+        "whitelist": f"SELECT mobile FROM passed WHERE {WHITE}",
+        "blacklist": f"SELECT mobile FROM passed WHERE {BLACK}",
+        "relationship": _lines(C15_TODAY)}),
+    "c28_ranking_lines": _parts({
+        "whitelist": f"SELECT mobile FROM passed WHERE {WHITE}",
+        "blacklist": f"""SELECT mobile FROM passed WHERE {BLACK} UNION SELECT mobile FROM fraud WHERE mobile IS NOT NULL
+UNION SELECT mobile FROM third_party_blacklist WHERE dt = {DAY}""",
+        "relationship": PAIR_LINES,
+        "onedegree": "SELECT src || chr(9) || string_agg(dst, chr(9) ORDER BY dst) FROM rank_pairs GROUP BY src"}),
+    "c29_snapshot_lines": _parts({
+        "whitelist": f"SELECT mobile FROM passed WHERE {WHITE} AND coalesce(max_prepayment_day_cnt, 0) <= 3",
+        "blacklist": f"SELECT mobile FROM passed WHERE {LOAN} AND {OD} >= 7",
+        "relationship": PAIR_LINES}),
+    "c30_call_graph_lines": _parts({
+        "relationship": _lines(C15),
+        "person": f"SELECT src FROM ({C15}) UNION SELECT dst FROM ({C15})"}),
+})
+
+
 def oracle() -> dict[str, str]:
     return dict(ORACLE)

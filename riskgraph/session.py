@@ -1,4 +1,4 @@
-"""Spark session settings shared by tests, the bench and the query catalog.
+"""Session settings shared by tests, the bench and the query catalog.
 
 On a cluster the session already exists and carries its own settings; the
 helpers here only fill in what is missing (local runs and tests).
@@ -8,8 +8,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on.  AQE re-plans at runtime: it turns a
@@ -24,28 +24,15 @@ BASE_CONF = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.ansi.enabled": "true",
 }
+# Of them, those that results depend on or that a running session may set.
+RUNTIME_CONF = ("spark.sql.session.timeZone", "spark.sql.ansi.enabled",
+                "spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
 
 
-def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
-               target_partition_bytes: int = 256 << 20) -> dict:
-    """Settings sized for a cluster run over ``input_bytes`` of input.
-
-    Shuffle partitions start at ``input / target`` (at least two waves of the
-    cluster's cores) and AQE coalesces them down to the advisory size at
-    runtime, so a 100 TB history gets about 400k map outputs merged into
-    256 MB reducer partitions, and small days do not pay for them.
-    """
-    cores = max(1, executors * cores_per_executor)
-    partitions = max(2 * cores, -(-input_bytes // target_partition_bytes))
-    return {
-        **BASE_CONF,
-        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.files.maxPartitionBytes": str(min(target_partition_bytes, 512 << 20)),
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
-    }
+def prepare(spark: SparkSession) -> None:
+    """Settings that right answers need; a session that refuses them fails here."""
+    for k in RUNTIME_CONF:
+        spark.conf.set(k, BASE_CONF[k])
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
@@ -88,23 +75,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-_KEPT: list[DataFrame] = []
-
-
-def keep(df: DataFrame) -> DataFrame:
-    """Persist ``df`` (memory, spilling to disk) because the plan reads it
-    more than once; lost blocks are recomputed from lineage.  Tracked so a
-    job can ``release()`` everything it kept."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _KEPT.append(kept)
-    return kept
-
-
-def release() -> None:
-    """Unpersist every DataFrame kept with ``keep`` (call after the actions
-    that used them)."""
-    while _KEPT:
-        _KEPT.pop().unpersist()
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

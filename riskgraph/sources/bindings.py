@@ -35,7 +35,8 @@ FRAUD_SEGMENTS = ("BUILDING", "AUTOMOBILE")
 INCREMENT_DAY = "2001-08-31"
 INCREMENT_AFTER = "2001-06-01"
 YEAR_DAY = "2001-01-01"
-HISTORY_BEFORE = DAY          # call history is read with dt < this day
+HISTORY_BEFORE = DAY          # call history of the person graph is read with dt < this day
+HISTORY_TO_TODAY = AS_OF      # that of all other graphs with dt < this day
 LOANS_SINCE = "1998-10-01"
 
 
@@ -87,7 +88,7 @@ def user_profile(customer: DataFrame, orders: DataFrame) -> DataFrame:
                 F.reverse(user_mobile(k)).alias("mobile_encode")))
 
 
-def _calls(orders: DataFrame, lineitem: DataFrame, dt: Column) -> DataFrame:
+def _calls(orders: DataFrame, lineitem: DataFrame, dt: Column, *extra: str) -> DataFrame:
     ln = F.col("l_linenumber")
     return (lineitem.join(orders, lineitem["l_orderkey"] == orders["o_orderkey"])
             .select(
@@ -98,7 +99,7 @@ def _calls(orders: DataFrame, lineitem: DataFrame, dt: Column) -> DataFrame:
                 .otherwise(F.lit("012001001")).alias("call_channel"),
                 F.when(ln == 5, F.lit(None).cast("string")).when(ln == 6, F.lit("n/a"))
                 .otherwise((F.col("l_quantity").cast("int") * 60).cast("string")).alias("call_time"),
-                dt.alias("dt")))
+                dt.alias("dt"), *extra))
 
 
 def call_detail(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
@@ -110,6 +111,20 @@ def call_detail_year(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     return _calls(orders, lineitem, F.trunc("l_shipdate", "year").cast("string"))
 
 
+def call_detail_dirty(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """The same calls with the traps real records hold: on line 6 the other
+    number has eight digits, and finished lines 4 that were not returned carry
+    an unknown channel."""
+    ln = F.col("l_linenumber")
+    calls = _calls(orders, lineitem, F.to_date("l_shipdate").cast("string"),
+                   "l_linenumber", "l_suppkey", "l_returnflag", "l_linestatus")
+    short = F.concat(F.lit("1"), F.lpad(F.col("l_suppkey").cast("string"), 7, "0"))
+    unknown = (ln == 4) & (F.col("l_linestatus") == "F") & (F.col("l_returnflag") != "R")
+    return calls.select("mobile", F.when(ln == 6, short).otherwise(F.col("other_mobile")).alias("other_mobile"),
+                        F.when(unknown, F.lit("012001009")).otherwise(F.col("call_channel")).alias("call_channel"),
+                        "call_time", "dt")
+
+
 def repay_plan(orders: DataFrame, lineitem: DataFrame, customer: DataFrame) -> DataFrame:
     d = F.datediff(F.col("l_shipdate"), F.col("o_orderdate"))
     return (lineitem.join(orders, lineitem["l_orderkey"] == orders["o_orderkey"])
@@ -126,19 +141,19 @@ def repay_plan(orders: DataFrame, lineitem: DataFrame, customer: DataFrame) -> D
 
 
 def collection_record(orders: DataFrame, customer: DataFrame) -> DataFrame:
-    return (orders.filter(F.col("o_totalprice") > 450000)
-            .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    fraud = (F.col("o_totalprice") > 450000) & (F.col("o_orderpriority") == "5-LOW")
+    return (orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
             .select(
                 F.col("o_orderkey").alias("loan_id"), F.col("c_mktsegment").alias("ds"),
-                F.when(F.col("o_orderpriority") == "5-LOW", F.lit(FRAUD))
+                F.when(fraud, F.lit(FRAUD))
                 .otherwise(F.lit("OTHER")).alias("loan_name"),
                 F.lit(DAY).alias("dt")))
 
 
 def third_party_blacklist(customer: DataFrame) -> DataFrame:
     k = F.col("c_custkey")
-    return (customer.filter(F.col("c_nationkey") == 3)
-            .select(mobile_of(k).alias("mobile"), _day_unless(k % 5 == 4).alias("dt")))
+    stale = (F.col("c_nationkey") != 3) | (k % 5 == 4)
+    return customer.select(mobile_of(k).alias("mobile"), _day_unless(stale).alias("dt"))
 
 
 def credit_apply(orders: DataFrame, customer: DataFrame) -> DataFrame:
@@ -163,7 +178,6 @@ TABLES = {
     "repay_plan": True, "collection_record": True, "third_party_blacklist": True,
     "credit_apply": True, "rank_score": False,
 }
-_STORED: dict[str, str] = {}
 
 
 def _schemas():
@@ -179,8 +193,8 @@ class Bindings:
     """Lazily built logical tables over one scale-factor folder.
 
     By default each table is derived from the raw parquet inside the query.
-    After ``store(...)`` the same tables are read back from parquet written
-    once, partitioned by ``dt`` like the production tables, so day filters
+    The bindings ``store(...)`` returns read the same tables back from parquet
+    written once, partitioned by ``dt`` like the production tables, so day filters
     prune folders and scans read only the columns a query uses.
     """
 
@@ -219,6 +233,10 @@ class Bindings:
     def call_detail_year(self):
         return self._get("call_detail_year", lambda: call_detail_year(self.raw("orders"), self.raw("lineitem")))
 
+    @property
+    def call_detail_dirty(self):
+        return call_detail_dirty(self.raw("orders"), self.raw("lineitem"))
+
     @property
     def repay_plan(self):
         return self._get("repay_plan", lambda: repay_plan(
@@ -242,11 +260,11 @@ class Bindings:
 
 
 def store(spark: SparkSession, sf_dir: str, root: str) -> Bindings:
-    """Write every logical table of ``sf_dir`` once under ``root`` and make
-    later ``bindings(spark, sf_dir)`` calls read them.  Day-partitioned tables
-    are written with one folder per ``dt``; the call history, which has one
-    day per ship date, is range-partitioned and sorted on ``dt`` so the day
-    filter skips row groups by their statistics instead."""
+    """Write every logical table of ``sf_dir`` once under ``root`` and return
+    bindings that read them.  Day-partitioned tables are written with one
+    folder per ``dt``; the call history, which has one day per ship date, is
+    range-partitioned and sorted on ``dt`` so the day filter skips row groups
+    by their statistics instead."""
     derived = Bindings(spark, sf_dir)
     for name, by_day in TABLES.items():
         df = getattr(derived, name)
@@ -257,17 +275,4 @@ def store(spark: SparkSession, sf_dir: str, root: str) -> Bindings:
             df.repartitionByRange("dt").sortWithinPartitions("dt").write.mode("errorifexists").parquet(path)
         else:
             df.write.mode("errorifexists").parquet(path)
-    # the running call totals a daily job keeps (see operators.history_totals)
-    from riskgraph.operators import history_totals as H
-    H.write_totals(H.roll_totals(None, derived.call_detail.filter(F.col("dt") < HISTORY_BEFORE)),
-                   f"{root}/call_totals", HISTORY_BEFORE)
-    _STORED[sf_dir] = root
     return Bindings(spark, sf_dir, stored=root)
-
-
-def forget_stored(sf_dir: str) -> None:
-    _STORED.pop(sf_dir, None)
-
-
-def bindings(spark: SparkSession, sf_dir: str) -> Bindings:
-    return Bindings(spark, sf_dir, stored=_STORED.get(sf_dir))

@@ -92,17 +92,31 @@ def history(df: DataFrame, before, col: str = DAY_COL) -> DataFrame:
     return df.filter(F.col(col) < F.lit(day_text(before)))
 
 
-def read_delimited(spark: SparkSession, path, schema: T.StructType, sep: str = ",") -> DataFrame:
-    """Delimited text read by position into typed columns.
+def parse_delimited(df: DataFrame, schema: T.StructType, col: str = "value", sep: str = ",") -> DataFrame:
+    """Text column split by position into typed columns.
 
     Field ``i`` of each line becomes column ``i`` of ``schema``; later fields
-    are ignored.  Casts run under ANSI rules, so a bad number or a short line
-    fails the job instead of turning into null, as the source jobs did.
-    No quoting is interpreted: the separator always splits.
+    are ignored.  A short line or a field that is not of its type fails the
+    job, whatever the session's ANSI setting.  No quoting is interpreted: the
+    separator always splits.
     """
-    parts = F.split(F.col("value"), sep, -1)
-    cols = [parts.getItem(i).cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)]
-    return spark.read.text(path).select(*cols)
+    parts = F.split(F.col(col), sep, -1)
+
+    def bad(i):
+        return F.raise_error(F.concat(F.lit(f"field {i + 1} of a line cannot be read: "), F.col(col)))
+
+    def field(i, kind):
+        text = F.get(parts, F.lit(i))
+        value = text if isinstance(kind, T.StringType) else text.try_cast(kind)
+        return F.when(value.isNull(), bad(i).cast(kind)).otherwise(value)
+
+    whole = df.filter(F.col(col).isNotNull())
+    return whole.select(*[field(i, f.dataType).alias(f.name) for i, f in enumerate(schema.fields)])
+
+
+def read_delimited(spark: SparkSession, path, schema: T.StructType, sep: str = ",") -> DataFrame:
+    """Delimited text files as typed columns (see ``parse_delimited``)."""
+    return parse_delimited(spark.read.text(path), schema, sep=sep)
 
 
 def literal_table(spark: SparkSession, rows, schema) -> DataFrame:

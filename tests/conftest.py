@@ -14,7 +14,7 @@ SF001 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_session("*", shuffle_partitions=8, app_name="riskgraph-tests",
+    s = local_session(os.environ.get("TEST_CPUS", "*"), shuffle_partitions=8, app_name="riskgraph-tests",
                       extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="rg-test-ckpt-")})
     yield s
     s.stop()

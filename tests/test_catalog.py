@@ -5,6 +5,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from riskgraph.plans.catalog import catalog
+from riskgraph.plans.oracle import oracle
 from tests.conftest import SF0001
 
 # Expected rows at sf0.001 (FIXTURES.md part D).
@@ -40,18 +42,18 @@ def _key(r):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) - set(E.oracle_sql()) <= set()
+    assert set(catalog()) == set(oracle())
+    assert set(catalog()) <= set(E.queries()) and set(oracle()) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog()))
 def test_query_matches_duckdb(spark, duck, name):
-    df = E.queries()[name](spark, SF0001)
+    df = catalog()[name](spark, SF0001)
     got = [tuple(_norm(v) for v in r) for r in df.collect()]
+    assert not spark.sparkContext._jsc.getPersistentRDDs()  # nothing stays behind a query
     if name in COUNTS:
         assert len(got) == COUNTS[name]
-    sql = E.oracle_sql().get(name)
-    if sql is None:
-        return
+    sql = oracle().get(name)
     rel = duck.sql(sql)
     assert sorted(rel.columns) == sorted(df.columns)
     idx = [rel.columns.index(c) for c in df.columns]

@@ -51,7 +51,7 @@ def test_membership_both_ends_and_owner(spark):
     assert rows(owner_c, "src", "dst", "calls") == [(A, C, 2)]
 
 
-@pytest.mark.parametrize("mode", ["auto", True, None])
+@pytest.mark.parametrize("mode", ["auto", False])
 def test_broadcast_modes_agree(spark, mode):
     data = [(A, B_, OUT, "1", "d")] * 3 + [(B_, C, OUT, "1", "d")] * 3
     m = members(spark, A, B_, C)
@@ -68,6 +68,42 @@ def test_unknown_channel(spark):
         edges.rank_edges(calls(spark, data), members(spark, C, D)).collect()
 
 
+def test_channel_is_checked_before_the_number_pattern(spark):
+    short = [("13", "14", "999", "1", "d")]
+    with pytest.raises(Exception, match="unknown call_channel"):
+        edges.call_edges(calls(spark, short), None, pattern=X.LOOSE, prefix=X.PREFIX).collect()
+    for mode in ("auto", False):
+        with pytest.raises(Exception, match="unknown call_channel"):
+            edges.call_edges(calls(spark, short), members(spark, "13", "14"), broadcast=mode).collect()
+    with pytest.raises(Exception, match="unknown call_channel"):  # also when no column of it is read
+        edges.orient_calls(calls(spark, short)).count()
+
+
+@pytest.mark.parametrize("mode", ["auto", False])
+def test_where_the_channel_is_checked(spark, mode):
+    data = [(A, B_, OUT, "1", "d")] * 2 + [(C, D, "999", "1", "d")]
+    m = members(spark, A, B_)
+    # joined first: a bad record of others is never looked at
+    assert rows(edges.call_edges(calls(spark, data), m, broadcast=mode), "src", "dst") == [(A, B_)]
+    with pytest.raises(Exception, match="unknown call_channel"):
+        edges.call_edges(calls(spark, data), m, check="history", broadcast=mode).collect()
+    with pytest.raises(Exception, match="unknown call_channel"):
+        edges.rank_edges(calls(spark, data), m, broadcast=mode).count()
+
+
+def test_cohort_is_read_anew_by_every_query(spark, outdir):
+    data = [(A, B_, OUT, "1", "d")] * 2 + [(A, C, OUT, "1", "d")] * 2
+    members(spark, A, B_).write.parquet(f"{outdir}/cohort")
+
+    def run():
+        cohort = spark.read.schema("mobile string").parquet(f"{outdir}/cohort")
+        return rows(edges.call_edges(calls(spark, data), cohort), "src", "dst")
+    assert run() == [(A, B_)]
+    members(spark, C).write.mode("append").parquet(f"{outdir}/cohort")
+    assert run() == [(A, B_), (A, C)]
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
 def test_loose_and_any11_patterns(spark):
     data = [("138000", "1380000", OUT, "5", "d")] * 2 + [("13800", "138000", OUT, "5", "d")] * 2
     loose = edges.call_edges(calls(spark, data), None, pattern=X.LOOSE, prefix=X.PREFIX)
@@ -108,21 +144,18 @@ def test_neighbours_directed_undirected_and_split(spark):
     assert all((b, a) in pairs for a, b in pairs)  # symmetric
     und_lines = rows(neighbours.one_degree(e, directed=False).select("mobile", F.concat_ws("\t", "neighbours")))
     assert und_lines == [(A, f"{A}\t{B_}\t{C}"), (B_, A), (C, A)]
-    # a hub above the per-line limit is split into several rows, nothing lost
-    hub = spark.createDataFrame([(A, f"139{i:08d}") for i in range(50)], "src string, dst string")
-    split = neighbours.one_degree(hub, max_per_line=10).collect()
-    assert len(split) > 1 and all(r["mobile"] == A for r in split)
-    names = sorted(n for r in split for n in r["neighbours"])
-    assert names == sorted(f"139{i:08d}" for i in range(50))
-    assert all(list(r["neighbours"]) == sorted(r["neighbours"]) for r in split)
+    # a hub is one line, whatever its degree
+    hub = spark.createDataFrame([(A, f"139{i:08d}") for i in range(500)], "src string, dst string").repartition(7)
+    lines = neighbours.one_degree(hub).collect()
+    assert len(lines) == 1 and lines[0]["neighbours"] == [f"139{i:08d}" for i in range(500)]
 
 
-@pytest.mark.parametrize("mode", ["auto", True, None, False])
+@pytest.mark.parametrize("mode", ["auto", False])
 def test_records_path_broadcast_modes_agree(spark, mode):
     from riskgraph.operators import history_totals as H
     data = [(A, B_, OUT, "10", "d1")] * 2 + [(B_, A, IN, "4", "d2")] + [(B_, C, OUT, "1", "d2")] * 3 + \
         [(C, D, OUT, "1", "d1")] * 2
-    totals = H.roll_totals(H.roll_totals(None, calls(spark, data[:4])), calls(spark, data[4:]))
+    totals = H.day_totals(calls(spark, data))
     m = members(spark, A, B_, C)
     e = H.call_edges_from_totals(totals, m, broadcast=mode)
     assert rows(e, "src", "dst", "calls") == [(A, B_, 3), (B_, C, 3)]

@@ -10,11 +10,24 @@ from riskgraph.sources import bindings as B
 from riskgraph.sources.tables import snapshot
 from tests.conftest import SF0001
 
+PAIRS = 1101  # ranking pairs at sf0.001
+
 
 def _lines(spark, path):
     return sorted(r[0] for r in spark.read.text(path).collect())
 
 
+def _catalog_tables(spark, mark):
+    """The bound tables as catalog views, by role."""
+    b = B.Bindings(spark, SF0001)
+    tables = {}
+    for role in ("user_profile", "user_contact", "call_detail", "repay_plan", "credit_apply", "third_party_blacklist",
+                 "collection_record"):
+        getattr(b, role).createOrReplaceTempView(f"rg_{mark}_{role}")
+        tables[role] = f"rg_{mark}_{role}"
+    return tables
+
+
 def _files(path):
     return [f for f in os.listdir(path) if f.startswith("part-")]
 
@@ -43,13 +56,12 @@ def test_export_graph(spark, outdir):
 def test_export_ranking(spark, outdir):
     b = B.Bindings(spark, SF0001)
     exports.export_ranking(b.user_profile, b.user_contact, b.call_detail, b.third_party_blacklist,
-                           b.repay_plan, b.collection_record, outdir, B.AS_OF, B.FRAUD, B.FRAUD_SEGMENTS,
-                           history_before=B.HISTORY_BEFORE)
+                           b.repay_plan, b.collection_record, outdir, B.AS_OF, B.FRAUD, B.FRAUD_SEGMENTS)
     day = f"{outdir}/{B.DAY}"
     assert len(_lines(spark, f"{day}/whitelist")) == 8
     assert len(_lines(spark, f"{day}/blacklist")) == 33
     rel = _lines(spark, f"{day}/relationship")
-    assert len(rel) == 1101 and all(len(x.split(",")) == 2 for x in rel)
+    assert len(rel) == PAIRS and all(len(x.split(",")) == 2 for x in rel)
     one = _lines(spark, f"{day}/onedegree")
     assert len(one) == 107
     # the one-degree lines hold exactly the relationship pairs
@@ -61,10 +73,10 @@ def test_export_ranking(spark, outdir):
 def test_export_ranking_snapshot_and_call_graph(spark, outdir):
     b = B.Bindings(spark, SF0001)
     exports.export_ranking_snapshot(b.user_profile, b.user_contact, b.call_detail, f"{outdir}/snap", B.DAY,
-                                    history_before=B.HISTORY_BEFORE)
+                                    history_before=B.HISTORY_TO_TODAY)
     assert len(_lines(spark, f"{outdir}/snap/whitelist")) == 4
     assert len(_lines(spark, f"{outdir}/snap/blacklist")) == 39
-    assert len(_lines(spark, f"{outdir}/snap/relationship")) == 1101
+    assert len(_lines(spark, f"{outdir}/snap/relationship")) == PAIRS
     # the year's calls relabelled as the increment day
     calls = snapshot(b.call_detail_year, B.YEAR_DAY).withColumn("dt", F.lit(B.INCREMENT_DAY))
     graph = exports.daily_call_graph(b.credit_apply, b.user_contact, calls, B.INCREMENT_DAY,
@@ -129,12 +141,12 @@ def test_jobs_entry_point_all_exports(spark, outdir):
     jobs.run(spark, "graph", f"{outdir}/g", B.AS_OF, tables, before=B.HISTORY_BEFORE)
     assert len(_lines(spark, f"{outdir}/g/{B.DAY}/relationship")) == 670
     assert len(_lines(spark, f"{outdir}/g/{B.DAY}/whitelist")) == 8
-    jobs.run(spark, "ranking", f"{outdir}/r", B.AS_OF, tables, before=B.HISTORY_BEFORE,
+    jobs.run(spark, "ranking", f"{outdir}/r", B.AS_OF, tables,
              label=B.FRAUD, channels=B.FRAUD_SEGMENTS)
     assert len(_lines(spark, f"{outdir}/r/{B.DAY}/blacklist")) == 33
     assert len(_lines(spark, f"{outdir}/r/{B.DAY}/onedegree")) == 107
-    jobs.run(spark, "ranking-snapshot", f"{outdir}/s", B.AS_OF, tables, before=B.HISTORY_BEFORE)
-    assert len(_lines(spark, f"{outdir}/s/relationship")) == 1101
+    jobs.run(spark, "ranking-snapshot", f"{outdir}/s", B.AS_OF, tables)
+    assert len(_lines(spark, f"{outdir}/s/relationship")) == PAIRS
     jobs.run(spark, "increment", f"{outdir}/i", "2001-09-01", tables, after=B.INCREMENT_AFTER)
     # the bound call table has no calls dated on the increment day
     assert not _lines(spark, f"{outdir}/i/{B.DAY}/relationship")
@@ -144,27 +156,55 @@ def test_jobs_entry_point_all_exports(spark, outdir):
     assert len(_lines(spark, f"{outdir}/m/{B.AS_OF}/relationship")) == 670
 
 
-def test_roll_totals_job_feeds_graph_export(spark, outdir):
+def test_totals_job_feeds_graph_export(spark, outdir):
     from riskgraph.plans import jobs
-    b = B.Bindings(spark, SF0001)
-    roles = {"user_profile": b.user_profile, "user_contact": b.user_contact, "call_detail": b.call_detail,
-             "repay_plan": b.repay_plan, "third_party_blacklist": b.third_party_blacklist,
-             "collection_record": b.collection_record}
-    tables = {}
-    for role, df in roles.items():
-        df.createOrReplaceTempView(f"rg_roll_{role}")
-        tables[role] = f"rg_roll_{role}"
+    tables = _catalog_tables(spark, "totals")
     root = f"{outdir}/totals"
-    jobs.run(spark, "roll-totals", outdir, "2001-08-30", tables, totals=root)   # bootstrap: dt <= 08-29
-    jobs.run(spark, "roll-totals", outdir, "2001-08-31", tables, totals=root)   # + 08-30 -> before 08-31
-    assert os.path.exists(f"{root}/before=2001-08-30") and os.path.exists(f"{root}/before=2001-08-31")
-    jobs.run(spark, "graph", f"{outdir}/g", B.AS_OF, tables, before=B.HISTORY_BEFORE, totals=root)
+    jobs.run(spark, "totals", outdir, B.AS_OF, tables, totals=root)
+    jobs.run(spark, "graph", f"{outdir}/g", B.AS_OF, tables, totals=root)
     from_totals = _lines(spark, f"{outdir}/g/{B.DAY}/relationship")
-    jobs.run(spark, "graph", f"{outdir}/raw", B.AS_OF, tables, before=B.HISTORY_BEFORE)
-    assert from_totals == _lines(spark, f"{outdir}/raw/{B.DAY}/relationship") and len(from_totals) == 670
-    jobs.run(spark, "ranking", f"{outdir}/r", B.AS_OF, tables, before=B.HISTORY_BEFORE, totals=root,
+    jobs.run(spark, "graph", f"{outdir}/raw", B.AS_OF, tables)
+    assert from_totals == _lines(spark, f"{outdir}/raw/{B.DAY}/relationship") and from_totals
+    jobs.run(spark, "ranking", f"{outdir}/r", B.AS_OF, tables, totals=root,
              label=B.FRAUD, channels=B.FRAUD_SEGMENTS)
-    assert len(_lines(spark, f"{outdir}/r/{B.DAY}/relationship")) == 1101
+    assert len(_lines(spark, f"{outdir}/r/{B.DAY}/relationship")) == PAIRS
+
+
+JOB_QUERIES = {"call-graph": ("c15_call_edges", B.AS_OF), "call-graph-loose": ("c16_call_edges_loose", B.AS_OF),
+               "call-graph-owner": ("c17_call_edges_owner", B.DAY), "call-graph-passed": ("c18_call_edges_passed", B.DAY)}
+
+
+@pytest.mark.parametrize("job", sorted(JOB_QUERIES))
+def test_graph_jobs_equal_their_queries(spark, outdir, job):
+    from riskgraph.plans import jobs
+    from riskgraph.plans.catalog import bound
+    from riskgraph.sinks.lines import format_edge_line
+    name, day = JOB_QUERIES[job]
+    jobs.run(spark, job, outdir, B.AS_OF, _catalog_tables(spark, "graphs"))
+    want = sorted(r[0] for r in format_edge_line(bound()[name](B.Bindings(spark, SF0001))).collect())
+    assert _lines(spark, f"{outdir}/{day}/relationship") == want and want
+
+
+def test_increment_and_list_jobs_equal_their_queries(spark, outdir):
+    from riskgraph.plans import jobs
+    from riskgraph.plans.catalog import bound
+    from riskgraph.sinks.lines import format_edge_line
+    b = B.Bindings(spark, SF0001)
+    tables = _catalog_tables(spark, "inc")
+    calls = snapshot(b.call_detail_year, B.YEAR_DAY).withColumn("dt", F.lit(B.INCREMENT_DAY))
+    calls.createOrReplaceTempView("rg_inc_call_detail")
+    for job, name in (("increment", "c20_incremental_edges"), ("increment-loose", "c20_incremental_edges_loose")):
+        jobs.run(spark, job, f"{outdir}/{job}", B.AS_OF, tables, after=B.INCREMENT_AFTER)
+        want = sorted(r[0] for r in format_edge_line(bound()[name](b)).collect())
+        assert _lines(spark, f"{outdir}/{job}/{B.DAY}/relationship") == want
+    jobs.run(spark, "increment-mixed", f"{outdir}/mixed", B.AS_OF, tables, after=B.INCREMENT_AFTER)
+    mixed = bound()["c20_incremental_edges_mixed"](b).filter("calls > 1")
+    assert _lines(spark, f"{outdir}/mixed/{B.DAY}/relationship") == sorted(r[0] for r in format_edge_line(mixed).collect())
+    jobs.run(spark, "lists", f"{outdir}/lists", B.AS_OF, tables)
+    got = {(n, x) for n in exports.USER_LISTS for x in _lines(spark, f"{outdir}/lists/{B.DAY}/{n}")}
+    assert got == {(r["list"], r["mobile"]) for r in bound()["c14_segments_per_user"](b).collect()}
+    with pytest.raises(ValueError, match="since"):
+        jobs.run(spark, "overdue", outdir, B.AS_OF, tables)
 
 
 def test_export_day_equals_separate_exports(spark, outdir):
@@ -180,7 +220,6 @@ def test_export_day_equals_separate_exports(spark, outdir):
         assert _lines(spark, f"{outdir}/dg/{B.DAY}/{name}") == _lines(spark, f"{outdir}/g/{B.DAY}/{name}"), name
     for name in ("whitelist", "blacklist", "relationship", "onedegree"):
         assert _lines(spark, f"{outdir}/dr/{B.DAY}/{name}") == _lines(spark, f"{outdir}/r/{B.DAY}/{name}"), name
-    assert os.path.exists(f"{outdir}/totals/before={B.AS_OF}")
 
 
 def test_day_job(spark, outdir):

@@ -17,7 +17,7 @@ def test_oracle_statements_run_with_all_driver_views():
         if os.path.exists(path):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
     sqls = E.oracle_sql()
-    assert set(sqls) == set(E.queries())
+    assert set(sqls) <= set(E.queries())
     for name, sql in sqls.items():
         rel = con.sql(sql)
         assert rel.columns, name

@@ -5,10 +5,13 @@ import tempfile
 import pytest
 
 from riskgraph.operators import edges
+from riskgraph.operators.membership import BUDGET_CONF
 from riskgraph.plans import catalog as Q
 from riskgraph.sources import bindings as B
 from tests.conftest import SF0001
 
+PAIRS = 1101  # ranking pairs at sf0.001
+
 
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
@@ -16,16 +19,13 @@ def _plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def stored(spark):
-    root = tempfile.mkdtemp(prefix="rg-test-tables-")
-    b = B.store(spark, SF0001, root)
-    yield b
-    B.forget_stored(SF0001)
+    return B.store(spark, SF0001, tempfile.mkdtemp(prefix="rg-test-tables-"))
 
 
 def test_stored_tables_give_same_results(spark, stored):
-    assert Q.QUERIES["c15_call_edges"](spark, SF0001).count() == 670
-    assert Q.QUERIES["c22_rank_edges"](spark, SF0001).count() == 1101
-    assert Q.QUERIES["c25_overdue_info"](spark, SF0001).count() == 538
+    assert Q.bound()["c15_call_edges"](stored).count() == 670
+    assert Q.bound()["c22_rank_edges"](stored).count() == PAIRS
+    assert Q.bound()["c25_overdue_info"](stored).count() == 538
 
 
 def test_call_edges_plan(spark, stored):
@@ -40,11 +40,11 @@ def test_call_edges_plan(spark, stored):
     assert plan.count("BroadcastHashJoin") >= 2 and "LeftSemi" in plan
     assert "SortMergeJoin" not in plan
     # partial + final aggregation around the one shuffle on (src, dst)
-    assert "partial_count" in plan and "hashpartitioning(src" in plan
+    assert "partial_sum" in plan and "hashpartitioning(src" in plan
 
 
 def test_snapshot_prunes_day_partitions(spark, stored):
-    df = B.bindings(spark, SF0001).user_contact.filter("dt = '2001-08-31'").select("mobile")
+    df = stored.user_contact.filter("dt = '2001-08-31'").select("mobile")
     plan = _plan(df)
     assert re.search(r"PartitionFilters: \[isnotnull\(dt#\d+\), \(dt#\d+ = 2001-08-31\)\]", plan)
 
@@ -53,35 +53,37 @@ def _rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_large_cohort_plan_aggregates_first_and_agrees(spark, stored):
+def test_large_cohort_plan_drops_non_members_first_and_agrees(spark, stored):
     calls, cohort, passed = Q.history_calls(stored), Q.applied_cohort(stored), Q.passed(stored).select("mobile")
     cases = {
         "both": lambda: edges.call_edges(calls, cohort),
         "owner": lambda: edges.call_edges(calls, passed, ends="owner"),
-        "any11": lambda: edges.call_edges(calls, passed, pattern=r"[0-9]{11}", min_n=1),
+        "any11": lambda: edges.call_edges(calls, passed, pattern=r"[0-9]{11}", min_n=1, check="history"),
         "loose": lambda: edges.call_edges(calls, cohort, pattern=r"p1[0-9]{5,10}", prefix="p"),
         "rank": lambda: edges.rank_edges(calls, cohort),
     }
     small = {k: _rows(f()) for k, f in cases.items()}
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(BUDGET_CONF, "1000")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
     try:
-        df = cases["both"]()
-        plan = _plan(df)
+        plan = _plan(cases["both"]())
         assert "SortMergeJoin" in plan and "LeftSemi" in plan
-        # the semi-joins run on per-record aggregates, after a partial aggregate
-        semi = plan.index("SortMergeJoin")
-        assert "partial_count" in plan[semi:]
         large = {k: _rows(f()) for k, f in cases.items()}
+        # between the scan of the calls and their first exchange stand the two bit-table joins
+        above = plan[:plan.index("/call_detail")].splitlines()
+        first_exchange = max(i for i, ln in enumerate(above) if "Exchange hashpartitioning(mobile" in ln)
+        assert sum("BroadcastHashJoin" in ln for ln in above[first_exchange:]) == 2
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert len(small["both"]) == 670 and len(small["rank"]) == 1101
+        spark.conf.unset(BUDGET_CONF)
+    assert len(small["both"]) == 670
     assert large == small
 
 
 @pytest.mark.parametrize("name", ["c23_one_degree", "c24_one_degree_undirected", "c15_call_edges"])
 def test_history_scanned_once(spark, stored, name):
-    df = Q.QUERIES[name](spark, SF0001)
+    df = Q.bound()[name](stored)
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     scans = {re.search(r"FileScan parquet \[([^\]]*)\]", ln).group(1)

@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 
 from riskgraph.functions.exprs import CHANNEL_IN, CHANNEL_OUT
 from riskgraph.operators import edges
+from riskgraph.operators.membership import BUDGET_CONF
 
 NUMBERS = ["13800000001", "13800000002", "13800000003", "03800000004", "1380000005", "p13800000006", None]
 DURATIONS = ["0", "7", "60", "12a", "", None, "12\n", "300"]
@@ -51,8 +52,7 @@ def test_call_edges_match_model(spark, rows, members, min_n):
        members=st.sets(st.sampled_from([n for n in NUMBERS if n]), max_size=5),
        min_n=st.sampled_from([1, 2]), owner=st.booleans())
 def test_shuffle_membership_plan_matches_model(spark, rows, members, min_n, owner):
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # cohort never broadcast
+    spark.conf.set(BUDGET_CONF, "-1")   # cohort never broadcast
     try:
         df = spark.createDataFrame([(m, o, c, t, "d") for m, o, c, t in rows], SCHEMA)
         cohort = spark.createDataFrame([(x,) for x in sorted(members)], "mobile string")
@@ -66,7 +66,7 @@ def test_shuffle_membership_plan_matches_model(spark, rows, members, min_n, owne
         pairs = {(r["src"], r["dst"]) for r in edges.rank_edges(df, cohort).collect()}
         assert pairs == set(model(rows, members, 1))
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset(BUDGET_CONF)
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -77,13 +77,10 @@ def test_rolled_totals_match_model(spark, rows, members, min_n, owner, shuffle_p
     from riskgraph.operators import history_totals as H
     flat = [c for c, _ in rows]
     df = spark.createDataFrame([(m, o, c, t, d) for (m, o, c, t), d in rows], SCHEMA)
-    totals = None
-    for day in ("d1", "d2", "d3"):                       # one day at a time
-        totals = H.roll_totals(totals, df.filter(f"dt = '{day}'"))
+    totals = H.day_totals(df)
     cohort = None if members is None else spark.createDataFrame([(x,) for x in sorted(members)], "mobile string")
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     if shuffle_plan:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set(BUDGET_CONF, "-1")
     try:
         ends = "owner" if owner and cohort is not None else "both"
         got = {(r["src"], r["dst"]): (r["calls"], r["mean_duration"])
@@ -97,19 +94,42 @@ def test_rolled_totals_match_model(spark, rows, members, min_n, owner, shuffle_p
             pairs = {(r["src"], r["dst"]) for r in H.rank_edges_from_totals(totals, cohort).collect()}
             assert pairs == set(model(flat, members, 1))
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset(BUDGET_CONF)
 
 
-def test_totals_store_and_read(spark, tmp_path):
+def test_daily_totals_follow_the_raw_calls(spark, tmp_path):
+    import os
+    import pytest
     from riskgraph.operators import history_totals as H
-    df = spark.createDataFrame([("13800000001", "13800000002", CHANNEL_OUT, "60", "d1"),
-                                ("13800000001", "13800000002", CHANNEL_OUT, "x", "d2")], SCHEMA)
-    root = str(tmp_path / "totals")
-    H.write_totals(H.roll_totals(None, df.filter("dt = 'd1'")), root, "2001-01-02")
-    rolled = H.roll_totals(H.read_totals(spark, root, "2001-01-02"), df.filter("dt = 'd2'"))
-    H.write_totals(rolled, root, "2001-01-03")
-    row = H.read_totals(spark, root, "2001-01-03").collect()[0]
-    assert (row["n"], row["total"]) == (2, 60.0)
+    first = [("13800000001", "13800000002", CHANNEL_OUT, "60", "2001-01-01"),
+             ("13800000001", "13800000002", CHANNEL_OUT, "x", "2001-01-02"),
+             ("13800000003", "13800000002", CHANNEL_IN, "5", "2001-01-02")]
+    root, before = str(tmp_path / "totals"), "2001-01-04"
+
+    def raw(data):
+        return spark.createDataFrame(data, SCHEMA)
+
+    def graph(data):
+        return sorted(map(tuple, H.call_edges_from_totals(H.read_totals(spark, raw(data), root, before), min_n=1).collect()))
+
+    with pytest.raises(ValueError, match="2001-01-01, 2001-01-02"):   # nothing stored yet
+        H.read_totals(spark, raw(first), root, before)
+    assert H.refresh_totals(spark, raw(first), root, before) == ["2001-01-01", "2001-01-02"]
+    assert H.refresh_totals(spark, raw(first), root, before) == []
+    assert graph(first) == sorted(map(tuple, edges.call_edges(raw(first), min_n=1).collect()))
+    # a call that lands late in a day that is stored, and a new day
+    late = first + [("13800000001", "13800000002", CHANNEL_OUT, "7", "2001-01-01"),
+                    ("13800000004", "13800000002", CHANNEL_OUT, "1", "2001-01-03")]
+    with pytest.raises(ValueError, match="2001-01-01, 2001-01-03"):
+        H.read_totals(spark, raw(late), root, before)
+    assert H.refresh_totals(spark, raw(late), root, before) == ["2001-01-01", "2001-01-03"]
+    assert graph(late) == sorted(map(tuple, edges.call_edges(raw(late), min_n=1).collect()))
+    # an empty folder is found, not read as zero calls
+    folder = f"{root}/dt=2001-01-02"
+    for f in os.listdir(folder):
+        os.remove(f"{folder}/{f}")
+    with pytest.raises(ValueError, match="2001-01-02"):
+        H.read_totals(spark, raw(late), root, before)
 
 
 def _nz(v):
