@@ -48,19 +48,21 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _phrases(items: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
-    """Distinct phrases (wid, words) and their owners (wid, item_id)."""
+    """Distinct phrases (wid, words) and their owners (wid, item_id).  wid is a
+    64-bit hash: the test set is small, and every match is compared by words."""
     w = items.select("item_id", words_of(F.col("text")).alias("w")).filter(F.size("w") > 0)
     at = F.explode(F.sequence(F.lit(0), F.greatest(F.size("w") - width, F.lit(0))))
     w = w.select("item_id", "w", at.alias("at")).select(
         "item_id", F.expr(f"slice(w, at + 1, {width})").alias("words"))
-    w = stored(w.select("item_id", F.md5(F.array_join("words", " ")).alias("wid"), "words"), "phrases")
+    w = stored(w.select("item_id", F.xxhash64(F.array_join("words", " ")).alias("wid"), "words"), "phrases")
     return (w.select("wid", "words").dropDuplicates(["wid"]),
             w.select("wid", "item_id").distinct())
 
 
 def _anchors(texts: DataFrame, phrases: DataFrame, rarest: int) -> DataFrame:
-    """Per phrase its rarest words (h, wid, n, off, bit, full).  Counts cover
-    the whole corpus; a phrase with a word that no text has is dropped."""
+    """Per phrase its rarest words (h, wid, off, bit); the bits of a phrase add
+    up to ``2 ** rarest - 1``.  Counts cover the whole corpus; a phrase with a
+    word that no text has is dropped."""
     terms = stored(phrases.select("wid", F.size("words").alias("n"), F.posexplode("words").alias("off", "word"))
                    .select("wid", "n", "off", F.xxhash64(F.lower("word")).alias("h")), "terms")
     vocabulary = small_side(stored(terms.select("h").distinct(), "vocabulary"), 16)
@@ -74,8 +76,9 @@ def _anchors(texts: DataFrame, phrases: DataFrame, rarest: int) -> DataFrame:
         .withColumn("known", F.count("*").over(by_phrase)).filter("known = n")
         .withColumn("rank", F.row_number().over(by_phrase.orderBy("freq", "off")) - 1)
         .filter(F.col("rank") < rarest)
-        .select("h", "wid", "n", "off", F.expr("shiftleft(1, rank)").alias("bit"),
-                F.expr(f"shiftleft(1, least(n, {rarest})) - 1").alias("full")), "anchors")
+        # the last word of a short phrase stands for the ones it has not
+        .select("h", "wid", "off", F.expr(f"if(rank + 1 = least(n, {rarest}), shiftleft(1, {rarest}) - shiftleft(1, rank), "
+                                          "shiftleft(1, rank))").alias("bit")), "anchors")
 
 
 def _beginnings(texts: DataFrame, anchors: DataFrame) -> DataFrame:
@@ -84,9 +87,9 @@ def _beginnings(texts: DataFrame, anchors: DataFrame) -> DataFrame:
     postings = stored(
         texts.select("k1", "k2", F.posexplode(_search_words(F.col("text"))).alias("pos", "t"))
         .select("k1", "k2", "pos", F.xxhash64("t").alias("h")).join(lookups, "h"), "postings")
-    begins = (postings.join(small_side(anchors, 80), "h")
-              .select("k1", "k2", "wid", "n", "full", "bit", (F.col("pos") - F.col("off")).alias("start"))
-              .groupBy("k1", "k2", "wid", "n", "full", "start").agg(F.bit_or("bit").alias("bits")))
+    begins = (postings.join(small_side(anchors, 40), "h")
+              .select("k1", "k2", "wid", "bit", (F.col("pos") - F.col("off")).alias("start"))
+              .groupBy("k1", "k2", "wid", "start").agg(F.bit_or("bit").alias("bits")))
     begins = stored(begins, "begins")
     discard(postings)
     return begins
@@ -107,14 +110,15 @@ def phrase_matches(docs: DataFrame, items: DataFrame, width: int = WIDTH, rarest
     phrases, owners = _phrases(items, width)
     anchors = _anchors(texts, phrases, rarest)
     begins = _beginnings(texts, anchors)
-    exact = begins.filter("bits = full and start >= 0").select("k1", "k2", "wid", "n", "start")
+    full = (1 << rarest) - 1
+    exact = begins.filter((F.col("bits") == full) & (F.col("start") >= 0)).select("k1", "k2", "wid", "start")
 
     # Beginnings within the slop fall into one of two overlapping buckets.
     wide = 2 * (slop + 1)
     bucket = F.explode(F.array(F.expr(f"floor(start / {wide})"), F.expr(f"floor((start + {slop + 1}) / {wide}) + 1000000000")))
-    near = (begins.filter("n > 1").withColumn("bucket", bucket).groupBy("k1", "k2", "wid", "n", "full", "bucket")
-            .agg(F.bit_or("bits").alias("bits"), F.min("start").alias("start")).filter("bits = full")
-            .select("k1", "k2", "wid", "n", F.greatest("start", F.lit(0)).alias("start")).distinct())
+    near = (begins.withColumn("bucket", bucket).groupBy("k1", "k2", "wid", "bucket")
+            .agg(F.bit_or("bits").alias("bits"), F.min("start").alias("start")).filter(F.col("bits") == full)
+            .select("k1", "k2", "wid", F.greatest("start", F.lit(0)).alias("start")).distinct())
     wanted = stored(exact.select("*", F.lit(True).alias("exact"))
                     .unionByName(near.select("*", F.lit(False).alias("exact"))), "wanted")
 
@@ -122,8 +126,9 @@ def phrase_matches(docs: DataFrame, items: DataFrame, width: int = WIDTH, rarest
     keys = small_side(stored(wanted.select("k1", "k2").distinct(), "keys"), 24)
     whole = (texts.join(keys, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
              .select("k1", "k2", words_of(F.col("text")).alias("w")))
-    asked = wanted.join(small_side(phrases, 48 + 16 * width), "wid").groupBy("k1", "k2").agg(
-        F.collect_list(F.struct("exact", "wid", "n", "start", "words")).alias("asked"))
+    asked = (wanted.join(small_side(phrases, 48 + 16 * width), "wid").withColumn("n", F.size("words"))
+             .filter("exact or n > 1").groupBy("k1", "k2")
+             .agg(F.collect_list(F.struct("exact", "wid", "n", "start", "words")).alias("asked")))
     verdict = f"""filter(asked, q -> if(q.exact, slice(w, q.start + 1, q.n) = q.words,
         100 * size(array_intersect(slice(w, greatest(q.start - {slop}, 0) + 1, q.n + {2 * slop}), q.words))
         >= {near_share} * size(array_distinct(q.words))))"""
