@@ -5,7 +5,7 @@ left by one bit and adds the byte's gear value, so a 16-bit hash depends on
 the last 16 bytes only.  A cut falls before a byte where the hash has
 ``BITS`` zero bits on top, unless another such place lies within ``LEAST``
 bytes before it; cuts depend on nearby bytes only and come back into step soon
-after an insertion.  Chunks are deduplicated by a 128-bit digest across
+after an insertion.  Chunks are deduplicated by a 96-bit digest across
 documents, and neighbouring repeated chunks are joined into spans.
 """
 
@@ -101,11 +101,11 @@ def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 text, e = raw.tobytes(), edges.tolist()
                 digests.extend([xxhash.xxh3_128_digest(text[p:q]) for p, q in zip(e, e[1:])])  # noqa: B905
             if rows:
-                d = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+                d = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)  # 96 of the 128 bits are kept
                 row = np.concatenate(rows)
                 yield pa.RecordBatch.from_arrays(
                     [ids.take(pa.array(row)), pa.array(np.concatenate(starts).astype(np.int64)),
-                     pa.array(np.concatenate(sizes).astype(np.int32)), pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy())],
+                     pa.array(np.concatenate(sizes).astype(np.int32)), pa.array(d[:, 0].copy()), pa.array(d[:, 1].astype(np.int32))],
                     ["doc_id", "start", "size", "d1", "d2"])
             a = z
 
@@ -114,7 +114,7 @@ def chunk_table(docs: DataFrame) -> DataFrame:
     """Chunk rows (doc_id, start, size, d1, d2), in code points.  Null and
     empty texts have none; rows with a null doc_id have no name and are left out."""
     named = docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id is not null")
-    return named.mapInArrow(_chunk_rows, "doc_id long, start long, size int, d1 long, d2 long")
+    return named.mapInArrow(_chunk_rows, "doc_id long, start long, size int, d1 long, d2 int")
 
 
 def repeated_spans(docs: DataFrame, least: int = SPAN_LEAST) -> DataFrame:
