@@ -178,9 +178,10 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Pipeline stage: documents with a phrase match go, by their text."""
     prepare(spark)
     phrase, _, _ = phrase_matches(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
-    bad = small_side(stored(phrase.select("k1", "k2").distinct(), "contaminated"), 24)
+    bad = stored(phrase.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).distinct(), "contaminated")
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.join(bad, (F.xxhash64(text) == bad["k1"]) & (F.xxhash64(text, F.lit(1)) == bad["k2"]), "left_anti")
+    return docs.join(small_side(bad, 24), (F.xxhash64(text) == F.col("__k1")) & (F.xxhash64(text, F.lit(1)) == F.col("__k2")),
+                     "left_anti")
 
 
 _WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "

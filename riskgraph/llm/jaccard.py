@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskgraph.llm.common import discard, drop_ids, prepare, ship, small_side, stored, table
+from riskgraph.llm.common import discard, drop_ids, keep_ids, prepare, ship, small_side, stored, table
 from riskgraph.llm.components import components
 from riskgraph.llm.textbytes import batch_bytes, doc_words, mix64, shingles
 
@@ -268,11 +268,17 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the smallest doc_id of each component stays; documents
-    with a null id or an empty set stay."""
+    with a null id or an empty set stay.  Rows repeated with one id and text
+    become one; rows that share an id but differ in text stay."""
     prepare(spark)
-    found = jaccard_components(docs)
+    found = stored(jaccard_components(docs), "found")
     gone = stored(found.filter("component_id < doc_id").select("doc_id").distinct(), "gone")
-    return drop_ids(docs, gone)
+    twice = stored(found.filter("component_id = doc_id and n_shingles > 0").groupBy("doc_id").count().filter("count > 1")
+                   .select("doc_id"), "twice")
+    kept = drop_ids(docs, gone)
+    if twice.isEmpty():
+        return kept
+    return drop_ids(kept, twice).unionByName(keep_ids(kept, twice).dropDuplicates(["doc_id", "text"]))
 
 
 ORACLE = r"""

@@ -159,14 +159,15 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Pipeline stage: every span is masked and n_chars follows; a document
     with more than ``DUMP`` spans is a credential dump and goes."""
     prepare(spark)
-    facts = small_side(_facts(docs.select("doc_id", "text")).select("k1", "k2", F.col("found").alias("__found")), 256)
+    facts = small_side(_facts(docs.select("doc_id", "text")).select(
+        F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("found").alias("__found")), 256)
     text = _text()
     masked = F.expr(f"""
       aggregate(__found, named_struct('at', 0L, 'out', ''),
         (a, s) -> named_struct('at', greatest(a.at, s.end),
           'out', if(s.start >= a.at, concat(a.out, substring(text, int(a.at) + 1, int(s.start - a.at)), '{MASK}'), a.out)),
         a -> concat(a.out, substring(text, int(a.at) + 1)))""")
-    out = (docs.join(facts, (F.xxhash64(text) == facts["k1"]) & (F.xxhash64(text, F.lit(1)) == facts["k2"]), "left")
+    out = (docs.join(facts, (F.xxhash64(text) == F.col("__k1")) & (F.xxhash64(text, F.lit(1)) == F.col("__k2")), "left")
            .filter(F.coalesce(F.size("__found"), F.lit(0)) <= DUMP)
            .withColumn("text", F.when(F.col("__found").isNotNull(), masked).otherwise(F.col("text"))))
     if "n_chars" in docs.columns:
