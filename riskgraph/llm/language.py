@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskgraph.llm.common import prepare, ship, table
+from riskgraph.llm.textbytes import run_hashes
 
 ship(__name__)
 
@@ -33,10 +34,12 @@ MAX_GRAMS = 40_000
 SWITCH = 12.0        # nats paid for each change of language
 IMPOSSIBLE = -60.0   # score of a word for a language that does not use its script
 UND = "und"
-CACHE = 100_000      # scored words a task remembers
+CACHE = 500_000      # scored words a task remembers (about 20 MB)
 KEEP_SCORE = 0.5     # the pipeline rejects documents below this share of letters
 
 _LETTERS = re.compile(r"[^\W\d_]+")
+_NO_LETTER = re.compile(r"[\W\d_]")
+PIECE = 1 << 20      # characters scored at once
 
 # First code point of each range and its script (Unicode blocks).
 _RANGES = [
@@ -50,12 +53,18 @@ _RANGES = [
 _STARTS = [r[0] for r in _RANGES]
 
 
+def fold(c: str) -> str:
+    """One lower-case character for each character."""
+    return c.lower()[0]
+
+
 def script_of(word: str) -> str:
-    return _RANGES[bisect_right(_STARTS, ord(word[0])) - 1][1]
+    """Script of a word's first letter."""
+    return _RANGES[bisect_right(_STARTS, ord(fold(word[0]))) - 1][1]
 
 
 def grams(word: str) -> list[str]:
-    w = f" {word.lower()} "
+    w = f" {''.join(map(fold, word))} "
     return [w[i:i + 3] for i in range(len(w) - 2)]
 
 
@@ -108,93 +117,214 @@ def fit(labelled: DataFrame, per_lang: int = SAMPLE_PER_LANG, max_grams: int = M
 
 
 class Scorer:
-    """Per-word scores over the model's languages and ``und``, remembered."""
+    """Per-word scores over the model's languages and ``und``.  Words are found
+    and looked up with array operations; each distinct word is scored once and
+    remembered by a 64-bit hash of its folded letters."""
 
     def __init__(self, model: dict):
-        self.model, self.k = model, len(model["langs"]) + 1
+        self.langs = [*model["langs"], UND]
+        self.k = len(self.langs)
+        points = np.array([[ord(c) for c in g] for g in model["grams"]], np.uint64).reshape(-1, 3)
+        keys = self._keys(points[:, 0], points[:, 1], points[:, 2])
+        order = np.argsort(keys)
+        self.keys = keys[order]
+        self.logp = np.vstack([model["logp"][:-1][order], model["logp"][-1:]])  # last: any other trigram
+        scripts = sorted({r[1] for r in _RANGES})
+        self.may = np.zeros((len(scripts), self.k - 1), bool)
+        for name, langs in model["scripts"].items():
+            self.may[scripts.index(name)] = langs
+        self.script_id = {name: i for i, name in enumerate(scripts)}
+        # By code point, filled as characters are met: 0 not met, 1 no letter, 2 letter.
+        self.kind = np.zeros(0x110000, np.uint8)
+        self.folded = np.zeros(0x110000, np.uint32)
+        self.script = np.zeros(0x110000, np.uint8)
         self.clear()
 
+    @staticmethod
+    def _keys(a, b, c):
+        return (a.astype(np.uint64) << np.uint64(42)) | (b.astype(np.uint64) << np.uint64(21)) | c.astype(np.uint64)
+
     def clear(self):
-        self.index: dict[str, int] = {}
-        self.rows = np.zeros((1024, self.k), np.float32)
-
-    def score(self, word: str) -> np.ndarray:
-        m = self.model
-        may = m["scripts"].get(script_of(word))
-        out = np.full(self.k, IMPOSSIBLE, np.float32)
-        if may is None:
-            out[-1] = 0.0
-            return out
-        get, unknown = m["grams"].get, len(m["grams"])
-        s = m["logp"][[get(g, unknown) for g in grams(word)]].sum(axis=0)
-        out[:-1][may] = (s - s[may].max())[may]
-        return np.maximum(out, IMPOSSIBLE)
-
-    def rows_of(self, words: list[str]) -> np.ndarray:
-        if len(self.index) > CACHE:
+        self.known = np.empty(0, np.uint64)
+        self.rows = np.empty((0, self.k), np.float32)
+
+    def _meet(self, points: np.ndarray) -> np.ndarray:
+        kinds = self.kind[points]
+        if not kinds.all():
+            for p in np.unique(points[kinds == 0]).tolist():
+                c = chr(p)
+                letter = c.isalnum() and not c.isdecimal()
+                self.kind[p] = 1 + letter
+                self.folded[p] = ord(fold(c))
+                self.script[self.folded[p]] = self.script_id[script_of(c)]
+            kinds = self.kind[points]
+        return kinds
+
+    def _score(self, points: np.ndarray, starts: np.ndarray, ends: np.ndarray, scripts: np.ndarray) -> np.ndarray:
+        """Scores of the words [start, end) of folded ``points``."""
+        sizes = ends - starts
+        total = np.cumsum(sizes)
+        # The words' letters side by side, a space at either end of each.
+        at = np.repeat(starts - (total - sizes), sizes) + np.arange(total[-1])
+        mid = points[at]
+        left = np.where(np.arange(len(at)) == np.repeat(total - sizes, sizes), 32, points[at - 1])
+        right = np.where(np.arange(len(at)) == np.repeat(total - 1, sizes), 32, points[np.minimum(at + 1, len(points) - 1)])
+        keys = self._keys(left, mid, right)
+        place = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
+        hit = self.keys[place] == keys if len(self.keys) else np.zeros(len(keys), bool)
+        row = np.where(hit, place, len(self.keys))
+        s = np.add.reduceat(self.logp[row], total - sizes, axis=0) if self.k > 1 else np.empty((len(starts), 0), np.float32)
+        may = self.may[scripts]
+        out = np.full((len(starts), self.k), IMPOSSIBLE, np.float32)
+        some = may.any(axis=1)
+        out[~some, -1] = 0.0
+        top = np.where(may, s, -np.inf).max(axis=1, initial=-np.inf)[:, None]
+        out[:, :-1] = np.where(may, np.maximum(s - np.where(some[:, None], top, 0), IMPOSSIBLE), IMPOSSIBLE)
+        return out
+
+    def words(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(starts, ends, scores) of the words of each text."""
+        points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        cut = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        if not len(points):
+            return [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, self.k), np.float32))] * len(texts)
+        inside = np.zeros(len(points) + 1, bool)
+        inside[:-1] = self._meet(points) == 2
+        begin = inside.copy()
+        begin[1:] &= ~inside[:-1]
+        edges = cut[1:-1]
+        begin[edges[inside[edges]]] = True  # a text's end ends a word
+        starts = np.flatnonzero(begin)
+        stop = np.flatnonzero(~inside)
+        ends = stop[np.searchsorted(stop, starts)]
+        ends = np.minimum(ends, cut[np.searchsorted(cut, starts, "right")])
+        if not len(starts):
+            return [(starts, ends, np.empty((0, self.k), np.float32))] * len(texts)
+        points = self.folded[points]
+        distinct, first, back = np.unique(run_hashes(points, starts, ends), return_index=True, return_inverse=True)
+        if len(self.known) > CACHE:
             self.clear()
-        index = self.index
-        ids = np.empty(len(words), np.int64)
-        for i, w in enumerate(words):
-            k = index.get(w)
-            if k is None:
-                k = index[w] = len(index)
-                if k >= len(self.rows):
-                    self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-                self.rows[k] = self.score(w)
-            ids[i] = k
-        return self.rows[ids]
+        place = np.searchsorted(self.known, distinct)
+        new = np.ones(len(distinct), bool)
+        have = place < len(self.known)
+        new[have] = self.known[place[have]] != distinct[have]
+        if new.any():
+            w = first[new]
+            made = self._score(points, starts[w], ends[w], self.script[points[starts[w]]])
+            known = np.concatenate([self.known, distinct[new]])
+            order = np.argsort(known, kind="stable")
+            self.known, self.rows = known[order], np.concatenate([self.rows, made])[order]
+            place = np.searchsorted(self.known, distinct)
+        scores = self.rows[place[back]]
+        upto = np.searchsorted(starts, cut)
+        return [(starts[a:z] - c, ends[a:z] - c, scores[a:z]) for a, z, c in zip(upto, upto[1:], cut, strict=False)]
 
 
 def viterbi(scores: np.ndarray, switch: float = SWITCH) -> np.ndarray:
-    """Best label per word.  If no run of words gains more than one switch
-    costs by leaving the best single label, that label is the best path and
-    the pass is skipped; else the recurrence is run in full."""
+    """Best label per word, with a penalty for each change of label.
+
+    The recurrence runs only where it can leave the best single label ``home``.
+    Let G be the running gain of the best other label over ``home``.  A stretch
+    away from home gains nothing by crossing a place where G is the least so
+    far (it could as well begin there), once G has fallen by a switch's cost;
+    such places cut the words into parts, and a part in which G never rises by
+    more than a switch stays at home.
+    """
     n, k = scores.shape
-    best = int(scores.sum(axis=0, dtype=np.float64).argmax())
-    if k > 1:
-        others = np.delete(scores, best, axis=1).max(axis=1)
-        gain = np.concatenate([[0.0], np.cumsum(others.astype(np.float64) - scores[:, best])])
-        if (gain - np.minimum.accumulate(gain)).max() <= switch:
-            return np.full(n, best, np.int64)
-    state = [float(x) for x in scores[0]]
-    back = []
-    for row in scores[1:].tolist():
+    home = int(scores.sum(axis=0, dtype=np.float64).argmax())
+    path = np.full(n, home, np.int64)
+    if k == 1:
+        return path
+    gain = np.max(np.delete(scores, home, axis=1), axis=1).astype(np.float64) - scores[:, home]
+    total = np.concatenate([[0.0], np.cumsum(gain)])
+    least = np.minimum.accumulate(total)
+    rise = total - least
+    if rise.max() <= switch:
+        return path
+    new = np.concatenate([[False], least[1:] < least[:-1]]) & (total <= -switch)
+    edges = np.unique(np.concatenate([[0], np.flatnonzero(new), [n]]))
+    high = np.maximum.reduceat(rise, edges[:-1])
+    # reduceat takes [a, b); the rise at b itself is nought unless b ends the text
+    high[-1] = max(high[-1], rise[n])
+    for a, b in zip(edges[:-1][high > switch].tolist(), edges[1:][high > switch].tolist(), strict=True):
+        path[a:b] = _recurrence(scores[a:b], switch, home if a else None, home if b < n else None)
+    return path
+
+
+def _recurrence(scores: np.ndarray, switch: float, before: int | None, after: int | None) -> list[int]:
+    """Best labels of some words between words of label ``before`` and ``after``
+    (None: the text begins or ends)."""
+    rows = scores.astype(np.float64)
+    for edge, label_ in ((0, before), (-1, after)):
+        if label_ is not None:
+            away = np.arange(rows.shape[1]) != label_
+            rows[edge, away] -= switch
+    rows = rows.tolist()
+    state, back = rows[0], []
+    for row in rows[1:]:
         top = max(state)
         j = state.index(top)
         top -= switch
-        came = [i if s >= top else j for i, s in enumerate(state)]
-        state = [r + (s if s >= top else top) for r, s in zip(row, state, strict=True)]
-        back.append(came)
+        back.append([i if s >= top else j for i, s in enumerate(state)])
+        state = [r + (s if s >= top else top) for r, s in zip(row, state)]  # noqa: B905
     at = state.index(max(state))
     path = [at]
     for came in reversed(back):
         at = came[at]
         path.append(at)
-    return np.array(path[::-1], np.int64)
+    return path[::-1]
 
 
-def label(text: str | None, scorer: Scorer, switch: float = SWITCH) -> tuple[str, float, list[dict]]:
-    """(language, share of letters, spans) of one whole text."""
-    words = _LETTERS.findall(text) if text else []
-    langs = [*scorer.model["langs"], UND]
-    if not words:
+def _pieces(text: str) -> list[str]:
+    """A long text in pieces that end outside words."""
+    out, at = [], 0
+    while len(text) - at > PIECE:
+        gap = _NO_LETTER.search(text, at + PIECE)
+        end = gap.end() if gap else len(text)
+        out.append(text[at:end])
+        at = end
+    return [*out, text[at:]]
+
+
+def _judge(starts: np.ndarray, ends: np.ndarray, scores: np.ndarray, langs: list[str], switch: float) -> tuple:
+    if not len(starts):
         return UND, 0.0, []
-    path = viterbi(scorer.rows_of(words), switch)
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    path = viterbi(scores, switch)
+    sizes = ends - starts
     letters = np.bincount(path, weights=sizes, minlength=len(langs))
     best = int(letters[:-1].argmax()) if len(langs) > 1 and letters[:-1].any() else len(langs) - 1
     cuts = np.flatnonzero(np.diff(path)) + 1
-    firsts, lasts = [0, *cuts.tolist()], [*(cuts - 1).tolist(), len(words) - 1]
-    if len(firsts) == 1:
-        where = [(_LETTERS.search(text).start(), text.rindex(words[-1]) + len(words[-1]))]
-    else:
-        ends = [m.span() for m in _LETTERS.finditer(text)]
-        where = [(ends[a][0], ends[b][1]) for a, b in zip(firsts, lasts, strict=True)]
-    spans = [{"start": a, "end": b, "lang": langs[path[f]]} for (a, b), f in zip(where, firsts, strict=True)]
+    firsts, lasts = np.concatenate([[0], cuts]), np.concatenate([cuts - 1, [len(path) - 1]])
+    spans = [{"start": int(starts[a]), "end": int(ends[b]), "lang": langs[path[a]]} for a, b in zip(firsts, lasts, strict=True)]
     return langs[best], float(letters[best] / sizes.sum()) if best < len(langs) - 1 else 0.0, spans
 
 
+def label_all(texts: list[str | None], scorer: Scorer, switch: float = SWITCH) -> list[tuple[str, float, list[dict]]]:
+    """(language, share of letters, spans) of each whole text."""
+    texts = [t or "" for t in texts]
+    out, a = [], 0
+    while a < len(texts):
+        z, chars = a, 0
+        while z < len(texts) and (z == a or chars + len(texts[z]) <= PIECE):
+            chars += len(texts[z])
+            z += 1
+        if chars > PIECE:  # one long text
+            found, at = [], 0
+            for piece in _pieces(texts[a]):
+                s, e, x = scorer.words([piece])[0]
+                found.append((s + at, e + at, x))
+                at += len(piece)
+            out.append(_judge(*(np.concatenate(c) for c in zip(*found, strict=True)), scorer.langs, switch))
+        else:
+            out += [_judge(*w, scorer.langs, switch) for w in scorer.words(texts[a:z])]
+        a = z
+    return out
+
+
+def label(text: str | None, scorer: Scorer, switch: float = SWITCH) -> tuple[str, float, list[dict]]:
+    return label_all([text], scorer, switch)[0]
+
+
 _SPAN = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
 
 
@@ -211,7 +341,7 @@ def identify(docs: DataFrame, model: dict, switch: float = SWITCH) -> DataFrame:
     def run(batches):
         scorer = Scorer(shared.value)
         for batch in batches:
-            found = [label(t.as_py(), scorer, switch) for t in batch.column("text")]
+            found = label_all(batch.column("text").to_pylist(), scorer, switch)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([f[0] for f in found], pa.string()),
                  pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], _SPAN)],
@@ -245,6 +375,6 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     def run(batches):
         scorer = Scorer(shared.value)
         for batch in batches:
-            found = [label(t.as_py(), scorer) for t in batch.column("text")]
+            found = label_all(batch.column("text").to_pylist(), scorer)
             yield batch.filter(pa.array([f[0] != UND and f[1] >= KEEP_SCORE for f in found], pa.bool_()))
     return docs.mapInArrow(run, docs.schema)
