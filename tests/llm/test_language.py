@@ -68,3 +68,42 @@ def test_stage_keeps_clean_documents(spark, make):
     out = L.language_stage(spark, docs, "")
     assert out.columns == docs.columns
     assert sorted(r["doc_id"] for r in out.collect()) == list(range(30))
+
+
+def test_parts_of_the_recurrence_equal_the_whole():
+    rng = np.random.default_rng(3)
+
+    def value(x, path, switch):
+        return sum(x[i, c] for i, c in enumerate(path)) - switch * sum(a != b for a, b in zip(path, path[1:]))
+    for _ in range(600):
+        n, k, switch = int(rng.integers(1, 60)), int(rng.integers(1, 6)), float(rng.choice([0.5, 2, 5, 12]))
+        x = rng.normal(0, 3, (n, k)) + np.repeat(rng.normal(0, 2, (n // 8 + 1, k)), 8, 0)[:n]
+        x = np.round(x, int(rng.integers(0, 3))).astype(np.float32)
+        whole = L._recurrence(x, switch, None, None)
+        assert abs(value(x.astype(float), L.viterbi(x, switch).tolist(), switch) - value(x.astype(float), whole, switch)) < 1e-3
+
+
+def test_words_and_scores_equal_a_plain_computation(spark, make):
+    import random
+    rnd = random.Random(1)
+    model = _model(spark, make)
+    scorer = L.Scorer(model)
+    letters = "abcßéÉ 12_日кİx\n"
+    texts = ["".join(rnd.choice(letters) for _ in range(rnd.choice([0, 1, 5, 60]))) for _ in range(300)]
+    for t, (starts, ends, rows) in zip(texts, scorer.words(texts)):
+        assert list(zip(starts.tolist(), ends.tolist())) == [m.span() for m in L._LETTERS.finditer(t)]
+        for a, b, row in zip(starts, ends, rows):
+            may = model["scripts"].get(L.script_of(t[a:b]))
+            want = np.full(len(row), L.IMPOSSIBLE, np.float32)
+            if may is None:
+                want[-1] = 0
+            else:
+                s = model["logp"][[model["grams"].get(g, len(model["grams"])) for g in L.grams(t[a:b])]].sum(axis=0)
+                want[:-1][may] = np.maximum(s - s[may].max(), L.IMPOSSIBLE)[may]
+            assert np.allclose(row, want, atol=1e-3)
+    piece, L.PIECE = L.PIECE, 1000
+    try:
+        long = "the dog went home. " * 500
+        assert L.label(long, scorer)[2] == [{"start": 0, "end": len(long) - 2, "lang": "en"}]
+    finally:
+        L.PIECE = piece
