@@ -55,7 +55,7 @@ def test_clean_stays_and_junk_goes(make):
 
 def test_sketch_is_mergeable_and_close(spark):
     rnd = random.Random(3)
-    values = [int(rnd.lognormvariate(5, 2)) for _ in range(4000)]
+    values = [int(rnd.lognormvariate(7, 2)) for _ in range(4000)]
     rows = [("en", f"s{k % 5}", v, 0, 0, 0) for k, v in enumerate(values)]
     df = spark.createDataFrame(rows, "lang string, source string, word_length long, symbols long, dup_lines long, repeats long")
     parts = Q.merged(Q.sketches(df), "lang")
