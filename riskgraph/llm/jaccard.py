@@ -65,8 +65,8 @@ def _document_rows(width: int):
     def run(batches):
         for batch, sets in _sets(batches, width):
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([_set_id(s) for s in sets], pa.int64())], ["doc_id", "n_shingles", "set_id"])
+                [batch.column("doc_id"), batch.column("tk"), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([_set_id(s) for s in sets], pa.int64())], ["doc_id", "tk", "n_shingles", "set_id"])
     return run
 
 
@@ -185,15 +185,17 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, threshold: int = THR
     own component.  Repeated rows and copies share a set and a component.  A
     null doc_id is an ordinary row that never names a component.
     """
-    texts = docs.select("doc_id", "text")
-    ids = stored(texts.mapInArrow(_document_rows(width), "doc_id long, n_shingles long, set_id long"), "sets")
+    # Rows are named by doc_id, those without one by their text's hash.
+    texts = docs.select(F.col("doc_id").cast("long"), "text",
+                        F.when(F.col("doc_id").isNull(), F.xxhash64("text")).alias("tk"))
+    ids = stored(texts.mapInArrow(_document_rows(width), "doc_id long, tk long, n_shingles long, set_id long"), "sets")
     total = ids.agg(F.sum("n_shingles")).first()[0] or 0
     if not total:
         return ids.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     bits = max(0, int(np.ceil(np.log2(max(1, total * 3 / 8 / BLOCK_ENTRIES)))))
     bits = max(bits, 4)
     reps = ids.filter("n_shingles > 0").groupBy("set_id").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"))
+        F.min("doc_id").alias("rep"), F.min("tk").alias("rep_tk"), F.first("n_shingles").alias("n"))
 
     # 1. Blocked product over the lowest hashes: rows with enough shared columns.
     counts = (texts.mapInArrow(_block_rows(width, threshold, 64 - bits),
@@ -203,12 +205,14 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, threshold: int = THR
     need = F.ceil(F.col("n") * threshold / 100)
     share = F.least("n", F.col("n") - need + 1 + F.expr("n div 8"))
     first = stored(counts.join(reps, "set_id").filter(F.col("shared") >= share - (F.col("n") - need))
-                   .select("set_id", "rep", "n"), "rows")
+                   .select("set_id", "rep", "rep_tk", "n"), "rows")
 
     # 2. Whole rows of what is left; shared columns with their row counts.
     chosen = small_side(first.filter("rep is not null").select(F.col("rep").alias("doc_id")), 16)
-    entries = stored(texts.join(chosen, "doc_id", "left_semi")
-                     .mapInArrow(_set_entries(width), "set_id long, h long").distinct()
+    unnamed = small_side(first.filter("rep is null").select(F.col("rep_tk").alias("tk")), 16)
+    rows_of = texts.join(chosen, "doc_id", "left_semi").select("text").unionByName(
+        texts.filter("doc_id is null").join(unnamed, "tk", "left_semi").select("text"))
+    entries = stored(rows_of.mapInArrow(_set_entries(width), "set_id long, h long").distinct()
                      .join(small_side(first.select("set_id", "n"), 24), "set_id"), "entries")
     columns = entries.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1")
     by_row = Window.partitionBy("set_id")
