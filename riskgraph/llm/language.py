@@ -31,6 +31,7 @@ ship(__name__)
 
 SAMPLE_PER_LANG = 2000
 MAX_GRAMS = 40_000
+MAX_LANGS = 300      # the most frequent labels are learned
 SWITCH = 12.0        # nats paid for each change of language
 IMPOSSIBLE = -60.0   # score of a word for a language that does not use its script
 UND = "und"
@@ -87,9 +88,10 @@ def fit(labelled: DataFrame, per_lang: int = SAMPLE_PER_LANG, max_grams: int = M
     """Model from rows (doc_id, text, lang).  About ``per_lang`` rows of each
     language are used, chosen by a hash of doc_id; null lang is left out."""
     labelled = labelled.filter("lang is not null and doc_id is not null").select("doc_id", "text", "lang")
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("rows"))
+    counts = (labelled.groupBy("lang").agg(F.count("*").alias("rows"))
+              .orderBy(F.desc("rows"), "lang").limit(MAX_LANGS))
     chance = F.expr(f"{per_lang}D / rows * 4294967296D")
-    sample = (labelled.join(F.broadcast(counts), "lang")  # one row per language
+    sample = (labelled.join(F.broadcast(counts), "lang")  # at most MAX_LANGS rows
               .filter(F.expr("xxhash64(doc_id, 7) & 4294967295") < chance).select("text", "lang"))
     found = (sample.mapInArrow(_count, "lang string, kind string, item string, n long")
              .groupBy("kind", "item", "lang").agg(F.sum("n").alias("n")))

@@ -150,8 +150,8 @@ def write_sequences(docs: DataFrame, folder: str, tokenizer: str, sequence: int
     """Encode ``docs`` (doc_id, text; null text is empty, null ids come first)
     in ascending doc_id order into files under ``folder``.  An empty table
     leaves no file."""
-    ordered = (docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id")
-               .sortWithinPartitions("doc_id", F.xxhash64("text")))
+    order = [F.col("doc_id"), F.xxhash64("text")]  # rows that share an id spread too
+    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(*order).sortWithinPartitions(*order)
     (ordered.mapInArrow(_write_rows(tokenizer, sequence, file_ids, end), "content binary")
      .select(F.col("content").cast("string").alias("value"))
      .write.option("maxRecordsPerFile", 1).option("lineSep", MAGIC).text(folder))
