@@ -71,6 +71,12 @@ def test_chain_and_short_texts(make):
     assert got(jaccard_components(make(rows))) == model(rows)
 
 
+def test_a_row_without_id_can_join_others(make):
+    base = [f"a{i}" for i in range(40)]
+    rows = [(3, " ".join(base[0:30])), (None, " ".join(base[2:32])), (9, " ".join(base[4:34]))]
+    assert got(jaccard_components(make(rows))) == model(rows)
+
+
 def test_empty_table(make):
     assert got(jaccard_components(make([]).filter("doc_id > 0"))) == []
 
