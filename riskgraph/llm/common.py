@@ -25,8 +25,8 @@ def ship(module_name: str) -> None:
 def prepare(spark: SparkSession) -> None:
     """Session settings the operators rely on: small Arrow batches keep Python
     workers to a few tens of MB whatever the row width."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.ansi.enabled", "true")
 

@@ -38,8 +38,8 @@ ship(__name__)
 
 WIDTH = 5            # words in a shingle
 THRESHOLD = 75       # per cent
-BLOCK_ENTRIES = 1_000_000   # entries of the matrix in one column block
-FLUSH_ENTRIES = 1_000_000   # entries a task holds before it emits its blocks
+BLOCK_ENTRIES = 500_000   # entries of the matrix in one column block
+FLUSH_ENTRIES = 500_000   # entries a task holds before it emits its blocks
 
 
 def required(n: np.ndarray | int, threshold: int) -> np.ndarray | int:

@@ -35,12 +35,12 @@ MAX_LANGS = 300      # the most frequent labels are learned
 SWITCH = 12.0        # nats paid for each change of language
 IMPOSSIBLE = -60.0   # score of a word for a language that does not use its script
 UND = "und"
-CACHE = 500_000      # scored words a task remembers (about 20 MB)
+CACHE = 300_000      # scored words a task remembers (about 10 MB)
 KEEP_SCORE = 0.5     # the pipeline rejects documents below this share of letters
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _NO_LETTER = re.compile(r"[\W\d_]")
-PIECE = 1 << 20      # characters scored at once
+PIECE = 1 << 19      # characters scored at once
 
 # First code point of each range and its script (Unicode blocks).
 _RANGES = [

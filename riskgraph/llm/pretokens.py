@@ -24,7 +24,7 @@ ship(__name__)
 LETTER, NUMBER, OTHER, SPACE = range(4)
 KNOWN_MOST = 1_500_000  # pre-tokens a worker remembers (about 60 MB)
 # Arrays of the prefix-sum hash are made for at most this many characters.
-CHARS = 1 << 20
+CHARS = 1 << 19
 
 
 class Coder:

@@ -29,7 +29,7 @@ BITS = 4            # zero bits of a cut: one place in 16
 LEAST = 8           # bytes between a cut and the next possible one
 MOST = 4096         # a chunk without a cut is divided at this many bytes
 SPAN_LEAST = 80     # code points a repeated span needs to be reported
-PIECE = 4 << 20     # bytes rolled at once
+PIECE = 1 << 20     # bytes rolled at once
 
 # The gear: one 16-bit value per byte, from a rule.
 GEAR = (mix64(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(48)).astype(np.uint16)

@@ -17,7 +17,7 @@ from riskgraph.llm.common import ship
 ship(__name__)
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-CHUNK = 1 << 20  # bytes hashed at once; bounds the work arrays
+CHUNK = 1 << 19  # bytes hashed at once; bounds the work arrays
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

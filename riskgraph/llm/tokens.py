@@ -37,7 +37,7 @@ FILE_IDS = 2 << 20     # ids after which a file is closed
 TOKENIZER = "byte_bpe_50k.json"  # 50,257 ids
 END = 2                # id appended to each text
 MAGIC = "ARROW1"       # fixed value: closing magic of the file format
-ENCODE_CHARS = 1 << 20  # characters encoded at once
+ENCODE_CHARS = 1 << 18  # characters encoded at once
 
 _INDEX = pa.list_(pa.struct([("doc_id", pa.int64()), ("at", pa.int32()), ("n", pa.int64())]))
 
