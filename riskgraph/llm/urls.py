@@ -92,10 +92,25 @@ def _segment_rows(shared):
     return run
 
 
+def frequent(words: DataFrame, most: int) -> DataFrame:
+    """The most frequent of ``words`` (word, n), at most ``most``: all words of
+    the highest count classes (two per cent wide) that fit whole.  The class
+    sizes are a small table, so no task gathers candidates."""
+    words = stored(words.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / math.log(1.02))), "words")
+    sizes = sorted(((r["class"], r["count"]) for r in words.groupBy("class").count().collect()), reverse=True)
+    total, least = 0, None
+    for c, size in sizes:
+        total += size
+        if total > most:
+            break
+        least = c
+    return words.filter(F.col("class") >= least if least is not None else F.lit(False))
+
+
 def segmented(names: DataFrame, words: DataFrame, vocabulary: int = VOCABULARY) -> DataFrame:
     """(name, words) for distinct ``names`` under the unigram model of
     ``words`` (word, n)."""
-    top = words.filter(F.length("word") <= LONGEST_WORD).orderBy(F.desc("n"), "word").limit(vocabulary).collect()
+    top = frequent(words.filter(F.length("word") <= LONGEST_WORD), vocabulary).collect()
     total = sum(r["n"] for r in top) or 1
     logp = {r["word"]: math.log(r["n"] / total) for r in top}
     shared = names.sparkSession.sparkContext.broadcast((logp, -math.log(total + 1)))  # at most ``vocabulary`` words

@@ -70,3 +70,11 @@ def test_empty_table_and_long_names(spark):
     assert U.judge(pages(spark, [])).collect() == []
     rows = [("http://" + "ab" * 3000 + ".com/" + "x/" * 500, "<p>ab ab</p>")]
     assert len(U.judge(pages(spark, rows)).collect()) == 1
+
+
+def test_frequent_words_are_bounded(spark):
+    words = spark.createDataFrame([(f"w{k}", 1 + k // 10) for k in range(1000)], "word string, n long")
+    assert U.frequent(words, 2000).count() == 1000
+    some = U.frequent(words, 100).collect()
+    assert 60 <= len(some) <= 100 and min(r["n"] for r in some) > 90
+    assert U.frequent(words.filter("n < 0"), 10).count() == 0
