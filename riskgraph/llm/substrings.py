@@ -5,12 +5,18 @@ left by one bit and adds the byte's gear value, so a 16-bit hash depends on
 the last 16 bytes only.  A cut falls before a byte where the hash has
 ``BITS`` zero bits on top, unless another such place lies within ``LEAST``
 bytes before it; cuts depend on nearby bytes only and come back into step soon
-after an insertion.  Chunks are deduplicated by a 96-bit digest across
-documents, and neighbouring repeated chunks are joined into spans.
+after an insertion.
+
+A window is the fewest chunks from a cut on that reach the least span.  Windows
+are deduplicated by digest across documents, and each repeated one is paired
+with one place in the smallest other document that holds it.  Windows that meet
+that document at one distance form a run; a run is compared with that document
+by a second hash and extended to where the two texts differ.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskgraph.llm.common import prepare, ship, table
+from riskgraph.llm.common import discard, prepare, ship, small_side, stored, table
 from riskgraph.llm.textbytes import batch_bytes, mix64
 
 ship(__name__)
@@ -30,6 +36,8 @@ LEAST = 8           # bytes between a cut and the next possible one
 MOST = 4096         # a chunk without a cut is divided at this many bytes
 SPAN_LEAST = 80     # code points a repeated span needs to be reported
 PIECE = 1 << 20     # bytes rolled at once
+BESIDE = 32         # code points read beyond the chunk beside a run: more than a cut depends on
+FIELD = 17          # bits of a length in a window's shape
 
 # The gear: one 16-bit value per byte, from a rule.
 GEAR = (mix64(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(48)).astype(np.uint16)
@@ -81,65 +89,151 @@ def chunks(text: bytes) -> list[tuple[int, int, bytes]]:
     return [(a, b, xxhash.xxh3_128_digest(text[a:b])) for a, b in zip(edges, edges[1:])]  # noqa: B905
 
 
-def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _windows(text: bytes, edges: np.ndarray, points: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """(place, shape, digest) of each window of a text.  place is the window's
+    start in code points and its first chunk's number; shape is its length, the
+    lengths of the chunk before it and of what the next window adds, and its
+    number of chunks."""
+    m = len(edges) - 1
+    to = np.searchsorted(points, points[:-1] + least)
+    i = np.flatnonzero(to <= m)
+    j = to[i]
+    more = np.minimum(np.append(to, m + 1)[i + 1], m)
+    before = points[i] - points[np.maximum(i - 1, 0)]
+    shape = ((((points[j] - points[i]) << FIELD | before) << FIELD) | (points[more] - points[j])) << 12 | (j - i)
+    digests = [xxhash.xxh3_64_intdigest(text[p:q]) for p, q in zip(edges[i].tolist(), edges[j].tolist(), strict=True)]
+    return points[i] << 32 | i, shape, digests
+
+
+def _window_rows(least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = batch_bytes(batch.column("text"))
+            a = 0
+            while a < batch.num_rows:  # a few MB of text at a time
+                z = max(a + 1, int(np.searchsorted(offsets, offsets[a] + PIECE, "right")) - 1)
+                rows, places, shapes, digests = [], [], [], []
+                for i in range(a, z):
+                    raw = data[offsets[i]:offsets[i + 1]]
+                    if not len(raw):
+                        continue
+                    edges = np.concatenate([[0], cuts(raw), [len(raw)]])
+                    points = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])[edges]  # in code points
+                    place, shape, found = _windows(raw.tobytes(), edges, points, least)
+                    rows.append(np.full(len(place), i))
+                    places.append(place)
+                    shapes.append(shape)
+                    digests.extend(found)
+                if rows:
+                    row = pa.array(np.concatenate(rows))
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("doc_id").take(row), batch.column("tk").take(row),
+                         pa.array(np.concatenate(places).astype(np.int64)), pa.array(np.concatenate(shapes).astype(np.int64)),
+                         pa.array(np.array(digests, np.uint64).view(np.int64))], ["doc_id", "tk", "place", "shape", "h"])
+                a = z
+    return run
+
+
+def _named(docs: DataFrame) -> DataFrame:
+    """Rows with a name; tk tells apart the texts that share one."""
+    return docs.select(F.col("doc_id").cast("long"), F.hash("text").alias("tk"), "text").filter("doc_id is not null and text is not null")
+
+
+def window_table(docs: DataFrame, least: int = SPAN_LEAST) -> DataFrame:
+    """Window rows (doc_id, tk, place, shape, h).  Null texts and those under
+    ``least`` code points have none; rows with a null doc_id have no name and
+    are left out."""
+    return _named(docs).mapInArrow(_window_rows(least), "doc_id long, tk int, place long, shape long, h long")
+
+
+def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs extended by what the texts beside them have in common."""
+    def common(x: str, y: str) -> int:
+        return len(os.path.commonprefix([x, y]))
     for batch in batches:
-        data, offsets = batch_bytes(batch.column("text"))
-        ids = batch.column("doc_id")
-        a = 0
-        while a < batch.num_rows:  # a few MB of text at a time
-            z = max(a + 1, int(np.searchsorted(offsets, offsets[a] + PIECE, "right")) - 1)
-            rows, starts, sizes, digests = [], [], [], []
-            for i in range(a, z):
-                raw = data[offsets[i]:offsets[i + 1]]
-                if not len(raw):
-                    continue
-                edges = np.concatenate([[0], cuts(raw), [len(raw)]])
-                points = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])[edges]  # in code points
-                rows.append(np.full(len(edges) - 1, i))
-                starts.append(points[:-1])
-                sizes.append(np.diff(points))
-                text, e = raw.tobytes(), edges.tolist()
-                digests.extend([xxhash.xxh3_128_digest(text[p:q]) for p, q in zip(e, e[1:])])  # noqa: B905
-            if rows:
-                d = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)  # 96 of the 128 bits are kept
-                row = np.concatenate(rows)
-                yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(row)), pa.array(np.concatenate(starts).astype(np.int64)),
-                     pa.array(np.concatenate(sizes).astype(np.int32)), pa.array(d[:, 0].copy()), pa.array(d[:, 1].astype(np.int32))],
-                    ["doc_id", "start", "size", "d1", "d2"])
-            a = z
-
-
-def chunk_table(docs: DataFrame) -> DataFrame:
-    """Chunk rows (doc_id, start, size, d1, d2), in code points.  Null and
-    empty texts have none; rows with a null doc_id have no name and are left out."""
-    named = docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id is not null")
-    return named.mapInArrow(_chunk_rows, "doc_id long, start long, size int, d1 long, d2 int")
+        c = {name: batch.column(name).to_pylist() for name in ("before", "other_before", "after", "other_after")}
+        left = [common(x[::-1], y[::-1]) for x, y in zip(c["before"], c["other_before"], strict=True)]
+        right = [common(x, y) for x, y in zip(c["after"], c["other_after"], strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("tk"),
+             pa.array(np.asarray(batch.column("start")) - np.array(left, np.int64)),
+             pa.array(np.asarray(batch.column("end")) + np.array(right, np.int64)), batch.column("n_chunks"), batch.column("other")],
+            ["doc_id", "tk", "start", "end", "n_chunks", "other"])
+
+
+def _runs(rows: DataFrame) -> DataFrame:
+    """Stored runs (doc_id, tk, other, other_tk, shift, start, end, n_chunks,
+    before_room, behind_room): code points [start, end) of a text stand in
+    ``other``, ``shift`` further on.  The rooms are how far beside the run the
+    texts are still compared."""
+    shared = (rows.groupBy("h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last"))
+    hits = stored(rows.join(shared, "h"), "hits")
+    # One place of the window in its smallest and in its largest document.
+    held = (hits.filter("doc_id = first or doc_id = last").groupBy("h", F.col("doc_id").alias("other"))
+            .agg(F.min(F.struct("tk", "place")).alias("o")).select("h", "other", F.col("o.tk").alias("other_tk"),
+                                                                   F.shiftright("o.place", 32).alias("at")))
+    mask = (1 << FIELD) - 1
+    placed = (hits.withColumn("other", F.expr("if(doc_id = first, last, first)")).join(held, ["h", "other"])
+            .select("doc_id", "tk", "other", "other_tk", F.shiftright("place", 32).alias("start"),
+                    F.col("place").bitwiseAND(0xFFFFFFFF).alias("chunk"), "at",
+                    F.shiftright("shape", 12 + 2 * FIELD).alias("size"),
+                    F.shiftright("shape", 12 + FIELD).bitwiseAND(mask).alias("before"),
+                    F.shiftright("shape", 12).bitwiseAND(mask).alias("behind"),
+                    F.col("shape").bitwiseAND(0xFFF).alias("k"))
+            .withColumn("shift", F.col("at") - F.col("start")).withColumn("end", F.col("start") + F.col("size")))
+    key = ["doc_id", "tk", "other", "other_tk", "shift"]
+    ordered = Window.partitionBy(*key).orderBy("start")
+    upto = F.max("end").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    placed = placed.withColumn("fresh", (F.col("start") > F.coalesce(upto, F.lit(-1))).cast("int"))
+    placed = placed.withColumn("run", F.sum("fresh").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = (placed.groupBy(*key, "run").agg(
+                F.min("start").alias("start"), F.max("end").alias("end"),
+                (F.max(F.col("chunk") + F.col("k")) - F.min("chunk")).alias("n_chunks"),
+                F.min(F.struct("start", "before"))["before"].alias("before_room"),
+                F.max(F.struct("end", "behind"))["behind"].alias("behind_room"))
+            .withColumn("before_room", F.least(F.col("before_room") + BESIDE, "start", F.col("start") + F.col("shift")))
+            .withColumn("behind_room", F.col("behind_room") + BESIDE).drop("run"))
+    runs = stored(runs, "runs")
+    discard(hits)
+    return runs
+
+
+def _beside(docs: DataFrame, runs: DataFrame, doc: str, tk: str, shift: str, prefix: str) -> DataFrame:
+    """``runs`` with the texts beside them and a hash of their own text, read
+    in the rows named (doc, tk)."""
+    named = _named(docs).select(F.col("doc_id").alias("__d"), F.col("tk").alias("__t"), "text")
+    start, end = f"(start + {shift})", f"(end + {shift})"
+    return named.join(runs, (F.col("__d") == F.col(doc)) & (F.col("__t") == F.col(tk))).select(
+        *runs.columns,
+        F.expr(f"substring(text, int({start} - before_room) + 1, int(before_room))").alias(f"{prefix}before"),
+        F.expr(f"substring(text, int({end}) + 1, int(behind_room))").alias(f"{prefix}after"),
+        F.expr(f"xxhash64(substring(text, int({start}) + 1, int(end - start)))").alias(f"{prefix}same")).distinct()
 
 
 def repeated_spans(docs: DataFrame, least: int = SPAN_LEAST) -> DataFrame:
-    """Spans of ``docs`` (doc_id, text) whose chunks occur in another document.
-
-    Returns doc_id, start, end (code points, end exclusive), n_chunks,
-    first_doc_id (smallest doc_id that has one of the chunks) and duplicate
-    (whether that is another document, so this copy is the one to cut).
-    Neighbouring repeated chunks form one span; spans under ``least`` code
-    points are chance and are left out.  Repeats inside one document alone are
-    not reported; rows that share a doc_id count as one document.
+    """Spans of ``docs`` (doc_id, text) that another document holds whole.
+
+    Returns doc_id, start, end (code points, end exclusive), n_chunks (whole
+    chunks found in both), first_doc_id (smallest doc_id that holds the span)
+    and duplicate (whether that is another document, so this copy is the one
+    to cut).  A span ends where the two texts differ, as far as the next
+    window; spans of one document with different holders may overlap, and one
+    inside another is left out.  Spans have at least ``least`` code points.
+    Repeats inside one document alone are not reported; rows that share a
+    doc_id count as one document.
     """
-    rows = chunk_table(docs)
-    shared = (rows.groupBy("d1", "d2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-              .filter("first < last").select("d1", "d2", "first"))
-    hits = rows.join(shared, ["d1", "d2"]).select("doc_id", "start", "size", "first").distinct()
-    by_doc = Window.partitionBy("doc_id").orderBy("start", "size")
-    upto = F.max(F.col("start") + F.col("size")).over(by_doc.rowsBetween(Window.unboundedPreceding, -1))
-    hits = hits.withColumn("fresh", (F.col("start") > F.coalesce(upto, F.lit(-1))).cast("int"))
-    hits = hits.withColumn("run", F.sum("fresh").over(by_doc.rowsBetween(Window.unboundedPreceding, 0)))
-    return (hits.groupBy("doc_id", "run").agg(
-                F.min("start").alias("start"), F.max(F.col("start") + F.col("size")).alias("end"),
-                F.count("*").alias("n_chunks"), F.min("first").alias("first_doc_id"))
-            .filter(F.col("end") - F.col("start") >= least)
-            .select("doc_id", "start", "end", "n_chunks", "first_doc_id", (F.col("first_doc_id") < F.col("doc_id")).alias("duplicate")))
+    runs = _runs(window_table(docs, least))
+    here = stored(_beside(docs, small_side(runs, 96), "doc_id", "tk", "0", ""), "beside")
+    discard(runs)
+    both = _beside(docs, small_side(here, 512), "other", "other_tk", "shift", "other_").filter("same = other_same")
+    spans = both.mapInArrow(_extended, "doc_id long, tk int, start long, end long, n_chunks long, other long").withColumn(
+        "duplicate", F.col("other") < F.col("doc_id"))
+    before = (Window.partitionBy("doc_id", "tk").orderBy("start", F.desc("end"), F.desc("duplicate"), "other")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    inside = F.coalesce(F.max(F.when(F.col("duplicate"), F.col("end"))).over(before) >= F.col("end"), F.lit(False))
+    inside = inside | (~F.col("duplicate") & F.coalesce(F.max("end").over(before) >= F.col("end"), F.lit(False)))
+    return (spans.withColumn("inside", inside).filter("not inside")
+            .select("doc_id", "start", "end", "n_chunks", F.least("doc_id", "other").alias("first_doc_id"), "duplicate"))
 
 
 def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -80,3 +80,26 @@ def test_repeats_inside_one_document_and_empty_table(make):
     p = text_of(rnd, 80)
     assert S.repeated_spans(make([(1, p + " x " + p), (2, text_of(rnd, 90))])).collect() == []
     assert S.repeated_spans(make([])).collect() == []
+
+
+def test_chance_chunks_of_different_documents_make_no_span(make):
+    """A text whose chunks all occur elsewhere, each in another document."""
+    rnd = random.Random(9)
+    whole = text_of(rnd, 60)
+    raw = whole.encode()
+    rows = [(1000, whole)]
+    for k, (a, b, _) in enumerate(S.chunks(raw)):  # each chunk with enough before it to be cut alike
+        rows.append((k, text_of(rnd, 40) + " " + raw[max(0, a - 24):b + 4].decode(errors="ignore") + " " + text_of(rnd, 40)))
+    assert S.repeated_spans(make(rows)).collect() == []
+
+
+def test_spans_are_held_whole_by_the_named_document_to_exact_ends(make):
+    rnd = random.Random(10)
+    p, q = text_of(rnd, 60), text_of(rnd, 60)
+    texts = {1: text_of(rnd, 90) + "|" + p + "|", 2: "#" + q + "#" + text_of(rnd, 90), 3: text_of(rnd, 20) + "!" + p + q + "!"}
+    found = S.repeated_spans(make(list(texts.items()))).collect()
+    at = texts[3].index(p)
+    got = {(r["start"], r["end"], r["first_doc_id"]) for r in found if r["doc_id"] == 3}
+    assert got == {(at, at + len(p), 1), (at + len(p), at + len(p) + len(q), 2)}
+    assert all(r["duplicate"] == (r["doc_id"] == 3) for r in found)
+    assert all(any(texts[r["doc_id"]][r["start"]:r["end"]] in t for d, t in texts.items() if d != r["doc_id"]) for r in found)
