@@ -64,17 +64,3 @@ def small_side(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> D
     """``df`` with a broadcast hint if its counted size is within ``limit``.
     ``df`` must be cheap to count (a stored table)."""
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
-
-
-def drop_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is not in ``ids`` (stored, distinct, one
-    column doc_id).  Null ids stay.  The small side is broadcast when its
-    counted size allows, so the texts are not shuffled."""
-    side = small_side(ids.select(F.col("doc_id").alias("__id")), 16)
-    return docs.join(side, docs["doc_id"] == side["__id"], "left_anti")
-
-
-def keep_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is in ``ids`` (as ``drop_ids``)."""
-    side = small_side(ids.select(F.col("doc_id").alias("__id")), 16)
-    return docs.join(side, docs["doc_id"] == side["__id"], "left_semi")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskgraph.llm.common import discard, drop_ids, keep_ids, prepare, ship, small_side, stored, table
+from riskgraph.llm.common import discard, prepare, ship, small_side, stored, table
 from riskgraph.llm.components import components
 from riskgraph.llm.textbytes import batch_bytes, doc_words, mix64, shingles
 
@@ -185,17 +185,26 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, threshold: int = THR
     own component.  Repeated rows and copies share a set and a component.  A
     null doc_id is an ordinary row that never names a component.
     """
+    return row_components(docs, width, threshold).select("doc_id", "n_shingles", "component_id")
+
+
+def row_components(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:
+    """``jaccard_components`` with each row's text hash (tk) and the component's
+    first row (keeper: unnamed, doc_id, tk), by doc_id, nulls last, then tk.
+    Rows with an empty set have no keeper."""
     # Rows are named by doc_id, those without one by their text's hash.
-    texts = docs.select(F.col("doc_id").cast("long"), "text",
-                        F.when(F.col("doc_id").isNull(), F.xxhash64("text")).alias("tk"))
+    texts = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("tk"))
+    key = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "tk")
     ids = stored(texts.mapInArrow(_document_rows(width), "doc_id long, tk long, n_shingles long, set_id long"), "sets")
     total = ids.agg(F.sum("n_shingles")).first()[0] or 0
     if not total:
-        return ids.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+        return ids.select("doc_id", "tk", "n_shingles", F.col("doc_id").alias("component_id"),
+                          F.when(F.lit(False), key).alias("keeper"))
     bits = max(0, int(np.ceil(np.log2(max(1, total * 3 / 8 / BLOCK_ENTRIES)))))
     bits = max(bits, 4)
     reps = ids.filter("n_shingles > 0").groupBy("set_id").agg(
-        F.min("doc_id").alias("rep"), F.min("tk").alias("rep_tk"), F.first("n_shingles").alias("n"))
+        F.min("doc_id").alias("rep"), F.min("tk").alias("rep_tk"), F.first("n_shingles").alias("n"),
+        F.min(key).alias("key"))
 
     # 1. Blocked product over the lowest hashes: rows with enough shared columns.
     counts = (texts.mapInArrow(_block_rows(width, threshold, 64 - bits),
@@ -257,12 +266,12 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, threshold: int = THR
 
     # A component is named by its smallest doc_id.
     member = (reps.join(labels, reps["set_id"] == labels["id"], "left")
-              .select("set_id", "rep", F.coalesce("label", "set_id").alias("label")))
-    least = member.groupBy("label").agg(F.min("rep").alias("component_id"))
-    named = member.join(least, "label").select("set_id", "component_id")
+              .select("set_id", "rep", "key", F.coalesce("label", "set_id").alias("label")))
+    least = member.groupBy("label").agg(F.min("rep").alias("component_id"), F.min("key").alias("keeper"))
+    named = member.join(least, "label").select("set_id", "component_id", "keeper")
     return (ids.join(named, "set_id", "left")
-            .select("doc_id", "n_shingles",
-                    F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+            .select("doc_id", "tk", "n_shingles",
+                    F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "keeper"))
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -270,19 +279,28 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def _rows_by_key(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """Semi- or anti-join of ``docs`` with stored keys (doc_id, tk), null ids included."""
+    side = small_side(keys.select(F.col("doc_id").alias("__id"), F.col("tk").alias("__tk")), 24)
+    return docs.join(side, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__tk")), how)
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the smallest doc_id of each component stays; documents
-    with a null id or an empty set stay.  Rows repeated with one id and text
-    become one; rows that share an id but differ in text stay."""
+    """Pipeline stage: one row of each component stays, that of the smallest
+    doc_id (rows without one come last, then by text hash); rows with an empty
+    set stay.  Rows are told apart by doc_id and text: other texts under the id
+    of a row that goes stay, and copies without an id become one."""
     prepare(spark)
-    found = stored(jaccard_components(docs), "found")
-    gone = stored(found.filter("component_id < doc_id").select("doc_id").distinct(), "gone")
-    twice = stored(found.filter("component_id = doc_id and n_shingles > 0").groupBy("doc_id").count().filter("count > 1")
-                   .select("doc_id"), "twice")
-    kept = drop_ids(docs, gone)
+    found = stored(row_components(docs).filter("n_shingles > 0").withColumn(
+        "keeps", F.col("keeper.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("keeper.tk") == F.col("tk")))
+        .groupBy("doc_id", "tk", "keeps").count(), "found")
+    gone = stored(found.filter("not keeps").select("doc_id", "tk"), "gone")
+    twice = stored(found.filter("keeps and count > 1").select("doc_id", "tk"), "twice")
+    kept = _rows_by_key(docs, gone, "left_anti")
     if twice.isEmpty():
         return kept
-    return drop_ids(kept, twice).unionByName(keep_ids(kept, twice).dropDuplicates(["doc_id", "text"]))
+    return _rows_by_key(kept, twice, "left_anti").unionByName(
+        _rows_by_key(kept, twice, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 ORACLE = r"""

@@ -99,3 +99,16 @@ def test_components_of_paths_and_stars(spark):
     assert {(r["id"], r["label"]) for r in components(df).collect()} == \
         {(i, 0) for i in range(31)} | {(100 + i, 100) for i in range(20)}
     assert components(df.filter("a < 0")).count() == 0
+
+
+def test_stage_decides_by_row_not_by_id(make):
+    """Other texts under the id of a copy stay; copies without an id become one."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    near = b.rsplit(" ", 1)[0]
+    rows = [(3, a), (5, a), (5, "a text of its own under a shared id"),
+            (None, b), (None, b), (None, near), (None, c), (8, c), (8, c), (None, None), (None, None)]
+    docs = make(rows)
+    out = sorted(((r["doc_id"], r["text"]) for r in near_duplicate_stage(docs.sparkSession, docs, "").collect()), key=str)
+    one = [t for i, t in out if i is None and t in (b, near)]
+    assert len(one) == 1
+    assert out == sorted([(3, a), (5, rows[2][1]), (None, one[0]), (8, c), (None, None), (None, None)], key=str)
