@@ -36,7 +36,7 @@ SWITCH = 12.0        # nats paid for each change of language
 IMPOSSIBLE = -60.0   # score of a word for a language that does not use its script
 UND = "und"
 CACHE = 300_000      # scored words a task remembers (about 10 MB)
-KEEP_SCORE = 0.5     # the pipeline rejects documents below this share of letters
+KEEP_SCORE = 0.5     # the pipeline rejects documents with a lower share of letters in learned languages
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _NO_LETTER = re.compile(r"[\W\d_]")
@@ -366,9 +366,16 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"], s["lang"])), ",").alias("spans"))
 
 
+def learned_share(text: str, spans: list[dict]) -> float:
+    """Share of a text's letters in spans of any learned language."""
+    sizes = [(sum(len(w) for w in _LETTERS.findall(text, s["start"], s["end"])), s["lang"]) for s in spans]
+    return sum(n for n, lang in sizes if lang != UND) / max(1, sum(n for n, _ in sizes))
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: a document goes if it has no letter, or no language
-    owns ``KEEP_SCORE`` of its letters.  All columns pass through the labelling
+    """Pipeline stage: a document goes if it has no letter, or the learned
+    languages together own less than ``KEEP_SCORE`` of its letters; a mixture
+    of them stays.  All columns pass through the labelling
     task, so texts are neither joined nor shuffled."""
     prepare(spark)
     model = fit(docs.select("doc_id", "text", "lang").filter(_fold() != 0))
@@ -377,6 +384,9 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     def run(batches):
         scorer = Scorer(shared.value)
         for batch in batches:
-            found = label_all(batch.column("text").to_pylist(), scorer)
-            yield batch.filter(pa.array([f[0] != UND and f[1] >= KEEP_SCORE for f in found], pa.bool_()))
+            texts = batch.column("text").to_pylist()
+            found = label_all(texts, scorer)
+            keep = [lang != UND and (score >= KEEP_SCORE or learned_share(t, spans) >= KEEP_SCORE)
+                    for t, (lang, score, spans) in zip(texts, found, strict=True)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
     return docs.mapInArrow(run, docs.schema)

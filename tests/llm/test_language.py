@@ -107,3 +107,13 @@ def test_words_and_scores_equal_a_plain_computation(spark, make):
         assert L.label(long, scorer)[2] == [{"start": 0, "end": len(long) - 2, "lang": "en"}]
     finally:
         L.PIECE = piece
+
+
+def test_stage_keeps_mixtures_of_learned_languages(spark, make):
+    parts = {"en": "the cat and the dog went home together ", "de": "der hund und die katze gingen zusammen heim ",
+             "fr": "le chien et le chat sont partis ensemble "}
+    rows = [(k, parts[lang], lang, "s") for k, lang in enumerate([*parts] * 30)]
+    mixed = parts["en"] * 4 + parts["de"] * 3 + parts["fr"] * 3
+    docs = make([*rows, (200, mixed, None, "s"), (201, parts["en"] + "今日は天気がいい " * 20, None, "s")])
+    kept = {r["doc_id"] for r in L.language_stage(spark, docs, "").collect()}
+    assert 200 in kept and 201 not in kept and set(range(90)) <= kept
