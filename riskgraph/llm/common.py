@@ -7,7 +7,9 @@ import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskgraph.session import ensure_checkpoint_dir
 
@@ -64,3 +66,25 @@ def small_side(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> D
     """``df`` with a broadcast hint if its counted size is within ``limit``.
     ``df`` must be cheap to count (a stored table)."""
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
+
+
+def _octets(c: Column, kind: T.DataType) -> Column:
+    """Bytes a value takes in a broadcast, null as none."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c).cast("long"), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.StructType)):
+            one = F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + _octets(x, kind.elementType))
+            return F.coalesce(one, F.lit(0)) + 16
+        return F.coalesce(F.size(c), F.lit(0)).cast("long") * 8 + 16
+    if isinstance(kind, T.StructType):
+        return sum((_octets(c.getField(f.name), f.dataType) for f in kind.fields), F.lit(8).cast("long"))
+    return F.lit(8).cast("long")
+
+
+def measured_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if the bytes of its rows, summed over all
+    of them, are within ``limit``; beyond it the join shuffles.  ``df`` must
+    be cheap to read (a stored table)."""
+    width = sum((_octets(F.col(f.name), f.dataType) for f in df.schema.fields), F.lit(32).cast("long"))
+    return F.broadcast(df) if (df.agg(F.sum(width)).first()[0] or 0) <= limit else df

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from riskgraph.llm import decontaminate, jaccard, language, licences, packing, quality, secretscan, substrings, tokens, urls
+from riskgraph.llm import (
+    decontaminate, jaccard, language, licences, packing, quality, ranked, secretscan, substrings, tokens, urls,
+)
 
 QUERIES = {
     "op1_secrets": secretscan.op1_secrets,
@@ -15,6 +17,7 @@ QUERIES = {
     "op8_jaccard_join": jaccard.op8_jaccard_join,
     "op9_licences": licences.op9_licences,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "op11_ranked": ranked.op11_ranked,
 }
 
 ORACLES = {
@@ -23,4 +26,5 @@ ORACLES = {
     "op8_jaccard_join": jaccard.ORACLE,
     "op9_licences": licences.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
+    "op11_ranked": ranked.ORACLE,
 }
