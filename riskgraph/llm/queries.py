@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from riskgraph.llm import (
-    decontaminate, jaccard, language, licences, packing, quality, ranked, secretscan, substrings, tokens, urls,
+    brown, decontaminate, jaccard, language, licences, negatives, packing, quality, ranked, secretscan, substrings, tokens, urls,
 )
 
 QUERIES = {
@@ -18,6 +18,8 @@ QUERIES = {
     "op9_licences": licences.op9_licences,
     "op10_decontaminate": decontaminate.op10_decontaminate,
     "op11_ranked": ranked.op11_ranked,
+    "op12_negatives": negatives.op12_negatives,
+    "op13_brown": brown.op13_brown,
 }
 
 ORACLES = {
@@ -27,4 +29,5 @@ ORACLES = {
     "op9_licences": licences.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
     "op11_ranked": ranked.ORACLE,
+    "op12_negatives": negatives.ORACLE,
 }

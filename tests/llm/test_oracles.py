@@ -5,7 +5,7 @@ import pytest
 from riskgraph.llm.queries import ORACLES, QUERIES
 from tests.conftest import SF0001
 
-TABLES = ("documents", "pages", "benchmark", "labels")
+TABLES = ("documents", "pages", "benchmark", "labels", "embeddings")
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +17,7 @@ def duck():
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
 
 
