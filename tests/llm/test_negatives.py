@@ -86,7 +86,7 @@ def test_empty(spark):
 
 
 def test_ranges_lose_no_row_and_prune():
-    rows = cloud(400, 6, 7, scale=lambda r: math.exp(r.gauss(0, 1)))
+    rows = [(i, [x / math.dist(e, [0] * 3) for x in e], label) for i, e, label in cloud(400, 3, 7)]
     v = [[math.floor(256 * x) for x in e] for _, e, _ in rows]
     norm = [math.sqrt(dot(x, x)) for x in v]
     t = pa.table({"uid": list(range(400)), "vec_id": [r[0] for r in rows], "label": [r[2] for r in rows], "v": v,
