@@ -42,6 +42,10 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+# Stored tables of this process that have not been emptied: path and schema.
+_STORED: dict[str, T.StructType] = {}
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read it
     back: lineage is cut, and the rows outlive the executors that made them."""
@@ -50,16 +54,29 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_path = path
+    _STORED[path] = df.schema
     return out
 
 
+def _empty(spark: SparkSession, path: str) -> None:
+    spark.createDataFrame([], _STORED.pop(path)).write.mode("overwrite").parquet(path)
+
+
 def discard(*tables: DataFrame) -> None:
-    """Remove stored tables that nothing reads any more: every table made from
+    """Empty stored tables that nothing reads any more: every table made from
     them is itself stored, so no lost executor can ask for them again."""
     for df in tables:
-        spark = df.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_path)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _empty(df.sparkSession, df.stored_path)
+
+
+def cleanup(spark: SparkSession) -> int:
+    """Empty all stored tables of this process that are left, such as those a
+    result still reads; for callers that have used their results.  Returns
+    their number."""
+    paths = list(_STORED)
+    for path in paths:
+        _empty(spark, path)
+    return len(paths)
 
 
 def small_side(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
@@ -88,3 +105,20 @@ def measured_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     be cheap to read (a stored table)."""
     width = sum((_octets(F.col(f.name), f.dataType) for f in df.schema.fields), F.lit(32).cast("long"))
     return F.broadcast(df) if (df.agg(F.sum(width)).first()[0] or 0) <= limit else df
+
+
+SALT = 32
+
+
+def salted_join(left: DataFrame, right: DataFrame, key: str, by: str, how: str = "inner", parts: int = SALT) -> DataFrame:
+    """Join of ``left`` with ``right`` (a stored table with one row a key) on
+    ``key``.  A right side of measured size is broadcast; else every key of
+    ``left`` is split into ``parts`` by a hash of its column ``by`` and the right
+    rows are copied to each, so a key with a third of all rows meets its row in
+    many tasks."""
+    side = measured_side(right)
+    if side is not right:
+        return left.join(side, key, how)
+    x = left.withColumn("__part", F.pmod(F.xxhash64(by), F.lit(parts)).cast("int"))
+    y = right.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return x.join(y, [key, "__part"], how).drop("__part")
