@@ -1,15 +1,20 @@
 """Benchmark decontamination with a positional inverted index.
 
 The index holds (term, text, position) postings of the training tokens.  Only
-terms that some test phrase looks up are stored: per phrase the rarest of its
-words by their count in the whole corpus.  A posting of a phrase's word at
-offset ``o`` and position ``p`` says that the phrase would begin at ``p - o``;
-the offset-adjusted lists of a phrase's rarest words are intersected on
-(text, beginning), and the beginnings left are compared word by word with the
-text (phrase match) or by their share of common words (proximity match).
-
-Everything is DataFrame operations.  Texts are keyed by a 128-bit hash, so
-copies are searched once and a hot group of copies is one key.
+terms that some test phrase looks up are stored: per phrase its rarest words by
+their count in the whole corpus, as many as let two of them stand in every match
+(a proximity match may miss a fifth of the words).
+
+A match lies in a run of ``width + 2 * slop`` words.  Positions are put into
+overlapping ranges of twice that length, so every such run lies whole in one.
+The posting lists are intersected on (text, segment of a test text, range): a
+range is left if two different words of the segment stand in it.  Its words are
+then compared with the segment's phrases: word by word (phrase match), or by the
+share of a phrase's distinct words in a run (proximity match).
+
+Everything is DataFrame operations.  Texts are keyed by two 64-bit hashes, so
+copies meet in one key.  Words of the index are known by a 64-bit hash; every
+match is compared by its words.
 """
 
 from __future__ import annotations
@@ -17,12 +22,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskgraph.llm.common import discard, prepare, small_side, stored, table
+from riskgraph.llm.common import discard, measured_side, prepare, stored, table
 
 WIDTH = 10      # words in a test phrase
-RAREST = 2      # words of a phrase that are looked up
-SLOP = 3        # words by which a proximity match may shift
+SLOP = 3        # words by which a proximity match's run is longer at each end
 NEAR_SHARE = 80  # per cent of a phrase's distinct words in a proximity match
+SEGMENT = 32    # phrases of a test text that are searched together
 
 # Fixed values of the contract: words are runs of anything but these ASCII
 # ranges; A-Z are letters here because they are lower-cased before.
@@ -35,131 +40,155 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(WORD), F.lit(0))
 
 
+def _folded(text: Column) -> Column:
+    """Text as the index folds it, character by character: full lower-casing
+    is several times faster than lower-casing A-Z alone and gives equal words
+    for equal words.  The one letter whose lower case depends on its neighbours
+    (the capital sigma) is folded first."""
+    return F.lower(F.replace(text, F.lit("Σ"), F.lit("σ")))
+
+
 def _search_words(text: Column) -> Column:
-    """Words for the index.  Full lower-casing is several times faster than
-    lower-casing A-Z alone and maps equal words to equal words; the exact
-    comparison comes later."""
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    """Words for the index, at the places where ``words_of`` has them."""
+    return F.regexp_extract_all(_folded(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
+def _text_key() -> tuple[Column, Column]:
+    """Two independent 64-bit hashes of a text: the second starts from another
+    seed, as the constant goes first."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select("doc_id", "text", F.xxhash64(text).alias("k1"), F.xxhash64(text, F.lit(1)).alias("k2"))
+    return F.xxhash64(text), F.xxhash64(F.lit(1), text)
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    k1, k2 = _text_key()
+    return docs.select("doc_id", "text", k1.alias("k1"), k2.alias("k2"))
 
 
 def _phrases(items: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
-    """Distinct phrases (wid, words) and their owners (wid, item_id).  wid is a
-    64-bit hash: the test set is small, and every match is compared by words."""
+    """Phrases (seg, at, words) of the distinct test texts and the owners of
+    the texts' segments (seg, item_id), stored.  A segment is some neighbouring
+    phrases of one text, named by a 64-bit hash of all its words and their place
+    (the test set is small)."""
     w = items.select("item_id", words_of(F.col("text")).alias("w")).filter(F.size("w") > 0)
     at = F.explode(F.sequence(F.lit(0), F.greatest(F.size("w") - width, F.lit(0))))
-    w = w.select("item_id", "w", at.alias("at")).select(
-        "item_id", F.expr(f"slice(w, at + 1, {width})").alias("words"))
-    w = stored(w.select("item_id", F.xxhash64(F.array_join("words", " ")).alias("wid"), "words"), "phrases")
-    return (w.select("wid", "words").dropDuplicates(["wid"]),
-            w.select("wid", "item_id").distinct())
-
-
-def _anchors(texts: DataFrame, phrases: DataFrame, rarest: int) -> DataFrame:
-    """Per phrase its rarest words (h, wid, off, bit); the bits of a phrase add
-    up to ``2 ** rarest - 1``.  Counts cover the whole corpus; a phrase with a
-    word that no text has is dropped."""
-    terms = stored(phrases.select("wid", F.size("words").alias("n"), F.posexplode("words").alias("off", "word"))
-                   .select("wid", "n", "off", F.xxhash64(F.lower("word")).alias("h")), "terms")
-    vocabulary = small_side(stored(terms.select("h").distinct(), "vocabulary"), 16)
-    counts = (texts.select(F.explode(_search_words(F.col("text"))).alias("t"))
-              .select(F.xxhash64("t").alias("h")).join(vocabulary, "h")
-              .groupBy("h").agg(F.count("*").alias("freq")))
-    counts = stored(counts, "counts")
-    by_phrase = Window.partitionBy("wid")
-    return stored(
-        terms.join(small_side(counts, 24), "h")
-        .withColumn("known", F.count("*").over(by_phrase)).filter("known = n")
-        .withColumn("rank", F.row_number().over(by_phrase.orderBy("freq", "off")) - 1)
-        .filter(F.col("rank") < rarest)
-        # the last word of a short phrase stands for the ones it has not
-        .select("h", "wid", "off", F.expr(f"if(rank + 1 = least(n, {rarest}), shiftleft(1, {rarest}) - shiftleft(1, rank), "
-                                          "shiftleft(1, rank))").alias("bit")), "anchors")
-
-
-def _beginnings(texts: DataFrame, anchors: DataFrame) -> DataFrame:
-    """Where the words looked up put the beginning of a phrase (stored)."""
-    lookups = small_side(stored(anchors.select("h").distinct(), "lookups"), 16)
+    w = w.select("item_id", "w", at.alias("at"))
+    seg = F.xxhash64(F.array_join("w", " "), F.floor(F.col("at") / SEGMENT))
+    w = stored(w.select("item_id", seg.alias("seg"), "at", F.expr(f"slice(w, at + 1, {width})").alias("words")), "phrases")
+    return (w.select("seg", "at", "words").dropDuplicates(["seg", "at"]), w.select("seg", "item_id").distinct())
+
+
+def _lookups(texts: DataFrame, phrases: DataFrame, near_share: int) -> DataFrame:
+    """Words to look up per segment (h, seg, least; stored): ``least`` different
+    ones stand in every match of a phrase of the segment.
+
+    A match of a phrase of ``d`` distinct words lacks at most
+    ``t = d - ceil(near_share * d / 100)`` of them.  If ``u`` of them stand in
+    no text, at most ``t - u`` others are missing, and of the ``t - u + 2``
+    rarest others two are there.  A phrase with ``u > t`` has no match.  Counts
+    cover the whole corpus."""
+    d = F.size(F.array_distinct("words"))
+    words = (phrases.withColumn("t", d - F.ceil(near_share * d / 100).cast("int"))
+             .select("seg", "at", "t", F.explode(F.array_distinct(F.transform("words", _folded))).alias("word"))
+             .select("seg", "at", "t", F.xxhash64("word").alias("h")))
+    terms = stored(words, "terms")
+    vocabulary = measured_side(stored(terms.select("h").distinct(), "vocabulary"))
+    counts = stored(texts.select(F.explode(_search_words(F.col("text"))).alias("w")).select(F.xxhash64("w").alias("h"))
+                    .join(vocabulary, "h").groupBy("h").agg(F.count("*").alias("freq")), "counts")
+    phrase = Window.partitionBy("seg", "at")
+    ranked = (terms.join(measured_side(counts), "h", "left")
+              .withColumn("missing", F.col("t") - F.count_if(F.col("freq").isNull()).over(phrase))
+              .filter("missing >= 0 and freq is not null")
+              .withColumn("known", F.count("*").over(phrase))
+              .withColumn("rank", F.row_number().over(phrase.orderBy("freq", "h")))
+              .filter("rank <= missing + 2")
+              .withColumn("sure", F.least(F.lit(2), F.least("known", F.col("missing") + 2) - F.col("missing"))))
+    least = F.min("sure").over(Window.partitionBy("seg"))
+    out = stored(ranked.select("h", "seg", least.alias("least")).distinct(), "lookups")
+    discard(terms, counts)
+    return out
+
+
+def _ranges(texts: DataFrame, lookups: DataFrame, reach: int) -> DataFrame:
+    """(k1, k2, seg, low): ranges of ``2 * reach`` words, from word ``low`` on,
+    that may hold a match of the segment (stored)."""
+    wanted = measured_side(stored(lookups.select("h").distinct(), "looked-up"))
     postings = stored(
-        texts.select("k1", "k2", F.posexplode(_search_words(F.col("text"))).alias("pos", "t"))
-        .select("k1", "k2", "pos", F.xxhash64("t").alias("h")).join(lookups, "h"), "postings")
-    begins = (postings.join(small_side(anchors, 40), "h")
-              .select("k1", "k2", "wid", "bit", (F.col("pos") - F.col("off")).alias("start"))
-              .groupBy("k1", "k2", "wid", "start").agg(F.bit_or("bit").alias("bits")))
-    begins = stored(begins, "begins")
+        texts.select("k1", "k2", F.posexplode(_search_words(F.col("text"))).alias("pos", "w"))
+        .select("k1", "k2", "pos", F.xxhash64("w").alias("h")).join(wanted, "h"), "postings")
+    low = F.explode(F.array(F.floor(F.col("pos") / (2 * reach)) * 2 * reach,
+                            F.floor((F.col("pos") + reach) / (2 * reach)) * 2 * reach - reach))
+    # A range holds two different words if the least and the greatest differ.
+    found = (postings.join(measured_side(lookups), "h")
+             .select("k1", "k2", "seg", "h", "least", low.alias("low"))
+             .groupBy("k1", "k2", "seg", "low").agg(F.min("h").alias("a"), F.max("h").alias("z"), F.min("least").alias("least"))
+             .filter("a != z or least < 2").select("k1", "k2", "seg", "low"))
+    found = stored(found, "ranges")
     discard(postings)
-    return begins
+    return found
 
 
-def phrase_matches(docs: DataFrame, items: DataFrame, width: int = WIDTH, rarest: int = RAREST,
-                   slop: int = SLOP, near_share: int = NEAR_SHARE) -> tuple[DataFrame, DataFrame, DataFrame]:
+def phrase_matches(docs: DataFrame, items: DataFrame, width: int = WIDTH, slop: int = SLOP,
+                   near_share: int = NEAR_SHARE) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(phrase matches, proximity matches, owners) of ``items`` in ``docs``.
 
-    Matches are stored rows (k1, k2, wid, n, start): the text's key, the
-    phrase, its words and the word position where it begins.  A proximity
-    match has all looked-up words within ``slop`` of their offsets and at
-    least ``near_share`` per cent of the phrase's distinct words in the
-    window widened by ``slop``; it lists phrases without a phrase match in
-    that text.  owners has (wid, item_id).
+    Phrases are all runs of ``width`` words of an item, or its whole words if
+    it has fewer.  A phrase match is a run of the same words: rows (k1, k2, seg,
+    at, n, start) with the text's key, the phrase, its words and the position of
+    its first word.  A proximity match is a run of ``n + 2 * slop`` words (or a
+    whole shorter text) that holds at least ``near_share`` per cent of the
+    phrase's distinct words: rows (k1, k2, seg) for segments without a phrase
+    match in that text.  owners has (seg, item_id).
     """
     texts = _keyed(docs)
     phrases, owners = _phrases(items, width)
-    anchors = _anchors(texts, phrases, rarest)
-    begins = _beginnings(texts, anchors)
-    full = (1 << rarest) - 1
-    exact = begins.filter((F.col("bits") == full) & (F.col("start") >= 0)).select("k1", "k2", "wid", "start")
-
-    # Beginnings within the slop fall into one of two overlapping buckets.
-    wide = 2 * (slop + 1)
-    bucket = F.explode(F.array(F.expr(f"floor(start / {wide})"), F.expr(f"floor((start + {slop + 1}) / {wide}) + 1000000000")))
-    near = (begins.withColumn("bucket", bucket).groupBy("k1", "k2", "wid", "bucket")
-            .agg(F.bit_or("bits").alias("bits"), F.min("start").alias("start")).filter(F.col("bits") == full)
-            .select("k1", "k2", "wid", F.greatest("start", F.lit(0)).alias("start")).distinct())
-    wanted = stored(exact.select("*", F.lit(True).alias("exact"))
-                    .unionByName(near.select("*", F.lit(False).alias("exact"))), "wanted")
-
-    # Compare with the words of the texts that have a beginning.
-    keys = small_side(stored(wanted.select("k1", "k2").distinct(), "keys"), 24)
+    lookups = _lookups(texts, phrases, near_share)
+    reach = width + 2 * slop
+    ranges = _ranges(texts, lookups, reach)
+
+    keys = measured_side(stored(ranges.select("k1", "k2").distinct(), "keys"))
     whole = (texts.join(keys, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
              .select("k1", "k2", words_of(F.col("text")).alias("w")))
-    asked = (wanted.join(small_side(phrases, 48 + 16 * width), "wid").withColumn("n", F.size("words"))
-             .filter("exact or n > 1").groupBy("k1", "k2")
-             .agg(F.collect_list(F.struct("exact", "wid", "n", "start", "words")).alias("asked")))
-    verdict = f"""filter(asked, q -> if(q.exact, slice(w, q.start + 1, q.n) = q.words,
-        100 * size(array_intersect(slice(w, greatest(q.start - {slop}, 0) + 1, q.n + {2 * slop}), q.words))
-        >= {near_share} * size(array_distinct(q.words))))"""
-    held = (whole.join(asked, ["k1", "k2"]).select("k1", "k2", F.explode(F.expr(verdict)).alias("q"))
-            .select("k1", "k2", "q.wid", "q.n", "q.start", "q.exact"))
-    held = stored(held, "matches")
-    discard(begins, wanted)
-    phrase = held.filter("exact").drop("exact")
-    close = (held.filter("not exact").drop("exact")
-             .join(phrase.select("k1", "k2", "wid").distinct(), ["k1", "k2", "wid"], "left_anti"))
+    # Each range takes its own words from the text at once; ranges of one long
+    # text are rows of their own.
+    held = (whole.join(ranges, ["k1", "k2"])
+            .select("k1", "k2", "seg", F.greatest("low", F.lit(0)).cast("int").alias("low"),
+                    F.expr(f"slice(w, int(greatest(low, 0)) + 1, int({2 * reach} + least(low, 0)))").alias("z"))
+            .filter("size(z) > 0"))
+    tried = (held.join(measured_side(stored(phrases, "distinct-phrases")), "seg").withColumn("n", F.size("words"))
+             .filter(f"100 * size(array_intersect(z, words)) >= {near_share} * size(array_distinct(words))"))
+    exact = "filter(sequence(0, greatest(size(z) - n, 0)), s -> slice(z, s + 1, n) = words)"
+    near = (f"exists(sequence(0, greatest(size(z) - n - {2 * slop}, 0)), s -> 100 * size(array_intersect("
+            f"slice(z, s + 1, n + {2 * slop}), words)) >= {near_share} * size(array_distinct(words)))")
+    found = stored(tried.select("k1", "k2", "seg", "at", "n", "low", F.expr(exact).alias("starts"), F.expr(near).alias("near"))
+                   .filter("near or size(starts) > 0"), "matches")
+    discard(ranges, lookups)
+    phrase = found.select("k1", "k2", "seg", "at", "n", F.explode("starts").alias("s"), "low").select(
+        "k1", "k2", "seg", "at", "n", (F.col("low") + F.col("s")).alias("start")).distinct()
+    close = found.filter("near").select("k1", "k2", "seg").distinct().join(
+        phrase.select("k1", "k2", "seg").distinct(), ["k1", "k2", "seg"], "left_anti")
     return phrase, close, owners
 
 
 def contamination(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): n_words, n_hit (words inside a
     phrase match), n_items, items_sha256, contaminated, n_near_items (items
-    with a proximity match only).  Null or wordless texts have zeros and the
-    digest of an empty string; an item without words has no phrase; null
-    item_ids mark words as hit and are not listed.  Repeated rows repeat."""
+    with a proximity match and no phrase match).  Null or wordless texts have
+    zeros and the digest of an empty string; an item without words has no
+    phrase; null item_ids mark words as hit and are not listed.  Repeated rows
+    repeat, and so do repeated items, which count once."""
     phrase, close, owners = phrase_matches(docs, items, **how)
     key = ["k1", "k2"]
     hit = (phrase.select(*key, F.explode(F.expr("sequence(start, start + n - 1)")).alias("p"))
            .distinct().groupBy(*key).agg(F.count("*").alias("n_hit")))
-    owners = small_side(stored(owners, "owners"), 64)
-    found = (phrase.select(*key, "wid").distinct().join(owners, "wid").groupBy(*key)
-             .agg(F.collect_set(F.col("item_id").cast("string")).alias("items")))
-    near = (close.select(*key, "wid").distinct().join(owners, "wid").select(*key, "item_id").distinct()
-            .groupBy(*key).agg(F.count("item_id").alias("n_near_items")))
+    owners = measured_side(stored(owners, "owners"))
+    exact = phrase.select(*key, "seg").distinct().join(owners, "seg").select(*key, "item_id").distinct()
+    found = exact.groupBy(*key).agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
+    near = (close.join(owners, "seg").select(*key, "item_id").distinct()
+            .join(exact, [*key, "item_id"], "left_anti").groupBy(*key).agg(F.count("item_id").alias("n_near_items")))
     facts = stored(hit.join(found, key, "full").join(near, key, "full"), "facts")
     items_of = F.coalesce("items", F.expr("cast(array() as array<string>)"))
-    return (_keyed(docs).join(small_side(facts, 96), key, "left")
+    return (_keyed(docs).join(measured_side(facts), key, "left")
             .select("doc_id", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("n_words"),
                     F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.size(items_of).cast("long").alias("n_items"),
@@ -179,15 +208,15 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     prepare(spark)
     phrase, _, _ = phrase_matches(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
     bad = stored(phrase.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).distinct(), "contaminated")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.join(small_side(bad, 24), (F.xxhash64(text) == F.col("__k1")) & (F.xxhash64(text, F.lit(1)) == F.col("__k2")),
-                     "left_anti")
+    k1, k2 = _text_key()
+    return docs.join(measured_side(bad), (k1 == F.col("__k1")) & (k2 == F.col("__k2")), "left_anti")
 
 
 _WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
           r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
 
-# Proximity: the two rarest words by corpus count, then by offset, fall into one bucket of beginnings.
+# Proximity by its meaning: some run of n + 6 words holds 80 % of a phrase's
+# distinct words; only texts that hold as many of them at all are looked at.
 ORACLE = rf"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
@@ -203,37 +232,23 @@ starts AS (
 n_hit AS (
   SELECT doc_id, count(*) AS n_hit
   FROM (SELECT DISTINCT doc_id, unnest(range(k, k + n)) AS p FROM hits) GROUP BY doc_id
-), found AS (
-  SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS items
-  FROM hits JOIN owners USING (words) GROUP BY doc_id
-), tokens AS (
-  SELECT doc_id, unnest(w) AS t, unnest(range(0, len(w))) AS pos FROM d
-), lowered AS (SELECT doc_id, lower(t) AS t, pos FROM tokens),
-freq AS (SELECT t, count(*) AS f FROM lowered GROUP BY t),
-terms AS (
-  SELECT words, unnest(words) AS word, unnest(range(0, len(words))) AS off FROM (SELECT DISTINCT words FROM owners)
-), ranked AS (
-  SELECT words, lower(word) AS t, off, row_number() OVER (PARTITION BY words ORDER BY f, off) - 1 AS r,
-         count(*) OVER (PARTITION BY words) AS known
-  FROM terms JOIN freq ON freq.t = lower(word)
-), anchors AS (SELECT * FROM ranked WHERE r < 2 AND known = len(words) AND len(words) > 1),
-begins AS (
-  SELECT l.doc_id, a.words, a.r, l.pos - a.off AS start FROM lowered l JOIN anchors a ON a.t = l.t
-), buckets AS (
-  SELECT doc_id, words, r, start, CAST(floor(start / 8.0) AS BIGINT) AS b FROM begins
-  UNION ALL
-  SELECT doc_id, words, r, start, CAST(floor((start + 4) / 8.0) AS BIGINT) + 1000000000 FROM begins
-), close AS (
-  SELECT DISTINCT doc_id, words, greatest(min(start), 0) AS start
-  FROM buckets GROUP BY doc_id, words, b HAVING count(DISTINCT r) = 2
+), exact AS (SELECT DISTINCT doc_id, item_id FROM hits JOIN owners USING (words)),
+found AS (
+  SELECT doc_id, list_sort(list(CAST(item_id AS VARCHAR))) AS items FROM exact GROUP BY doc_id
+), held AS (
+  SELECT doc_id, words, len(list_distinct(words)) AS of
+  FROM (SELECT DISTINCT doc_id, unnest(w) AS word FROM d)
+  JOIN (SELECT words, unnest(list_distinct(words)) AS word FROM (SELECT DISTINCT words FROM owners)) USING (word)
+  GROUP BY doc_id, words HAVING 100 * count(*) >= 80 * len(list_distinct(words))
+), runs AS (
+  SELECT h.doc_id, h.words, h.of, d.w, unnest(range(0, greatest(len(d.w) - len(h.words) - 6, 0) + 1)) AS s
+  FROM held h JOIN d ON d.doc_id = h.doc_id
 ), near AS (
-  SELECT c.doc_id, count(DISTINCT o.item_id) AS n_near_items
-  FROM (SELECT DISTINCT c.doc_id, c.words FROM close c JOIN d ON d.doc_id = c.doc_id
-        WHERE 100 * len(list_intersect(list_distinct(d.w[greatest(c.start - 3, 0) + 1:greatest(c.start - 3, 0) + len(c.words) + 6]),
-                                       list_distinct(c.words))) >= 80 * len(list_distinct(c.words))) c
-  JOIN owners o ON o.words = c.words
-  WHERE NOT EXISTS (SELECT 1 FROM hits h WHERE h.doc_id = c.doc_id AND h.words = c.words)
-  GROUP BY c.doc_id
+  SELECT doc_id, count(DISTINCT item_id) AS n_near_items
+  FROM (SELECT DISTINCT doc_id, item_id FROM runs JOIN owners USING (words)
+        WHERE 100 * len(list_intersect(list_distinct(w[s + 1:s + len(words) + 6]), list_distinct(words))) >= 80 * of)
+  WHERE (doc_id, item_id) NOT IN (SELECT (doc_id, item_id) FROM exact)
+  GROUP BY doc_id
 )
 SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(items), 0) AS n_items,
        sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,

@@ -76,6 +76,55 @@ def test_proximity_finds_a_changed_word(spark, make):
     assert [r["start"] for r in phrase.collect()] == [0] and close.count() == 1
 
 
+def near_model(docs, items):
+    """Items with a run of n + 6 words that holds 80 % of a phrase's distinct words, and no phrase match."""
+    out = []
+    hits = {(i, x) for i, t in docs for item, it in items for x in [item] if model([(i, t)], [(item, it)])[0][2]}
+    for i, t in docs:
+        w, found = words(t), set()
+        for item, it in items:
+            v = words(it)
+            for k in range(max(len(v) - 9, 0) or (1 if v else 0)):
+                p = set(v[k:k + 10])
+                n = len(v[k:k + 10]) + 6
+                if any(100 * len(p & set(w[s:s + n])) >= 80 * len(p) for s in range(max(len(w) - n, 0) + 1)):
+                    found.add(item)
+        out.append((i, sum((i, item) not in hits for item in found)))
+    return sorted(out)
+
+
+def test_proximity_equals_all_runs(spark, make):
+    rnd = random.Random(3)
+    vocab = [f"v{i}" for i in range(40)]
+    text = lambda n: " ".join(rnd.choice(vocab) for _ in range(n))
+    items = [(k, text(rnd.choice([2, 5, 10, 14, 45]))) for k in range(8)]
+    docs = []
+    for k in range(60):
+        w = items[k % 8][1].split()
+        for _ in range(rnd.randint(0, 3)):
+            w[rnd.randrange(len(w))] = rnd.choice([f"new{k}", rnd.choice(vocab)])
+        rnd.shuffle(w) if k % 5 == 0 else None
+        docs.append((k, text(rnd.randint(0, 50)) + " " + " ".join(w) + " " + text(rnd.randint(0, 30))))
+    got = contamination(make(docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["n_near_items"]) for r in got) == near_model(docs, items)
+
+
+def test_a_replaced_word_is_found_by_proximity(spark, make):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    for place in (0, 4, 9):
+        w = item.split()
+        w[place] = "other"
+        docs = make([(1, "before " + " ".join(w) + " after"), (2, "nothing of it")])
+        rows = {r["doc_id"]: r for r in contamination(docs, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()}
+        assert (rows[1]["n_hit"], rows[1]["n_near_items"], rows[2]["n_near_items"]) == (0, 1, 0)
+
+
+def test_case_that_depends_on_neighbours(spark, make):
+    text = "ΑΣ'Α β γ δ ε ζ η θ ι"
+    got = contamination(make([(1, text), (2, "ΌΔΟΣ " + text + " ΌΔΟΣ")]), spark.createDataFrame([(1, text), (2, "ΌΔΟΣ")], "item_id long, text string"))
+    assert sorted((r["doc_id"], r["n_words"], r["n_hit"]) for r in got.collect()) == [(1, 10, 10), (2, 12, 12)]
+
+
 def test_stage_drops_only_contaminated_documents(spark):
     docs = spark.read.parquet(f"{SF0001}/documents.parquet")
     items = [tuple(r) for r in spark.read.parquet(f"{SF0001}/benchmark.parquet").select("item_id", "text").collect()]
