@@ -11,7 +11,9 @@ that overlap a base span, are suppressed.
 
 Everything is DataFrame operations.  Offsets come from the lengths between
 matches, summed by a window over one text's matches, so a text may hold any
-number of them.  Texts are keyed by a 128-bit hash: copies are summarised once.
+number of them.  Texts are keyed by two independent 64-bit hashes: copies are
+summarised once.  The work is linear in a text, however long its runs are and
+however many spans it has.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskgraph.llm.common import prepare, small_side, stored, table
+from riskgraph.llm.common import measured_side, prepare, stored, table
 
 # Fixed values of the contract.
 ASSIGN = (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -41,65 +43,84 @@ ALLOW = [r"^[A-Za-z+/_=-]+$", r"^[0-9+/_=-]+$", r"^[A-Za-z]*[0-9]{0,4}$",
          r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
          r"(?i)example|sample|dummy|placeholder|redacted", r"(.)\1{7}"]
 MASK = "[SECRET]"
-DUMP = 200  # the pipeline drops a document with more secrets than this as a credential dump
+PER_LONG = 12  # counts of a window (0 to 20, five bits each) held in one long
 
 
 def _text() -> Column:
     return F.coalesce(F.col("text"), F.lit(""))
 
 
+def _text_key() -> tuple[Column, Column]:
+    """Two hashes of a text; the second starts from another seed, as the
+    constant goes first."""
+    return F.xxhash64(_text()), F.xxhash64(F.lit(1), _text())
+
+
 def _matches(kind: str, pattern: str, when: Column) -> Column:
-    """Array of (kind, i, gap, m): the i-th match and the length of the text
-    between the match before and it."""
-    none = F.expr("cast(array() as array<struct<kind:string,i:int,gap:int,m:string>>)")
+    """Array of (kind, i, gap, bytes, m): the i-th match and the length, in
+    characters and in bytes, of the text between the match before and it."""
+    none = F.expr("cast(array() as array<struct<kind:string,i:int,gap:int,bytes:int,m:string>>)")
     m = F.regexp_extract_all(_text(), F.lit(pattern), F.lit(0))
     zipped = F.arrays_zip(F.split(_text(), pattern, -1).alias("p"), m.alias("m"))
     rows = F.transform(F.slice(zipped, 1, F.size(m)), lambda x, i: F.struct(
-        F.lit(kind).alias("kind"), i.alias("i"), F.length(x["p"]).alias("gap"), x["m"].alias("m")))
+        F.lit(kind).alias("kind"), i.alias("i"), F.length(x["p"]).alias("gap"), F.octet_length(x["p"]).alias("bytes"), x["m"].alias("m")))
     return F.when(when & (F.size(m) > 0), rows).otherwise(none)
 
 
 def _entropy_extent(word: str) -> Column:
-    """(first, last) window beginning at or over the class threshold, by
-    incremental counts; nulls if there is none."""
+    """Struct (first, last): window beginnings at or over the class threshold,
+    by incremental counts; nulls if there is none.  The word is turned into
+    character codes once; the counts are packed into a few longs."""
     g = ", ".join(repr(c * math.log2(c)) + "D" if c > 1 else "0D" for c in range(WINDOW + 1))
-    at = f"instr('{ALPHABET}', substring({word}, %s, 1))"
-    incoming, outgoing = at % "i", at % f"i - {WINDOW}"
     bits = " ".join(f"when {word} rlike '{p}' then {t}D" for _, p, t in CLASSES)
+
+    def count(code):
+        return f"int(shiftright(x.a.c[{code} div {PER_LONG}], int(5 * ({code} % {PER_LONG}))) & 31)"
+
+    def one(code):
+        return f"if(k = {code} div {PER_LONG}, shiftleft(1L, int(5 * ({code} % {PER_LONG}))), 0L)"
+
     # a.s is the sum of c * log2(c) over the counts c of the window's characters.
     return F.expr(f"""
-      aggregate(sequence(1, length({word})),
-        named_struct('c', array_repeat(0, {len(ALPHABET)}), 's', 0D, 'first', cast(null as int), 'last', cast(null as int),
-                     'least', {WINDOW}D * (log2({WINDOW}D) - case {bits} end)),
-        (a, i) -> transform(array(named_struct('a', a, 'in', {incoming}, 'out', if(i > {WINDOW}, {outgoing}, 0))), x ->
-          transform(array(named_struct('s', if(x.in = x.out, x.a.s,
-              x.a.s + array({g})[x.a.c[x.in - 1] + 1] - array({g})[x.a.c[x.in - 1]]
-              + if(x.out > 0, array({g})[greatest(x.a.c[greatest(x.out, 1) - 1] - 1, 0)] - array({g})[x.a.c[greatest(x.out, 1) - 1]], 0D)),
-            'c', transform(x.a.c, (v, k) -> v + int(k = x.in - 1) - int(k = x.out - 1)))), y ->
-            named_struct('c', y.c, 's', y.s,
-              'first', coalesce(x.a.first, if(i >= {WINDOW} and y.s <= x.a.least, i - {WINDOW}, null)),
-              'last', if(i >= {WINDOW} and y.s <= x.a.least, i - {WINDOW}, x.a.last),
-              'least', x.a.least))[0])[0])""")
+      transform(array(transform(split({word}, ''), ch -> instr('{ALPHABET}', ch) - 1)), codes ->
+        aggregate(sequence(1, length({word})),
+          named_struct('c', array_repeat(0L, {-(-len(ALPHABET) // PER_LONG)}), 's', 0D,
+                       'first', cast(null as int), 'last', cast(null as int),
+                       'least', {WINDOW}D * (log2({WINDOW}D) - case {bits} end)),
+          (a, i) -> transform(array(named_struct('a', a, 'in', codes[i - 1], 'out', if(i > {WINDOW}, codes[greatest(i - {WINDOW}, 1) - 1], -1))), x ->
+            transform(array(named_struct(
+              's', if(x.in = x.out, x.a.s, x.a.s + array({g})[{count('x.in')} + 1] - array({g})[{count('x.in')}]
+                + if(x.out >= 0, array({g})[greatest({count('greatest(x.out, 0)')} - 1, 0)] - array({g})[{count('greatest(x.out, 0)')}], 0D)),
+              'c', transform(x.a.c, (v, k) -> v + {one('x.in')} - if(x.out >= 0, {one('greatest(x.out, 0)')}, 0L)))), y ->
+              named_struct('c', y.c, 's', y.s,
+                'first', coalesce(x.a.first, if(i >= {WINDOW} and y.s <= x.a.least, i - {WINDOW}, null)),
+                'last', if(i >= {WINDOW} and y.s <= x.a.least, i - {WINDOW}, x.a.last),
+                'least', x.a.least))[0])[0],
+          a -> named_struct('first', a.first, 'last', a.last)))[0]""")
 
 
 def secret_spans(docs: DataFrame) -> DataFrame:
-    """Spans (k1, k2, kind, k, start, end) of the distinct texts of ``docs``
-    (column text); k orders the kinds.  Code points, end exclusive."""
+    """Spans (k1, k2, kind, k, start, end, from, upto) of the distinct texts of
+    ``docs`` (column text); k orders the kinds.  start and end are code points,
+    from and upto bytes, ends exclusive."""
     text = _text()
     lower = F.lower(text)
     has_word = F.lit(False)
     for w in ("password", "passwd", "secret", "token", "api"):
         has_word = has_word | F.contains(lower, F.lit(w))
+    k1, k2 = _text_key()
     found = docs.select("text").select(
-        F.xxhash64(text).alias("k1"), F.xxhash64(text, F.lit(1)).alias("k2"), F.explode(F.concat(
+        k1.alias("k1"), k2.alias("k2"), F.explode(F.concat(
             _matches("assign", ASSIGN, has_word),
             _matches("access", ACCESS, F.contains(text, F.lit("AKIA"))),
             _matches("hex", HEX, text.rlike(r"[0-9a-f]{24}")),
             _matches("entropy", CANDIDATE, text.rlike(r"[A-Za-z0-9+/_=-]{20}")))).alias("f"))
     found = found.select("k1", "k2", "f.*").distinct()
     order = Window.partitionBy("k1", "k2", "kind").orderBy("i")
+    # Matches are ASCII: as many bytes as characters.
     found = (found.withColumn("end", F.sum(F.col("gap") + F.length("m")).over(order))
-             .withColumn("start", F.col("end") - F.length("m")))
+             .withColumn("upto", F.sum(F.col("bytes") + F.length("m")).over(order))
+             .withColumn("start", F.col("end") - F.length("m")).withColumn("from", F.col("upto") - F.length("m")))
     allowed = F.lit(False)
     for p in ALLOW:
         allowed = allowed | F.col("m").rlike(p)
@@ -107,13 +128,13 @@ def secret_spans(docs: DataFrame) -> DataFrame:
             .when(F.col("kind") == "entropy", ~allowed).otherwise(True))
     found = found.filter(keep)
     # Only what is left of the candidates pays for the windows.
-    extent = F.when(F.col("kind") == "entropy", F.struct(
-        _entropy_extent("m")["first"].alias("first"), _entropy_extent("m")["last"].alias("last")))
-    found = found.withColumn("w", extent).filter("kind != 'entropy' or w.first is not null")
-    found = found.select("k1", "k2", "kind",
-                         F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).alias("k"),
-                         F.when(F.col("kind") == "entropy", F.col("start") + F.col("w.first")).otherwise(F.col("start")).alias("start"),
-                         F.when(F.col("kind") == "entropy", F.col("start") + F.col("w.last") + WINDOW).otherwise(F.col("end")).alias("end"))
+    found = (found.withColumn("w", F.when(F.col("kind") == "entropy", _entropy_extent("m")))
+             .filter("kind != 'entropy' or w.first is not null"))
+    cut = F.when(F.col("kind") == "entropy", F.col("w.first")).otherwise(0)
+    size = F.when(F.col("kind") == "entropy", F.col("w.last") + WINDOW - F.col("w.first")).otherwise(F.length("m"))
+    found = found.select("k1", "k2", "kind", F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).alias("k"),
+                         (F.col("start") + cut).alias("start"), (F.col("start") + cut + size).alias("end"),
+                         (F.col("from") + cut).alias("from"), (F.col("from") + cut + size).alias("upto"))
     base = F.col("kind") != "entropy"
     by_text = Window.partitionBy("k1", "k2").orderBy("start", "k")
     before = F.max(F.when(base, F.col("end"))).over(by_text.rowsBetween(Window.unboundedPreceding, -1))
@@ -140,11 +161,11 @@ def scan(docs: DataFrame) -> DataFrame:
     n_entropy, base_sha256, spans.  Null and empty texts have no span (the
     digest of an empty string); repeated rows repeat their result."""
     facts = _facts(docs)
-    text = _text()
+    k1, k2 = _text_key()
     none = F.expr("cast(array() as array<struct<start:bigint,k:bigint,kind:string,end:bigint>>)")
     found = F.coalesce("found", none)
-    return (docs.select("doc_id", F.xxhash64(text).alias("k1"), F.xxhash64(text, F.lit(1)).alias("k2"))
-            .join(small_side(facts, 128), ["k1", "k2"], "left")
+    return (docs.select("doc_id", k1.alias("k1"), k2.alias("k2"))
+            .join(measured_side(facts), ["k1", "k2"], "left")
             .select("doc_id", *[F.coalesce(f"n_{k}", F.lit(0)).cast("long").alias(f"n_{k}") for k in KINDS],
                     F.sha2(_joined(F.filter(found, lambda s: s["kind"] != "entropy")), 256).alias("base_sha256"),
                     _joined(found).alias("spans")))
@@ -155,23 +176,32 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def _pieces(docs: DataFrame) -> DataFrame:
+    """Per distinct text with a span, the bytes that stay (__k1, __k2,
+    __pieces: (from, size) between the masks, __rest: where the last piece
+    begins).  Spans that overlap are one mask."""
+    by_text = Window.partitionBy("k1", "k2").orderBy("from", "k")
+    covered = F.coalesce(F.max("upto").over(by_text.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    spans = secret_spans(docs).withColumn("covered", covered)
+    piece = F.when((F.col("from") >= F.col("covered")), F.struct("covered", (F.col("from") - F.col("covered")).alias("size")))
+    return stored(spans.groupBy(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).agg(
+        F.sort_array(F.collect_list(piece)).alias("__pieces"), F.max("upto").alias("__rest")), "masks")
+
+
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: every span is masked and n_chars follows; a document
-    with more than ``DUMP`` spans is a credential dump and goes."""
+    """Pipeline stage: every span is masked and n_chars follows; all documents
+    stay.  The text is cut by bytes, each once, and joined with the mask."""
     prepare(spark)
-    facts = small_side(_facts(docs.select("doc_id", "text")).select(
-        F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("found").alias("__found")), 256)
-    text = _text()
+    pieces = measured_side(_pieces(docs.select("text")))
+    k1, k2 = _text_key()
     masked = F.expr(f"""
-      aggregate(__found, named_struct('at', 0L, 'out', ''),
-        (a, s) -> named_struct('at', greatest(a.at, s.end),
-          'out', if(s.start >= a.at, concat(a.out, substring(text, int(a.at) + 1, int(s.start - a.at)), '{MASK}'), a.out)),
-        a -> concat(a.out, substring(text, int(a.at) + 1)))""")
-    out = (docs.join(facts, (F.xxhash64(text) == F.col("__k1")) & (F.xxhash64(text, F.lit(1)) == F.col("__k2")), "left")
-           .filter(F.coalesce(F.size("__found"), F.lit(0)) <= DUMP)
-           .withColumn("text", F.when(F.col("__found").isNotNull(), masked).otherwise(F.col("text"))))
+      transform(array(cast(text as binary)), b -> array_join(concat(
+        transform(__pieces, p -> cast(substring(b, int(p.covered) + 1, int(p.size)) as string)),
+        array(cast(substring(b, int(__rest) + 1) as string))), '{MASK}'))[0]""")
+    out = (docs.join(pieces, (k1 == F.col("__k1")) & (k2 == F.col("__k2")), "left")
+           .withColumn("text", F.when(F.col("__pieces").isNotNull(), masked).otherwise(F.col("text"))))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__found").isNotNull(), F.length("text").cast("long"))
+        out = out.withColumn("n_chars", F.when(F.col("__pieces").isNotNull(), F.length("text").cast("long"))
                              .otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
 
