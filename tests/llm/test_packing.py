@@ -3,7 +3,11 @@ import random
 
 import numpy as np
 
+import public_tokenizers
+from tokenizers import Tokenizer
+
 from riskgraph.llm.packing import LENGTHS, best_fit, cost, pack, packing_stage
+from riskgraph.llm.tokens import END, TOKENIZER
 from tests.llm.conftest import ODD
 
 
@@ -74,6 +78,32 @@ def test_repeated_rows_and_empty_table(spark, make):
     bins = best_fit(hot, shard_rows=40).collect()
     assert sum(p["length"] for b in bins for p in b["pieces"] if p["doc_id"] == 1) == 3000
     assert best_fit(hot.filter("n < 0")).collect() == []
-    docs = make(ODD)
+
+
+def test_stage_packs_the_ids_of_every_text(make):
+    """Ids, end ids included, fit their bins, and each text can be put together
+    again from its pieces; very long texts are cut, odd ones are whole."""
+    coder = Tokenizer.from_file(public_tokenizers.path(TOKENIZER))
+    rnd = random.Random(4)
+    texts = [(k + 100, " ".join(rnd.choice(["alpha", "beta,", "naïve", "日本語", "x1"]) for _ in range(rnd.randint(1, 900)))) for k in range(60)]
+    texts += [(300, "word " * 12_000), (301, "日本語のテキスト" * 4000), (None, "no id"), (None, "none either"), *ODD]
+    docs = make(texts)
     bins = packing_stage(docs.sparkSession, docs, "").collect()
-    check(bins, {4: 2, None: 6, 5: 20}, LENGTHS)
+    got = {}
+    for b in bins:
+        assert len(b["ids"]) == b["used"] == sum(p["length"] for p in b["pieces"]) <= b["capacity"]
+        at = 0
+        for p in b["pieces"]:
+            got.setdefault((p["doc_id"], p["text_hash"]), {}).setdefault(p["start"], []).append(b["ids"][at:at + p["length"]])
+            at += p["length"]
+    want = {}
+    for i, t in texts:
+        if t:
+            want.setdefault((i, tuple(coder.encode(t, add_special_tokens=False).ids) + (END,)), []).append(1)
+    found = {}
+    for (i, _), pieces in got.items():
+        copies = len(pieces[0])
+        assert all(len(p) == copies and len(set(map(tuple, p))) == 1 for p in pieces.values())
+        whole = [x for start in sorted(pieces) for x in pieces[start][0]]
+        found[i, tuple(whole)] = [1] * copies
+    assert found == want
