@@ -150,17 +150,19 @@ def phrase_matches(docs: DataFrame, items: DataFrame, width: int = WIDTH, slop:
     whole = (texts.join(keys, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
              .select("k1", "k2", words_of(F.col("text")).alias("w")))
     # Each range takes its own words from the text at once; ranges of one long
-    # text are rows of their own.
+    # text are rows of their own.  The words are bound to a name, so that no
+    # step takes them again.
     held = (whole.join(ranges, ["k1", "k2"])
-            .select("k1", "k2", "seg", F.greatest("low", F.lit(0)).cast("int").alias("low"),
-                    F.expr(f"slice(w, int(greatest(low, 0)) + 1, int({2 * reach} + least(low, 0)))").alias("z"))
+            .select("k1", "k2", "seg", F.greatest("low", F.lit(0)).cast("int").alias("low"), F.explode(F.array(F.expr(
+                f"slice(w, int(greatest(low, 0)) + 1, int({2 * reach} + least(low, 0)))"))).alias("z"))
             .filter("size(z) > 0"))
     tried = (held.join(measured_side(stored(phrases, "distinct-phrases")), "seg").withColumn("n", F.size("words"))
              .filter(f"100 * size(array_intersect(z, words)) >= {near_share} * size(array_distinct(words))"))
     exact = "filter(sequence(0, greatest(size(z) - n, 0)), s -> slice(z, s + 1, n) = words)"
     near = (f"exists(sequence(0, greatest(size(z) - n - {2 * slop}, 0)), s -> 100 * size(array_intersect("
             f"slice(z, s + 1, n + {2 * slop}), words)) >= {near_share} * size(array_distinct(words)))")
-    found = stored(tried.select("k1", "k2", "seg", "at", "n", "low", F.expr(exact).alias("starts"), F.expr(near).alias("near"))
+    verdict = F.explode(F.array(F.struct(F.expr(exact).alias("starts"), F.expr(near).alias("near")))).alias("v")
+    found = stored(tried.select("k1", "k2", "seg", "at", "n", "low", verdict).select("k1", "k2", "seg", "at", "n", "low", "v.*")
                    .filter("near or size(starts) > 0"), "matches")
     discard(ranges, lookups)
     phrase = found.select("k1", "k2", "seg", "at", "n", F.explode("starts").alias("s"), "low").select(

@@ -128,7 +128,7 @@ def secret_spans(docs: DataFrame) -> DataFrame:
             .when(F.col("kind") == "entropy", ~allowed).otherwise(True))
     found = found.filter(keep)
     # Only what is left of the candidates pays for the windows.
-    found = (found.withColumn("w", F.when(F.col("kind") == "entropy", _entropy_extent("m")))
+    found = (found.select("*", F.explode(F.array(F.when(F.col("kind") == "entropy", _entropy_extent("m")))).alias("w"))
              .filter("kind != 'entropy' or w.first is not null"))
     cut = F.when(F.col("kind") == "entropy", F.col("w.first")).otherwise(0)
     size = F.when(F.col("kind") == "entropy", F.col("w.last") + WINDOW - F.col("w.first")).otherwise(F.length("m"))
