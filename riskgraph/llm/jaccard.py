@@ -18,7 +18,12 @@ are the off-diagonal entries of matrix x transpose.  It is never formed whole:
    meet under the bounds are compared, all of them.  Pairs inside a component
    cannot change it, so they are never made.
 
+A row's size and its place in a column bound the sizes of its partners there.
+Each column is split into bands of sizes, and a row only enters the bands that
+its bounds reach, so rows that share a passage but cannot link do not meet.
+
 Overlaps of candidate pairs are counted on whole sets; no candidate is capped.
+Shingles are known by 64-bit hashes and sets by 63-bit ones.
 """
 
 from __future__ import annotations
@@ -27,10 +32,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskgraph.llm.common import discard, prepare, ship, small_side, stored, table
+from riskgraph.llm.common import discard, measured_side, prepare, ship, stored, table
 from riskgraph.llm.components import components
 from riskgraph.llm.textbytes import batch_bytes, doc_words, mix64, shingles
 
@@ -40,6 +45,8 @@ WIDTH = 5            # words in a shingle
 THRESHOLD = 75       # per cent
 BLOCK_ENTRIES = 500_000   # entries of the matrix in one column block
 FLUSH_ENTRIES = 500_000   # entries a task holds before it emits its blocks
+BAND = 1.05          # ratio of the set sizes at a size band's ends
+SALT = 16            # parts of a large component when it takes its name
 
 
 def required(n: np.ndarray | int, threshold: int) -> np.ndarray | int:
@@ -167,13 +174,31 @@ def _linked(pairs: DataFrame, rows: DataFrame, threshold: int) -> DataFrame:
             .select("a", "b"))
 
 
-def _can_link(x: str, y: str, threshold: int):
-    """Size-derived bounds on two postings that meet: sizes within the
-    threshold, and enough columns left at the meeting place."""
-    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
-    left = F.least(n - F.col(f"{x}.pos"), m - F.col(f"{y}.pos"))
-    return ((F.lit(100) * F.least(n, m) >= F.lit(threshold) * F.greatest(n, m))
-            & (F.lit(100 + threshold) * left >= F.lit(threshold) * (n + m)))
+def _band(n: Column) -> Column:
+    return F.floor(F.log(n) / float(np.log(BAND))).cast("int")
+
+
+def _pairs(seekers: DataFrame, offers: DataFrame, threshold: int, unlike: str) -> DataFrame:
+    """Distinct pairs (a, b) of rows that meet in a column under the size-derived
+    bounds: ``seekers`` and ``offers`` are postings (h, set_id, n, pos, ...) that
+    differ in the column ``unlike``.
+
+    Two sets of sizes ``n >= m`` can link only if ``100 m >= t n``, and if they
+    first meet at places ``p`` and ``q`` only if the columns left, at most
+    ``min(n - p, m - q)``, reach ``t (n + m) / (100 + t)``.  So a posting names
+    the sizes of its smaller partners: from ``t n / 100`` to the least of ``n``
+    and ``(100 + t) (n - p) / t - n``.  Both directions are joined."""
+    t = threshold
+    low = F.ceil(F.col("n") * t / 100)
+    high = F.least(F.col("n"), F.floor((F.col("n") - F.col("pos")) * (100 + t) / t) - F.col("n"))
+    wide = seekers.withColumn("low", low).withColumn("high", high).filter("low <= high")
+    x = wide.withColumn("band", F.explode(F.sequence(_band(F.col("low")), _band(F.col("high")))))
+    y = offers.withColumn("band", _band(F.col("n")))
+    left = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
+    return (x.alias("x").join(y.alias("y"), (F.col("x.h") == F.col("y.h")) & (F.col("x.band") == F.col("y.band")))
+            .filter((F.col(f"x.{unlike}") != F.col(f"y.{unlike}")) & F.col("y.n").between(F.col("x.low"), F.col("x.high"))
+                    & (F.lit(100 + t) * left >= F.lit(t) * (F.col("x.n") + F.col("y.n"))))
+            .select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")).distinct())
 
 
 def jaccard_components(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:
@@ -217,12 +242,12 @@ def row_components(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHO
                    .select("set_id", "rep", "rep_tk", "n"), "rows")
 
     # 2. Whole rows of what is left; shared columns with their row counts.
-    chosen = small_side(first.filter("rep is not null").select(F.col("rep").alias("doc_id")), 16)
-    unnamed = small_side(first.filter("rep is null").select(F.col("rep_tk").alias("tk")), 16)
+    chosen = measured_side(first.filter("rep is not null").select(F.col("rep").alias("doc_id")))
+    unnamed = measured_side(first.filter("rep is null").select(F.col("rep_tk").alias("tk")))
     rows_of = texts.join(chosen, "doc_id", "left_semi").select("text").unionByName(
         texts.filter("doc_id is null").join(unnamed, "tk", "left_semi").select("text"))
     entries = stored(rows_of.mapInArrow(_set_entries(width), "set_id long, h long").distinct()
-                     .join(small_side(first.select("set_id", "n"), 24), "set_id"), "entries")
+                     .join(measured_side(first.select("set_id", "n")), "set_id"), "entries")
     columns = entries.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1")
     by_row = Window.partitionBy("set_id")
     shared = (entries.join(columns, "h")
@@ -242,10 +267,9 @@ def row_components(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHO
     # 4. Star in each column, then pairs of different components.
     centres = postings.groupBy("h").agg(
         F.max(F.struct((F.col("c") / F.col("n")).alias("typical"), F.col("set_id"), F.col("n"), F.col("pos"))).alias("m"))
-    centres = centres.select("h", "m.set_id", "m.n", "m.pos")
-    star = (postings.alias("x").join(centres.alias("y"), F.col("x.h") == F.col("y.h"))
-            .filter((F.col("x.set_id") != F.col("y.set_id")) & _can_link("x", "y", threshold))
-            .select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")).distinct())
+    centres = stored(centres.select("h", "m.set_id", "m.n", "m.pos"), "centres")
+    star = (_pairs(postings, centres, threshold, "set_id").unionByName(_pairs(centres, postings, threshold, "set_id"))
+            .distinct())
     links = stored(_linked(star, rows, threshold), "links")
     labels = components(links)
 
@@ -253,22 +277,23 @@ def row_components(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHO
         "h", "set_id", "n", "pos", F.coalesce("label", "set_id").alias("label"))
     mixed = parted.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("h")
     parted = stored(parted.join(mixed, "h", "left_semi"), "parted")
-    discard(postings, labels)
-    rest = (parted.alias("x").join(parted.alias("y"), F.col("x.h") == F.col("y.h"))
-            .filter((F.col("x.set_id") < F.col("y.set_id")) & (F.col("x.label") != F.col("y.label"))
-                    & _can_link("x", "y", threshold))
-            .select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b")).distinct())
+    discard(postings, centres, labels)
+    rest = _pairs(parted, parted, threshold, "label")
     more = _linked(rest, rows, threshold)
     joined = stored(links.unionByName(more), "links")
     discard(rows, links, parted)
     labels = components(joined)
     discard(joined)
 
-    # A component is named by its smallest doc_id.
-    member = (reps.join(labels, reps["set_id"] == labels["id"], "left")
-              .select("set_id", "rep", "key", F.coalesce("label", "set_id").alias("label")))
-    least = member.groupBy("label").agg(F.min("rep").alias("component_id"), F.min("key").alias("keeper"))
-    named = member.join(least, "label").select("set_id", "component_id", "keeper")
+    # A component is named by its smallest doc_id.  A set without links names
+    # itself; a component's sets take its name in salted parts.
+    linked = reps.join(labels.withColumnRenamed("id", "set_id"), "set_id").select(
+        "set_id", "rep", "key", "label", F.pmod(F.xxhash64("set_id"), F.lit(SALT)).cast("int").alias("part"))
+    least = (linked.groupBy("label").agg(F.min("rep").alias("component_id"), F.min("key").alias("keeper"))
+             .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))))
+    named = (linked.join(least, ["label", "part"]).select("set_id", "component_id", "keeper")
+             .unionByName(reps.join(labels, reps["set_id"] == labels["id"], "left_anti")
+                          .select("set_id", F.col("rep").alias("component_id"), F.col("key").alias("keeper"))))
     return (ids.join(named, "set_id", "left")
             .select("doc_id", "tk", "n_shingles",
                     F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "keeper"))
@@ -281,7 +306,7 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _rows_by_key(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
     """Semi- or anti-join of ``docs`` with stored keys (doc_id, tk), null ids included."""
-    side = small_side(keys.select(F.col("doc_id").alias("__id"), F.col("tk").alias("__tk")), 24)
+    side = measured_side(keys.select(F.col("doc_id").alias("__id"), F.col("tk").alias("__tk")))
     return docs.join(side, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__tk")), how)
 
 

@@ -8,8 +8,8 @@ document's language is the one with the most letters.
 
 The trigram model is fitted on a bounded sample of labelled rows
 (``SAMPLE_PER_LANG`` expected per language) and holds at most ``MAX_GRAMS``
-trigrams, so it has a fixed size whatever the corpus; every document is
-labelled whole.
+trigrams for each label seen, so its size depends on the number of languages
+only; every document is labelled whole.
 """
 
 from __future__ import annotations
@@ -24,14 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskgraph.llm.common import prepare, ship, table
+from riskgraph.llm.common import measured_side, prepare, ship, stored, table
 from riskgraph.llm.textbytes import run_hashes
 
 ship(__name__)
 
 SAMPLE_PER_LANG = 2000
 MAX_GRAMS = 40_000
-MAX_LANGS = 300      # the most frequent labels are learned
 SWITCH = 12.0        # nats paid for each change of language
 IMPOSSIBLE = -60.0   # score of a word for a language that does not use its script
 UND = "und"
@@ -86,12 +85,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(labelled: DataFrame, per_lang: int = SAMPLE_PER_LANG, max_grams: int = MAX_GRAMS) -> dict:
     """Model from rows (doc_id, text, lang).  About ``per_lang`` rows of each
-    language are used, chosen by a hash of doc_id; null lang is left out."""
+    label are used, chosen by a hash of doc_id; null lang is left out.  Every
+    label is learned, ``und`` as well if rows carry it."""
     labelled = labelled.filter("lang is not null and doc_id is not null").select("doc_id", "text", "lang")
-    counts = (labelled.groupBy("lang").agg(F.count("*").alias("rows"))
-              .orderBy(F.desc("rows"), "lang").limit(MAX_LANGS))
+    counts = stored(labelled.groupBy("lang").agg(F.count("*").alias("rows")), "labels")
     chance = F.expr(f"{per_lang}D / rows * 4294967296D")
-    sample = (labelled.join(F.broadcast(counts), "lang")  # at most MAX_LANGS rows
+    sample = (labelled.join(measured_side(counts), "lang")
               .filter(F.expr("xxhash64(doc_id, 7) & 4294967295") < chance).select("text", "lang"))
     found = (sample.mapInArrow(_count, "lang string, kind string, item string, n long")
              .groupBy("kind", "item", "lang").agg(F.sum("n").alias("n")))
@@ -119,7 +118,7 @@ def fit(labelled: DataFrame, per_lang: int = SAMPLE_PER_LANG, max_grams: int = M
 
 
 class Scorer:
-    """Per-word scores over the model's languages and ``und``.  Words are found
+    """Per-word scores over the model's languages and, last, none of them.  Words are found
     and looked up with array operations; each distinct word is scored once and
     remembered by a 64-bit hash of its folded letters."""
 
@@ -290,19 +289,21 @@ def _pieces(text: str) -> list[str]:
 
 def _judge(starts: np.ndarray, ends: np.ndarray, scores: np.ndarray, langs: list[str], switch: float) -> tuple:
     if not len(starts):
-        return UND, 0.0, []
+        return UND, 0.0, [], 0.0
     path = viterbi(scores, switch)
     sizes = ends - starts
     letters = np.bincount(path, weights=sizes, minlength=len(langs))
-    best = int(letters[:-1].argmax()) if len(langs) > 1 and letters[:-1].any() else len(langs) - 1
+    best = int(letters[:-1].argmax()) if len(langs) > 1 else 0  # the first learned one if none owns a letter
     cuts = np.flatnonzero(np.diff(path)) + 1
     firsts, lasts = np.concatenate([[0], cuts]), np.concatenate([cuts - 1, [len(path) - 1]])
     spans = [{"start": int(starts[a]), "end": int(ends[b]), "lang": langs[path[a]]} for a, b in zip(firsts, lasts, strict=True)]
-    return langs[best], float(letters[best] / sizes.sum()) if best < len(langs) - 1 else 0.0, spans
+    share = letters / sizes.sum()
+    return langs[best], float(share[best]) if len(langs) > 1 else 0.0, spans, float(share[:-1].sum())
 
 
-def label_all(texts: list[str | None], scorer: Scorer, switch: float = SWITCH) -> list[tuple[str, float, list[dict]]]:
-    """(language, share of letters, spans) of each whole text."""
+def label_all(texts: list[str | None], scorer: Scorer, switch: float = SWITCH) -> list[tuple[str, float, list[dict], float]]:
+    """(language, its share of letters, spans, share of letters in any learned
+    language) of each whole text."""
     texts = [t or "" for t in texts]
     out, a = [], 0
     while a < len(texts):
@@ -324,7 +325,7 @@ def label_all(texts: list[str | None], scorer: Scorer, switch: float = SWITCH) -
 
 
 def label(text: str | None, scorer: Scorer, switch: float = SWITCH) -> tuple[str, float, list[dict]]:
-    return label_all([text], scorer, switch)[0]
+    return label_all([text], scorer, switch)[0][:3]
 
 
 _SPAN = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
@@ -334,9 +335,11 @@ def identify(docs: DataFrame, model: dict, switch: float = SWITCH) -> DataFrame:
     """Rows (doc_id, lang_pred, score, spans) for ``docs`` (doc_id, text).
 
     spans are (start, end, lang) in code points, end exclusive, from the first
-    to the last letter of each run of words with one label.  Null texts and
-    texts without a letter are ``und`` with score 0 and no spans; so is every
-    text if nothing was learned.  Ties go to the first language by name.
+    to the last letter of each run of words with one label; words that no
+    learned language can own are ``und`` there.  Null texts and texts without a
+    letter are ``und`` with score 0 and no spans; so is every text if nothing
+    was learned.  A text whose letters are in no learned language has the first
+    learned one with score 0.  Ties go to the first language by name.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_GRAMS rows
 
@@ -366,12 +369,6 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"], s["lang"])), ",").alias("spans"))
 
 
-def learned_share(text: str, spans: list[dict]) -> float:
-    """Share of a text's letters in spans of any learned language."""
-    sizes = [(sum(len(w) for w in _LETTERS.findall(text, s["start"], s["end"])), s["lang"]) for s in spans]
-    return sum(n for n, lang in sizes if lang != UND) / max(1, sum(n for n, _ in sizes))
-
-
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: a document goes if it has no letter, or the learned
     languages together own less than ``KEEP_SCORE`` of its letters; a mixture
@@ -384,9 +381,6 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     def run(batches):
         scorer = Scorer(shared.value)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            found = label_all(texts, scorer)
-            keep = [lang != UND and (score >= KEEP_SCORE or learned_share(t, spans) >= KEEP_SCORE)
-                    for t, (lang, score, spans) in zip(texts, found, strict=True)]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            found = label_all(batch.column("text").to_pylist(), scorer)
+            yield batch.filter(pa.array([share >= KEEP_SCORE for *_, share in found], pa.bool_()))
     return docs.mapInArrow(run, docs.schema)

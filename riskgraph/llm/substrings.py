@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskgraph.llm.common import discard, prepare, ship, small_side, stored, table
+from riskgraph.llm.common import discard, measured_side, prepare, ship, stored, table
 from riskgraph.llm.textbytes import batch_bytes, mix64
 
 ship(__name__)
@@ -134,6 +134,17 @@ def _window_rows(least: int):
     return run
 
 
+def _numbered(docs: DataFrame) -> tuple[DataFrame, int | None]:
+    """Rows (doc_id, text) where those without a doc_id are numbered by their
+    text beyond the greatest one, and that greatest one (None: all have one)."""
+    rows = docs.select(F.col("doc_id").cast("long"), "text").filter("text is not null")
+    if rows.filter("doc_id is null").isEmpty():
+        return rows, None
+    most = rows.agg(F.max("doc_id")).first()[0] or 0
+    number = F.lit(most + 1) + F.xxhash64("text").bitwiseAND(F.lit((1 << 61) - 1))
+    return rows.withColumn("doc_id", F.coalesce("doc_id", number)), most
+
+
 def _named(docs: DataFrame) -> DataFrame:
     """Rows with a name; tk tells apart the texts that share one."""
     return docs.select(F.col("doc_id").cast("long"), F.hash("text").alias("tk"), "text").filter("doc_id is not null and text is not null")
@@ -141,8 +152,7 @@ def _named(docs: DataFrame) -> DataFrame:
 
 def window_table(docs: DataFrame, least: int = SPAN_LEAST) -> DataFrame:
     """Window rows (doc_id, tk, place, shape, h).  Null texts and those under
-    ``least`` code points have none; rows with a null doc_id have no name and
-    are left out."""
+    ``least`` code points have none.  Rows need a doc_id here."""
     return _named(docs).mapInArrow(_window_rows(least), "doc_id long, tk int, place long, shape long, h long")
 
 
@@ -220,20 +230,25 @@ def repeated_spans(docs: DataFrame, least: int = SPAN_LEAST) -> DataFrame:
     window; spans of one document with different holders may overlap, and one
     inside another is left out.  Spans have at least ``least`` code points.
     Repeats inside one document alone are not reported; rows that share a
-    doc_id count as one document.
+    doc_id count as one document, and so do rows without one that share their
+    text: these come after all others and have a null doc_id in the result.
     """
+    docs, most = _numbered(docs)
     runs = _runs(window_table(docs, least))
-    here = stored(_beside(docs, small_side(runs, 96), "doc_id", "tk", "0", ""), "beside")
+    here = stored(_beside(docs, measured_side(runs), "doc_id", "tk", "0", ""), "beside")
     discard(runs)
-    both = _beside(docs, small_side(here, 512), "other", "other_tk", "shift", "other_").filter("same = other_same")
+    both = _beside(docs, measured_side(here), "other", "other_tk", "shift", "other_").filter("same = other_same")
     spans = both.mapInArrow(_extended, "doc_id long, tk int, start long, end long, n_chunks long, other long").withColumn(
         "duplicate", F.col("other") < F.col("doc_id"))
     before = (Window.partitionBy("doc_id", "tk").orderBy("start", F.desc("end"), F.desc("duplicate"), "other")
               .rowsBetween(Window.unboundedPreceding, -1))
     inside = F.coalesce(F.max(F.when(F.col("duplicate"), F.col("end"))).over(before) >= F.col("end"), F.lit(False))
     inside = inside | (~F.col("duplicate") & F.coalesce(F.max("end").over(before) >= F.col("end"), F.lit(False)))
+    def name(c):
+        return c if most is None else F.when(c <= most, c)
     return (spans.withColumn("inside", inside).filter("not inside")
-            .select("doc_id", "start", "end", "n_chunks", F.least("doc_id", "other").alias("first_doc_id"), "duplicate"))
+            .select(name(F.col("doc_id")).alias("doc_id"), "start", "end", "n_chunks",
+                    name(F.least("doc_id", "other")).alias("first_doc_id"), "duplicate"))
 
 
 def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,26 +1,26 @@
 """URL filter: rules first, then naive Bayes over segmented names.
 
-Host labels are often words run together.  A unigram model of the pages' own
-visible words splits them by Viterbi.  Pages decided by a rule are the
-training rows of a multinomial naive Bayes over the words of host and path;
-all other pages get its verdict.
-
-Word and token counts cover every page.  The segmenter holds the
-``VOCABULARY`` most frequent words (a fixed size); the Bayes counts stay a
-table and meet the pages' tokens in a join.
+Host labels and path parts are often words run together.  A unigram model of
+the pages' own visible words splits their letter runs by Viterbi.  Pages decided
+by a rule are the training rows of a multinomial naive Bayes over the words of
+host and path; all other pages get its verdict.
+
+The model has every word of the pages, however many there are, and stays a
+table: the substrings of the distinct letter runs are joined with it, and each
+run is split by a small dictionary of its own.  The Bayes counts meet the pages'
+tokens in a join, too.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskgraph.llm.common import prepare, ship, small_side, stored, table
+from riskgraph.llm.common import discard, measured_side, prepare, salted_join, ship, stored, table
 
 ship(__name__)
 
@@ -28,7 +28,6 @@ ship(__name__)
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-VOCABULARY = 100_000
 LONGEST_WORD = 24
 WORD = r"\p{L}+"
 TOKEN = r"[\p{L}]+|[0-9]+"
@@ -78,43 +77,39 @@ def segment(name: str, logp: dict[str, float], unknown: float) -> list[str]:
     return out[::-1]
 
 
-_SPLIT = re.compile(r"[^\W\d_]+|\d+")
-
-
-def _segment_rows(shared):
+def _segment_rows(total: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logp, unknown = shared.value
+        unknown = -math.log(total + 1)
         for batch in batches:
-            names = batch.column("name").to_pylist()
-            words = [[w for part in _SPLIT.findall(x.lower())
-                      for w in (segment(part, logp, unknown) if part[0].isalpha() else [part])] for x in names]
-            yield pa.RecordBatch.from_arrays([batch.column("name"), pa.array(words, pa.list_(pa.string()))], ["name", "words"])
+            words = []
+            for name, found in zip(batch.column("run").to_pylist(), batch.column("found").to_pylist(), strict=True):
+                words.append(segment(name, {f["word"]: math.log(f["n"] / total) for f in found or []}, unknown))
+            yield pa.RecordBatch.from_arrays([batch.column("run"), pa.array(words, pa.list_(pa.string()))], ["run", "words"])
     return run
 
 
-def frequent(words: DataFrame, most: int) -> DataFrame:
-    """The most frequent of ``words`` (word, n), at most ``most``: all words of
-    the highest count classes (two per cent wide) that fit whole.  The class
-    sizes are a small table, so no task gathers candidates."""
-    words = stored(words.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / math.log(1.02))), "words")
-    sizes = sorted(((r["class"], r["count"]) for r in words.groupBy("class").count().collect()), reverse=True)
-    total, least = 0, None
-    for c, size in sizes:
-        total += size
-        if total > most:
-            break
-        least = c
-    return words.filter(F.col("class") >= least if least is not None else F.lit(False))
-
-
-def segmented(names: DataFrame, words: DataFrame, vocabulary: int = VOCABULARY) -> DataFrame:
+def segmented(names: DataFrame, words: DataFrame) -> DataFrame:
     """(name, words) for distinct ``names`` under the unigram model of
-    ``words`` (word, n)."""
-    top = frequent(words.filter(F.length("word") <= LONGEST_WORD), vocabulary).collect()
-    total = sum(r["n"] for r in top) or 1
-    logp = {r["word"]: math.log(r["n"] / total) for r in top}
-    shared = names.sparkSession.sparkContext.broadcast((logp, -math.log(total + 1)))  # at most ``vocabulary`` words
-    return names.mapInArrow(_segment_rows(shared), "name string, words array<string>")
+    ``words`` (word, n): runs of letters are split, runs of digits stay whole,
+    anything else separates (stored)."""
+    words = stored(words.filter(F.length("word") <= LONGEST_WORD), "words")
+    total = words.agg(F.sum("n")).first()[0] or 1
+    parts = stored(names.select("name", F.posexplode(F.regexp_extract_all(F.lower("name"), F.lit(TOKEN), F.lit(0))).alias("k", "run")), "runs")
+    runs = parts.select("run").filter(F.col("run").rlike("^" + WORD)).distinct()
+    # Characters of a run, then its substrings up to the longest word.
+    letters = runs.select("run", F.split("run", "").alias("c")).select("run", F.explode(F.expr("sequence(1, length(run))")).alias("at"), "c")
+    inside = letters.select("run", F.expr(f"slice(c, at, {LONGEST_WORD})").alias("c")).select("run", F.explode(F.expr(
+        "transform(sequence(1, size(c)), n -> array_join(slice(c, 1, n), ''))")).alias("word")).filter("word != ''").distinct()
+    inside = stored(inside, "substrings")
+    known = stored(words.join(inside.select("word").distinct(), "word"), "known")
+    found = (salted_join(inside, known, "word", "run").groupBy("run")
+             .agg(F.collect_list(F.struct("word", "n")).alias("found")))
+    split = stored(runs.join(found, "run", "left").mapInArrow(_segment_rows(total), "run string, words array<string>"), "split")
+    whole = salted_join(parts.select("name", "k", "run"), split, "run", "name", how="left").withColumn(
+        "words", F.coalesce("words", F.array("run")))
+    out = stored(whole.groupBy("name").agg(F.expr("flatten(transform(array_sort(collect_list(struct(k, words))), x -> x.words))").alias("words")), "segments")
+    discard(words, parts, inside, known, split)
+    return out
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
@@ -123,7 +118,8 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
 
     Null urls and urls without ``://`` have empty host and path, fit no rule
     and are judged by the class prior alone; ties allow.  With no rule-decided
-    page of a class, its prior counts as one page.  Repeated rows repeat.
+    page of a class, its prior counts as one page.  A token counts as often as
+    it stands in a url.  Repeated rows repeat.
     """
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     parsed = pages.select("page_id", host.alias("host"), path.alias("path"))
@@ -132,12 +128,12 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
 
     # Distinct (host, path) pairs carry the work; equal urls are judged once.
     pairs = stored(parsed.groupBy("host", "path", "by_rule").agg(F.count("*").alias("n")), "pairs")
-    parts = pairs.select("host", "path", "by_rule", "n", F.explode(F.array_distinct(F.concat(
+    parts = pairs.select("host", "path", "by_rule", "n", F.explode(F.concat(
         F.transform(F.split("host", r"\."), lambda x: F.struct(F.lit("h").alias("side"), x.alias("name"))),
-        F.transform(F.split("path", "/"), lambda x: F.struct(F.lit("p").alias("side"), x.alias("name")))))).alias("t"))
+        F.transform(F.split("path", "/"), lambda x: F.struct(F.lit("p").alias("side"), x.alias("name"))))).alias("t"))
     parts = parts.select("host", "path", "by_rule", "n", "t.side", "t.name").filter("name != ''")
-    words = stored(segmented(parts.select("name").distinct(), word_counts(pages)), "segments")
-    tokens = stored(parts.join(words, "name").select(
+    words = segmented(parts.select("name").distinct(), word_counts(pages))
+    tokens = stored(salted_join(parts, words, "name", "path").select(
         "host", "path", "by_rule", "n", F.explode("words").alias("w"), "side")
         .select("host", "path", "by_rule", "n", F.concat("side", F.lit(":"), "w").alias("token")), "tokens")
 
@@ -150,16 +146,16 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     rows = {r["by_rule"]: r["n"] for r in pairs.groupBy("by_rule").agg(F.sum("n").alias("n")).collect()}
     prior = math.log(rows.get("block") or 1) - math.log(rows.get("allow") or 1)
     odds = counts.select("token", F.expr(f"ln((b + 1D) / {nb + v + 1}D) - ln((a + 1D) / {na + v + 1}D)").alias("odds"))
-    scores = (tokens.filter("by_rule is null").join(small_side(odds, 48), "token")
+    scores = (salted_join(tokens.filter("by_rule is null"), odds, "token", "path")
               .groupBy("host", "path").agg(F.sum("odds").alias("odds")))
     names = (words.select(F.col("name"), "words"))
     hosts = (pairs.select("host", F.posexplode(F.split("host", r"\.")).alias("k", "name")).distinct()
-             .join(names, "name", "left").groupBy("host").agg(F.sort_array(F.collect_set(F.struct("k", "words"))).alias("s"))
+             .transform(lambda df: salted_join(df, names, "name", "host", how="left")).groupBy("host").agg(F.sort_array(F.collect_set(F.struct("k", "words"))).alias("s"))
              .select("host", F.expr("array_join(flatten(transform(filter(s, x -> x.words is not null), x -> x.words)), ' ')").alias("host_words")))
     judged = stored(pairs.filter("by_rule is null").select("host", "path").join(scores, ["host", "path"], "left")
                     .select("host", "path", (F.coalesce("odds", F.lit(0.0)) + F.lit(prior)).alias("score")), "judged")
-    return (parsed.join(small_side(judged, 160), ["host", "path"], "left")
-            .join(small_side(stored(hosts, "hosts"), 128), "host", "left")
+    return (parsed.join(measured_side(judged), ["host", "path"], "left")
+            .join(measured_side(stored(hosts, "hosts")), "host", "left")
             .select("page_id", "host", "path", "rule",
                     F.coalesce("by_rule", F.when(F.col("score") > 0, "block").otherwise("allow")).alias("verdict"),
                     F.coalesce("host_words", F.lit("")).alias("host_words"), F.when(F.col("by_rule").isNull(), F.col("score")).alias("score")))

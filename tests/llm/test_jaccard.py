@@ -2,6 +2,7 @@
 import random
 import re
 
+from riskgraph.llm import jaccard as J
 from riskgraph.llm.components import components
 from riskgraph.llm.jaccard import jaccard_components, near_duplicate_stage
 from tests.llm.conftest import ODD
@@ -112,3 +113,30 @@ def test_stage_decides_by_row_not_by_id(make):
     one = [t for i, t in out if i is None and t in (b, near)]
     assert len(one) == 1
     assert out == sorted([(3, a), (5, rows[2][1]), (None, one[0]), (8, c), (None, None), (None, None)], key=str)
+
+
+def test_rows_that_share_a_notice_do_not_meet(spark, make):
+    """Documents of a 100-word notice and 30 own words are no near copies."""
+    rnd = random.Random(21)
+    notice = " ".join(f"n{k}" for k in range(100))
+    own = lambda: " ".join(f"w{rnd.randrange(10**9)}" for _ in range(30))
+    rows = [(k, own() + " " + notice) for k in range(600)]
+    rows += [(1000 + k, rows[k][1] + " more words here") for k in range(5)]
+    found = {r["doc_id"]: r["component_id"] for r in J.jaccard_components(make(rows)).collect()}
+    assert all(found[k] == k for k in range(600)) and all(found[1000 + k] == k for k in range(5))
+    # a hot column of rows whose bounds rule out equal sizes makes no pair at all
+    hot = spark.range(4000).selectExpr("7L as h", "id as set_id", "126L as n", "30L as pos", "id as label")
+    assert J._pairs(hot, hot, 75, "label").count() == 0
+
+
+def test_pairs_meet_under_the_bounds_only(spark):
+    """Band by band, the pairs of one column are those of all pairs under the bounds."""
+    rnd = random.Random(22)
+    rows = [(1, k, n, rnd.randrange(0, n), k) for k in range(150) for n in [rnd.randint(1, 60)]]
+    df = spark.createDataFrame(rows, "h long, set_id long, n long, pos long, label long")
+    want = set()
+    for _, a, n, p, _ in rows:
+        for _, b, m, q, _ in rows:
+            if a < b and 100 * min(n, m) >= 75 * max(n, m) and 175 * min(n - p, m - q) >= 75 * (n + m):
+                want.add((a, b))
+    assert {(r["a"], r["b"]) for r in J._pairs(df, df, 75, "label").collect()} == want and want

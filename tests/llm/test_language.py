@@ -48,7 +48,8 @@ def test_mixed_text_is_labelled_in_spans(spark, make):
     assert [s["lang"] for s in spans] == ["en", "ru", "de"] and pred == "de" and 0 < score < 1
     assert text[spans[1]["start"]:spans[1]["end"]] == "кошка и собака домой"
     # a script no language was learned in has no candidate
-    assert L.label("今日は 天気", L.Scorer(model))[0] == "und"
+    pred, score, spans = L.label("今日は 天気", L.Scorer(model))  # in no learned script
+    assert (pred, score) == (model["langs"][0], 0) and {s["lang"] for s in spans} == {"und"}
 
 
 def test_odd_rows(spark, make):

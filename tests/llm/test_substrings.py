@@ -103,3 +103,48 @@ def test_spans_are_held_whole_by_the_named_document_to_exact_ends(make):
     assert got == {(at, at + len(p), 1), (at + len(p), at + len(p) + len(q), 2)}
     assert all(r["duplicate"] == (r["doc_id"] == 3) for r in found)
     assert all(any(texts[r["doc_id"]][r["start"]:r["end"]] in t for d, t in texts.items() if d != r["doc_id"]) for r in found)
+
+
+def test_rows_without_an_id_take_part(make):
+    rnd = random.Random(12)
+    p = text_of(rnd, 70)
+    rows = [(1, text_of(rnd, 60) + " " + p), (None, p + " " + text_of(rnd, 60)), (None, text_of(rnd, 80))]
+    found = S.repeated_spans(make(rows)).collect()
+    assert sorted((str(r["doc_id"]), r["first_doc_id"], r["duplicate"]) for r in found) == [("1", 1, False), ("None", 1, True)]
+    assert all(p[5:-5] in (rows[0] if r["doc_id"] else rows[1])[1][r["start"]:r["end"]] for r in found)
+
+
+def test_whole_result_against_all_common_substrings(make):
+    """Every reported span is held whole by another document and is as long as
+    the two texts agree; every long common passage lies inside spans."""
+    rnd = random.Random(13)
+    passages = [text_of(rnd, n) for n in (60, 70, 90, 120)]
+    texts = {}
+    for k in range(24):
+        parts = [text_of(rnd, rnd.randint(5, 40)) for _ in range(rnd.randint(1, 3))]
+        for p in rnd.sample(passages, rnd.randint(0, 3)):
+            parts.insert(rnd.randrange(len(parts) + 1), p)
+        texts[k] = " ".join(parts)
+    texts[30] = text_of(rnd, 4000) + passages[3] + text_of(rnd, 4000)  # a very long one
+    found = {}
+    for r in S.repeated_spans(make(list(texts.items()))).collect():
+        piece = texts[r["doc_id"]][r["start"]:r["end"]]
+        holders = [d for d, t in texts.items() if piece in t]
+        assert len(piece) >= S.SPAN_LEAST and len(holders) > 1 and r["first_doc_id"] in holders
+        assert r["duplicate"] == (r["first_doc_id"] < r["doc_id"])
+        found.setdefault(r["doc_id"], []).append((r["start"], r["end"]))
+    for p in passages:
+        holders = [d for d, t in texts.items() if p in t]
+        for d in holders if len(holders) > 1 else []:
+            a = texts[d].index(p)
+            covered = {x for s, e in found.get(d, ()) for x in range(s, e)}
+            assert all(x in covered for x in range(a, a + len(p))), (d, p[:20])
+
+
+def test_a_very_long_text(make):
+    rnd = random.Random(14)
+    p = text_of(rnd, 100)
+    long = text_of(rnd, 60_000) + p + text_of(rnd, 60_000)
+    found = S.repeated_spans(make([(1, long), (2, "x " + p + " y")])).collect()
+    assert {r["doc_id"] for r in found} == {1, 2}
+    assert all(p in texts[r["start"]:r["end"]] for r in found for texts in [long if r["doc_id"] == 1 else "x " + p + " y"])

@@ -72,9 +72,74 @@ def test_empty_table_and_long_names(spark):
     assert len(U.judge(pages(spark, rows)).collect()) == 1
 
 
-def test_frequent_words_are_bounded(spark):
-    words = spark.createDataFrame([(f"w{k}", 1 + k // 10) for k in range(1000)], "word string, n long")
-    assert U.frequent(words, 2000).count() == 1000
-    some = U.frequent(words, 100).collect()
-    assert 60 <= len(some) <= 100 and min(r["n"] for r in some) > 90
-    assert U.frequent(words.filter("n < 0"), 10).count() == 0
+def test_rare_words_split_names_at_any_corpus_size(spark, monkeypatch):
+    """The dictionary is whole: a word seen once splits a name among thousands
+    of more frequent ones, by broadcast and by shuffle."""
+    import random as r
+    many = [("".join(r.Random(k).choices("klmnopqrst", k=6)), 50) for k in range(5000)]
+    words = spark.createDataFrame([*many, ("zebra", 1), ("violin", 1), ("zeb", 1)], "word string, n long").dropDuplicates(["word"])
+    names = spark.createDataFrame([("zebraviolin-7",), ("ZebraViolin",), ("---",), ("42",), ("uvwuvw",)], "name string")
+    want = {"zebraviolin-7": ["zebra", "violin", "7"], "ZebraViolin": ["zebra", "violin"], "42": ["42"], "uvwuvw": ["uvwuvw"]}
+    assert {x["name"]: x["words"] for x in U.segmented(names, words).collect()} == want
+    from riskgraph.llm import common
+    monkeypatch.setattr(common, "measured_side", lambda df: df)
+    assert {x["name"]: x["words"] for x in U.segmented(names, words).collect()} == want
+
+
+def test_a_repeated_token_counts_as_often_as_it_stands(spark):
+    rows = [("http://a.net/casino", None), ("http://a.example.net/en/news", None), ("http://b.com/casino", None), ("http://b.com/casino/casino/casino", None)]
+    got = {x["page_id"]: x["score"] for x in U.judge(pages(spark, rows)).collect()}
+    # casino: once in the two blocked tokens' sum, not in the allowed ones
+    b, a = ["h:a", "h:net", "p:casino"], ["h:a", "h:example", "h:net", "p:en", "p:news"]
+    v = len({*a, *b})
+    one = math.log(2 / (len(b) + v + 1)) - math.log(1 / (len(a) + v + 1))
+    assert math.isclose(got[3] - got[2], 2 * one, abs_tol=1e-9)
+
+
+def brute(rows):
+    """The whole query in plain Python: split, rules, segmentation, Bayes."""
+    import re
+    count, split = {}, []
+    for _, html in rows:
+        seen = re.sub(r"(?is)<(script|style)\b.*?</\1\s*>|<[^>]*>", " ", html or "")
+        for w in re.findall(r"[^\W\d_]+", seen.lower()):
+            if len(w) <= U.LONGEST_WORD:
+                count[w] = count.get(w, 0) + 1
+    total = sum(count.values()) or 1
+    logp = {w: math.log(n / total) for w, n in count.items()}
+    for url, _ in rows:
+        m = re.search("://([^/?#]*)([^?#]*)", url or "")
+        host, path = (re.sub("[A-Z]", lambda c: c[0].lower(), m[1]), m[2]) if m else ("", "")
+        fits = [(len(h) + len(p), h + p, v) for v, h, p in U.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        tokens = [side + w for side, names in (("h:", host.split(".")), ("p:", path.split("/"))) for name in names
+                  for run in re.findall(r"[^\W\d_]+|\d+", name.lower())
+                  for w in (U.segment(run, logp, -math.log(total + 1)) if run.isalpha() else [run])]
+        split.append((host, path, max(fits, default=(0, None, None))[1:], tokens))
+    seen = {v: [t for _, _, (_, got), ts in split if got == v for t in ts] for v in ("block", "allow")}
+    pages_of = {v: sum(got == v for _, _, (_, got), _ in split) or 1 for v in ("block", "allow")}
+    known = {*seen["block"], *seen["allow"]}
+    out = []
+    for k, (host, path, (rule, got), tokens) in enumerate(split):
+        score = math.log(pages_of["block"]) - math.log(pages_of["allow"])
+        for t in tokens:
+            if t in known:
+                score += (math.log((seen["block"].count(t) + 1) / (len(seen["block"]) + len(known) + 1))
+                          - math.log((seen["allow"].count(t) + 1) / (len(seen["allow"]) + len(known) + 1)))
+        out.append((k, host, path, rule, got or ("block" if score > 0 else "allow"), None if got else round(score, 6)))
+    return out
+
+
+def test_whole_query_equals_plain_python(spark):
+    rnd = random.Random(8)
+    vocabulary = ["news", "casino", "win", "paper", "play", "day", "shop", "é", "to", "today"]
+    word = lambda: rnd.choice(vocabulary)
+    rows = [(None, None), ("", ""), ("nothing", "<p>day</p>"), ("http://", None), ("http://x.net/", None)]
+    for _ in range(150):
+        host = rnd.choice(["", "www."]) + "".join(word() for _ in range(rnd.randint(1, 3))) + rnd.choice(
+            [".net", ".com", ".org", ".example.net", ".example.com"])
+        path = rnd.choice(["", "/", "/en/", "/de/", "/fr/"]) + "/".join(word() + rnd.choice(["", "12", "-x"]) for _ in range(rnd.randint(0, 3)))
+        rows.append((f"https://{host}/{path}".replace("//", "/").replace(":/", "://") + rnd.choice(["", "?q=casino", "#play"]),
+                     "<p>" + " ".join(word() for _ in range(rnd.randint(0, 8))) + "</p>"))
+    got = U.judge(pages(spark, rows)).collect()
+    found = sorted((r["page_id"], r["host"], r["path"], r["rule"], r["verdict"], None if r["score"] is None else round(r["score"], 6)) for r in got)
+    assert found == brute(rows)
