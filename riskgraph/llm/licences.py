@@ -148,7 +148,8 @@ def normal_words(text: Column) -> Column:
 
 
 def _bigrams(words: str) -> str:
-    return f"transform(sequence(0, size({words}) - 2), i -> xxhash64({words}[i], {words}[i + 1]))"
+    """Hashes of the bigrams of two words or more, which are made once."""
+    return f"transform(array({words}), x -> transform(sequence(0, size(x) - 2), i -> xxhash64(x[i], x[i + 1])))[0]"
 
 
 def _text_key() -> tuple[Column, Column]:
@@ -185,22 +186,23 @@ def matches(docs: DataFrame, threshold: int = THRESHOLD, rows=TEMPLATES) -> Data
     texts = docs.select(k1.alias("k1"), k2.alias("k2"), text.alias("t"))
     begun = (texts.select("k1", "k2", normal_words(F.col("t")).alias("w")).filter(F.size("w") > 1)
              .select("k1", "k2", F.posexplode(F.expr(_bigrams("w"))).alias("pos", "g")).join(anchors, "g")
-             .select("k1", "k2", "template", (F.col("pos") - F.col("off")).alias("start")).distinct())
+             .groupBy("k1", "k2", "template").agg(F.collect_set(F.col("pos") - F.col("off")).alias("starts")))
     begun = stored(begun, "begun")
     keys = stored(begun.select("k1", "k2").distinct(), "keys")
     held = (texts.join(measured_side(keys), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
             .select("k1", "k2", normal_words(F.col("t")).alias("w")))
-    # Each window takes its own words from the text at once.  What is computed
-    # is bound to a name, so that no step computes it again; a window without
-    # enough different bigrams of the template is not counted through.
-    a = F.least(F.size("w"), F.col("start") + F.col("b") + 1) - F.greatest("start", F.lit(0)) - 1
-    fits = (F.col("a") > 0) & (F.lit(threshold) * (F.col("a") + F.col("b")) <= F.lit(200) * F.least("a", "b"))
-    shared = f"""transform(array(slice(w, greatest(start, 0) + 1, a + 1)), z -> transform(array({_bigrams('z')}), zg ->
-        if(200 * most * size(array_intersect(gs, zg)) < {threshold} * (a + b), 0L,
-           aggregate(tg, 0L, (n, x) -> n + least(x.tb, size(filter(zg, y -> y = x.g))))))[0])"""
-    scored = (held.join(begun, ["k1", "k2"]).join(whole, "template").withColumn("a", a).filter(fits)
-              .select("k1", "k2", "template", "licence", "start", "a", "b", F.explode(F.expr(shared)).alias("o"))
-              .filter(F.lit(200) * F.col("o") >= F.lit(threshold) * (F.col("a") + F.col("b")))
+    # All windows of a text and template in one row, so the text is not copied
+    # for each.  A window without enough different bigrams of the template is not
+    # counted through.
+    shared = f"""if(200 * most * size(array_intersect(gs, zg)) < {threshold} * (size(zg) + b), 0L,
+        aggregate(tg, 0L, (n, y) -> n + least(y.tb, size(filter(zg, g -> g = y.g)))))"""
+    windows = f"""filter(transform(starts, s -> transform(array(slice(w, greatest(s, 0) + 1, b + 1 + least(s, 0))), z ->
+        named_struct('start', s, 'a', size(z) - 1, 'o',
+            if(size(z) < 2 or {threshold} * (size(z) - 1 + b) > 200 * least(size(z) - 1, b), 0L,
+               transform(array({_bigrams('z')}), zg -> {shared})[0])))[0]),
+        h -> h.a > 0 and 200 * h.o >= {threshold} * (h.a + b))"""
+    scored = (held.join(begun, ["k1", "k2"]).join(whole, "template")
+              .select("k1", "k2", "template", "licence", "b", F.explode(F.expr(windows)).alias("h")).select("*", "h.*")
               .withColumn("dice", F.lit(2.0) * F.col("o") / (F.col("a") + F.col("b"))))
     best = F.max(F.struct("dice", (-F.col("template")).alias("t"), (-F.col("start")).alias("s"))).alias("m")
     found = stored(scored.groupBy("k1", "k2", "licence").agg(best).select(
