@@ -7,13 +7,15 @@ their count in the whole corpus, as many as let two of them stand in every match
 
 A match lies in a run of ``width + 2 * slop`` words.  Positions are put into
 overlapping ranges of twice that length, so every such run lies whole in one.
-The posting lists are intersected on (text, segment of a test text, range): a
-range is left if two different words of the segment stand in it.  Its words are
-then compared with the segment's phrases: word by word (phrase match), or by the
-share of a phrase's distinct words in a run (proximity match).
-
-Everything is DataFrame operations.  Texts are keyed by two 64-bit hashes, so
-copies meet in one key.  Words of the index are known by a 64-bit hash; every
+The posting lists are intersected on (text, segment of a test text, range): the
+segment's words that stand in a range are a set of bits, and a phrase is left in
+the ranges that have two of its own.  The range's words are then compared with
+it: word by word (phrase match), or by the share of the phrase's distinct words
+in a run (proximity match).
+
+Everything is DataFrame operations.  Postings are shuffled once, by text; all
+else about a text stays where they are.  Texts are keyed by two 64-bit hashes,
+so copies meet in one key, and their postings are joined before the shuffle.  Words of the index are known by a 64-bit hash; every
 match is compared by its words.
 """
 
@@ -73,14 +75,16 @@ def _phrases(items: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
     w = items.select("item_id", words_of(F.col("text")).alias("w")).filter(F.size("w") > 0)
     at = F.explode(F.sequence(F.lit(0), F.greatest(F.size("w") - width, F.lit(0))))
     w = w.select("item_id", "w", at.alias("at"))
-    seg = F.xxhash64(F.array_join("w", " "), F.floor(F.col("at") / SEGMENT))
+    # The words that a segment looks up must fit the bits of a long.
+    seg = F.xxhash64(F.array_join("w", " "), F.floor(F.col("at") / max(1, min(SEGMENT, 64 - width))))
     w = stored(w.select("item_id", seg.alias("seg"), "at", F.expr(f"slice(w, at + 1, {width})").alias("words")), "phrases")
     return (w.select("seg", "at", "words").dropDuplicates(["seg", "at"]), w.select("seg", "item_id").distinct())
 
 
-def _lookups(texts: DataFrame, phrases: DataFrame, near_share: int) -> DataFrame:
-    """Words to look up per segment (h, seg, least; stored): ``least`` different
-    ones stand in every match of a phrase of the segment.
+def _lookups(texts: DataFrame, phrases: DataFrame, near_share: int) -> tuple[DataFrame, DataFrame]:
+    """(words to look up: h, seg, bit; per segment its phrases: seg, masks of
+    (at, mask, sure)), stored: ``sure`` of the words of a phrase's mask stand in
+    every match of it.
 
     A match of a phrase of ``d`` distinct words lacks at most
     ``t = d - ceil(near_share * d / 100)`` of them.  If ``u`` of them stand in
@@ -102,30 +106,32 @@ def _lookups(texts: DataFrame, phrases: DataFrame, near_share: int) -> DataFrame
               .withColumn("known", F.count("*").over(phrase))
               .withColumn("rank", F.row_number().over(phrase.orderBy("freq", "h")))
               .filter("rank <= missing + 2")
-              .withColumn("sure", F.least(F.lit(2), F.least("known", F.col("missing") + 2) - F.col("missing"))))
-    least = F.min("sure").over(Window.partitionBy("seg"))
-    out = stored(ranked.select("h", "seg", least.alias("least")).distinct(), "lookups")
-    discard(terms, counts)
-    return out
-
-
-def _ranges(texts: DataFrame, lookups: DataFrame, reach: int) -> DataFrame:
-    """(k1, k2, seg, low): ranges of ``2 * reach`` words, from word ``low`` on,
-    that may hold a match of the segment (stored)."""
+              .withColumn("sure", F.least(F.lit(2), F.least("known", F.col("missing") + 2) - F.col("missing")))
+              .withColumn("bit", F.expr("shiftleft(1L, int(dense_rank() over (partition by seg order by h) - 1))")))
+    ranked = stored(ranked.select("h", "seg", "at", "bit", "sure"), "ranked")
+    masks = ranked.groupBy("seg", "at").agg(F.bit_or("bit").alias("mask"), F.min("sure").cast("int").alias("sure"))
+    masks = stored(masks.groupBy("seg").agg(F.collect_list(F.struct("at", "mask", "sure")).alias("masks")), "masks")
+    lookups = stored(ranked.select("h", "seg", "bit").distinct(), "lookups")
+    discard(terms, counts, ranked)
+    return lookups, masks
+
+
+def _ranges(texts: DataFrame, lookups: DataFrame, masks: DataFrame, reach: int) -> DataFrame:
+    """(k1, k2, seg, at, low): ranges of ``2 * reach`` words, from word ``low``
+    on, that may hold a match of the phrase (stored)."""
     wanted = measured_side(stored(lookups.select("h").distinct(), "looked-up"))
-    postings = stored(
-        texts.select("k1", "k2", F.posexplode(_search_words(F.col("text"))).alias("pos", "w"))
-        .select("k1", "k2", "pos", F.xxhash64("w").alias("h")).join(wanted, "h"), "postings")
+    postings = (texts.select("k1", "k2", F.posexplode(_search_words(F.col("text"))).alias("pos", "w"))
+                .select("k1", "k2", "pos", F.xxhash64("w").alias("h")).join(wanted, "h")
+                .groupBy("k1", "k2").agg(F.collect_set(F.struct("pos", "h")).alias("p")))
     low = F.explode(F.array(F.floor(F.col("pos") / (2 * reach)) * 2 * reach,
                             F.floor((F.col("pos") + reach) / (2 * reach)) * 2 * reach - reach))
-    # A range holds two different words if the least and the greatest differ.
-    found = (postings.join(measured_side(lookups), "h")
-             .select("k1", "k2", "seg", "h", "least", low.alias("low"))
-             .groupBy("k1", "k2", "seg", "low").agg(F.min("h").alias("a"), F.max("h").alias("z"), F.min("least").alias("least"))
-             .filter("a != z or least < 2").select("k1", "k2", "seg", "low"))
-    found = stored(found, "ranges")
-    discard(postings)
-    return found
+    found = (postings.select("k1", "k2", F.explode("p").alias("p")).select("k1", "k2", "p.*").join(measured_side(lookups), "h")
+             .select("k1", "k2", "seg", "bit", low.alias("low"))
+             .groupBy("k1", "k2", "seg", "low").agg(F.bit_or("bit").alias("bits"))
+             .join(measured_side(masks), "seg")
+             .select("k1", "k2", "seg", "low", F.explode(F.expr("filter(masks, m -> bit_count(bits & m.mask) >= m.sure)")).alias("m"))
+             .select("k1", "k2", "seg", "m.at", "low"))
+    return stored(found, "ranges")
 
 
 def phrase_matches(docs: DataFrame, items: DataFrame, width: int = WIDTH, slop: int = SLOP,
@@ -142,9 +148,9 @@ def phrase_matches(docs: DataFrame, items: DataFrame, width: int = WIDTH, slop:
     """
     texts = _keyed(docs)
     phrases, owners = _phrases(items, width)
-    lookups = _lookups(texts, phrases, near_share)
+    lookups, masks = _lookups(texts, phrases, near_share)
     reach = width + 2 * slop
-    ranges = _ranges(texts, lookups, reach)
+    ranges = _ranges(texts, lookups, masks, reach)
 
     keys = measured_side(stored(ranges.select("k1", "k2").distinct(), "keys"))
     whole = (texts.join(keys, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
@@ -153,10 +159,10 @@ def phrase_matches(docs: DataFrame, items: DataFrame, width: int = WIDTH, slop:
     # text are rows of their own.  The words are bound to a name, so that no
     # step takes them again.
     held = (whole.join(ranges, ["k1", "k2"])
-            .select("k1", "k2", "seg", F.greatest("low", F.lit(0)).cast("int").alias("low"), F.explode(F.array(F.expr(
+            .select("k1", "k2", "seg", "at", F.greatest("low", F.lit(0)).cast("int").alias("low"), F.explode(F.array(F.expr(
                 f"slice(w, int(greatest(low, 0)) + 1, int({2 * reach} + least(low, 0)))"))).alias("z"))
             .filter("size(z) > 0"))
-    tried = (held.join(measured_side(stored(phrases, "distinct-phrases")), "seg").withColumn("n", F.size("words"))
+    tried = (held.join(measured_side(stored(phrases, "distinct-phrases")), ["seg", "at"]).withColumn("n", F.size("words"))
              .filter(f"100 * size(array_intersect(z, words)) >= {near_share} * size(array_distinct(words))"))
     exact = "filter(sequence(0, greatest(size(z) - n, 0)), s -> slice(z, s + 1, n) = words)"
     near = (f"exists(sequence(0, greatest(size(z) - n - {2 * slop}, 0)), s -> 100 * size(array_intersect("
@@ -164,7 +170,7 @@ def phrase_matches(docs: DataFrame, items: DataFrame, width: int = WIDTH, slop:
     verdict = F.explode(F.array(F.struct(F.expr(exact).alias("starts"), F.expr(near).alias("near")))).alias("v")
     found = stored(tried.select("k1", "k2", "seg", "at", "n", "low", verdict).select("k1", "k2", "seg", "at", "n", "low", "v.*")
                    .filter("near or size(starts) > 0"), "matches")
-    discard(ranges, lookups)
+    discard(ranges, lookups, masks)
     phrase = found.select("k1", "k2", "seg", "at", "n", F.explode("starts").alias("s"), "low").select(
         "k1", "k2", "seg", "at", "n", (F.col("low") + F.col("s")).alias("start")).distinct()
     close = found.filter("near").select("k1", "k2", "seg").distinct().join(
