@@ -14,9 +14,9 @@ and one hot pair costs one partial row per map task.
 
 When the cohort is measured too large to broadcast, the plan becomes::
 
-    scan -> bit table of fixed size drops almost all non-members       broadcast, no shuffle
+    scan -> Bloom filter sized by the cohort drops non-members          broadcast, no shuffle
       -> partial aggregate per (mobile, other_mobile, channel)
-      -> exchange on the record key -> final aggregate                 (one row per record)
+      -> exchange on the record key -> final aggregate                 (none on calls bucketed by mobile)
       -> shuffle semi-join on mobile, then on other_mobile             (on records, not calls)
       -> channel check, pattern, orientation -> aggregate on (src, dst)
 
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from riskgraph.functions.exprs import (
     MOBILE, digits_or_zero, full_match, known_channel, oriented, prefixed, two_decimals,
 )
-from riskgraph.operators.membership import fits_broadcast, maybe_members, member_bits, member_filter, sized
+from riskgraph.operators.membership import Cohort, measured, restricted
 
 RECORD_KEY = ["mobile", "other_mobile", "call_channel"]
 
@@ -90,20 +90,23 @@ def valid_pairs(df: DataFrame, pattern: str = MOBILE, a: str = "src", b: str = "
     return df.filter(full_match(a, pattern) & full_match(b, pattern))
 
 
-def between_members(calls: DataFrame, src_members: DataFrame, dst_members: DataFrame | None = None,
-                    a: str = "mobile", b: str = "other_mobile", broadcast="auto") -> DataFrame:
+def between_members(calls: DataFrame, src_members: DataFrame | Cohort, dst_members: DataFrame | Cohort | None = None,
+                    a: str = "mobile", b: str = "other_mobile", broadcast="auto", combine=None) -> DataFrame:
     """Keep calls whose end ``a`` is in ``src_members`` and end ``b``
     in ``dst_members`` (default the same cohort).  With one cohort the test
-    is direction-free, so it may run before or after orientation."""
-    first = sized(src_members, broadcast)
-    second = first if dst_members is None else sized(dst_members, broadcast)
-    return member_filter(member_filter(calls, first, a), second, b)
+    is direction-free, so it may run before or after orientation.  Modes as in
+    ``membership.restricted``."""
+    first = measured(src_members)
+    second = first if dst_members is None or dst_members is src_members else measured(dst_members)
+    return restricted(calls, [(a, first), (b, second)], broadcast, combine)
 
 
-def owned_by_members(calls: DataFrame, members: DataFrame, owner: str = "mobile",
-                     broadcast="auto") -> DataFrame:
-    """Keep calls whose record owner (``mobile``, before orientation) is a member."""
-    return member_filter(calls, sized(members, broadcast), owner)
+def owned_by_members(calls: DataFrame, members: DataFrame | Cohort, owner: str = "mobile",
+                     broadcast="auto", combine=None) -> DataFrame:
+    """Keep calls whose record owner (``mobile``, before orientation) is a
+    member.  Calls stored bucketed by ``owner`` (``tables.store_bucketed``) are
+    not shuffled in either plan."""
+    return restricted(calls, [(owner, measured(members))], broadcast, combine)
 
 
 def edge_stats(edges: DataFrame, duration: str = "duration") -> DataFrame:
@@ -169,10 +172,10 @@ def kept_records(records: DataFrame, members: DataFrame | None = None, *, dst_me
       at every record read (those that match the channel first).
     * ``broadcast='auto'``: cohorts measured within the budget are broadcast
       and filter the records inside the scan stage.  Else, and with ``False``,
-      a bit table of fixed size drops almost all non-members there, records
-      are summed per key with a map-side combine, and the exact shuffle
-      semi-joins run on those sums.  Membership depends only on the two
-      numbers, so both plans give the same rows.
+      a Bloom filter drops almost all non-members there, records are summed
+      per key with a map-side combine, and the exact shuffle semi-joins run
+      on those sums.  Membership depends only on the two numbers, so both
+      plans give the same rows.
     """
     if ends not in ("both", "owner"):
         raise ValueError("ends must be 'both' or 'owner'")
@@ -182,7 +185,8 @@ def kept_records(records: DataFrame, members: DataFrame | None = None, *, dst_me
     if check == "history":
         r = checked_channels(r, on_unknown)
     if members is not None:
-        r = _between(r, members, members if dst_members is None else dst_members, ends, broadcast)
+        r = (between_members(r, members, dst_members, broadcast=broadcast, combine=_summed) if ends == "both"
+             else owned_by_members(r, members, broadcast=broadcast, combine=_summed))
     if check == "members":
         r = checked_channels(r, on_unknown)
     if prefix:
@@ -194,17 +198,8 @@ def kept_records(records: DataFrame, members: DataFrame | None = None, *, dst_me
     return r.select(src.alias("src"), dst.alias("dst"), "n", "total")
 
 
-def _between(r: DataFrame, members: DataFrame, others: DataFrame, ends: str, broadcast) -> DataFrame:
-    both = ends == "both"
-    if broadcast == "auto" and fits_broadcast(members) and (not both or others is members or fits_broadcast(others)):
-        r = member_filter(r, F.broadcast(members), "mobile")
-        return member_filter(r, F.broadcast(others), "other_mobile") if both else r
-    r = maybe_members(r, member_bits(members), "mobile")
-    if both:
-        r = maybe_members(r, member_bits(others), "other_mobile")
-    r = r.groupBy(*RECORD_KEY).agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
-    r = member_filter(r, members, "mobile")
-    return member_filter(r, others, "other_mobile") if both else r
+def _summed(records: DataFrame) -> DataFrame:
+    return records.groupBy(*RECORD_KEY).agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
 
 
 def with_mean_text(edges: DataFrame) -> DataFrame:

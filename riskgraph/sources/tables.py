@@ -92,6 +92,22 @@ def history(df: DataFrame, before, col: str = DAY_COL) -> DataFrame:
     return df.filter(F.col(col) < F.lit(day_text(before)))
 
 
+def store_bucketed(df: DataFrame, table: str, buckets: int, by: str = "mobile", path: str | None = None,
+                   partition_by=()) -> DataFrame:
+    """Store ``df`` as catalog table ``table`` in ``buckets`` buckets of ``by``
+    and read it back.  Joins and aggregations on ``by`` (and on more columns
+    with it) then run without a shuffle of these rows.  Each bucket is written
+    by one task, one file per value of ``partition_by`` (e.g. the month)."""
+    writer = (df.repartition(buckets, by).write.format("parquet").mode("errorifexists")
+              .bucketBy(buckets, by).sortBy(by))
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def parse_delimited(df: DataFrame, schema: T.StructType, col: str = "value", sep: str = ",") -> DataFrame:
     """Text column split by position into typed columns.
 
