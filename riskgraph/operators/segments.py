@@ -136,10 +136,11 @@ def _labels(white, extra=None):
     return F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in rules]))
 
 
-def list_labels(passed: DataFrame) -> DataFrame:
-    """All four per-mobile lists of C27 in one pass: (list, mobile) rows."""
+def list_labels(passed: DataFrame, **white) -> DataFrame:
+    """All four per-mobile lists of C27 in one pass: (list, mobile) rows; the
+    white list under ``white_rule(**white)``."""
     return (passed.filter(F.col("mobile").isNotNull())
-            .select(F.explode(_labels(white_rule())).alias("list"), "mobile").distinct())
+            .select(F.explode(_labels(white_rule(**white))).alias("list"), "mobile").distinct())
 
 
 def graph_lists_from(rows: DataFrame) -> DataFrame:

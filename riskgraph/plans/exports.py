@@ -6,16 +6,21 @@ below put each part in its folder; ``as_rows`` returns the same lines as
 the reliable checkpoint folder (``spark.checkpoint.dir``), so a lost executor
 never forces the history scan to be redone for the second output.  Days are
 parameters; nothing reads the clock, and nothing is kept after a run.
+
+An export is all or nothing (``write_parts``): every part is staged before the
+first is put in place, and a mark under ``<base>/_exports`` says whether an
+export has begun and whether it is whole.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskgraph.functions.exprs import days
+from riskgraph.functions.exprs import day_text, days
 from riskgraph.operators import cohorts, edges, neighbours, repayment, segments
 from riskgraph.operators import history_totals as H
 from riskgraph.session import cut_lineage
@@ -42,11 +47,52 @@ def as_rows(parts: Parts) -> DataFrame:
         df.select(F.lit(name).alias("folder"), "line").filter(F.col("line").isNotNull()) for name, df in parts.items()])
 
 
-def write_parts(parts: Parts, folder, single_file: bool = False, lists=()) -> None:
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.text(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
+def mark_path(base: str, name: str, day=None) -> str:
+    """Where the marks of export ``name`` (of a day) stand."""
+    return "/".join([base.rstrip("/"), "_exports", *([] if day is None else [day_text(day)]), name])
+
+
+def is_whole(spark: SparkSession, mark: str) -> bool:
+    """Whether the export of ``mark`` has been written whole."""
+    return _exists(spark, f"{mark}/done")
+
+
+def write_parts(parts: Parts, folder, mark: str, single_file: bool = False, lists=()) -> None:
     """Write each part to ``folder(name)``; with ``single_file`` the parts
-    named in ``lists`` become one file each."""
-    for name, df in parts.items():
-        write_lines(df, folder(name), single_file=single_file and name in lists)
+    named in ``lists`` become one file each.
+
+    All parts are computed and staged in the checkpoint folder first, so a
+    failure there leaves no output.  Then ``<mark>/begun`` is written, the
+    staged lines are put in place, and ``<mark>/done`` (parts and their number
+    of lines) is written last.  A whole export is refused, and so are folders
+    that no begun export explains; an export that began and did not finish is
+    written anew by the next run, part by part.
+    """
+    spark = next(iter(parts.values())).sparkSession
+    if is_whole(spark, mark):
+        raise FileExistsError(f"this export has been written already: {mark}/done")
+    begun = _exists(spark, f"{mark}/begun")
+    if not begun:
+        for name in parts:
+            if _exists(spark, folder(name)):
+                raise FileExistsError(f"{folder(name)} exists and is not part of an unfinished export")
+    staged = {name: cut_lineage(df.select("line").filter(F.col("line").isNotNull())) for name, df in parts.items()}
+    counts = [(f"{name}\t{df.count()}",) for name, df in staged.items()]
+    if not begun:
+        spark.createDataFrame([(name,) for name in parts], "value string").coalesce(1).write.text(f"{mark}/begun")
+    for name, df in staged.items():
+        write_lines(df, folder(name), single_file=single_file and name in lists, mode="overwrite" if begun else "errorifexists")
+    spark.createDataFrame(counts, "value string").coalesce(1).write.text(f"{mark}/done")
 
 
 def list_parts(labelled: DataFrame, names) -> Parts:
@@ -55,6 +101,7 @@ def list_parts(labelled: DataFrame, names) -> Parts:
 
 
 def _graph(calls, members, before, totals_root):
+    """``calls`` of None: the totals have just been brought up to date."""
     if totals_root:
         return H.call_edges_from_totals(H.read_totals(members.sparkSession, calls, totals_root, before), members)
     return edges.call_edges(history(calls, before), members)
@@ -115,7 +162,7 @@ def export_lists(labelled: DataFrame, base: str, day, names, single_file: bool =
     """Write a (list, mobile) table as one folder per list name under
     ``<base>/<day>/<name>``, e.g. the per-user lists of C14."""
     kept = cut_lineage(labelled.select("list", "mobile"))
-    write_parts(list_parts(kept, names), lambda n: dated_path(base, day, n), single_file, names)
+    write_parts(list_parts(kept, names), lambda n: dated_path(base, day, n), mark_path(base, "lists", day), single_file, names)
 
 
 def export_graph(profile: DataFrame, contact: DataFrame, calls: DataFrame, base: str, as_of, history_before=None,
@@ -125,7 +172,7 @@ def export_graph(profile: DataFrame, contact: DataFrame, calls: DataFrame, base:
     meet in one task); keep it for lists known to be small."""
     _, yesterday = days(as_of)
     write_parts(graph_parts(profile, contact, calls, as_of, history_before, totals_root, cut_lineage),
-                lambda n: dated_path(base, yesterday, n), single_file, GRAPH_LISTS)
+                lambda n: dated_path(base, yesterday, n), mark_path(base, "graph", yesterday), single_file, GRAPH_LISTS)
 
 
 def export_ranking(profile: DataFrame, contact: DataFrame, calls: DataFrame, blacklisted: DataFrame,
@@ -134,19 +181,31 @@ def export_ranking(profile: DataFrame, contact: DataFrame, calls: DataFrame, bla
     """C28 under ``<base>/<yesterday>``."""
     _, yesterday = days(as_of)
     write_parts(ranking_parts(profile, contact, calls, blacklisted, repay, collection, as_of, label, channels,
-                              history_before, totals_root, cut_lineage), lambda n: dated_path(base, yesterday, n))
+                              history_before, totals_root, cut_lineage), lambda n: dated_path(base, yesterday, n),
+                mark_path(base, "ranking", yesterday))
 
 
 def export_ranking_snapshot(profile: DataFrame, contact: DataFrame, calls: DataFrame, base: str, day,
                             history_before, totals_root: str | None = None) -> None:
     """C29 under ``<base>/<name>``."""
     write_parts(snapshot_parts(profile, contact, calls, day, history_before, totals_root, cut_lineage),
-                lambda n: f"{base}/{n}")
+                lambda n: f"{base}/{n}", mark_path(base, "snapshot"))
 
 
 def export_call_graph(graph: DataFrame, base: str, day) -> None:
     """C30 under ``<base>/<day>``."""
-    write_parts(call_graph_parts(graph, cut_lineage), lambda n: dated_path(base, day, n))
+    write_parts(call_graph_parts(graph, cut_lineage), lambda n: dated_path(base, day, n), mark_path(base, "call-graph", day))
+
+
+def export_owner_graph(profile: DataFrame, contact: DataFrame, calls: DataFrame, base: str, day, before) -> None:
+    """C17 with its lists under ``<base>/<day>``: the no-loan, grey, white (the
+    in-loan count is not looked at, C7) and black lists of the passed users'
+    mobiles, and the graph of the calls that they own."""
+    summary = cut_lineage(cohorts.passed_summary(profile, contact, day))
+    graph = edges.call_edges(history(calls, before), summary.select("mobile"), ends="owner")
+    lists = list_parts(cut_lineage(segments.list_labels(summary, require_no_inloan=False)), USER_LISTS)
+    write_parts({**lists, "relationship": format_edge_line(graph)}, lambda n: dated_path(base, day, n),
+                mark_path(base, "owner-graph", day))
 
 
 def daily_call_graph(apply: DataFrame, contact: DataFrame, calls: DataFrame, day,
@@ -172,12 +231,12 @@ def export_score_vs_overdue(spark, overdue_path: str, scores_path: str, out: str
     files are range-partitioned in that order)."""
     facts = read_delimited(spark, overdue_path, OVERDUE_LINE)
     scores = read_delimited(spark, scores_path, RANK_SCORE)
-    write_lines(format_score_line(repayment.order_by_score(repayment.scored_facts(facts, scores))), out)
+    write_lines(format_score_line(repayment.order_by_score(repayment.scored_facts_split(facts, scores))), out)
 
 
 def export_day(profile: DataFrame, contact: DataFrame, calls: DataFrame, blacklisted: DataFrame,
                repay: DataFrame, collection: DataFrame, graph_base: str, ranking_base: str, as_of,
-               label: str, channels, totals_root: str, single_file: bool = False) -> None:
+               label: str, channels, totals_root: str, single_file: bool = False, open_from=None) -> None:
     """One daily run of the graph (C27) and ranking (C28) exports.  The daily
     call totals are brought up to today first (yesterday's calls and any day
     that changed), and both graphs are computed from them.  Writes the same

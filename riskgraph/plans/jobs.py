@@ -22,9 +22,9 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from riskgraph.functions.exprs import ANY11, FRAUD_CHANNELS, FRAUD_LABEL, LOOSE, PREFIX, days  # noqa: E402
 from riskgraph.operators import cohorts, edges, segments  # noqa: E402
+from riskgraph.operators.history_totals import refresh_totals, roll_months  # noqa: E402
 from riskgraph.plans import exports  # noqa: E402
 from riskgraph.session import prepare  # noqa: E402
-from riskgraph.sinks.lines import dated_path, format_edge_line  # noqa: E402
 from riskgraph.sources.tables import history, snapshot  # noqa: E402
 
 
@@ -39,7 +39,7 @@ def run(spark: SparkSession, job: str, base: str, as_of: str, tables: dict, *, b
         label: str = FRAUD_LABEL, channels=FRAUD_CHANNELS, since: str | None = None,
         decode: str | None = None, after: str | None = None, out: str | None = None,
         overdue_path: str | None = None, scores_path: str | None = None,
-        totals: str | None = None) -> None:
+        totals: str | None = None, open_from: str | None = None) -> None:
     t = {k: spark.table(v) for k, v in tables.items()}
     today, yesterday = days(as_of)
     if job == "graph":
@@ -52,10 +52,11 @@ def run(spark: SparkSession, job: str, base: str, as_of: str, tables: dict, *, b
     elif job == "day":
         exports.export_day(t["user_profile"], t["user_contact"], t["call_detail"], t["third_party_blacklist"],
                            t["repay_plan"], t["collection_record"], f"{base}/graph", f"{base}/ranking",
-                           as_of, label, channels, totals or f"{base}/call_totals")
+                           as_of, label, channels, totals or f"{base}/call_totals", open_from=open_from)
     elif job == "totals":
-        from riskgraph.operators.history_totals import refresh_totals
-        refresh_totals(spark, t["call_detail"], totals or f"{base}/call_totals", today)
+        root = totals or f"{base}/call_totals"
+        refresh_totals(spark, t["call_detail"], root, today, open_from)
+        roll_months(spark, root, today)
     elif job == "ranking-snapshot":
         exports.export_ranking_snapshot(t["user_profile"], t["user_contact"], t["call_detail"], base,
                                         yesterday, before or today, totals_root=totals)
@@ -69,12 +70,12 @@ def run(spark: SparkSession, job: str, base: str, as_of: str, tables: dict, *, b
     elif job == "call-graph-loose":
         graph = edges.call_edges(history(t["call_detail"], before or today), pattern=LOOSE, prefix=PREFIX)
         exports.export_call_graph(graph, base, today)
-    elif job in ("call-graph-owner", "call-graph-passed"):
+    elif job == "call-graph-owner":
+        exports.export_owner_graph(t["user_profile"], t["user_contact"], t["call_detail"], base, yesterday, before or today)
+    elif job == "call-graph-passed":
         members = cohorts.passed_summary(t["user_profile"], t["user_contact"], yesterday).select("mobile")
-        calls = history(t["call_detail"], before or today)
-        graph = (edges.call_edges(calls, members, ends="owner") if job == "call-graph-owner"
-                 else edges.call_edges(calls, members, pattern=ANY11, check="history"))
-        exports.write_parts({"relationship": format_edge_line(graph)}, lambda n: dated_path(base, yesterday, n))
+        graph = edges.call_edges(history(t["call_detail"], before or today), members, pattern=ANY11, check="history")
+        exports.export_call_graph(graph, base, yesterday)
     elif job in ("increment", "increment-mixed"):
         others = (cohorts.applied(t["user_profile"], t["user_contact"], yesterday)
                   if job == "increment-mixed" else None)
@@ -114,6 +115,7 @@ def main(argv=None) -> None:
     ap.add_argument("--out")
     ap.add_argument("--overdue-path")
     ap.add_argument("--scores-path")
+    ap.add_argument("--open-from", help="totals and day: days before this one are closed, so only their number of calls is compared")
     ap.add_argument("--totals", help="root of the daily call totals (read by graph/ranking, brought up to date by totals and day)")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"riskgraph-{a.job}").getOrCreate()
@@ -122,7 +124,7 @@ def main(argv=None) -> None:
     channels = tuple(a.channels.split(",")) if a.channels else FRAUD_CHANNELS
     run(spark, a.job, a.base, a.as_of, tables, before=a.before, label=a.label, channels=channels,
         since=a.since, decode=a.decode, after=a.after, out=a.out, overdue_path=a.overdue_path,
-        scores_path=a.scores_path, totals=a.totals)
+        scores_path=a.scores_path, totals=a.totals, open_from=a.open_from)
 
 
 if __name__ == "__main__":

@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskgraph.functions.exprs import EDGE_LABEL, day_text, two_decimals
+from riskgraph.session import cut_lineage
+
+ONE_FILE_CONF = "riskgraph.oneFileBytes"
+ONE_FILE_BYTES = 1 << 30
 
 
 def dated_path(base: str, day, name: str) -> str:
@@ -23,15 +27,28 @@ def write_lines(df: DataFrame, path: str, single_file: bool = False, mode: str =
     """K1/K2: write the ``line`` column as text.
 
     ``single_file=True`` writes one file: everything upstream (including any
-    distinct) still runs in parallel, and only the final exchange gathers
-    the finished lines into one task, which only writes.
+    distinct) runs in parallel, the finished lines are written to the checkpoint
+    folder and their bytes are summed there, and only then one task gathers
+    them.  More than ``riskgraph.oneFileBytes`` (1 GB by default) is refused
+    before anything is written to ``path``.
     """
     out = df.select(F.col(col).alias("value")).filter(F.col("value").isNotNull())
     if single_file:
-        out = out.repartition(1)
+        out = one_task(out)
     out.write.mode(mode).text(path)
 
 
+def one_task(lines: DataFrame) -> DataFrame:
+    """A one-column text table in one partition, if its measured size allows."""
+    kept = cut_lineage(lines)
+    size = kept.agg(F.sum(F.octet_length(kept.columns[0]).cast("long") + 1)).first()[0] or 0
+    limit = int(kept.sparkSession.conf.get(ONE_FILE_CONF, str(ONE_FILE_BYTES)))
+    if size > limit:
+        raise ValueError(f"a single file of {size} bytes is over {ONE_FILE_CONF} ({limit}): "
+                         "write many files (single_file=False) or raise the limit")
+    return kept.repartition(1)
+
+
 def format_edge_line(edges: DataFrame) -> DataFrame:
     """K4: ``src,dst,CALL_OUT,calls,mean`` with the mean to two decimals."""
     return edges.select(F.concat_ws(",", "src", "dst", F.lit(EDGE_LABEL), F.col("calls").cast("string"),
