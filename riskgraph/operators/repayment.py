@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from riskgraph.functions.exprs import SETTLED, day_text, to_day
 from riskgraph.operators.cohorts import USER_KEY
+from riskgraph.operators.membership import sized
+from riskgraph.session import cut_lineage
 from riskgraph.sources.tables import snapshot
 
 LOAN_KEY = ["loan_id", "user_id", "ds"]
@@ -53,6 +55,48 @@ def scored_facts(overdue: DataFrame, scores: DataFrame) -> DataFrame:
     return facts.join(scores.select("mobile", "score"), "mobile")
 
 
+# Rows of one mobile on one side beyond which ``scored_facts_split`` splits it.
+HOT_ROWS = 100_000
+
+
+def split_join(left: DataFrame, right: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Inner join on ``key`` where heavy keys meet in many tasks.
+
+    Both sides are written to the checkpoint folder and counted per key.  A key
+    with more than ``hot_rows`` on its larger side is dealt there, row by row
+    (repeated rows as well), into parts of about ``hot_rows``, and the rows of
+    its smaller side are copied to every part; all other keys have one part.
+    The written rows have a fixed order, so a repeated task deals them alike.
+    The rows are those of the plain join.
+    """
+    left, right = cut_lineage(left), cut_lineage(right)
+
+    def counted(df, name):
+        return df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
+
+    heavy = (counted(left, "l").join(counted(right, "r"), key)
+             .filter(F.greatest("l", "r") > hot_rows)
+             .select(key, (F.col("l") >= F.col("r")).alias("__left_split"),
+                     F.ceil(F.greatest("l", "r") / hot_rows).cast("int").alias("__parts")))
+    heavy = sized(heavy)
+
+    def dealt(df, splits):
+        rows = df.withColumn("__row", F.monotonically_increasing_id()).join(heavy, key, "left")
+        one = F.pmod(F.col("__row"), F.coalesce("__parts", F.lit(1))).cast("int")
+        copied = F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1)
+        part = F.when(F.coalesce(splits, F.lit(True)), F.array(one)).otherwise(copied)
+        return rows.withColumn("__part", F.explode(part)).select(*df.columns, "__part")
+
+    a, b = dealt(left, F.col("__left_split")), dealt(right, ~F.col("__left_split"))
+    return a.join(b, [key, "__part"]).drop("__part")
+
+
+def scored_facts_split(overdue: DataFrame, scores: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """J8 by ``split_join``: the same rows as ``scored_facts`` where a mobile
+    holds a large share of the facts or scores."""
+    return split_join(overdue.select(*OVERDUE_COLS).dropDuplicates(), scores.select("mobile", "score"), "mobile", hot_rows)
+
+
 def score_vs_overdue(overdue: DataFrame, scores: DataFrame) -> DataFrame:
     """(score, overdue_day) of ``scored_facts``."""
     return scored_facts(overdue, scores).select("score", "overdue_day")

@@ -8,6 +8,7 @@ from ``riskgraph.sources.bindings``.  Keys follow the inventory IDs.
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +18,9 @@ from riskgraph.functions import exprs as X
 from riskgraph.operators import cohorts, edges, neighbours, repayment, segments
 from riskgraph.operators import history_totals as H
 from riskgraph.plans import exports
+from riskgraph.session import scratch_path
 from riskgraph.sources import bindings as B
-from riskgraph.sources.tables import history, snapshot
+from riskgraph.sources.tables import history, snapshot, store_bucketed
 
 Query = Callable[[SparkSession, str], DataFrame]
 BOUND: dict[str, Callable[[B.Bindings], DataFrame]] = {}
@@ -277,16 +279,42 @@ def q_c26(b):
     return repayment.score_vs_overdue(c25_facts(b), b.rank_score)
 
 
+def _stored_totals(b, calls, before):
+    """Totals of the calls, written, rolled up and read back.  The calls are
+    stamped with their month's first day, so that there is a folder a month."""
+    calls = calls.withColumn("dt", F.concat(F.substring("dt", 1, 7), F.lit("-01")))
+    root = scratch_path(b.spark, "call-totals")
+    H.refresh_totals(b.spark, calls, root, before)
+    H.roll_months(b.spark, root, before)
+    return H.read_totals(b.spark, None, root, before)
+
+
 @query("c15_call_edges_from_totals")
 def q_c15_totals(b):
-    """C15 from daily totals of the calls instead of the calls."""
-    return edges.with_mean_text(H.call_edges_from_totals(H.day_totals(history_calls(b)), applied_cohort(b)))
+    """C15 from stored totals of the calls instead of the calls."""
+    totals = _stored_totals(b, history_calls(b), B.HISTORY_BEFORE)
+    return edges.with_mean_text(H.call_edges_from_totals(totals, applied_cohort(b)))
 
 
 @query("c22_rank_edges_from_totals")
 def q_c22_totals(b):
-    """C22 from daily totals of the calls."""
-    return H.rank_edges_from_totals(H.day_totals(history_to_today(b)), applied_cohort(b))
+    """C22 from stored totals of the calls."""
+    return H.rank_edges_from_totals(_stored_totals(b, history_to_today(b), B.HISTORY_TO_TODAY), applied_cohort(b))
+
+
+@query("c17_call_edges_bucketed")
+def q_c17_bucketed(b):
+    """C17 on calls stored in buckets of the record owner, which no step up to
+    the owner's semi-join shuffles."""
+    name = f"rg_calls_{uuid.uuid4().hex}"
+    calls = store_bucketed(history_to_today(b), name, 8, path=scratch_path(b.spark, "bucketed-calls"))
+    return edges.with_mean_text(edges.call_edges(calls, passed(b).select("mobile"), ends="owner", broadcast=False))
+
+
+@query("c26_score_vs_overdue_split")
+def q_c26_split(b):
+    """C26 by the join that splits mobiles of many rows (here of more than two)."""
+    return repayment.scored_facts_split(c25_facts(b), b.rank_score, hot_rows=2).select("score", "overdue_day")
 
 
 @query("c27_graph_lists")

@@ -236,6 +236,7 @@ WHERE mobile IS NOT NULL"""),
     "c22_rank_edges_shuffled": _q("SELECT src, dst FROM rank_pairs"),
     "c16_call_edges_loose_drop": _q(_edges("known_dirty", "TRUE", LOOSE, prefix="p")),
     "c17_call_edges_owner": _q(_edges("history_to_today", "mobile IN (SELECT mobile FROM passed)", STRICT)),
+    "c17_call_edges_bucketed": _q(_edges("history_to_today", "mobile IN (SELECT mobile FROM passed)", STRICT)),
     "c18_call_edges_passed": _q(_edges(
         "history_to_today", "mobile IN (SELECT mobile FROM passed) AND other_mobile IN (SELECT mobile FROM passed)", ANY11)),
     "c19_incremental_applicants": _q("SELECT mobile FROM new_applicants"),
@@ -274,6 +275,10 @@ UNION ALL SELECT 'blacklist', mobile FROM passed WHERE {LOAN} AND {OD} > 14"""),
     "c26_score_vs_overdue": _q("""
 SELECT s.score AS score, f.overdue_day AS overdue_day
 FROM (SELECT DISTINCT loan_id, ds, mobile, early_day, overdue_day FROM overdue) f
+JOIN rank_score s ON f.mobile = s.mobile"""),
+    "c26_score_vs_overdue_split": _q("""
+SELECT s.score AS score, f.overdue_day AS overdue_day
+FROM (SELECT DISTINCT loan_id, ds, mobile, early_day, overdue_day FROM overdue) f
 JOIN rank_score s ON f.mobile = s.mobile"""),
 }
 

@@ -185,6 +185,74 @@ def test_graph_jobs_equal_their_queries(spark, outdir, job):
     assert _lines(spark, f"{outdir}/{day}/relationship") == want and want
 
 
+def test_graph_jobs_write_persons_and_lists(spark, outdir):
+    from riskgraph.plans import jobs
+    from riskgraph.plans.catalog import bound
+    b, queries = B.Bindings(spark, SF0001), bound()
+    tables = _catalog_tables(spark, "graphs2")
+    jobs.run(spark, "call-graph-passed", f"{outdir}/p", B.AS_OF, tables)
+    ends = {m for r in queries["c18_call_edges_passed"](b).collect() for m in (r["src"], r["dst"])}
+    assert _lines(spark, f"{outdir}/p/{B.DAY}/person") == sorted(ends) and ends
+    jobs.run(spark, "call-graph-owner", f"{outdir}/o", B.AS_OF, tables)
+    want = {exports.segments.NO_BORROW: "c04_passed_no_borrow", exports.segments.GREY: "c08_greylist",
+            exports.segments.WHITE: "c07_whitelist_early", exports.segments.BLACK: "c09_blacklist"}
+    for folder, name in want.items():
+        assert _lines(spark, f"{outdir}/o/{B.DAY}/{folder}") == sorted(r["mobile"] for r in queries[name](b).collect())
+
+
+def test_export_that_fails_midway_is_finished_by_the_next_run(spark, outdir, monkeypatch):
+    def parts(bad=False):
+        out = {n: spark.createDataFrame([(f"{n}{k}",) for k in range(5)], "line string") for n in ("a", "b", "c")}
+        if bad:
+            out["c"] = out["c"].select(F.raise_error(F.lit("no part c")).cast("string").alias("line"))
+        return out
+
+    def folder(name):
+        return f"{outdir}/day/{name}"
+    mark = exports.mark_path(outdir, "test", "2001-01-01")
+    with pytest.raises(Exception, match="no part c"):     # a part that cannot be computed: nothing is written
+        exports.write_parts(parts(bad=True), folder, mark)
+    assert not os.path.exists(f"{outdir}/day") and not exports.is_whole(spark, mark)
+
+    real, written = exports.write_lines, []
+
+    def dying(df, path, **how):
+        if len(written) == 2:
+            raise RuntimeError("lost")
+        written.append(path)
+        real(df, path, **how)
+    monkeypatch.setattr(exports, "write_lines", dying)
+    with pytest.raises(RuntimeError, match="lost"):       # the third part is not put in place
+        exports.write_parts(parts(), folder, mark)
+    assert sorted(os.listdir(f"{outdir}/day")) == ["a", "b"] and not exports.is_whole(spark, mark)
+    monkeypatch.undo()
+    exports.write_parts(parts(), folder, mark)
+    assert exports.is_whole(spark, mark)
+    for n in ("a", "b", "c"):
+        assert _lines(spark, folder(n)) == [f"{n}{k}" for k in range(5)]
+    assert _lines(spark, f"{mark}/done") == ["a\t5", "b\t5", "c\t5"]
+    with pytest.raises(FileExistsError, match="already"):  # a whole export stays
+        exports.write_parts(parts(), folder, mark)
+    with pytest.raises(FileExistsError, match="unfinished"):  # and so do folders that are not ours
+        exports.write_parts(parts(), folder, exports.mark_path(outdir, "other"))
+
+
+def test_one_file_is_measured_first(spark, outdir):
+    from riskgraph.sinks import lines
+    df = spark.range(1000).selectExpr("cast(id + 1000 as string) as line").repartition(4)   # 5 bytes a line
+    spark.conf.set(lines.ONE_FILE_CONF, "4999")
+    try:
+        with pytest.raises(ValueError, match="5000 bytes.*many files"):
+            lines.write_lines(df, f"{outdir}/big", single_file=True)
+        assert not os.path.exists(f"{outdir}/big")
+        lines.write_lines(df, f"{outdir}/many")
+        spark.conf.set(lines.ONE_FILE_CONF, "5000")
+        lines.write_lines(df, f"{outdir}/one", single_file=True)
+    finally:
+        spark.conf.unset(lines.ONE_FILE_CONF)
+    assert len(_files(f"{outdir}/one")) == 1 and _lines(spark, f"{outdir}/one") == _lines(spark, f"{outdir}/many")
+
+
 def test_increment_and_list_jobs_equal_their_queries(spark, outdir):
     from riskgraph.plans import jobs
     from riskgraph.plans.catalog import bound

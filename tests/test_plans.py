@@ -81,6 +81,78 @@ def test_large_cohort_plan_drops_non_members_first_and_agrees(spark, stored):
     assert large == small
 
 
+def test_cohort_source_is_scanned_once(spark, stored):
+    """The plan reads the written cohort, never the user tables it came from."""
+    plan = _plan(Q.c15_edges(stored))
+    assert "/user_profile" not in plan and "/user_contact" not in plan
+    assert plan.count("Scan ExistingRDD") >= 1
+
+
+def test_bucketed_calls_are_not_shuffled_before_the_owner_test(spark, stored):
+    import uuid
+    from riskgraph.sources.tables import store_bucketed
+    calls = store_bucketed(Q.history_to_today(stored), f"rg_plan_{uuid.uuid4().hex}", 8,
+                           path=tempfile.mkdtemp(prefix="rg-test-bucketed-") + "/t")
+    passed = Q.passed(stored).select("mobile")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (edges.owned_by_members(calls, passed, broadcast=False),
+                   edges.call_edges(calls, passed, ends="owner", broadcast=False)):
+            lines = _plan(df).splitlines()
+            scan = next(i for i, ln in enumerate(lines) if "FileScan" in ln and "Bucketed: true" in ln)
+            semi = next(i for i, ln in enumerate(lines) if "SortMergeJoin" in ln and "LeftSemi" in ln)
+            indent = len(lines[scan]) - len(lines[scan].lstrip(" :+-"))
+            # the operators on the way from the semi-join down to the calls
+            path = [ln for ln in lines[semi:scan + 1] if len(ln) - len(ln.lstrip(" :+-")) <= indent]
+            assert not any("Exchange hashpartitioning" in ln and ":" in ln.split("Exchange")[0] for ln in path), path
+        assert _rows(edges.call_edges(calls, passed, ends="owner", broadcast=False)) == _rows(Q.c17_edges(stored))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_filled_filter_passes_few_non_members(spark):
+    from pyspark.sql import functions as F
+    from riskgraph.operators import membership as M
+    for n in (500, 60_000):
+        cohort = M.measured(spark.range(n).select(F.concat(F.lit("m"), "id").alias("mobile")))
+        assert n * M.BITS_PER_MEMBER <= cohort.words * 64 or cohort.words == M.CHUNK_WORDS
+        assert M.member_bits(cohort).selectExpr("sum(size(__words))").first()[0] == cohort.words
+        df = spark.range(2 * n).select(F.concat(F.lit("m"), "id").alias("who"), "id")
+        kept = M.maybe_members(df, cohort, "who")
+        assert kept.filter(F.col("id") < n).count() == n
+        assert kept.filter(F.col("id") >= n).count() < 0.02 * n
+    assert M.Cohort(df, 100_000_000, 0).words * 64 >= 16 * 100_000_000
+    assert M.Cohort(df, 10**12, 0).words == M.MOST_WORDS
+
+
+def test_months_replace_their_days(spark, tmp_path):
+    from riskgraph.operators import history_totals as H
+    root, before = str(tmp_path / "totals"), "2001-03-02"
+    days = [f"2001-{m:02d}-{d:02d}" for m, n in ((1, 9), (2, 9), (3, 1)) for d in range(1, n + 1)]
+    data = [(f"1380000000{k % 3}", "13800000009", "012001001", str(k), d) for k, d in enumerate(days * 3)]
+    calls = spark.createDataFrame(data, "mobile string, other_mobile string, call_channel string, call_time string, dt string")
+    assert H.refresh_totals(spark, calls, root, before) == days
+    by_day = H.read_totals(spark, calls, root, before)
+    want = _rows(H.call_edges_from_totals(by_day, min_n=1))
+    assert H.roll_months(spark, root, before) == ["2001-01", "2001-02"]
+    assert H.roll_months(spark, root, before) == []
+    by_month = H.read_totals(spark, calls, root, before)
+    assert _rows(H.call_edges_from_totals(by_month, min_n=1)) == want == _rows(edges.call_edges(calls, min_n=1))
+    # the files of two months and of one open day, where all days were read before
+    assert {re.search(r"(month|dt)=([0-9-]+)", f).group(2) for f in by_month.inputFiles()
+            if "_months/" in f} == {"2001-01", "2001-02"}
+    scans = [ln for ln in _plan(by_month).splitlines() if "FileScan" in ln]
+    assert len(scans) == 2 and any("dt#" in ln and "2001-03-01" in ln and "2001-02" not in ln.split("PartitionFilters")[1] for ln in scans)
+    # a corrected day takes its month out until it is rolled again
+    changed = [(*r[:3], "99", r[4]) if r[4] == "2001-02-03" else r for r in data]
+    calls = spark.createDataFrame(changed, calls.schema)
+    assert H.refresh_totals(spark, calls, root, before) == ["2001-02-03"]
+    assert _rows(H.call_edges_from_totals(H.read_totals(spark, calls, root, before), min_n=1)) == _rows(edges.call_edges(calls, min_n=1))
+    assert H.roll_months(spark, root, before) == ["2001-02"]
+    assert _rows(H.call_edges_from_totals(H.read_totals(spark, calls, root, before), min_n=1)) == _rows(edges.call_edges(calls, min_n=1))
+
+
 @pytest.mark.parametrize("name", ["c23_one_degree", "c24_one_degree_undirected", "c15_call_edges"])
 def test_history_scanned_once(spark, stored, name):
     df = Q.bound()[name](stored)

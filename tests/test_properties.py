@@ -132,6 +132,67 @@ def test_daily_totals_follow_the_raw_calls(spark, tmp_path):
         H.read_totals(spark, raw(late), root, before)
 
 
+def test_corrected_and_emptied_days_are_seen(spark, tmp_path):
+    import pytest
+    from riskgraph.operators import history_totals as H
+    root, before = str(tmp_path / "totals"), "2001-01-04"
+    first = [("13800000001", "13800000002", CHANNEL_OUT, "60", "2001-01-01"),
+             ("13800000001", "13800000002", CHANNEL_OUT, "60", "2001-01-01"),
+             ("13800000003", "13800000002", CHANNEL_OUT, None, "2001-01-02")]
+
+    def raw(data):
+        return spark.createDataFrame(data, SCHEMA)
+
+    def graph(data, **how):
+        return sorted(map(tuple, H.call_edges_from_totals(H.read_totals(spark, raw(data), root, before, **how), min_n=1).collect()))
+
+    def check(data, days):
+        with pytest.raises(ValueError, match=days[0]):
+            H.read_totals(spark, raw(data), root, before)
+        assert H.refresh_totals(spark, raw(data), root, before) == days
+        assert graph(data) == sorted(map(tuple, edges.call_edges(raw(data), min_n=1).collect()))
+
+    check(first, ["2001-01-01", "2001-01-02"])
+    # one duration corrected, the number of calls unchanged
+    corrected = [first[0], (*first[1][:3], "600", "2001-01-01"), first[2]]
+    check(corrected, ["2001-01-01"])
+    # a closed day is compared by its number of calls only
+    again = [first[0], first[0], first[2]]
+    assert H.stale_days(spark, raw(again), root, before) == ["2001-01-01"]
+    assert H.stale_days(spark, raw(again), root, before, open_from="2001-01-02") == []
+    # a day that loses all its calls goes, for good
+    emptied = corrected[:2]
+    check(emptied, ["2001-01-02"])
+    assert H.refresh_totals(spark, raw(emptied), root, before) == []
+    # and may come back
+    check(corrected, ["2001-01-02"])
+
+
+def test_hot_mobile_is_split_in_the_score_join(spark):
+    from collections import Counter
+    from riskgraph.operators import repayment
+    facts = [(i, "w", "hot" if i % 3 == 0 else f"m{i % 400}", i % 2, i % 5) for i in range(6000)] + [(1, "w", None, 0, 0)]
+    scores = [("hot", float(k)) for k in range(4)] + [(f"m{k}", 1.0) for k in range(400)] + [("m7", 2.0)] * 700
+    o = spark.createDataFrame(facts, "loan_id bigint, ds string, mobile string, early_day int, overdue_day int")
+    s = spark.createDataFrame(scores, "mobile string, score double")
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        split = repayment.scored_facts_split(o, s, hot_rows=50)
+        tasks = Counter(r[0] for r in split.selectExpr("spark_partition_id()").collect())
+        counts = sorted(tasks.values())
+        assert counts[-1] <= 3 * counts[len(counts) // 2]
+        plain = repayment.scored_facts(o, s)
+        whole = Counter(r[0] for r in plain.selectExpr("spark_partition_id()").collect())
+        assert max(whole.values()) > 3 * sorted(whole.values())[len(whole) // 2]
+        assert Counter(map(tuple, split.select(plain.columns).collect())) == Counter(map(tuple, plain.collect()))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def _nz(v):
     return 0 if v is None else v
 
