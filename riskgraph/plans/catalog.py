@@ -20,7 +20,7 @@ from riskgraph.operators import history_totals as H
 from riskgraph.plans import exports
 from riskgraph.session import scratch_path
 from riskgraph.sources import bindings as B
-from riskgraph.sources.tables import history, snapshot, store_bucketed
+from riskgraph.sources.tables import buckets_for, history, snapshot, store_bucketed
 
 Query = Callable[[SparkSession, str], DataFrame]
 BOUND: dict[str, Callable[[B.Bindings], DataFrame]] = {}
@@ -307,7 +307,8 @@ def q_c17_bucketed(b):
     """C17 on calls stored in buckets of the record owner, which no step up to
     the owner's semi-join shuffles."""
     name = f"rg_calls_{uuid.uuid4().hex}"
-    calls = store_bucketed(history_to_today(b), name, 8, path=scratch_path(b.spark, "bucketed-calls"))
+    found = history_to_today(b)
+    calls = store_bucketed(found, name, buckets_for(found), path=scratch_path(b.spark, "bucketed-calls"))
     return edges.with_mean_text(edges.call_edges(calls, passed(b).select("mobile"), ends="owner", broadcast=False))
 
 

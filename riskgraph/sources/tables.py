@@ -92,6 +92,16 @@ def history(df: DataFrame, before, col: str = DAY_COL) -> DataFrame:
     return df.filter(F.col(col) < F.lit(day_text(before)))
 
 
+BUCKET_ROWS = 1 << 20  # rows a bucket holds on average, at most
+
+
+def buckets_for(df: DataFrame, least: int = 8) -> int:
+    """Buckets for the counted rows of ``df``: one task writes, sums and joins a
+    whole bucket, so their number grows with the rows.  A power of two, so that
+    tables of the same key stay alike."""
+    return max(least, 1 << max(0, -(-df.count() // BUCKET_ROWS) - 1).bit_length())
+
+
 def store_bucketed(df: DataFrame, table: str, buckets: int, by: str = "mobile", path: str | None = None,
                    partition_by=()) -> DataFrame:
     """Store ``df`` as catalog table ``table`` in ``buckets`` buckets of ``by``

@@ -111,6 +111,19 @@ def test_bucketed_calls_are_not_shuffled_before_the_owner_test(spark, stored):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_buckets_grow_with_the_calls(spark, stored, monkeypatch):
+    from riskgraph.sources import tables
+    assert [tables.buckets_for(spark.range(n)) for n in (0, 1, 8 * tables.BUCKET_ROWS + 1)] == [8, 8, 16]
+    want = _rows(Q.c17_edges(stored))
+    used, store = [], tables.store_bucketed
+    monkeypatch.setattr(tables, "BUCKET_ROWS", 200)
+    monkeypatch.setattr(Q, "store_bucketed", lambda df, name, buckets, **how: used.append(buckets) or store(df, name, buckets, **how))
+    got = Q.bound()["c17_call_edges_bucketed"](stored).select("src", "dst", "calls", "mean_duration")
+    n = Q.history_to_today(stored).count()
+    assert used == [32] and 16 * 200 < n <= 32 * 200
+    assert _rows(got) == want
+
+
 def test_filled_filter_passes_few_non_members(spark):
     from pyspark.sql import functions as F
     from riskgraph.operators import membership as M
