@@ -60,6 +60,13 @@ def day_totals(calls: DataFrame) -> DataFrame:
             .select(*[f.name for f in TOTALS.fields]))
 
 
+def _ranged(rows: DataFrame, folder: str) -> DataFrame:
+    """Rows in ranges of the folder and the record key: a small folder goes to
+    one task and a large one to many.  A sum per folder and key needs no further
+    shuffle, so the rows are moved once for the sum and the files."""
+    return rows.repartitionByRange(_tasks(rows.sparkSession), folder, *RECORD_KEY)
+
+
 def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)
@@ -132,11 +139,13 @@ def refresh_totals(spark: SparkSession, calls: DataFrame, root: str, before, ope
     kept = {d: v for d, v in _manifest(spark, root).items() if d not in days}
     if rebuilt:
         due = calls.filter(F.col("dt").isin(rebuilt))
-        fresh = {r["dt"]: (r["n"], r["digest"]) for r in day_digests(due).collect()}
-        # Ranges put a small day into one file and spread a large one.
-        (day_totals(due).repartitionByRange(_tasks(spark), "dt", "mobile").write.mode("overwrite")
+        # The check has read the digests of all days but those before open_from.
+        kept.update({d: raw[d] for d in rebuilt})
+        unread = [d for d in rebuilt if raw[d][1] is None]
+        if unread:
+            kept.update({r["dt"]: (r["n"], r["digest"]) for r in day_digests(calls.filter(F.col("dt").isin(unread))).collect()})
+        (day_totals(_ranged(due.select("dt", *RECORD_KEY, "call_time"), "dt")).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(root))
-        kept.update(fresh)
     _write_manifest(spark, root, kept)
     return days
 
@@ -175,8 +184,8 @@ def roll_months(spark: SparkSession, root: str, before) -> list[str]:
     if due:
         days = [d for m in due for d in months[m]]
         rows = _stored(spark, root, TOTALS).filter(F.col("dt").isin(days)).withColumn("month", F.substring("dt", 1, 7))
-        (rows.groupBy("month", *RECORD_KEY).agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
-         .select(*[f.name for f in MONTHS.fields]).repartitionByRange(_tasks(spark), "month", "mobile").write.mode("overwrite")
+        (_ranged(rows.drop("dt"), "month").groupBy("month", *RECORD_KEY).agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+         .select(*[f.name for f in MONTHS.fields]).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(top))
         _write_manifest(spark, top, kept | {m: _month_mark(months[m]) for m in due})
     return due

@@ -166,6 +166,24 @@ def test_months_replace_their_days(spark, tmp_path):
     assert _rows(H.call_edges_from_totals(H.read_totals(spark, calls, root, before), min_n=1)) == _rows(edges.call_edges(calls, min_n=1))
 
 
+def test_totals_move_the_calls_once(spark, tmp_path, monkeypatch):
+    """One shuffle for sums and files, and one reading of the calls for their digests."""
+    from riskgraph.operators import history_totals as H
+    data = [(f"1380000000{k % 3}", "13800000009", "012001001", str(k), f"2001-01-0{1 + k % 4}") for k in range(30)]
+    calls = spark.createDataFrame(data, "mobile string, other_mobile string, call_channel string, call_time string, dt string")
+    read, digests = [], H.day_digests
+    monkeypatch.setattr(H, "day_digests", lambda df, open_from=None: read.append(open_from) or digests(df, open_from))
+    root, before = str(tmp_path / "totals"), "2001-02-01"
+    assert len(H.refresh_totals(spark, calls, root, before)) == 4 and len(read) == 1
+    assert H.stale_days(spark, calls, root, before) == []
+    late = spark.createDataFrame([*data, ("13800000001", None, None, "7", "2001-01-02")], calls.schema)
+    assert H.refresh_totals(spark, late, root, before, open_from="2001-01-04") == ["2001-01-02"]
+    assert len(read) == 4  # a closed day's digest was not read by the check
+    assert H.stale_days(spark, late, root, before) == []
+    plan = _plan(H.day_totals(H._ranged(calls, "dt")))
+    assert plan.count("Exchange") == 1 and "rangepartitioning" in plan
+
+
 @pytest.mark.parametrize("name", ["c23_one_degree", "c24_one_degree_undirected", "c15_call_edges"])
 def test_history_scanned_once(spark, stored, name):
     df = Q.bound()[name](stored)
