@@ -13,8 +13,10 @@ A text is its words and one end; the end before it is its first context.
    word is taken out of its class and put where the likelihood of the class
    bigrams gains most.  Words move in alternating halves, with class counts
    renewed in between; a round that loses likelihood is undone and ends it.
-4. All other words are classed by the logarithm of their count; words seen
-   once share their class with unseen ones.
+4. All other words seen twice or more are put by the same gain beside them:
+   the classes before and after each occurrence meet by word, and the word goes
+   to the class where the likelihood gains most.  Words seen once stand for the
+   unseen ones and share their class.
 5. Counts and classes of each chunk's words are joined to it by chunk, so no
    task holds more than a chunk's vocabulary.  Class bigrams are counted over
    all training texts and every text is scored.
@@ -27,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -43,10 +46,11 @@ BUCKETS = 512          # packed parts of the neighbour table
 SMOOTHING = 16.0       # weight of the class's own probability in a transition
 CHUNK_TOKENS = 1 << 21
 PAIRS_HELD = 3_000_000  # distinct neighbour pairs a task holds before it passes them on
+ROWS_PLACED = 5_000    # rows of other words that are placed at once
 
 END = 0                          # class of the end; clustered classes are 1 to CLASSES
-RARE = CLASSES + 1               # class of words seen once or never; RARE + k: seen 2^k times or more
-ALL_CLASSES = RARE + 63
+RARE = CLASSES + 1               # class of words seen once or never; any other word while the core is clustered
+ALL_CLASSES = RARE + 1
 
 # Fixed values of the contract: A-Z lower-cased, words are runs of anything else than white space.
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -229,21 +233,24 @@ def _moves(classes: np.ndarray, pairs: np.ndarray, half: int, size: int):
     return run
 
 
+def class_pairs(neighbours: DataFrame, classes: np.ndarray, k: int) -> np.ndarray:
+    """Counts of (class, next class) under ``classes`` of the ``k`` core words,
+    the end and any other word."""
+    size = RARE + 1
+    cells = (neighbours.mapInArrow(_class_pairs(classes, k, size), "cell long, n long")
+             .groupBy("cell").agg(F.sum("n").alias("n")).collect())  # at most size * size rows
+    out = np.zeros(size * size)
+    for r in cells:
+        out[r["cell"]] = r["n"]
+    return out.reshape(size, size)
+
+
 def exchange(neighbours: DataFrame, k: int, rounds: int = ROUNDS) -> np.ndarray:
     """Classes 1 to ``CLASSES`` of the ``k`` core words, numbered from the most
     frequent, by exchange from a start that deals them in turn."""
     size = RARE + 1  # the end, the clustered classes and one for all other words
     classes = np.concatenate([1 + np.arange(k) % CLASSES, [END, RARE]])
-
-    def counted(c: np.ndarray) -> np.ndarray:
-        cells = (neighbours.mapInArrow(_class_pairs(c, k, size), "cell long, n long")
-                 .groupBy("cell").agg(F.sum("n").alias("n")).collect())  # at most size * size rows
-        out = np.zeros(size * size)
-        for r in cells:
-            out[r["cell"]] = r["n"]
-        return out.reshape(size, size)
-
-    pairs = counted(classes)
+    pairs = class_pairs(neighbours, classes, k)
     before = likelihood(pairs)
     for half in range(rounds):
         moves = neighbours.mapInArrow(_moves(classes, pairs, half % 2, size), "word long, class long").collect()
@@ -252,7 +259,7 @@ def exchange(neighbours: DataFrame, k: int, rounds: int = ROUNDS) -> np.ndarray:
         changed = classes.copy()
         for r in moves:  # at most one a core word
             changed[r["word"]] = r["class"]
-        renewed = counted(changed)
+        renewed = class_pairs(neighbours, changed, k)
         after = likelihood(renewed)
         if after < before:
             break
@@ -260,20 +267,110 @@ def exchange(neighbours: DataFrame, k: int, rounds: int = ROUNDS) -> np.ndarray:
     return classes[:k]
 
 
+def _contexts(core: list[bytes], classes: np.ndarray):
+    """(word, around) per chunk and word outside the core in training texts:
+    two bytes an occurrence, the classes before and after it."""
+    def run(batches):
+        place = dict(zip(core, classes.tolist(), strict=True))
+        for batch in batches:
+            for k in range(batch.num_rows):
+                yield from chunk(batch, k, place)
+
+    def chunk(batch, k, place):
+        known = batch.column("words")[k].values
+        kind = np.array([place.get(w, RARE) for w in known.to_pylist()], np.uint8)
+        kind[0] = END
+        tokens = _tokens(batch.column("tokens")[k].as_py())
+        held = batch.column("held")[k].values.to_numpy(zero_copy_only=False)
+        tokens = tokens[~np.repeat(held, _array(batch, "sizes", k))]
+        now = kind[tokens]
+        at = np.flatnonzero(now == RARE)
+        at = at[np.argsort(tokens[at], kind="stable")]
+        word = tokens[at]
+        around = np.stack([np.where(at > 0, now[at - 1], END), now[np.minimum(at + 1, len(now) - 1)]], 1).astype(np.uint8)  # a text ends with the end
+        first = np.flatnonzero(np.diff(word, prepend=-1))
+        stops = np.append(first, len(word))
+        for a in range(0, len(first), 20_000):
+            z = min(len(first), a + 20_000)
+            edges = (2 * (stops[a:z + 1] - stops[a])).astype(np.int32)
+            cells = pa.Array.from_buffers(pa.binary(), z - a, [None, pa.py_buffer(edges), pa.py_buffer(around[stops[a]:stops[z]].tobytes())])
+            yield pa.RecordBatch.from_arrays([known.take(pa.array(word[first[a:z]])), cells], ["word", "around"])
+    return run
+
+
+def _gains(table: np.ndarray, word: np.ndarray, beside: np.ndarray, n_words: int) -> np.ndarray:
+    """(word, class) gain in x log x by the neighbours of one side; ``table`` has
+    the pair counts by (neighbour class, class)."""
+    size = len(table)
+    cell, n = np.unique(word * size + beside, return_counts=True)
+    more = _xlogx(table[cell % size] + n[:, None]) - _xlogx(table)[cell % size]
+    return np.add.reduceat(more, np.searchsorted(cell // size, np.arange(n_words)))
+
+
+def places(pairs: np.ndarray, word: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The class that gains most by each of the words 0, 1, ..., given one word
+    number and the classes before and after it per occurrence; ties go to the
+    first class."""
+    choices = np.arange(1, CLASSES + 1)
+    n = np.bincount(word)
+    gain = _gains(pairs[:, choices], word, left, len(n)) + _gains(pairs[choices].T, word, right, len(n))
+    for whole in (pairs.sum(1)[choices], pairs.sum(0)[choices]):
+        gain -= _xlogx(whole + n[:, None]) - _xlogx(whole)
+    return choices[np.round(gain, 9).argmax(1)]
+
+
+def _placed(pairs: np.ndarray):
+    """(word, n, class) of words in order, from their occurrences in all chunks."""
+    def block(rows: pa.Table, fresh: np.ndarray) -> pa.RecordBatch:
+        around = rows.column("around").combine_chunks()
+        edges = np.frombuffer(around.buffers()[1], np.int32)[around.offset:around.offset + len(around) + 1]
+        cells = np.frombuffer(around.buffers()[2], np.uint8)[edges[0]:edges[-1]].reshape(-1, 2).astype(np.int64)
+        word = np.repeat(np.cumsum(fresh) - 1, np.diff(edges) // 2)
+        n = np.bincount(word)
+        kind = np.full(len(n), RARE)
+        often = n[word] > 1
+        if often.any():
+            kind[n > 1] = places(pairs, np.unique(word[often], return_inverse=True)[1], *cells[often].T)
+        return pa.RecordBatch.from_arrays([rows.column("word").combine_chunks().take(pa.array(np.flatnonzero(fresh))),
+                                           pa.array(n), pa.array(kind.astype(np.int32))], ["word", "n", "class"])
+
+    def run(batches):
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n < ROWS_PLACED:
+                continue
+            rows = pa.Table.from_batches(held).combine_chunks()
+            fresh = starts(rows)
+            last = int(np.flatnonzero(fresh)[-1])  # the last word may go on in the next batch
+            if last:
+                yield block(rows.slice(0, last), fresh[:last])
+            held, n = rows.slice(last).to_batches(), n - last
+        if n:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            yield block(rows, starts(rows))
+
+    def starts(rows: pa.Table) -> np.ndarray:
+        word = rows.column("word").combine_chunks()
+        return np.concatenate([[True], pc.not_equal(word[1:], word[:-1]).to_numpy(zero_copy_only=False)])
+    return run
+
+
 def _vocabulary(chunks: DataFrame) -> DataFrame:
     """(word, n) of the training tokens (stored)."""
     held = chunks.select(F.explode(F.arrays_zip("words", "counts")).alias("w")).select("w.words", "w.counts").filter("counts > 0")
     return stored(held.groupBy(F.col("words").alias("word")).agg(F.sum("counts").alias("n")), "words")
 
 
-def _classed(vocabulary: DataFrame, core: list[bytes], classes: np.ndarray) -> DataFrame:
+def _classed(chunks: DataFrame, core: list[tuple[bytes, int]], classes: np.ndarray, pairs: np.ndarray, ends: int) -> DataFrame:
     """(word, n, class) of every training word (stored)."""
-    spark = vocabulary.sparkSession
-    known = spark.createDataFrame([(w, int(c)) for w, c in zip(core, classes, strict=True)], "word binary, clustered int")
-    band = F.lit(RARE) + F.floor(F.log2("n") + 1e-12).cast("int")
-    kind = F.when(F.octet_length("word") == 0, END).otherwise(F.coalesce("clustered", band))
-    # At most CORE words, of the corpus's mean length or so: each stands in a CORE-th of its tokens.
-    return stored(vocabulary.join(F.broadcast(known), "word", "left").select("word", "n", kind.alias("class")), "classes")
+    spark = chunks.sparkSession
+    known = [(w, n, int(c)) for (w, n), c in zip(core, classes, strict=True)] + ([(b"", ends, END)] if ends else [])
+    # Rows of a word stand together: at most a CORE-th of the tokens, two bytes each.
+    others = (chunks.select("tokens", "sizes", "held", "words").mapInArrow(_contexts([w for w, _ in core], classes), "word binary, around binary")
+              .repartition("word").sortWithinPartitions("word").mapInArrow(_placed(pairs), "word binary, n long, class int"))
+    return stored(others.unionByName(spark.createDataFrame(known, "word binary, n long, class int")), "classes")
 
 
 def _array(batch: pa.RecordBatch, name: str, k: int) -> np.ndarray:
@@ -369,14 +466,19 @@ def class_scores(docs: DataFrame) -> DataFrame:
     chunks = stored(rows.mapInArrow(_chunks, CHUNK), "chunks")
     vocabulary = _vocabulary(chunks)
     total, distinct = (int(x or 0) for x in vocabulary.agg(F.sum("n"), F.count("*")).first())
-    frequent = vocabulary.filter((F.col("n") * CORE >= total) & (F.octet_length("word") > 0)).collect()
-    core = [bytes(r["word"]) for r in sorted(frequent, key=lambda r: (-r["n"], bytes(r["word"])))]
-    classes = np.empty(0, np.int64)
+    frequent = vocabulary.filter((F.col("n") * CORE >= total) | (F.octet_length("word") == 0)).collect()
+    found = sorted(((bytes(r["word"]), r["n"]) for r in frequent), key=lambda r: (-r[1], r[0]))
+    ends = sum(n for w, n in found if not w)
+    core = [(w, n) for w, n in found if w]
+    k = len(core)
+    classes, pairs = np.empty(0, np.int64), np.zeros((RARE + 1, RARE + 1))
     if core:
-        neighbours = _neighbours(chunks, core)
-        classes = exchange(neighbours, len(core))
+        neighbours = _neighbours(chunks, [w for w, _ in core])
+        classes = exchange(neighbours, k)
+        pairs = class_pairs(neighbours, np.concatenate([classes, [END, RARE]]), k)
         discard(neighbours)
-    classed = _classed(vocabulary, core, classes)
+    classed = _classed(chunks, core, classes, pairs, ends)
+    discard(vocabulary)
     class_size, once = np.zeros(ALL_CLASSES), 0
     for r in classed.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect():
         class_size[r["class"]] = r["n"]
@@ -389,7 +491,7 @@ def class_scores(docs: DataFrame) -> DataFrame:
     coded = stored(chunks.drop("words", "counts").join(found, "chunk", "left").mapInArrow(
         _code(total, distinct, class_size, once), "doc_id long, held_out boolean, n_tokens long, n_known long, "
         "base_score double, emission double, codes binary"), "coded")
-    discard(chunks, vocabulary, classed)
+    discard(chunks, classed)
 
     counts = np.zeros(ALL_CLASSES ** 2)
     cells = coded.filter("not held_out").select("codes").mapInArrow(_transitions, "cell long, n long")

@@ -118,3 +118,51 @@ def test_exchange_finds_word_kinds(spark, make, seed, monkeypatch):
     kinds = [w[:3] for w in core]
     agree = sum(max(Counter(k for k, c in zip(kinds, classes, strict=True) if c == own).values(), default=0) for own in set(classes.tolist()))
     assert agree >= 0.8 * len(core)
+
+
+def test_words_outside_the_core_are_placed_by_their_neighbours(spark, make, monkeypatch):
+    """Half of the words stand in the core, the others go to the class of their kind; words seen once do not."""
+    docs = sentences(600, 5)
+    known = make([*docs, (10_000, "the0 lonely verb1")]).selectExpr("doc_id", "false as held_out", "cast(text as binary) as text")
+    monkeypatch.setattr(brown, "CHUNK_TOKENS", 200)
+    monkeypatch.setattr(brown, "ROWS_PLACED", 7)
+    monkeypatch.setattr(brown, "CLASSES", 3)
+    chunks = brown.stored(known.mapInArrow(brown._chunks, brown.CHUNK), "chunks")
+    count = Counter(t for _, text in [*docs, (0, "the0 lonely verb1")] for t in split(text) if t)
+    core = sorted((w.encode(), n) for w, n in count.items() if w[-1] in "024" and w[-2:] != "10")
+    kind = {"the": 1, "nou": 2, "ver": 3}
+    classes = np.array([kind[w[:3].decode()] for w, _ in core])
+    neighbours = brown._neighbours(chunks, [w for w, _ in core])
+    pairs = brown.class_pairs(neighbours, np.concatenate([classes, [brown.END, brown.RARE]]), len(core))
+    got = {bytes(r["word"]).decode(): (r["n"], r["class"]) for r in brown._classed(chunks, core, classes, pairs, len(docs) + 1).collect()}
+    assert got == {"": (len(docs) + 1, brown.END), "lonely": (1, brown.RARE),
+                   **{w: (n, kind[w[:3]]) for w, n in count.items() if w != "lonely"}}
+
+
+def test_scores_know_the_order_of_words_outside_the_core(spark, make, monkeypatch):
+    """Rare kinds follow each other in one order; their counts do not tell it."""
+    rnd = random.Random(7)
+    def phrase(rare):
+        return " ".join(f"{k}{rnd.randrange(4) if rnd.random() > rare else rnd.randrange(4, 60)}" for k in ("the", "noun", "verb"))
+    docs = [(k, " ".join(phrase(0.3) for _ in range(5))) for k in range(900)]
+    docs = [d for d in docs if not is_held(d[0])]
+    tests = [i for i in range(20_000, 20_200) if is_held(i)][:2]
+    right = [w for k in range(10, 20) for w in (f"the{k}", f"noun{k}", f"verb{k}")]
+    docs += [(tests[0], " ".join(right)), (tests[1], " ".join(reversed(right)))]
+    monkeypatch.setattr(brown, "CORE", 100)
+    monkeypatch.setattr(brown, "CLASSES", 6)
+    _, got = scored(make, docs)
+    score = {r.doc_id: r.score for r in got if r.held_out}
+    assert score[tests[0]] > score[tests[1]] + 5
+
+
+def test_placing_gains_what_best_class_does():
+    """A word from the class of all others, whose own row takes no part."""
+    rng = np.random.default_rng(4)
+    size = brown.RARE + 1
+    pairs = rng.integers(0, 50, (size, size)).astype(float)
+    word = np.repeat(np.arange(30), rng.integers(2, 40, 30))
+    left, right = rng.integers(0, brown.RARE, (2, len(word)))
+    choices = np.arange(1, brown.CLASSES + 1)
+    want = [brown.best_class(pairs, brown.RARE, *(np.bincount(x[word == w], minlength=size) for x in (left, right)), choices) for w in range(30)]
+    assert brown.places(pairs, word, left, right).tolist() == want
