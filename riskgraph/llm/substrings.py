@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskgraph.llm.common import discard, measured_side, prepare, ship, stored, table
+from riskgraph.llm.common import prepare, ship, stored, table
 from riskgraph.llm.textbytes import batch_bytes, mix64
 
 ship(__name__)
@@ -171,53 +171,73 @@ def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["doc_id", "tk", "start", "end", "n_chunks", "other"])
 
 
+RUN = ["doc_id", "tk", "other", "other_tk", "shift"]
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """Window rows that another document holds too, each with the place
+    ``shift`` further on in the smallest other document that has it.  Rows meet
+    by digest in one exchange, which leaves out the windows of one document,
+    and by document in the next."""
+    same = Window.partitionBy("h")
+    rows = (rows.withColumn("first", F.min("doc_id").over(same)).withColumn("last", F.max("doc_id").over(same))
+            .filter("first < last"))
+    # One place of the window in its smallest and in its largest document.
+    least = {d: F.min(F.when(F.col("doc_id") == F.col(d), F.struct("tk", "place"))).over(same) for d in ("first", "last")}
+    rows = rows.withColumn("in_first", least["first"]).withColumn("in_last", least["last"])
+    rows = rows.withColumn("o", F.expr("if(doc_id = first, in_last, in_first)"))
+    return rows.select("doc_id", "tk", F.expr("if(doc_id = first, last, first)").alias("other"), F.col("o.tk").alias("other_tk"),
+                       (F.shiftright("o.place", 32) - F.shiftright("place", 32)).alias("shift"), "place", "shape").repartition(*RUN)
+
+
 def _runs(rows: DataFrame) -> DataFrame:
     """Stored runs (doc_id, tk, other, other_tk, shift, start, end, n_chunks,
     before_room, behind_room): code points [start, end) of a text stand in
     ``other``, ``shift`` further on.  The rooms are how far beside the run the
     texts are still compared."""
-    shared = (rows.groupBy("h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last"))
-    hits = stored(rows.join(shared, "h"), "hits")
-    # One place of the window in its smallest and in its largest document.
-    held = (hits.filter("doc_id = first or doc_id = last").groupBy("h", F.col("doc_id").alias("other"))
-            .agg(F.min(F.struct("tk", "place")).alias("o")).select("h", "other", F.col("o.tk").alias("other_tk"),
-                                                                   F.shiftright("o.place", 32).alias("at")))
     mask = (1 << FIELD) - 1
-    placed = (hits.withColumn("other", F.expr("if(doc_id = first, last, first)")).join(held, ["h", "other"])
-            .select("doc_id", "tk", "other", "other_tk", F.shiftright("place", 32).alias("start"),
-                    F.col("place").bitwiseAND(0xFFFFFFFF).alias("chunk"), "at",
-                    F.shiftright("shape", 12 + 2 * FIELD).alias("size"),
-                    F.shiftright("shape", 12 + FIELD).bitwiseAND(mask).alias("before"),
-                    F.shiftright("shape", 12).bitwiseAND(mask).alias("behind"),
-                    F.col("shape").bitwiseAND(0xFFF).alias("k"))
-            .withColumn("shift", F.col("at") - F.col("start")).withColumn("end", F.col("start") + F.col("size")))
-    key = ["doc_id", "tk", "other", "other_tk", "shift"]
-    ordered = Window.partitionBy(*key).orderBy("start")
+    placed = (_placed(rows)
+              .select(*RUN, F.shiftright("place", 32).alias("start"),
+                      F.col("place").bitwiseAND(0xFFFFFFFF).alias("chunk"),
+                      F.shiftright("shape", 12 + 2 * FIELD).alias("size"),
+                      F.shiftright("shape", 12 + FIELD).bitwiseAND(mask).alias("before"),
+                      F.shiftright("shape", 12).bitwiseAND(mask).alias("behind"),
+                      F.col("shape").bitwiseAND(0xFFF).alias("k"))
+              .withColumn("end", F.col("start") + F.col("size")))
+    ordered = Window.partitionBy(*RUN).orderBy("start")
     upto = F.max("end").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
     placed = placed.withColumn("fresh", (F.col("start") > F.coalesce(upto, F.lit(-1))).cast("int"))
     placed = placed.withColumn("run", F.sum("fresh").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = (placed.groupBy(*key, "run").agg(
+    runs = (placed.groupBy(*RUN, "run").agg(
                 F.min("start").alias("start"), F.max("end").alias("end"),
                 (F.max(F.col("chunk") + F.col("k")) - F.min("chunk")).alias("n_chunks"),
                 F.min(F.struct("start", "before"))["before"].alias("before_room"),
                 F.max(F.struct("end", "behind"))["behind"].alias("behind_room"))
             .withColumn("before_room", F.least(F.col("before_room") + BESIDE, "start", F.col("start") + F.col("shift")))
             .withColumn("behind_room", F.col("behind_room") + BESIDE).drop("run"))
-    runs = stored(runs, "runs")
-    discard(hits)
-    return runs
+    return stored(runs, "runs")
 
 
-def _beside(docs: DataFrame, runs: DataFrame, doc: str, tk: str, shift: str, prefix: str) -> DataFrame:
-    """``runs`` with the texts beside them and a hash of their own text, read
-    in the rows named (doc, tk)."""
+def _beside(docs: DataFrame, runs: DataFrame) -> DataFrame:
+    """``runs`` with the texts beside them in both documents, where a hash of
+    the run's own text agrees.  A run asks for both at once, so the texts move
+    once; they do at every size (a merge join), as the runs grow with them."""
     named = _named(docs).select(F.col("doc_id").alias("__d"), F.col("tk").alias("__t"), "text")
-    start, end = f"(start + {shift})", f"(end + {shift})"
-    return named.join(runs, (F.col("__d") == F.col(doc)) & (F.col("__t") == F.col(tk))).select(
-        *runs.columns,
-        F.expr(f"substring(text, int({start} - before_room) + 1, int(before_room))").alias(f"{prefix}before"),
-        F.expr(f"substring(text, int({end}) + 1, int(behind_room))").alias(f"{prefix}after"),
-        F.expr(f"xxhash64(substring(text, int({start}) + 1, int(end - start)))").alias(f"{prefix}same")).distinct()
+    asked = runs.withColumn("ask", F.explode(F.array(
+        F.struct(F.col("doc_id").alias("d"), F.col("tk").alias("t"), F.lit(0).cast("long").alias("by"), F.lit(False).alias("far")),
+        F.struct(F.col("other").alias("d"), F.col("other_tk").alias("t"), F.col("shift").alias("by"), F.lit(True).alias("far")))))
+    asked = asked.select(*runs.columns, "ask.*").hint("merge")
+    found = named.join(asked, (F.col("__d") == F.col("d")) & (F.col("__t") == F.col("t"))).select(
+        *runs.columns, "far", F.struct(
+            F.expr("substring(text, int(start + by - before_room) + 1, int(before_room))").alias("before"),
+            F.expr("substring(text, int(end + by) + 1, int(behind_room))").alias("after"),
+            F.expr("xxhash64(substring(text, int(start + by) + 1, int(end - start)))").alias("same")).alias("piece"))
+    # Rows that are equal, or share a name by chance, make more than one piece.
+    both = found.groupBy(*runs.columns).agg(F.collect_set(F.when(~F.col("far"), F.col("piece"))).alias("here"),
+                                            F.collect_set(F.when(F.col("far"), F.col("piece"))).alias("there"))
+    both = both.withColumn("here", F.explode("here")).withColumn("there", F.explode("there")).filter("here.same = there.same")
+    return both.select(*runs.columns, "here.before", "here.after", F.col("there.before").alias("other_before"),
+                       F.col("there.after").alias("other_after"))
 
 
 def repeated_spans(docs: DataFrame, least: int = SPAN_LEAST) -> DataFrame:
@@ -234,13 +254,10 @@ def repeated_spans(docs: DataFrame, least: int = SPAN_LEAST) -> DataFrame:
     text: these come after all others and have a null doc_id in the result.
     """
     docs, most = _numbered(docs)
-    runs = _runs(window_table(docs, least))
-    here = stored(_beside(docs, measured_side(runs), "doc_id", "tk", "0", ""), "beside")
-    discard(runs)
-    both = _beside(docs, measured_side(here), "other", "other_tk", "shift", "other_").filter("same = other_same")
+    both = _beside(docs, _runs(window_table(docs, least)))
     spans = both.mapInArrow(_extended, "doc_id long, tk int, start long, end long, n_chunks long, other long").withColumn(
         "duplicate", F.col("other") < F.col("doc_id"))
-    before = (Window.partitionBy("doc_id", "tk").orderBy("start", F.desc("end"), F.desc("duplicate"), "other")
+    before = (Window.partitionBy("doc_id", "tk").orderBy("start", F.desc("end"), F.desc("duplicate"), "other", F.desc("n_chunks"))
               .rowsBetween(Window.unboundedPreceding, -1))
     inside = F.coalesce(F.max(F.when(F.col("duplicate"), F.col("end"))).over(before) >= F.col("end"), F.lit(False))
     inside = inside | (~F.col("duplicate") & F.coalesce(F.max("end").over(before) >= F.col("end"), F.lit(False)))

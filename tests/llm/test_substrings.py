@@ -148,3 +148,35 @@ def test_a_very_long_text(make):
     found = S.repeated_spans(make([(1, long), (2, "x " + p + " y")])).collect()
     assert {r["doc_id"] for r in found} == {1, 2}
     assert all(p in texts[r["start"]:r["end"]] for r in found for texts in [long if r["doc_id"] == 1 else "x " + p + " y"])
+
+
+def test_windows_are_made_once_and_texts_move_once(make, monkeypatch):
+    """One pass makes the windows, one exchange brings them together, and one
+    join reads the texts; no side is broadcast, so small and large inputs run
+    the same plan."""
+    rnd = random.Random(15)
+    p = text_of(rnd, 70)
+    plans, keep = [], S.stored
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(S, "stored", lambda df, name: plans.append(plan(df)) or keep(df, name))
+    found = S.repeated_spans(make([(k, text_of(rnd, 40) + " " + p) for k in range(12)]))
+    whole = "\n".join([*plans, plan(found)])
+    assert whole.count("MapInArrow run(") == 1
+    assert sum("hashpartitioning(h#" in line for line in whole.split("\n")) == 1
+    assert whole.count("SortMergeJoin") == 1 and "BroadcastHashJoin" not in whole
+    assert found.count() == 12
+
+
+def test_equal_rows_and_a_hot_passage_change_nothing(make):
+    """Rows that come twice count once; every copy of a passage in most
+    documents is reported against the smallest other one."""
+    rnd = random.Random(16)
+    p = text_of(rnd, 60)
+    rows = [(k, text_of(rnd, 30) + " | " + p + " | " + text_of(rnd, 30)) for k in range(60)]
+    once = sorted(map(tuple, S.repeated_spans(make(rows)).collect()))
+    assert sorted(map(tuple, S.repeated_spans(make(rows + rows[:40] + rows[:7])).collect())) == once
+    whole = [r for r in once if p in rows[r[0]][1][r[1]:r[2]]]
+    assert {r[0] for r in whole} == set(range(60))
+    assert all(r[4] < 60 and r[5] == (r[4] < r[0]) for r in once)
