@@ -107,6 +107,14 @@ def measured_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if (df.agg(F.sum(width)).first()[0] or 0) <= limit else df
 
 
+def measured_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """Join of ``left`` with ``right`` (a stored table), broadcast if its
+    measured size allows and merged beyond it.  The hint is needed: Spark's own
+    estimate is the size of compressed files, which says little of the rows."""
+    side = measured_side(right)
+    return left.join(side if side is not right else right.hint("merge"), on, how)
+
+
 SALT = 32
 
 
@@ -115,10 +123,11 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, by: str, how: str =
     ``key``.  A right side of measured size is broadcast; else every key of
     ``left`` is split into ``parts`` by a hash of its column ``by`` and the right
     rows are copied to each, so a key with a third of all rows meets its row in
-    many tasks."""
+    many tasks.  Spark's estimate does not count the copies, nor rows that
+    ``left`` has exploded, so the merge is asked for."""
     side = measured_side(right)
     if side is not right:
         return left.join(side, key, how)
     x = left.withColumn("__part", F.pmod(F.xxhash64(by), F.lit(parts)).cast("int"))
     y = right.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    return x.join(y, [key, "__part"], how).drop("__part")
+    return x.join(y.hint("merge"), [key, "__part"], how).drop("__part")
